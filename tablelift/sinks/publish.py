@@ -38,17 +38,25 @@ class Publisher:
     def publish(self, staging: str) -> None:
         """Swap ``staging`` into the target; the previous output is restored if the swap fails."""
         src = self._Path(staging)
+        if not self.fs.exists(src):
+            raise OSError(f"E005 staging output {staging} does not exist")
         parent = self.path.getParent()
         if parent is not None and not self.fs.exists(parent):
             self.fs.mkdirs(parent)
         if not self.fs.exists(self.path):
-            if not self.fs.rename(src, self.path):
+            if not self._rename(src, self.path):
                 raise OSError(f"E005 cannot publish {staging} as {self.target}")
             return
         old = self._Path(f"{self.target}.{uuid.uuid4().hex}.old")
-        if not self.fs.rename(self.path, old):
+        if not self._rename(self.path, old):
             raise OSError(f"E005 cannot move old output {self.target} aside")
-        if not self.fs.rename(src, self.path):
-            self.fs.rename(old, self.path)
+        if not self._rename(src, self.path):
+            self._rename(old, self.path)
             raise OSError(f"E005 cannot publish {staging} as {self.target}; old output restored")
         self.fs.delete(old, True)
+
+    def _rename(self, src, dst) -> bool:
+        try:
+            return bool(self.fs.rename(src, dst))
+        except Exception:  # noqa: BLE001 - some file systems raise instead of returning False
+            return False
