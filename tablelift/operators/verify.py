@@ -180,18 +180,34 @@ def reconcile(source: DataFrame, output: DataFrame) -> DataFrame:
     )
 
 
-def diff_except_all(source: DataFrame, output: DataFrame) -> DataFrame:
+DIFF_CHUNK = 1 << 20
+
+
+def diff_except_all(source: DataFrame, output: DataFrame, chunk: int = DIFF_CHUNK) -> DataFrame:
     """Rows only in the source and rows only in the output, as multisets (duplicates count).
 
-    ``exceptAll`` aggregates per distinct row with map-side combine before the shuffle, so a
-    row repeated millions of times travels as one counted row. Run it only where the profiles
-    of ``reconcile`` disagree.
+    Equal to ``source.exceptAll(output)`` plus ``output.exceptAll(source)``, in one shuffle instead
+    of two: each side is tagged +1 / -1 and summed per distinct row, with map-side combine, so a
+    row repeated millions of times travels as one counted row per task. A surplus larger than
+    ``chunk`` copies is cut into chunks that are spread over tasks before the copies are emitted,
+    so no single task writes a hot row's whole surplus. Run it only where the profiles of
+    ``reconcile`` disagree.
     """
     cols = source.columns
-    out = output.select(*cols)
-    left = source.exceptAll(out).select(F.lit("source_only").alias("side"), *cols)
-    right = out.exceptAll(source).select(F.lit("output_only").alias("side"), *cols)
-    return left.unionByName(right)
+    tagged = source.select(F.lit(1).cast("bigint").alias("__n"), *cols).unionByName(
+        output.select(F.lit(-1).cast("bigint").alias("__n"), *cols))
+    d = tagged.groupBy(*cols).agg(F.sum("__n").alias("__d")).where(F.col("__d") != 0)
+    side = F.when(F.col("__d") > 0, F.lit("source_only")).otherwise(F.lit("output_only")).alias("side")
+    m = F.abs(F.col("__d"))
+    one = F.lit(1).cast("bigint")
+    small = d.where(m <= chunk).select(side, *cols, F.explode(F.sequence(one, m)).alias("__i"))
+    big = (d.where(m > chunk)
+           .select(side, *cols, m.alias("__m"),
+                   F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(abs(__d) - 1) div {int(chunk)}"))).alias("__c"))
+           .repartition(F.col("__c"), *[F.col(c) for c in cols])
+           .select("side", *cols, F.explode(F.sequence(
+               F.col("__c") * chunk + 1, F.least((F.col("__c") + 1) * chunk, F.col("__m")))).alias("__i")))
+    return small.unionByName(big).drop("__i")
 
 
 def verify_rollup(checks: DataFrame, group: str = "db") -> DataFrame:

@@ -184,6 +184,15 @@ def test_sqlite_source_export(spark, scratch):
     assert empty.count() == 0 and empty.columns == ["id", "name", "value"]
 
 
+def test_bad_connection_fails_fast_before_any_export(spark, scratch):
+    job = ExportJob(GlobalSpec(output_dir=scratch),
+                    [DatabaseSpec("good", "parquet", SF_SMALL), DatabaseSpec("bad", "parquet", f"{scratch}/nowhere")],
+                    [TaskSpec(db="good", tables=["region"]), TaskSpec(db="bad", tables=["x"])])
+    with pytest.raises(ConnectionError, match="E002"):
+        run(spark, job)
+    assert not os.path.exists(f"{scratch}/region.parquet")
+
+
 def test_report_log_is_appended(spark, scratch):
     log = f"{scratch}/runlog"
     run(spark, _job(f"{scratch}/a", ["region"]), report_path=log)

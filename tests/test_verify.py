@@ -87,3 +87,14 @@ def test_scalability_first_worker_count_is_baseline(spark):
                                 "test string, workers int, rows long, seconds double")
     s = {r["workers"]: r for r in runlog.scalability(runlog.throughput(log)).collect()}
     assert s[1]["speedup"] == 1.0 and s[2]["speedup"] == 2.0 and s[4]["efficiency"] == 50.0
+
+
+def test_diff_spreads_hot_rows_and_matches_except_all(spark):
+    # one row repeated far beyond the chunk size on one side: the surplus is emitted in chunks
+    a = spark.range(0, 50).selectExpr("id % 3 as k").unionByName(spark.range(0, 37).selectExpr("cast(7 as bigint) as k"))
+    b = spark.range(0, 20).selectExpr("id % 5 as k").unionByName(spark.range(0, 4).selectExpr("cast(7 as bigint) as k"))
+    got = sorted((r["side"], r["k"]) for r in verify.diff_except_all(a, b, chunk=5).collect())
+    want = sorted([("source_only", r["k"]) for r in a.exceptAll(b).collect()]
+                  + [("output_only", r["k"]) for r in b.exceptAll(a).collect()])
+    assert got == want
+    assert sum(1 for s, k in got if k == 7) == 33
