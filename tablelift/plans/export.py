@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.functions.quoting import target_name
+from tablelift.functions.types import sql_type_name
 from tablelift.operators.conform import conform
 from tablelift.sinks.parquet import write_parquet
 from tablelift.sinks.publish import Publisher
@@ -47,6 +48,7 @@ class GlobalSpec:
     default_format: str = "parquet"
     output_dir: str = "./output"
     overwrite: bool = False
+    max_rows_per_file: int | None = None  # Parquet: roll output files within a task (bounds file size)
 
     def with_defaults(self) -> "GlobalSpec":
         return GlobalSpec(
@@ -55,6 +57,7 @@ class GlobalSpec:
             default_format=self.default_format or "parquet",
             output_dir=self.output_dir or "./output",
             overwrite=bool(self.overwrite),
+            max_rows_per_file=self.max_rows_per_file if self.max_rows_per_file and self.max_rows_per_file > 0 else None,
         )
 
 
@@ -209,18 +212,22 @@ def _classify(e: Exception, stage: str) -> str:
     return {"read": "E003", "conform": "E004", "write": "E005"}.get(stage, "E006")
 
 
-def write_output(df: DataFrame, path: str, fmt: str, batch_size: int) -> None:
+def write_output(df: DataFrame, path: str, fmt: str, batch_size: int, max_rows_per_file: int | None = None) -> None:
     if fmt == "parquet":
-        write_parquet(df, path, batch_size=batch_size)
+        write_parquet(df, path, batch_size=batch_size, max_records_per_file=max_rows_per_file)
     elif fmt == "arrow":
         write_arrow(df, path, batch_size=batch_size)
     else:
         raise ValueError(f"E005 unknown format {fmt!r}")
 
 
-def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwrite: bool) -> tuple:
+def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwrite: bool,
+                max_rows_per_file: int | None = None) -> tuple:
     """Export one table or query; never raises. Returns one report row."""
     t0 = time.perf_counter()
+    # Each export thread gets its own scheduler pool: under FAIR scheduling a small table is not
+    # queued behind a large one; under FIFO the property is ignored.
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tablelift-{unit.label}")
     stage = "check"
     staging = None
     pub = Publisher(spark, unit.target)
@@ -236,18 +243,14 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
             col = pc.get(unit.table) if isinstance(pc, dict) else pc
             df = source.read_table(spark, unit.table, partition_column=col, skewed=unit.spec.skewed) \
                 if col else source.read_table(spark, unit.table)
-            declared = source.declared_types(spark, unit.table, df.columns)
-            declared = {c: (declared.get(c) or None) for c in df.columns}
-            if any(v is None for v in declared.values()):
-                from tablelift.functions.types import sql_type_name
-
-                declared = {c: declared[c] or sql_type_name(df.schema[c].dataType) for c in df.columns}
+            declared = source.declared_types(spark, unit.table, df.columns, df=df)
+            declared = {c: declared.get(c) or sql_type_name(df.schema[c].dataType) for c in df.columns}
         stage = "conform"
         conformed = conform(df, declared, dialect=getattr(source, "dialect", None))
         stage = "write"
         staging = pub.staging()
         spark.sparkContext.setJobDescription(f"export {unit.label} -> {unit.target}")
-        write_output(conformed.df, staging, unit.format, batch_size)
+        write_output(conformed.df, staging, unit.format, batch_size, max_rows_per_file)
         if not pub.succeeded(staging):
             raise OSError(f"E005 write of {unit.target} did not complete")
         pub.publish(staging)
@@ -281,7 +284,8 @@ def run(spark: SparkSession, job: ExportJob, report_path: str | None = None) ->
     units = job.units()
     g = job.global_
     with ThreadPoolExecutor(max_workers=max(1, g.workers)) as pool:
-        rows = list(pool.map(lambda u: export_unit(spark, sources[u.db], u, g.batch_size, g.overwrite), units))
+        rows = list(pool.map(lambda u: export_unit(spark, sources[u.db], u, g.batch_size, g.overwrite,
+                                                   g.max_rows_per_file), units))
     report = spark.createDataFrame(rows, REPORT_SCHEMA)
     if report_path:
         report.write.mode("append").parquet(report_path)

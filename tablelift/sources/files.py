@@ -55,5 +55,7 @@ class ParquetDirSource:
             child.read.parquet(self.table_path(t)).createOrReplaceTempView(t)
         return child.sql(sql)
 
-    def declared_types(self, spark: SparkSession, table: str, columns: list[str]) -> dict[str, str]:
-        return declared_types(self.read_table(spark, table).select(*columns).schema)
+    def declared_types(self, spark: SparkSession, table: str, columns: list[str], df: DataFrame | None = None) -> dict[str, str]:
+        """Declared names from the Parquet schema (of the scan already made, when given)."""
+        schema = (df if df is not None else self.read_table(spark, table)).select(*columns).schema
+        return declared_types(schema)

@@ -137,17 +137,37 @@ def quantile_sql(driver: str, table: str, column: str, buckets: int) -> str:
             f"AS bucket FROM {t}){alias} GROUP BY bucket")
 
 
-def predicates_from_uppers(column: str, uppers: list) -> list[str]:
-    """Disjoint, covering WHERE clauses from sorted bucket upper keys (NULL keys get their own range)."""
-    ups = sorted(set(u for u in uppers if u is not None))
+def _mod(driver: str, expr: str, n: int) -> str:
+    if canonical_driver(driver) == "mssql":
+        return f"ABS({expr} % {n})"
+    return f"ABS(MOD({expr}, {n}))"
+
+
+def predicates_from_uppers(column: str, uppers: list, split_column: str | None = None,
+                           driver: str = "postgres") -> list[str]:
+    """Disjoint, covering WHERE clauses from bucket upper keys (NULL keys get their own range).
+
+    A key value that closes several equal-count buckets is a hot value. With ``split_column``
+    (any numeric column), such a value is read by as many partitions as buckets it spans, split
+    by ``ABS(MOD(split_column, k))``, plus one partition for a NULL ``split_column``; the keys
+    below it in the same range get their own partition.
+    """
+    weight: dict = {}
+    for u in uppers:
+        if u is not None:
+            weight[u] = weight.get(u, 0) + 1
     preds = []
     prev = None
-    for u in ups:
+    for u in sorted(weight):
         lit = _sql_literal(u)
-        if prev is None:
-            preds.append(f"{column} <= {lit}")
+        low = f"{column} > {_sql_literal(prev)} AND " if prev is not None else ""
+        k = weight[u]
+        if k > 1 and split_column:
+            preds.append(f"{low}{column} < {lit}")
+            preds.extend(f"{column} = {lit} AND {_mod(driver, split_column, k)} = {i}" for i in range(k))
+            preds.append(f"{column} = {lit} AND {split_column} IS NULL")
         else:
-            preds.append(f"{column} > {_sql_literal(prev)} AND {column} <= {lit}")
+            preds.append(f"{low}{column} <= {lit}")
         prev = u
     if prev is not None:
         preds.append(f"{column} > {_sql_literal(prev)}")
@@ -183,7 +203,12 @@ class JdbcSource:
         self.kind = canonical_driver(driver)
         self.fetchsize = fetchsize
         self.rows_per_partition = rows_per_partition
-        self.options = dict(options or {})
+        opts = dict(options or {})
+        # library settings carried in the database options; the rest are JDBC reader options
+        self.split_column = opts.pop("split_column", None)
+        if "rows_per_partition" in opts:
+            self.rows_per_partition = int(opts.pop("rows_per_partition"))
+        self.options = opts
         self.dialect = "postgres" if self.kind == "postgres" else None
 
     def _reader(self, spark: SparkSession, opts: dict):
@@ -201,24 +226,50 @@ class JdbcSource:
     def read_query(self, spark: SparkSession, sql: str) -> DataFrame:
         return self._reader(spark, query_options(self.driver, self.dsn, sql, self.fetchsize)).load()
 
-    def read_table(self, spark: SparkSession, table: str, partition_column: str | None = None,
-                   skewed: bool = False) -> DataFrame:
-        if partition_column is None:
-            return self._reader(spark, table_options(self.driver, self.dsn, table, self.fetchsize)).load()
-        lo, hi, n = self.read_query(spark, bounds_sql(self.driver, table, partition_column)).first()
+    def plan_table_read(self, table: str, partition_column: str | None = None, skewed: bool = False,
+                        bounds: tuple | None = None, uppers: list | None = None) -> dict:
+        """Reader options (and WHERE predicates for skewed keys) of a table scan, from key statistics.
+
+        ``bounds`` is (min, max, count) of the partition column; ``uppers`` the bucket upper keys from
+        ``quantile_sql``. Without a partition column the table is read by one task.
+        """
+        if partition_column is None or bounds is None:
+            return {"options": table_options(self.driver, self.dsn, table, self.fetchsize), "predicates": None}
+        lo, hi, n = bounds
         parts = plan_partitions(lo, hi, n, self.rows_per_partition)
-        if skewed and parts > 1:
-            uppers = [r[0] for r in self.read_query(spark, quantile_sql(self.driver, table, partition_column, parts)).collect()]
-            conn = {**jdbc_connection(self.driver, self.dsn), "fetchsize": str(self.fetchsize),
-                    "preferTimestampNTZ": "true", **self.options}
-            url = conn.pop("url")
-            return spark.read.jdbc(url, quote_table_name(table, self.driver),
-                                   predicates=predicates_from_uppers(partition_column, uppers), properties=conn)
+        if skewed and parts > 1 and uppers:
+            opts = {**jdbc_connection(self.driver, self.dsn), "dbtable": quote_table_name(table, self.driver),
+                    "fetchsize": str(self.fetchsize), "preferTimestampNTZ": "true"}
+            return {"options": opts, "predicates": predicates_from_uppers(
+                partition_column, uppers, self.split_column, self.driver)}
         opts = table_options(self.driver, self.dsn, table, self.fetchsize, partition_column,
                              lo if lo is not None else 0, hi if hi is not None else 0, parts)
-        return self._reader(spark, opts).load()
+        return {"options": opts, "predicates": None}
+
+    def key_stats(self, spark: SparkSession, table: str, column: str, skewed: bool) -> tuple[tuple, list | None]:
+        """One small query for (min, max, count); for skewed keys one more for equal-count bucket bounds."""
+        bounds = tuple(self.read_query(spark, bounds_sql(self.driver, table, column)).first())
+        uppers = None
+        parts = plan_partitions(*bounds, self.rows_per_partition)
+        if skewed and parts > 1:
+            uppers = [r[0] for r in self.read_query(spark, quantile_sql(self.driver, table, column, parts)).collect()]
+        return bounds, uppers
+
+    def load(self, spark: SparkSession, plan: dict) -> DataFrame:
+        if plan["predicates"]:
+            props = {**plan["options"], **self.options}
+            url, table = props.pop("url"), props.pop("dbtable")
+            return spark.read.jdbc(url, table, predicates=plan["predicates"], properties=props)
+        return self._reader(spark, plan["options"]).load()
+
+    def read_table(self, spark: SparkSession, table: str, partition_column: str | None = None,
+                   skewed: bool = False) -> DataFrame:
+        bounds = uppers = None
+        if partition_column is not None:
+            bounds, uppers = self.key_stats(spark, table, partition_column, skewed)
+        return self.load(spark, self.plan_table_read(table, partition_column, skewed, bounds, uppers))
 
-    def declared_types(self, spark: SparkSession, table: str, columns: list[str]) -> dict[str, str]:
+    def declared_types(self, spark: SparkSession, table: str, columns: list[str], df: DataFrame | None = None) -> dict[str, str]:
         """Declared type names from the catalog; falls back to the Spark type when a name is missing."""
         try:
             rows = self.read_query(spark, catalog_sql(self.driver, table)).collect()

@@ -203,7 +203,7 @@ class SqliteSource:
         return read_sqlite(spark, self.dsn, table, int(self.options.get("numPartitions", 4)),
                            int(self.options.get("fetchsize", 10000)))
 
-    def declared_types(self, spark: SparkSession, table: str, columns: list[str]) -> dict[str, str]:
+    def declared_types(self, spark: SparkSession, table: str, columns: list[str], df: DataFrame | None = None) -> dict[str, str]:
         decl = dict(table_columns(shard_files(self.dsn)[0], table))
         return {c: decl.get(c) for c in columns}
 

@@ -118,6 +118,54 @@ def test_quantile_predicates_cover_every_key():
     assert "ALL_TAB_COLUMNS" in jdbc.catalog_sql("oracle", "system.T")
 
 
+def test_hot_key_predicates_split_and_cover_every_row_once():
+    import duckdb
+
+    con = duckdb.connect()
+    # key 7 holds a third of the rows; the split column has NULLs and negative values
+    con.execute("""create table t as
+        select case when i % 3 = 0 then 7 when i % 97 = 0 then null else i end as id,
+               case when i % 11 = 0 then null else i - 500 end as s
+        from range(0, 3000) r(i)""")
+    uppers = [r[0] for r in con.execute(
+        "select max(id) from (select id, ntile(6) over (order by id) b from t) group by b").fetchall()]
+    preds = jdbc.predicates_from_uppers("id", uppers, split_column="s", driver="postgres")
+    assert sum(1 for p in preds if "MOD" in p) >= 2
+    hits = con.execute("select " + ", ".join(f"count(*) filter (where {p})" for p in preds) + ", count(*) from t").fetchone()
+    assert sum(hits[:-1]) == hits[-1] == 3000
+    per_row = con.execute("select max(" + " + ".join(f"cast(({p}) is true as int)" for p in preds) + ") from t").fetchone()
+    assert per_row[0] == 1
+    assert "ABS(s % 2)" in jdbc.predicates_from_uppers("id", [7, 7], split_column="s", driver="mssql")[1]
+
+
+class _FakeJdbc(jdbc.JdbcSource):
+    """Answers the statistics queries from DataFrames and records the final read plan (no database)."""
+
+    def __init__(self, spark, stats, uppers, **kw):
+        super().__init__("db", "postgres", "postgres://u:p@h:5432/d", **kw)
+        self.spark, self.stats, self.uppers, self.sql = spark, stats, uppers, []
+
+    def read_query(self, spark, sql):
+        self.sql.append(sql)
+        if "NTILE" in sql:
+            return spark.createDataFrame([(u,) for u in self.uppers], "upper_key long")
+        return spark.createDataFrame([self.stats], "lo long, hi long, n long")
+
+    def load(self, spark, plan):
+        return plan
+
+
+def test_jdbc_read_plans(spark):
+    plain = _FakeJdbc(spark, (1, 10, 10), []).read_table(spark, "t")
+    assert plain["predicates"] is None and "partitionColumn" not in plain["options"]
+    ranged = _FakeJdbc(spark, (1, 5_000_000, 5_000_000), [], rows_per_partition=1_000_000).read_table(spark, "t", "id")
+    assert ranged["options"]["numPartitions"] == "5" and ranged["options"]["upperBound"] == "5000000"
+    fake = _FakeJdbc(spark, (1, 100, 3_000_000), [7, 7, 100], rows_per_partition=1_000_000)
+    skew = fake.read_table(spark, "t", "id", skewed=True)
+    assert skew["predicates"] == ["id <= 7", "id > 7 AND id <= 100", "id > 100", "id IS NULL"]
+    assert skew["options"]["dbtable"] == "t" and any("NTILE(3)" in s for s in fake.sql)
+
+
 def test_spec_objects_direct():
     job = ExportJob(GlobalSpec(workers=0, batch_size=0, default_format="", output_dir=""),
                     [DatabaseSpec("d", "sqlite", "/x.db")], [TaskSpec(db="d", tables=["a", "b"])])
