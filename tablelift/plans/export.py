@@ -221,6 +221,26 @@ def write_output(df: DataFrame, path: str, fmt: str, batch_size: int, max_rows_p
         raise ValueError(f"E005 unknown format {fmt!r}")
 
 
+def scan_unit(spark: SparkSession, source, unit: Unit) -> tuple[DataFrame, dict[str, str] | None]:
+    """The scan of one export and its declared column types (``None``: derive from the schema)."""
+    if unit.query is not None:
+        return source.read_query(spark, unit.query), None
+    pc = unit.spec.partition_column
+    col = pc.get(unit.table) if isinstance(pc, dict) else pc
+    df = source.read_table(spark, unit.table, partition_column=col, skewed=unit.spec.skewed) \
+        if col else source.read_table(spark, unit.table)
+    declared = source.declared_types(spark, unit.table, df.columns, df=df)
+    return df, {c: declared.get(c) or sql_type_name(df.schema[c].dataType) for c in df.columns}
+
+
+def read_output(spark: SparkSession, target: str, fmt: str) -> DataFrame:
+    if fmt == "arrow":
+        from tablelift.sources.arrow_ipc import read_arrow
+
+        return read_arrow(spark, target)
+    return spark.read.parquet(target)
+
+
 def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwrite: bool,
                 max_rows_per_file: int | None = None) -> tuple:
     """Export one table or query; never raises. Returns one report row."""
@@ -235,16 +255,7 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
         if pub.exists() and not overwrite:
             raise FileExistsError(f"E005 output {unit.target} exists and overwrite is off")
         stage = "read"
-        if unit.query is not None:
-            df = source.read_query(spark, unit.query)
-            declared = None
-        else:
-            pc = unit.spec.partition_column
-            col = pc.get(unit.table) if isinstance(pc, dict) else pc
-            df = source.read_table(spark, unit.table, partition_column=col, skewed=unit.spec.skewed) \
-                if col else source.read_table(spark, unit.table)
-            declared = source.declared_types(spark, unit.table, df.columns, df=df)
-            declared = {c: declared.get(c) or sql_type_name(df.schema[c].dataType) for c in df.columns}
+        df, declared = scan_unit(spark, source, unit)
         stage = "conform"
         conformed = conform(df, declared, dialect=getattr(source, "dialect", None))
         stage = "write"

@@ -690,6 +690,23 @@ def q_run_report(spark, sf):
     return df.select("table_name", "status", "rows", F.size(F.map_keys("rejects")).cast("bigint").alias("reject_columns"))
 
 
+VERIFY_TABLES = {"region": 2, "nation": 3, "supplier": 4, "customer": 5, "orders": 6, "lineitem": 11}
+
+
+@query("verify_export", "\nunion all\n".join(
+    f"select 'tpch' as db, '{t}' as table_name, count(*) as source_rows, count(*) as output_rows, "
+    f"cast({n} as bigint) as columns_checked, true as ok from {t}" for t, n in VERIFY_TABLES.items()))
+def q_verify_export(spark, sf):
+    from tablelift.plans.verify_job import verify_job
+
+    out = scratch_path(spark, "verify")
+    job = ExportJob(GlobalSpec(workers=4, output_dir=out), [DatabaseSpec("tpch", "parquet", sf)],
+                    [TaskSpec(db="tpch", tables=[t for t in VERIFY_TABLES if t != "lineitem"]),
+                     TaskSpec(db="tpch", tables=["lineitem"], format="arrow")])
+    report = run(spark, job)
+    return verify_job(spark, job, report).drop("target")
+
+
 # ---------------------------------------------------------------- run-log analytics (events as the run log)
 
 RUNLOG_DUCK_BASE = """

@@ -1,12 +1,17 @@
-"""Arrow IPC (file format) as a Spark Python data source: ``format("tablelift_arrow")``.
+"""Arrow IPC (file format) sink and source.
 
-Write: every task streams its Arrow record batches into its own LZ4-compressed ``.arrow`` file
-(re-chunked to ``batchSize`` rows); the driver's ``commit`` removes files of failed or
-speculative attempts, writes one schema-only file when the whole output is empty, and marks the
-directory with ``_SUCCESS``. ``abort`` deletes what the attempt wrote.
+Write (``write_arrow``): a ``mapInArrow`` job in which every task streams its record batches into
+its own LZ4-compressed ``.arrow`` file (re-chunked to ``batch_size`` rows) and returns one
+manifest row (file, rows). The driver then commits: files not in the manifest (failed or
+speculative attempts) are deleted, one schema-only file is written when the output is empty,
+and ``_SUCCESS`` marks the directory. No row passes through the driver.
 
-Read: one input partition per file, or per run of record batches for large files, so the scan
-splits like any other file source. Batches are yielded to Spark as Arrow, no per-row Python.
+Read (``read_arrow``): the driver lists the files and reads one footer for the schema; a
+``mapInArrow`` job reads one split per task (a whole file, or a run of record batches of a large
+file) and yields the batches to Spark as Arrow.
+
+The same helpers back a Spark Python data source, ``format("tablelift_arrow")``, for users who
+prefer the reader / writer API (it pays a driver-side planning process per read and write).
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -26,6 +32,7 @@ from pyspark.sql.types import StructType
 FORMAT = "tablelift_arrow"
 SUFFIX = ".arrow"
 TARGET_SPLIT_BYTES = 128 * 1024 * 1024
+BATCHES_PER_SPLIT = 64
 
 
 def _fs(path: str):
@@ -47,16 +54,168 @@ def list_arrow_files(path: str) -> list[tuple[str, int]]:
     info = fs.get_file_info(root)
     if info.type == pafs.FileType.File:
         return [(root, info.size)]
+    if info.type == pafs.FileType.NotFound:
+        raise FileNotFoundError(path)
     sel = pafs.FileSelector(root, recursive=False)
     return sorted((i.path, i.size) for i in fs.get_file_info(sel)
                   if i.type == pafs.FileType.File and i.path.endswith(SUFFIX))
 
 
+def _ipc_options(compression: str):
+    import pyarrow as pa
+
+    codec = None if compression in ("", "none", "uncompressed") else compression
+    return pa.ipc.IpcWriteOptions(compression=codec)
+
+
+def write_batches(path: str, batches, batch_size: int, compression: str, part: int) -> tuple[str | None, int]:
+    """Write one task's batches to a new file under ``path`` in ``batch_size``-row record batches."""
+    import pyarrow as pa
+
+    fs, root = _fs(path)
+    fs.create_dir(root, recursive=True)
+    name = f"{root}/part-{part:05d}-{uuid.uuid4().hex[:12]}{SUFFIX}"
+    writer = sink = None
+    rows = 0
+    pending: list = []
+    pending_rows = 0
+
+    def flush(final: bool) -> None:
+        nonlocal pending, pending_rows, rows
+        while pending_rows >= batch_size or (final and pending_rows):
+            table = pa.Table.from_batches(pending)
+            take = min(batch_size, pending_rows)
+            for b in table.slice(0, take).combine_chunks().to_batches():
+                writer.write_batch(b)
+            rows += take
+            rest = table.slice(take)
+            pending = rest.to_batches() if rest.num_rows else []
+            pending_rows = rest.num_rows
+
+    try:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            if writer is None:
+                sink = fs.open_output_stream(name)
+                writer = pa.ipc.new_file(sink, batch.schema, options=_ipc_options(compression))
+            pending.append(batch)
+            pending_rows += batch.num_rows
+            flush(False)
+        if writer is not None:
+            flush(True)
+    finally:
+        if writer is not None:
+            writer.close()
+            sink.close()
+    return (name if writer is not None else None), rows
+
+
+def commit(path: str, kept: set[str], spark_schema: StructType, compression: str) -> None:
+    """Keep only the files of successful attempts; schema-only file if empty; mark ``_SUCCESS``."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    fs, root = _fs(path)
+    fs.create_dir(root, recursive=True)
+    for file, _ in list_arrow_files(path):
+        if file not in kept:
+            fs.delete_file(file)
+    if not kept:
+        schema = to_arrow_schema(spark_schema, timestamp_utc=False)
+        with fs.open_output_stream(f"{root}/part-00000-empty{SUFFIX}") as sink:
+            pa.ipc.new_file(sink, schema, options=_ipc_options(compression)).close()
+    with fs.open_output_stream(f"{root}/_SUCCESS"):
+        pass
+
+
+def arrow_schema_of(path: str):
+    import pyarrow as pa
+
+    files = list_arrow_files(path)
+    if not files:
+        raise FileNotFoundError(f"no {SUFFIX} files under {path}")
+    fs, _ = _fs(path)
+    with fs.open_input_file(files[0][0]) as f:
+        return pa.ipc.open_file(f).schema
+
+
+def plan_splits(path: str, batches_per_split: int = BATCHES_PER_SPLIT) -> list[tuple[str, int, int]]:
+    """(file, first_batch, last_batch) splits: whole small files; batch runs of large files."""
+    import pyarrow as pa
+
+    fs, _ = _fs(path)
+    splits = []
+    for file, size in list_arrow_files(path):
+        if size <= TARGET_SPLIT_BYTES:
+            splits.append((file, 0, -1))
+            continue
+        with fs.open_input_file(file) as f:
+            n = pa.ipc.open_file(f).num_record_batches
+        splits.extend((file, s, min(n, s + batches_per_split)) for s in range(0, n, batches_per_split))
+    return splits
+
+
+def read_split(path: str, file: str, first: int, last: int, target):
+    import pyarrow as pa
+
+    fs, _ = _fs(path)
+    with fs.open_input_file(file) as f:
+        rdr = pa.ipc.open_file(f)
+        end = rdr.num_record_batches if last < 0 else last
+        for i in range(first, end):
+            b = rdr.get_batch(i)
+            if b.num_rows:
+                yield b if b.schema.equals(target) else b.cast(target)
+
+
+# ------------------------------------------------------------------ DataFrame API (mapInArrow jobs)
+
+def write_arrow(df: DataFrame, path: str, batch_size: int = 10000, compression: str = "lz4") -> None:
+    """Write ``df`` as Arrow IPC files into the new directory ``path`` (one file per task)."""
+    spark_schema = df.schema
+    size, codec = int(batch_size), compression
+
+    def write_task(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        file, rows = write_batches(path, batches, size, codec, ctx.partitionId() if ctx else 0)
+        yield pa.RecordBatch.from_pydict({"file": [file], "rows": [rows]},
+                                         schema=pa.schema([("file", pa.string()), ("rows", pa.int64())]))
+
+    manifest = df.mapInArrow(write_task, "file string, rows long").collect()  # one row per task
+    commit(path, {r["file"] for r in manifest if r["file"]}, spark_schema, compression)
+
+
+def read_arrow(spark: SparkSession, path: str) -> DataFrame:
+    """Read Arrow IPC files (a file or a directory) as a DataFrame, one split per task."""
+    from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
+
+    schema = from_arrow_schema(arrow_schema_of(path), prefer_timestamp_ntz=True)
+    target = to_arrow_schema(schema, timestamp_utc=False)
+    splits = plan_splits(path)
+    if not splits:
+        return spark.createDataFrame([], schema)
+    shared = spark.sparkContext.broadcast(splits)  # file list: once per executor, not per task
+
+    def read_task(ids):
+        for b in ids:
+            for i in b.column(0).to_pylist():
+                file, first, last = shared.value[i]
+                yield from read_split(path, file, first, last, target)
+
+    idx = spark.range(0, len(splits), 1, numPartitions=len(splits))
+    return idx.mapInArrow(read_task, schema)
+
+
+# ------------------------------------------------------------------ Python data source API
+
 @dataclass
 class ArrowCommit(WriterCommitMessage):
     file: str | None
     rows: int
-    batches: int
 
 
 @dataclass
@@ -72,16 +231,9 @@ class ArrowIpcDataSource(DataSource):
         return FORMAT
 
     def schema(self):
-        import pyarrow as pa
         from pyspark.sql.pandas.types import from_arrow_schema
 
-        files = list_arrow_files(self.options["path"])
-        if not files:
-            raise FileNotFoundError(f"no {SUFFIX} files under {self.options['path']}")
-        fs, _ = _fs(self.options["path"])
-        with fs.open_input_file(files[0][0]) as f:
-            schema = pa.ipc.open_file(f).schema
-        return from_arrow_schema(schema, prefer_timestamp_ntz=True)
+        return from_arrow_schema(arrow_schema_of(self.options["path"]), prefer_timestamp_ntz=True)
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return ArrowIpcReader(self.options, schema)
@@ -93,39 +245,17 @@ class ArrowIpcDataSource(DataSource):
 class ArrowIpcReader(DataSourceReader):
     def __init__(self, options, schema: StructType):
         self.path = options["path"]
-        self.batches_per_split = int(options.get("batchesPerSplit", "64"))
         self.schema = schema
 
     def partitions(self):
-        import pyarrow as pa
-
-        fs, _ = _fs(self.path)
-        splits = []
-        for file, size in list_arrow_files(self.path):
-            if size <= TARGET_SPLIT_BYTES:
-                splits.append(ArrowSplit(file, 0, -1))
-                continue
-            with fs.open_input_file(file) as f:
-                n = pa.ipc.open_file(f).num_record_batches
-            for start in range(0, n, self.batches_per_split):
-                splits.append(ArrowSplit(file, start, min(n, start + self.batches_per_split)))
-        return splits or [ArrowSplit("", 0, 0)]
+        return [ArrowSplit(*s) for s in plan_splits(self.path)] or [ArrowSplit("", 0, 0)]
 
     def read(self, partition: ArrowSplit):
-        import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        if not partition.file:
-            return
-        target = to_arrow_schema(self.schema, timestamp_utc=False)
-        fs, _ = _fs(self.path)
-        with fs.open_input_file(partition.file) as f:
-            rdr = pa.ipc.open_file(f)
-            end = rdr.num_record_batches if partition.last_batch < 0 else partition.last_batch
-            for i in range(partition.first_batch, end):
-                b = rdr.get_batch(i)
-                if b.num_rows:
-                    yield b if b.schema.equals(target) else b.cast(target)
+        if partition.file:
+            yield from read_split(self.path, partition.file, partition.first_batch, partition.last_batch,
+                                  to_arrow_schema(self.schema, timestamp_utc=False))
 
 
 class ArrowIpcWriter(DataSourceArrowWriter):
@@ -135,74 +265,16 @@ class ArrowIpcWriter(DataSourceArrowWriter):
         self.compression = options.get("compression", "lz4")
         self.spark_schema = schema
 
-    def _options(self):
-        import pyarrow as pa
-
-        codec = None if self.compression in ("", "none", "uncompressed") else self.compression
-        return pa.ipc.IpcWriteOptions(compression=codec)
-
     def write(self, iterator) -> ArrowCommit:
-        import pyarrow as pa
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
-        part = ctx.partitionId() if ctx else 0
-        fs, root = _fs(self.path)
-        fs.create_dir(root, recursive=True)
-        name = f"{root}/part-{part:05d}-{uuid.uuid4().hex[:12]}{SUFFIX}"
-        writer = sink = None
-        rows = batches = 0
-        pending: list = []
-        pending_rows = 0
-
-        def flush(final: bool) -> None:
-            nonlocal pending, pending_rows, rows, batches
-            while pending_rows >= self.batch_size or (final and pending_rows):
-                table = pa.Table.from_batches(pending)
-                take = min(self.batch_size, pending_rows)
-                head = table.slice(0, take).combine_chunks().to_batches()
-                rest = table.slice(take)
-                for hb in head:
-                    writer.write_batch(hb)
-                rows += take
-                batches += 1
-                pending = rest.to_batches() if rest.num_rows else []
-                pending_rows = rest.num_rows
-
-        try:
-            for batch in iterator:
-                if batch.num_rows == 0:
-                    continue
-                if writer is None:
-                    sink = fs.open_output_stream(name)
-                    writer = pa.ipc.new_file(sink, batch.schema, options=self._options())
-                pending.append(batch)
-                pending_rows += batch.num_rows
-                flush(False)
-            if writer is not None:
-                flush(True)
-        finally:
-            if writer is not None:
-                writer.close()
-                sink.close()
-        return ArrowCommit(name if writer is not None else None, rows, batches)
+        file, rows = write_batches(self.path, iterator, self.batch_size, self.compression,
+                                   ctx.partitionId() if ctx else 0)
+        return ArrowCommit(file, rows)
 
     def commit(self, messages) -> None:
-        import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        fs, root = _fs(self.path)
-        fs.create_dir(root, recursive=True)
-        kept = {m.file for m in messages if m is not None and m.file}
-        for file, _ in list_arrow_files(self.path):
-            if file not in kept:  # output of a failed or speculative task attempt
-                fs.delete_file(file)
-        if not kept:
-            schema = to_arrow_schema(self.spark_schema, timestamp_utc=False)
-            with fs.open_output_stream(f"{root}/part-00000-empty{SUFFIX}") as sink:
-                pa.ipc.new_file(sink, schema, options=self._options()).close()
-        with fs.open_output_stream(f"{root}/_SUCCESS"):
-            pass
+        commit(self.path, {m.file for m in messages if m is not None and m.file}, self.spark_schema, self.compression)
 
     def abort(self, messages) -> None:
         fs, _ = _fs(self.path)
@@ -222,15 +294,3 @@ def activate(spark) -> None:
 def register(spark) -> None:
     activate(spark)
     spark.dataSource.register(ArrowIpcDataSource)
-
-
-def write_arrow(df, path: str, batch_size: int = 10000, compression: str = "lz4") -> None:
-    """Write ``df`` as Arrow IPC files into the new directory ``path``."""
-    register(df.sparkSession)
-    (df.write.format(FORMAT).mode("append").option("batchSize", str(batch_size))
-       .option("compression", compression).save(path))
-
-
-def read_arrow(spark, path: str):
-    register(spark)
-    return spark.read.format(FORMAT).load(path)

@@ -134,6 +134,17 @@ def test_arrow_empty_output_has_schema_file(spark, scratch):
     assert back.count() == 0 and back.schema == src.schema
 
 
+def test_arrow_data_source_api(spark, scratch):
+    from tablelift.sources.arrow_ipc import FORMAT, register
+
+    register(spark)
+    src = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    src.write.format(FORMAT).mode("append").option("batchSize", "1000").save(f"{scratch}/o.arrow")
+    back = spark.read.format(FORMAT).load(f"{scratch}/o.arrow")
+    assert back.schema == src.schema
+    assert back.exceptAll(src).count() == 0 and src.exceptAll(back).count() == 0
+
+
 def test_arrow_export_through_job(spark, scratch):
     rep = run(spark, _job(scratch, ["orders"], fmt="arrow")).first()
     assert rep["status"] == "ok" and rep["target"].endswith("orders.arrow")
