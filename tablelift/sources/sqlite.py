@@ -124,6 +124,46 @@ def _convert(v, dt: T.DataType):
     return str(v)
 
 
+def plan_splits(path: str, table: str, parts: int) -> list[tuple[str, int | None, int | None]]:
+    """(file, lo, hi) rowid ranges, ``parts`` per shard file; MIN/MAX(rowid) only touch the b-tree ends."""
+    splits = []
+    for file in shard_files(path):
+        with connect_ro(file) as con:
+            try:
+                lo, hi = con.execute(f"SELECT MIN(rowid), MAX(rowid) FROM {_quote_ident(table)}").fetchone()
+            except sqlite3.OperationalError:  # WITHOUT ROWID table: one split
+                splits.append((file, None, None))
+                continue
+        if lo is None:
+            continue
+        step = max(1, -(-(hi - lo + 1) // max(1, parts)))
+        splits.extend((file, s, min(hi, s + step - 1)) for s in range(lo, hi + 1, step))
+    return splits
+
+
+def read_split(file: str, lo: int | None, hi: int | None, table: str, schema: T.StructType, fetchsize: int):
+    """Stream one rowid range as Arrow record batches of ``fetchsize`` rows."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow_schema = to_arrow_schema(schema, timestamp_utc=False)
+    cols = ", ".join(_quote_ident(f.name) for f in schema.fields)
+    sql = f"SELECT {cols} FROM {_quote_ident(table)}"
+    args: tuple = ()
+    if lo is not None:
+        sql += " WHERE rowid BETWEEN ? AND ?"
+        args = (lo, hi)
+    with connect_ro(file) as con:
+        cur = con.execute(sql, args)
+        while True:
+            rows = cur.fetchmany(fetchsize)
+            if not rows:
+                break
+            arrays = [pa.array([_convert(r[j], f.dataType) for r in rows], type=arrow_schema.field(j).type)
+                      for j, f in enumerate(schema.fields)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+
+
 class SqliteReader(DataSourceReader):
     def __init__(self, options, schema: T.StructType):
         self.path = options["path"]
@@ -133,44 +173,11 @@ class SqliteReader(DataSourceReader):
         self.schema = schema
 
     def partitions(self):
-        splits = []
-        for file in shard_files(self.path):
-            with connect_ro(file) as con:
-                try:
-                    lo, hi = con.execute(f"SELECT MIN(rowid), MAX(rowid) FROM {_quote_ident(self.table)}").fetchone()
-                except sqlite3.OperationalError:  # WITHOUT ROWID table: one split
-                    splits.append(SqliteSplit(file, None, None))
-                    continue
-            if lo is None:
-                continue
-            step = max(1, -(-(hi - lo + 1) // self.parts))
-            for start in range(lo, hi + 1, step):
-                splits.append(SqliteSplit(file, start, min(hi, start + step - 1)))
-        return splits or [SqliteSplit("", None, None)]
+        return [SqliteSplit(*s) for s in plan_splits(self.path, self.table, self.parts)] or [SqliteSplit("", None, None)]
 
     def read(self, split: SqliteSplit):
-        import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        if not split.file:
-            return
-        arrow_schema = to_arrow_schema(self.schema, timestamp_utc=False)
-        names = [f.name for f in self.schema.fields]
-        cols = ", ".join(_quote_ident(n) for n in names)
-        sql = f"SELECT {cols} FROM {_quote_ident(self.table)}"
-        args: tuple = ()
-        if split.lo is not None:
-            sql += " WHERE rowid BETWEEN ? AND ?"
-            args = (split.lo, split.hi)
-        with connect_ro(split.file) as con:
-            cur = con.execute(sql, args)
-            while True:
-                rows = cur.fetchmany(self.fetchsize)
-                if not rows:
-                    break
-                arrays = [pa.array([_convert(r[j], f.dataType) for r in rows], type=arrow_schema.field(j).type)
-                          for j, f in enumerate(self.schema.fields)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+        if split.file:
+            yield from read_split(split.file, split.lo, split.hi, self.table, self.schema, self.fetchsize)
 
 
 def register(spark: SparkSession) -> None:
@@ -181,9 +188,21 @@ def register(spark: SparkSession) -> None:
 
 
 def read_sqlite(spark: SparkSession, path: str, table: str, num_partitions: int = 1, fetchsize: int = 10000) -> DataFrame:
-    register(spark)
-    return (spark.read.format(FORMAT).option("path", path).option("dbtable", table)
-            .option("numPartitions", str(num_partitions)).option("fetchsize", str(fetchsize)).load())
+    """Scan ``table`` of one SQLite file or a directory of shards: one rowid range per task (mapInArrow)."""
+    schema = storage_schema(shard_files(path)[0], table)
+    splits = plan_splits(path, table, num_partitions)
+    if not splits:
+        return spark.createDataFrame([], schema)
+    shared = spark.sparkContext.broadcast(splits)
+    size = max(1, int(fetchsize))
+
+    def read_task(ids):
+        for b in ids:
+            for i in b.column(0).to_pylist():
+                file, lo, hi = shared.value[i]
+                yield from read_split(file, lo, hi, table, schema, size)
+
+    return spark.range(0, len(splits), 1, numPartitions=len(splits)).mapInArrow(read_task, schema)
 
 
 class SqliteSource:

@@ -210,3 +210,19 @@ def test_report_log_is_appended(spark, scratch):
     run(spark, _job(f"{scratch}/b", ["nation"]), report_path=log)
     df = spark.read.parquet(log)
     assert df.count() == 2 and df.where(F.col("status") == "ok").count() == 2
+
+
+def test_sqlite_data_source_api_and_shards(spark, scratch):
+    from tablelift.sources.sqlite import FORMAT, register, stage_sqlite
+
+    src = spark.read.parquet(f"{SF_SMALL}/orders.parquet").repartition(3)
+    declared = {"o_orderkey": "INTEGER", "o_custkey": "BIGINT", "o_orderstatus": "CHAR(1)",
+                "o_totalprice": "DOUBLE", "o_orderdate": "DATETIME", "o_orderpriority": "VARCHAR(15)"}
+    assert stage_sqlite(spark, src, f"{scratch}/shards", "orders", declared) == src.count()
+    assert len([f for f in os.listdir(f"{scratch}/shards") if f.endswith(".db")]) == 3
+    register(spark)
+    via_api = spark.read.format(FORMAT).option("path", f"{scratch}/shards").option("dbtable", "orders") \
+        .option("numPartitions", "2").load()
+    via_job = read_sqlite(spark, f"{scratch}/shards", "orders", num_partitions=2)
+    assert via_api.schema == via_job.schema
+    assert via_api.exceptAll(via_job).count() == 0 and via_job.count() == src.count()
