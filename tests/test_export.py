@@ -60,7 +60,7 @@ def test_no_overwrite_guard_and_overwrite_replaces(spark, scratch):
 def test_failed_export_keeps_old_output(spark, scratch):
     run(spark, _job(scratch, ["orders"])).collect()
     before = spark.read.parquet(f"{scratch}/orders.parquet").count()
-    rep = run(spark, _job(scratch, query="select o_orderkey, cast(o_orderstatus as int) as x from orders",
+    rep = run(spark, _job(scratch, query="select o_orderkey, assert_true(o_orderkey < 1000) as x from orders",
                           output="orders", overwrite=True)).first()
     assert rep["status"] == "failed"
     assert spark.read.parquet(f"{scratch}/orders.parquet").count() == before
@@ -68,7 +68,7 @@ def test_failed_export_keeps_old_output(spark, scratch):
 
 
 def test_failed_first_write_leaves_nothing(spark, scratch):
-    rep = run(spark, _job(scratch, query="select cast(o_orderstatus as int) as x from orders", output="bad")).first()
+    rep = run(spark, _job(scratch, query="select assert_true(o_orderkey < 1000) as x from orders", output="bad")).first()
     assert rep["status"] == "failed"
     assert not os.path.exists(f"{scratch}/bad.parquet")
 
