@@ -15,7 +15,7 @@ from tablelift.sources.drivers import canonical_driver
 
 def quote_table_name(table: str, driver: str) -> str:
     kind = canonical_driver(driver)
-    if "." in table:
+    if "." in table or table.lstrip().startswith("("):  # dotted names and derived tables pass through
         return table
     if kind == "oracle":
         return '"' + table.upper() + '"'

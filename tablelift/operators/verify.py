@@ -102,11 +102,13 @@ def _hash_sum(*cols: Column) -> Column:
     return F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
 
 
-def null_mask(cols: list[str]) -> Column:
-    """Bitmask of NULL columns (so NULLs in different places hash differently)."""
-    if not cols:
-        return F.lit("")
-    return F.concat_ws("", *[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
+def null_mask(cols: list[str]) -> list[Column]:
+    """Bitmasks of NULL columns, 62 columns per bigint (so NULLs in different places hash differently)."""
+    masks = []
+    for start in range(0, len(cols), 62):
+        bits = [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols[start:start + 62])]
+        masks.append(reduce(lambda a, b: a.bitwiseOR(b), bits).cast("bigint"))
+    return masks or [F.lit(0).cast("bigint")]
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -125,7 +127,7 @@ def profile(df: DataFrame) -> DataFrame:
             aggs.append(F.max(c).alias(f"mx{i}"))
         aggs.append(_hash_sum(c).alias(f"h{i}"))
     names = [f.name for f in fields]
-    aggs.append(_hash_sum(null_mask(names), *[F.col(n) for n in names]).alias("hrow"))
+    aggs.append(_hash_sum(*null_mask(names), *[F.col(n) for n in names]).alias("hrow"))
     agg = df.agg(*aggs)
 
     def text(col_name: str, dt: T.DataType) -> Column:

@@ -193,6 +193,10 @@ def make_source(db: DatabaseSpec):
         from tablelift.sources.files import ParquetDirSource
 
         return ParquetDirSource(db.name, db.dsn)
+    if kind == "catalog":
+        from tablelift.sources.files import CatalogSource
+
+        return CatalogSource(db.name, db.dsn)
     if kind == "sqlite":
         from tablelift.sources.sqlite import SqliteSource
 
@@ -223,9 +227,11 @@ def write_output(df: DataFrame, path: str, fmt: str, batch_size: int, max_rows_p
 
 def scan_unit(spark: SparkSession, source, unit: Unit) -> tuple[DataFrame, dict[str, str] | None]:
     """The scan of one export and its declared column types (``None``: derive from the schema)."""
+    pc = unit.spec.partition_column
     if unit.query is not None:
+        if isinstance(pc, str) and getattr(source, "kind", None) in JDBC_KINDS:
+            return source.read_query(spark, unit.query, partition_column=pc, skewed=unit.spec.skewed), None
         return source.read_query(spark, unit.query), None
-    pc = unit.spec.partition_column
     col = pc.get(unit.table) if isinstance(pc, dict) else pc
     df = source.read_table(spark, unit.table, partition_column=col, skewed=unit.spec.skewed) \
         if col else source.read_table(spark, unit.table)

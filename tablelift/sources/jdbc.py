@@ -116,6 +116,11 @@ def query_options(driver: str, dsn: str, sql: str, fetchsize: int = 10000, **ext
     return opts
 
 
+def derived_table(sql: str) -> str:
+    """A query as a ``dbtable`` / FROM item (valid in PostgreSQL, MySQL, Oracle and SQL Server)."""
+    return f"({sql.strip().rstrip(';')}) tl_q"
+
+
 def bounds_sql(driver: str, table: str, column: str) -> str:
     t = quote_table_name(table, driver)
     return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n FROM {t}"
@@ -223,8 +228,13 @@ class JdbcSource:
         except Exception as e:  # noqa: BLE001
             raise ConnectionError(f"E002 cannot connect to {self.name}: {e}") from e
 
-    def read_query(self, spark: SparkSession, sql: str) -> DataFrame:
-        return self._reader(spark, query_options(self.driver, self.dsn, sql, self.fetchsize)).load()
+    def read_query(self, spark: SparkSession, sql: str, partition_column: str | None = None,
+                   skewed: bool = False) -> DataFrame:
+        """A query evaluated by the database; with ``partition_column`` (a column of its result) the
+        query becomes a derived table read in key ranges by parallel tasks, like a table scan."""
+        if partition_column is None:
+            return self._reader(spark, query_options(self.driver, self.dsn, sql, self.fetchsize)).load()
+        return self.read_table(spark, derived_table(sql), partition_column, skewed)
 
     def plan_table_read(self, table: str, partition_column: str | None = None, skewed: bool = False,
                         bounds: tuple | None = None, uppers: list | None = None) -> dict:
@@ -246,13 +256,17 @@ class JdbcSource:
                              lo if lo is not None else 0, hi if hi is not None else 0, parts)
         return {"options": opts, "predicates": None}
 
+    def query_rows(self, spark: SparkSession, sql: str) -> list:
+        """Rows of a small statistics query (one row, or one per bucket) evaluated by the database."""
+        return self.read_query(spark, sql).collect()
+
     def key_stats(self, spark: SparkSession, table: str, column: str, skewed: bool) -> tuple[tuple, list | None]:
         """One small query for (min, max, count); for skewed keys one more for equal-count bucket bounds."""
-        bounds = tuple(self.read_query(spark, bounds_sql(self.driver, table, column)).first())
+        bounds = tuple(self.query_rows(spark, bounds_sql(self.driver, table, column))[0])
         uppers = None
         parts = plan_partitions(*bounds, self.rows_per_partition)
         if skewed and parts > 1:
-            uppers = [r[0] for r in self.read_query(spark, quantile_sql(self.driver, table, column, parts)).collect()]
+            uppers = [r[0] for r in self.query_rows(spark, quantile_sql(self.driver, table, column, parts))]
         return bounds, uppers
 
     def load(self, spark: SparkSession, plan: dict) -> DataFrame:

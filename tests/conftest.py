@@ -13,7 +13,11 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from tablelift.session import get_spark
 
-    s = get_spark("local[*]", **{"spark.sql.shuffle.partitions": "8"})
+    import tempfile
+
+    # tests only: keep the catalog's default warehouse out of the working directory
+    s = get_spark("local[*]", **{"spark.sql.shuffle.partitions": "8",
+                                 "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tablelift-wh-")})
     yield s
     s.stop()
 

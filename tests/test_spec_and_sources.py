@@ -145,11 +145,11 @@ class _FakeJdbc(jdbc.JdbcSource):
         super().__init__("db", "postgres", "postgres://u:p@h:5432/d", **kw)
         self.spark, self.stats, self.uppers, self.sql = spark, stats, uppers, []
 
-    def read_query(self, spark, sql):
+    def query_rows(self, spark, sql):
         self.sql.append(sql)
         if "NTILE" in sql:
-            return spark.createDataFrame([(u,) for u in self.uppers], "upper_key long")
-        return spark.createDataFrame([self.stats], "lo long, hi long, n long")
+            return [(u,) for u in self.uppers]
+        return [self.stats]
 
     def load(self, spark, plan):
         return plan
@@ -166,6 +166,15 @@ def test_jdbc_read_plans(spark):
     assert skew["options"]["dbtable"] == "t" and any("NTILE(3)" in s for s in fake.sql)
 
 
+def test_jdbc_query_task_reads_in_key_ranges(spark):
+    fake = _FakeJdbc(spark, (1, 3_000_000, 3_000_000), [], rows_per_partition=1_000_000)
+    plan = fake.read_query(spark, "SELECT id, amount FROM sales WHERE amount > 0;", partition_column="id")
+    assert plan["options"]["dbtable"] == "(SELECT id, amount FROM sales WHERE amount > 0) tl_q"
+    assert plan["options"]["numPartitions"] == "3"
+    assert fake.sql[0].endswith("FROM (SELECT id, amount FROM sales WHERE amount > 0) tl_q")
+    assert jdbc.quote_table_name("(select 1) tl_q", "oracle") == "(select 1) tl_q"
+
+
 def test_spec_objects_direct():
     job = ExportJob(GlobalSpec(workers=0, batch_size=0, default_format="", output_dir=""),
                     [DatabaseSpec("d", "sqlite", "/x.db")], [TaskSpec(db="d", tables=["a", "b"])])
