@@ -140,6 +140,8 @@ def to_time_text(c: Column, src: T.DataType) -> Column:
     """TIME as ``HH:mm:ss`` text (time of day of a timestamp, or normalised time text)."""
     if _is(src, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, TIME_TEXT_FORMAT)
+    if _is(src, T.TimeType):  # time of day from a source that returns Spark's TIME type
+        return F.substring(c.cast("string"), 1, 8)
     if _is(src, T.StringType):
         parsed = F.concat(F.lit("1970-01-01 "), F.trim(c)).try_cast("timestamp_ntz")
         return F.date_format(parsed, TIME_TEXT_FORMAT)

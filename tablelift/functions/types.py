@@ -90,6 +90,8 @@ def target_type_name(sql_type: str, dialect: str | None = None) -> str:
     n = _normalize(sql_type)
     if dialect and n in DIALECT_OVERRIDES.get(dialect, {}):
         return DIALECT_OVERRIDES[dialect][n]
+    if dialect == "postgres" and n.startswith("_"):  # PostgreSQL array type names (_int4, _text)
+        return KEEP
     if n in EXACT_TYPE_NAMES:
         return EXACT_TYPE_NAMES[n]
     if n in EXTRA_TYPE_NAMES:
@@ -121,6 +123,8 @@ def target_type_col(sql_type: Column, dialect: str | None = None) -> Column:
     if dialect:
         table.update(DIALECT_OVERRIDES.get(dialect, {}))
     lookup = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[n]
+    if dialect == "postgres":
+        lookup = F.when(n.startswith("_"), F.lit(KEEP)).otherwise(lookup)
     dec = "decimal(%d,%d)" % DEFAULT_DECIMAL
     prefix = (
         F.when(n.startswith(DECIMAL_PREFIXES[0]) | n.startswith(DECIMAL_PREFIXES[1]), F.lit(dec))

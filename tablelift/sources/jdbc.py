@@ -195,7 +195,10 @@ def catalog_sql(driver: str, table: str) -> str:
         return (f"SELECT COLUMN_NAME AS column_name, DATA_TYPE AS data_type, COLUMN_ID AS ordinal "
                 f"FROM ALL_TAB_COLUMNS WHERE TABLE_NAME = '{name.upper()}'{owner}")
     cond = f" AND table_schema = '{schema}'" if schema else ""
-    return (f"SELECT column_name, data_type, ordinal_position AS ordinal FROM information_schema.columns "
+    # PostgreSQL: the type's own name (int4, float8, timestamptz, _int4 for arrays), which is what
+    # its drivers report as the column type name; information_schema's data_type spells it out.
+    type_col = "upper(udt_name)" if kind == "postgres" else "data_type"
+    return (f"SELECT column_name, {type_col} AS data_type, ordinal_position AS ordinal FROM information_schema.columns "
             f"WHERE table_name = '{name}'{cond}")
 
 

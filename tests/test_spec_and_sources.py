@@ -175,6 +175,18 @@ def test_jdbc_query_task_reads_in_key_ranges(spark):
     assert jdbc.quote_table_name("(select 1) tl_q", "oracle") == "(select 1) tl_q"
 
 
+def test_postgres_catalog_names_map_like_the_driver_reports_them():
+    from tablelift.functions.types import target_type_name
+
+    assert "upper(udt_name)" in jdbc.catalog_sql("postgres", "public.t")
+    assert "udt_name" not in jdbc.catalog_sql("mysql", "t")
+    got = {n: target_type_name(n, "postgres") for n in ["INT2", "INT4", "INT8", "FLOAT4", "FLOAT8", "NUMERIC",
+                                                         "VARCHAR", "BPCHAR", "TIMESTAMPTZ", "BOOL", "BYTEA", "_INT4"]}
+    assert got == {"INT2": "smallint", "INT4": "int", "INT8": "bigint", "FLOAT4": "float", "FLOAT8": "double",
+                   "NUMERIC": "decimal(38,10)", "VARCHAR": "string", "BPCHAR": "string",
+                   "TIMESTAMPTZ": "timestamp_ntz", "BOOL": "boolean", "BYTEA": "binary", "_INT4": "keep"}
+
+
 def test_spec_objects_direct():
     job = ExportJob(GlobalSpec(workers=0, batch_size=0, default_format="", output_dir=""),
                     [DatabaseSpec("d", "sqlite", "/x.db")], [TaskSpec(db="d", tables=["a", "b"])])

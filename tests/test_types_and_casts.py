@@ -143,6 +143,27 @@ def test_temporal(spark):
     assert _one(spark, "not a date", T.StringType(), casts.to_date) is None
 
 
+def test_time_type_source(spark):
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    try:
+        try:
+            df = spark.sql("select cast('10:30:05.123' as time) as v")
+            dt = df.schema["v"].dataType
+        except Exception:  # noqa: BLE001 - TIME not available in this Spark build
+            pytest.skip("Spark TIME type not enabled")
+        assert df.select(casts.to_time_text(F.col("v"), dt).alias("t")).first()["t"] == "10:30:05"
+        assert df.select(casts.convert(F.col("v"), dt, "string").alias("s")).first()["s"].startswith("10:30:05")
+    finally:
+        spark.conf.unset("spark.sql.timeType.enabled")
+
+
+def test_postgres_array_names_keep_source_type(spark):
+    df = spark.createDataFrame([("_int4",), ("_TEXT",), ("int4",)], "n string")
+    got = [r[0] for r in df.select(target_type_col(F.col("n"), "postgres")).collect()]
+    assert got == ["keep", "keep", "int"]
+    assert target_type_name("_int4") == "string"  # generic table: unknown name
+
+
 def test_float_conversions(spark):
     assert _one(spark, 3, T.LongType(), lambda c, t: casts.to_float(c, t, "double")) == 3.0
     assert _one(spark, "2.5", T.StringType(), lambda c, t: casts.to_float(c, t, "float")) == 2.5
