@@ -145,6 +145,8 @@ class ExportJob:
                 raise JobSpecError(f"E001 task {label} sets neither tables nor query")
             if has_query and not has_output:
                 raise JobSpecError(f"E001 task {label} uses a query without output")
+            if any(not str(tb).strip() for tb in t.tables):
+                raise JobSpecError(f"E001 task {label} lists an empty table name")
             fmt = t.format or g.default_format
             if fmt not in FORMATS:
                 raise JobSpecError(f"E001 task {label} has unknown format {fmt!r}")

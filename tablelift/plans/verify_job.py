@@ -9,9 +9,10 @@ partial aggregates side by side; only one small row per table comes back.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.operators import verify
@@ -46,6 +47,39 @@ def verify_job(spark: SparkSession, job: ExportJob, report: DataFrame) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
+def verify_and_diff(spark: SparkSession, job: ExportJob, report: DataFrame, diff_dir: str) -> DataFrame:
+    """``verify_job`` plus, for every table that fails, the multiset diff written under ``diff_dir``.
+
+    The verdicts (one small row per table) are computed first; only failing tables pay for the
+    diff, which is written as Parquet (``side`` = source_only / output_only) and never collected.
+    Adds ``diff_path`` and ``diff_rows`` (NULL for tables that passed).
+    """
+    checks = verify_job(spark, job, report).collect()
+    units = {u.target: u for u in job.units()}
+    sources = {db.name: make_source(db) for db in job.databases}
+    rows = []
+    for c in checks:
+        path, n = None, None
+        if not c["ok"]:
+            unit = units[c["target"]]
+            src = sources[unit.db]
+            df, declared = scan_unit(spark, src, unit)
+            conformed = conform(df, declared, dialect=getattr(src, "dialect", None), observe=False).df
+            path = f"{diff_dir.rstrip('/')}/{target_stem(unit.target)}"
+            diff = verify.diff_except_all(conformed, read_output(spark, unit.target, unit.format))
+            obs = Observation(f"diff_{uuid.uuid4().hex[:10]}")
+            diff.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+            n = int(obs.get["rows"])
+        rows.append((c["db"], c["table_name"], c["target"], c["source_rows"], c["output_rows"],
+                     c["columns_checked"], c["ok"], path, n))
+    return spark.createDataFrame(rows, "db string, table_name string, target string, source_rows long, "
+                                       "output_rows long, columns_checked long, ok boolean, diff_path string, diff_rows long")
+
+
+def target_stem(target: str) -> str:
+    return target.rstrip("/").rsplit("/", 1)[-1]
+
+
 def rollup(checks: DataFrame) -> DataFrame:
     """One verdict per database over the per-table checks."""
     return verify.verify_rollup(checks, "db")
