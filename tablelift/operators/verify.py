@@ -224,6 +224,41 @@ def verify_rollup(checks: DataFrame, group: str = "db") -> DataFrame:
     )
 
 
+def output_check(spark: SparkSession, targets: dict[str, tuple[str, str]]) -> DataFrame:
+    """Every published output exists, holds bytes, and has a readable schema (schema-only files allowed).
+
+    ``targets`` maps a table name to (path, format). File-system metadata and one footer per output
+    only; no rows are read. Returns (table_name, output_exists, non_empty, schema_readable, columns, files, bytes).
+    """
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    rows = []
+    for name, (path, fmt) in targets.items():
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        exists = bool(fs.exists(p))
+        files = size = 0
+        columns = None
+        if exists:
+            suffix = ".arrow" if fmt == "arrow" else ".parquet"
+            for st in fs.listStatus(p):
+                if st.getPath().getName().endswith(suffix):
+                    files += 1
+                    size += int(st.getLen())
+            try:
+                if fmt == "arrow":
+                    from tablelift.sources.arrow_ipc import arrow_schema_of
+
+                    columns = len(arrow_schema_of(path))
+                else:
+                    columns = len(spark.read.parquet(path).schema.fields)
+            except Exception:  # noqa: BLE001 - unreadable schema is a failed check, not an error
+                columns = None
+        rows.append((name, exists, files > 0 and size > 0, columns is not None, columns, files, size))
+    return spark.createDataFrame(rows, "table_name string, output_exists boolean, non_empty boolean, "
+                                       "schema_readable boolean, columns int, files long, bytes long")
+
+
 def size_ranking(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Tables ranked by total bytes of their data files (file-system metadata only, no rows read)."""
     jvm = spark._jvm

@@ -551,6 +551,27 @@ def q_verify_rollup(spark, sf):
     return verify.verify_rollup(all_checks)
 
 
+@query("output_exists", f"""
+select table_name, true as output_exists, true as non_empty, true as schema_readable,
+       cast(count(*) as integer) as columns
+from information_schema.columns where table_name in ({_TABLE_LIST}) group by table_name
+union all
+select 'orders_empty' as table_name, true as output_exists, true as non_empty, true as schema_readable,
+       cast(count(*) as integer) as columns
+from information_schema.columns where table_name = 'orders'
+""")
+def q_output_exists(spark, sf):
+    report, out = export(spark, sf, TABLES)
+    for t in TABLES:
+        _ok(report, t)
+    empty, _ = export(spark, sf, query_sql="select * from orders where 1 = 0", output="orders_empty",
+                      fmt="arrow", output_dir=out)
+    _ok(empty, "select * from orders where 1 = 0")
+    targets = {t: (f"{out}/{t}.parquet", "parquet") for t in TABLES}
+    targets["orders_empty"] = (f"{out}/orders_empty.arrow", "arrow")
+    return verify.output_check(spark, targets).drop("files", "bytes")
+
+
 @query("size_ranking")
 def q_size_ranking(spark, sf):
     return verify.size_ranking(spark, {t: f"{sf.rstrip('/')}/{t}.parquet" for t in TABLES})

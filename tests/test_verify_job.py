@@ -38,6 +38,25 @@ def test_verify_and_diff_finds_damaged_output(spark, scratch):
     assert roll == {"tpch": False}
 
 
+def test_output_check_flags_missing_and_unreadable_outputs(spark, scratch):
+    import os
+
+    from tablelift.operators import verify
+
+    write_parquet(spark.range(3), f"{scratch}/good.parquet")
+    os.makedirs(f"{scratch}/broken.parquet")
+    with open(f"{scratch}/broken.parquet/part-0.parquet", "wb") as f:
+        f.write(b"not parquet at all")
+    got = {r["table_name"]: r for r in verify.output_check(spark, {
+        "good": (f"{scratch}/good.parquet", "parquet"),
+        "missing": (f"{scratch}/missing.parquet", "parquet"),
+        "broken": (f"{scratch}/broken.parquet", "parquet"),
+    }).collect()}
+    assert got["good"]["output_exists"] and got["good"]["non_empty"] and got["good"]["columns"] == 1
+    assert not got["missing"]["output_exists"] and not got["missing"]["non_empty"]
+    assert got["broken"]["output_exists"] and not got["broken"]["schema_readable"]
+
+
 def test_empty_table_name_rejected():
     with pytest.raises(JobSpecError):
         ExportJob.from_dict({"databases": [{"name": "d", "driver": "parquet", "dsn": "/x"}],
