@@ -312,7 +312,7 @@ def run(spark: SparkSession, job: ExportJob, report_path: str | None = None) ->
 
 
 def report_summary(report: DataFrame) -> DataFrame:
-    """Totals of a run report: tables, failures, rows, and rows per second of wall time per table."""
+    """Totals of a run report: tables, failed tables, rows written, and the sum of per-table seconds."""
     return report.agg(
         F.count(F.lit(1)).alias("tables"),
         F.count_if(F.col("status") == "failed").alias("failed"),
