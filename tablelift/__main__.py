@@ -14,11 +14,21 @@ import sys
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tablelift", description="Export tables to Parquet / Arrow with Spark.")
-    p.add_argument("-config", "--config", required=True, help="job spec (TOML)")
+    p.add_argument("-config", "--config", help="job spec (TOML)")
+    p.add_argument("--log-level", default="info", choices=["debug", "info", "warn", "error"],
+                   help="Spark log level")
+    p.add_argument("--version", action="store_true", help="print the version and exit")
     p.add_argument("-report", "--report", default=None, help="append the run report to this Parquet path")
     p.add_argument("-verify", "--verify", action="store_true", help="reconcile every output with its source")
     p.add_argument("-master", "--master", default=None, help="Spark master (default: from the environment)")
     args = p.parse_args(argv)
+    if args.version:
+        from tablelift import __version__
+
+        print(__version__)
+        return 0
+    if not args.config:
+        p.error("--config is required")
 
     from tablelift.plans.export import ExportJob, JobSpecError, run
     from tablelift.session import get_spark
@@ -29,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
         print(e, file=sys.stderr)
         return 2
     spark = get_spark(args.master, app="tablelift")
+    spark.sparkContext.setLogLevel(args.log_level.upper())
     try:
         report = run(spark, job, report_path=args.report)
     except ConnectionError as e:

@@ -69,7 +69,8 @@ def test_cli_exit_codes(spark, scratch, tmp_path):
                    f'dsn = "{SF_SMALL}"\n[[tasks]]\ndb = "d"\ntables = ["region", "nation"]\n')
     from tablelift.__main__ import main
 
-    assert main(["-config", str(job), "-verify"]) == 0
+    assert main(["--version"]) == 0
+    assert main(["--config", str(job), "-verify", "--log-level", "warn"]) == 0
     assert main(["-config", str(job)]) == 1  # outputs exist and overwrite is off
     bad = tmp_path / "bad.toml"
     bad.write_text('[[tasks]]\ndb = "nope"\ntables = ["x"]\n')
