@@ -116,10 +116,17 @@ def to_decimal(c: Column, src: T.DataType) -> Column:
     return F.lit(None).cast(DECIMAL_TYPE)
 
 
+def utc_wall_clock(c: Column) -> Column:
+    """A zoned timestamp (an instant) as its UTC wall-clock ``timestamp_ntz``, whatever the session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+
+
 def to_date(c: Column, src: T.DataType) -> Column:
     if _is(src, T.DateType):
         return c
-    if _is(src, (T.TimestampType, T.TimestampNTZType)):
+    if _is(src, T.TimestampType):
+        return utc_wall_clock(c).cast("date")
+    if _is(src, T.TimestampNTZType):
         return c.cast("date")
     if _is(src, T.StringType):
         return c.try_cast("date")
@@ -129,7 +136,9 @@ def to_date(c: Column, src: T.DataType) -> Column:
 def to_timestamp_ntz(c: Column, src: T.DataType) -> Column:
     if _is(src, T.TimestampNTZType):
         return c
-    if _is(src, (T.TimestampType, T.DateType)):
+    if _is(src, T.TimestampType):  # the zone is dropped: the instant's UTC wall clock
+        return utc_wall_clock(c)
+    if _is(src, T.DateType):
         return c.cast("timestamp_ntz")
     if _is(src, T.StringType):
         return c.try_cast("timestamp_ntz")
@@ -138,7 +147,9 @@ def to_timestamp_ntz(c: Column, src: T.DataType) -> Column:
 
 def to_time_text(c: Column, src: T.DataType) -> Column:
     """TIME as ``HH:mm:ss`` text (time of day of a timestamp, or normalised time text)."""
-    if _is(src, (T.TimestampType, T.TimestampNTZType)):
+    if _is(src, T.TimestampType):
+        return F.date_format(utc_wall_clock(c), TIME_TEXT_FORMAT)
+    if _is(src, T.TimestampNTZType):
         return F.date_format(c, TIME_TEXT_FORMAT)
     if _is(src, T.TimeType):  # time of day from a source that returns Spark's TIME type
         return F.substring(c.cast("string"), 1, 8)

@@ -143,6 +143,23 @@ def test_temporal(spark):
     assert _one(spark, "not a date", T.StringType(), casts.to_date) is None
 
 
+def test_zoned_timestamps_drop_the_zone_as_utc_whatever_the_session_zone(spark):
+    import datetime as dt
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.sql("select timestamp_ltz'2024-01-15 23:30:00+00:00' as v")
+            dtype = df.schema["v"].dataType
+            r = df.select(casts.to_timestamp_ntz(F.col("v"), dtype).alias("ts"), casts.to_date(F.col("v"), dtype).alias("d"),
+                          casts.to_time_text(F.col("v"), dtype).alias("t")).first()
+            assert r["ts"] == dt.datetime(2024, 1, 15, 23, 30), tz
+            assert r["d"] == dt.date(2024, 1, 15) and r["t"] == "23:30:00", tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_time_type_source(spark):
     spark.conf.set("spark.sql.timeType.enabled", "true")
     try:
