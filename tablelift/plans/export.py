@@ -49,6 +49,7 @@ class GlobalSpec:
     output_dir: str = "./output"
     overwrite: bool = False
     max_rows_per_file: int | None = None  # Parquet: roll output files within a task (bounds file size)
+    narrow: str = "null"  # integer narrowing: "null" (overflow -> NULL, counted) or "wrap" (two's complement)
 
     def with_defaults(self) -> "GlobalSpec":
         return GlobalSpec(
@@ -58,6 +59,7 @@ class GlobalSpec:
             output_dir=self.output_dir or "./output",
             overwrite=bool(self.overwrite),
             max_rows_per_file=self.max_rows_per_file if self.max_rows_per_file and self.max_rows_per_file > 0 else None,
+            narrow=self.narrow or "null",
         )
 
 
@@ -131,6 +133,8 @@ class ExportJob:
             names.add(db.name)
         if g.default_format not in FORMATS:
             raise JobSpecError(f"E001 unknown default format {g.default_format!r}")
+        if g.narrow not in ("null", "wrap"):
+            raise JobSpecError(f"E001 narrow must be 'null' or 'wrap', not {g.narrow!r}")
         targets: dict[str, str] = {}
         for i, t in enumerate(self.tasks):
             label = t.name or f"task{i + 1}"
@@ -250,7 +254,7 @@ def read_output(spark: SparkSession, target: str, fmt: str) -> DataFrame:
 
 
 def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwrite: bool,
-                max_rows_per_file: int | None = None) -> tuple:
+                max_rows_per_file: int | None = None, narrow: str = "null") -> tuple:
     """Export one table or query; never raises. Returns one report row."""
     t0 = time.perf_counter()
     # Each export thread gets its own scheduler pool: under FAIR scheduling a small table is not
@@ -265,7 +269,7 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
         stage = "read"
         df, declared = scan_unit(spark, source, unit)
         stage = "conform"
-        conformed = conform(df, declared, dialect=getattr(source, "dialect", None))
+        conformed = conform(df, declared, dialect=getattr(source, "dialect", None), narrow=narrow)
         stage = "write"
         staging = pub.staging()
         spark.sparkContext.setJobDescription(f"export {unit.label} -> {unit.target}")
@@ -304,7 +308,7 @@ def run(spark: SparkSession, job: ExportJob, report_path: str | None = None) ->
     g = job.global_
     with ThreadPoolExecutor(max_workers=max(1, g.workers)) as pool:
         rows = list(pool.map(lambda u: export_unit(spark, sources[u.db], u, g.batch_size, g.overwrite,
-                                                   g.max_rows_per_file), units))
+                                                   g.max_rows_per_file, g.narrow), units))
     report = spark.createDataFrame(rows, REPORT_SCHEMA)
     if report_path:
         report.write.mode("append").parquet(report_path)

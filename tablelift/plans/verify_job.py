@@ -37,17 +37,17 @@ def verify_job(spark: SparkSession, job: ExportJob, report: DataFrame, tables_pe
     sources = {db.name: make_source(db) for db in job.databases}
     rows = []
     for start in range(0, len(units), max(1, tables_per_job)):
-        batch = _verify_frames(spark, units[start:start + tables_per_job], sources)
+        batch = _verify_frames(spark, units[start:start + tables_per_job], sources, job.global_.narrow)
         rows.extend(tuple(r) for r in batch.collect())
     return spark.createDataFrame(rows, VERIFY_SCHEMA)
 
 
-def _verify_frames(spark: SparkSession, units: list, sources: dict) -> DataFrame:
+def _verify_frames(spark: SparkSession, units: list, sources: dict, narrow: str) -> DataFrame:
     parts = []
     for unit in units:
         src = sources[unit.db]
         df, declared = scan_unit(spark, src, unit)
-        conformed = conform(df, declared, dialect=getattr(src, "dialect", None), observe=False).df
+        conformed = conform(df, declared, dialect=getattr(src, "dialect", None), narrow=narrow, observe=False).df
         rec = verify.reconcile(conformed, read_output(spark, unit.target, unit.format))
         is_row = F.col("column_name") == verify.ROW_KEY
         parts.append(rec.agg(
@@ -79,7 +79,8 @@ def verify_and_diff(spark: SparkSession, job: ExportJob, report: DataFrame, diff
             unit = units[c["target"]]
             src = sources[unit.db]
             df, declared = scan_unit(spark, src, unit)
-            conformed = conform(df, declared, dialect=getattr(src, "dialect", None), observe=False).df
+            conformed = conform(df, declared, dialect=getattr(src, "dialect", None), narrow=job.global_.narrow,
+                                observe=False).df
             path = f"{diff_dir.rstrip('/')}/{target_stem(unit.target)}"
             diff = verify.diff_except_all(conformed, read_output(spark, unit.target, unit.format))
             obs = Observation(f"diff_{uuid.uuid4().hex[:10]}")
