@@ -45,9 +45,11 @@ def main(argv: list[str] | None = None) -> int:
     except ConnectionError as e:
         print(e, file=sys.stderr)
         return 2
-    rows = report.select("task", "table_name", "status", "rows", "seconds", "error_code", "error").collect()
+    rows = report.select("task", "table_name", "status", "rows", "seconds", "error_code", "error",
+                         "scan_partitions").collect()
     for r in rows:
-        line = f"{r['task']:>10} {r['table_name'][:40]:40} {r['status']:6} rows={r['rows']} {r['seconds']:.2f}s"
+        line = (f"{r['task']:>10} {r['table_name'][:40]:40} {r['status']:6} rows={r['rows']} "
+                f"tasks={r['scan_partitions']} {r['seconds']:.2f}s")
         if r["error_code"]:
             line += f" {r['error_code']} {r['error']}"
         print(line)

@@ -33,7 +33,8 @@ FORMATS = {"parquet": ".parquet", "arrow": ".arrow"}
 
 REPORT_SCHEMA = (
     "task string, db string, table_name string, target string, format string, status string, "
-    "rows long, seconds double, error_code string, error string, rejects map<string,long>, finished_at string"
+    "rows long, seconds double, error_code string, error string, rejects map<string,long>, finished_at string, "
+    "scan_partitions int"
 )
 
 
@@ -268,6 +269,9 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
             raise FileExistsError(f"E005 output {unit.target} exists and overwrite is off")
         stage = "read"
         df, declared = scan_unit(spark, source, unit)
+        # how many tasks read the source: 1 for a JDBC table without a partition column, which
+        # the report makes visible (one connection reads the whole table)
+        scan_partitions = int(df._jdf.rdd().getNumPartitions())
         stage = "conform"
         conformed = conform(df, declared, dialect=getattr(source, "dialect", None), narrow=narrow)
         stage = "write"
@@ -281,7 +285,7 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
         m = conformed.metrics()
         rejects = {k: int(v) for k, v in conformed.rejects().items()}
         return (unit.task, unit.db, unit.table or unit.query, unit.target, unit.format, "ok",
-                int(m.get("rows", 0)), time.perf_counter() - t0, None, None, rejects, _now())
+                int(m.get("rows", 0)), time.perf_counter() - t0, None, None, rejects, _now(), scan_partitions)
     except Exception as e:  # noqa: BLE001 - per-table isolation: report and continue
         if staging is not None:
             try:
@@ -289,7 +293,7 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
             except Exception:  # noqa: BLE001
                 pass
         return (unit.task, unit.db, unit.table or unit.query, unit.target, unit.format, "failed",
-                None, time.perf_counter() - t0, _classify(e, stage), _error_text(e), {}, _now())
+                None, time.perf_counter() - t0, _classify(e, stage), _error_text(e), {}, _now(), None)
 
 
 def _now() -> str:
