@@ -58,8 +58,16 @@ DEFAULT_TARGET = "string"
 
 # Our documented decisions on top of the table (not part of the fixed values above).
 EXTRA_TYPE_NAMES = {"SERIAL": "bigint"}
+# Native type names of each database that miss the generic table (documented decisions): the
+# catalog of the source reports them, and without an override they would silently become text.
 DIALECT_OVERRIDES = {
     "postgres": {"INT2": "smallint", "INT4": "int", "INT8": "bigint", "SERIAL4": "int", "SERIAL8": "bigint"},
+    "oracle": {"NUMBER": "decimal(38,10)", "BINARY_FLOAT": "float", "BINARY_DOUBLE": "double",
+               "RAW": "binary", "LONG RAW": "binary"},
+    "mysql": {"MEDIUMINT": "int", "TINYBLOB": "binary", "MEDIUMBLOB": "binary", "LONGBLOB": "binary"},
+    "mssql": {"BIT": "boolean", "DATETIME2": "timestamp_ntz", "SMALLDATETIME": "timestamp_ntz",
+              "DATETIMEOFFSET": "timestamp_ntz", "MONEY": "decimal(38,10)", "SMALLMONEY": "decimal(38,10)",
+              "IMAGE": "binary"},
 }
 KEEP = "keep"  # keep the source column's own type (arrays from sources that return them)
 

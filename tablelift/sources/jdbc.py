@@ -217,7 +217,7 @@ class JdbcSource:
         if "rows_per_partition" in opts:
             self.rows_per_partition = int(opts.pop("rows_per_partition"))
         self.options = opts
-        self.dialect = "postgres" if self.kind == "postgres" else None
+        self.dialect = self.kind  # native type names of this database (types.DIALECT_OVERRIDES)
 
     def _reader(self, spark: SparkSession, opts: dict):
         r = spark.read.format("jdbc")

@@ -48,6 +48,24 @@ def test_postgres_dialect_overrides():
     assert target_type_name("INT8") == "tinyint"
 
 
+def test_dialect_native_names():
+    assert target_type_name("NUMBER", "oracle") == "decimal(38,10)"
+    assert target_type_name("NUMBER") == "string"  # generic table unchanged
+    assert target_type_name("VARCHAR2", "oracle") == "string" and target_type_name("CLOB", "oracle") == "string"
+    assert target_type_name("BINARY_DOUBLE", "oracle") == "double"
+    assert target_type_name("TIMESTAMP(6)", "oracle") == "timestamp_ntz"
+    assert target_type_name("BIT", "mssql") == "boolean" and target_type_name("DATETIME2", "mssql") == "timestamp_ntz"
+    assert target_type_name("LONGBLOB", "mysql") == "binary" and target_type_name("MEDIUMINT", "mysql") == "int"
+
+
+def test_dialect_lookup_expression_matches_python(spark):
+    names = ["NUMBER", "VARCHAR2", "BIT", "DATETIME2", "LONGBLOB", "MEDIUMINT", "INT4", "_int4", "INT8", "TEXT"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    for d in ("postgres", "oracle", "mysql", "mssql", None):
+        got = dict(df.select("n", target_type_col(F.col("n"), d).alias("t")).collect())
+        assert got == {n: target_type_name(n, d) for n in names}, d
+
+
 def test_target_type_objects():
     assert target_type("DECIMAL(18,4)") == T.DecimalType(38, 10)
     assert target_type("TIME") == T.StringType()
