@@ -53,6 +53,10 @@ def main(argv: list[str] | None = None) -> int:
         if r["error_code"]:
             line += f" {r['error_code']} {r['error']}"
         print(line)
+    from tablelift.plans.export import report_summary
+
+    s = report_summary(report).first()
+    print(f"tables={s['tables']} failed={s['failed']} rows={s['rows']} table_seconds={s['seconds']:.2f}")
     failed = any(r["status"] != "ok" for r in rows)
     if args.verify:
         from tablelift.plans.verify_job import verify_job

@@ -36,9 +36,3 @@ def summary(log: DataFrame, test: str = "test", rows: str = "rows", seconds: str
         F.sum(F.col(seconds).cast("double")).alias("seconds"),
         F.max(F.col(rows).cast("double") / F.col(seconds).cast("double")).alias("best_throughput"),
     )
-
-
-def report_as_runlog(report: DataFrame, test: str, workers: int) -> DataFrame:
-    """Turn an export run report into run-log rows (successful tables only)."""
-    return report.where(F.col("status") == "ok").select(
-        F.lit(test).alias("test"), F.lit(workers).alias("workers"), "table_name", "rows", "seconds")

@@ -28,6 +28,7 @@ from tablelift.sinks.parquet import write_parquet
 from tablelift.sinks.publish import Publisher
 from tablelift.sources.arrow_ipc import write_arrow
 from tablelift.sources.drivers import DRIVER_ALIASES, JDBC_KINDS, canonical_driver
+from tablelift.streaming.batches import batch_options
 
 FORMATS = {"parquet": ".parquet", "arrow": ".arrow"}
 
@@ -194,8 +195,10 @@ def output_path(output_dir: str, stem: str, fmt: str) -> str:
     return f"{output_dir}/{name}"
 
 
-def make_source(db: DatabaseSpec):
+def make_source(db: DatabaseSpec, batch_size: int = 10000):
+    """The source object of a database; ``batch_size`` is also its cursor fetch size."""
     kind = canonical_driver(db.driver)
+    fetch = int(batch_options(batch_size)["fetchsize"])
     if kind == "parquet":
         from tablelift.sources.files import ParquetDirSource
 
@@ -207,11 +210,11 @@ def make_source(db: DatabaseSpec):
     if kind == "sqlite":
         from tablelift.sources.sqlite import SqliteSource
 
-        return SqliteSource(db.name, db.dsn, db.options)
+        return SqliteSource(db.name, db.dsn, {"fetchsize": fetch, **db.options})
     if kind in JDBC_KINDS:
         from tablelift.sources.jdbc import JdbcSource
 
-        return JdbcSource(db.name, db.driver, db.dsn, options=db.options)
+        return JdbcSource(db.name, db.driver, db.dsn, fetchsize=fetch, options=db.options)
     raise JobSpecError(f"E001 driver {db.driver!r} cannot be exported from")
 
 
@@ -224,10 +227,12 @@ def _classify(e: Exception, stage: str) -> str:
 
 
 def write_output(df: DataFrame, path: str, fmt: str, batch_size: int, max_rows_per_file: int | None = None) -> None:
+    opts = batch_options(batch_size)
     if fmt == "parquet":
-        write_parquet(df, path, batch_size=batch_size, max_records_per_file=max_rows_per_file)
+        write_parquet(df, path, batch_size=int(opts["parquet.block.row.count.limit"]),
+                      max_records_per_file=max_rows_per_file)
     elif fmt == "arrow":
-        write_arrow(df, path, batch_size=batch_size)
+        write_arrow(df, path, batch_size=int(opts["batchSize"]))
     else:
         raise ValueError(f"E005 unknown format {fmt!r}")
 
@@ -305,7 +310,7 @@ def run(spark: SparkSession, job: ExportJob, report_path: str | None = None) ->
     job.validate()
     sources = {}
     for db in job.databases:
-        src = make_source(db)
+        src = make_source(db, job.global_.batch_size)
         src.ping(spark)  # fail fast before any export (E002)
         sources[db.name] = src
     units = job.units()

@@ -7,7 +7,6 @@ unset (local tests) do we create one and register it.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,18 +57,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tablelift-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for APIs that want a plain local path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("TABLELIFT_SF_DIR", default)

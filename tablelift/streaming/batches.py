@@ -8,8 +8,6 @@ batches. One knob, ``batch_size``, sets all of them.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-
 
 def batch_options(batch_size: int) -> dict[str, str]:
     """Reader / writer options that realise ``batch_size`` for every source and sink."""
@@ -19,8 +17,3 @@ def batch_options(batch_size: int) -> dict[str, str]:
         "parquet.block.row.count.limit": n,      # Parquet row group
         "batchSize": n,                          # Arrow IPC record batch
     }
-
-
-def set_arrow_batch_rows(spark: SparkSession, batch_size: int) -> None:
-    """Rows per Arrow batch between the JVM and Python workers (mapInArrow, Python data sources)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(int(batch_size)))
