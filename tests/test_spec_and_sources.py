@@ -187,6 +187,19 @@ def test_postgres_catalog_names_map_like_the_driver_reports_them():
                    "TIMESTAMPTZ": "timestamp_ntz", "BOOL": "boolean", "BYTEA": "binary", "_INT4": "keep"}
 
 
+def test_batch_size_is_the_cursor_fetch_size():
+    from tablelift.plans.export import make_source
+
+    pg = make_source(DatabaseSpec("pg", "pgx", "postgres://u:p@h/d"), batch_size=50000)
+    assert pg.fetchsize == 50000 and pg.dialect == "postgres"
+    assert jdbc.table_options("pgx", "postgres://u:p@h/d", "t", fetchsize=pg.fetchsize)["fetchsize"] == "50000"
+    lite = make_source(DatabaseSpec("l", "sqlite3", "/x.db"), batch_size=1000)
+    assert lite.options["fetchsize"] == 1000
+    ora = make_source(DatabaseSpec("o", "oracle", "oracle://a:b@h:1521/XE",
+                                   options={"split_column": "ID2", "rows_per_partition": "500000"}))
+    assert ora.split_column == "ID2" and ora.rows_per_partition == 500000 and "split_column" not in ora.options
+
+
 def test_spec_objects_direct():
     job = ExportJob(GlobalSpec(workers=0, batch_size=0, default_format="", output_dir=""),
                     [DatabaseSpec("d", "sqlite", "/x.db")], [TaskSpec(db="d", tables=["a", "b"])])
