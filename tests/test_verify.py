@@ -98,3 +98,11 @@ def test_diff_spreads_hot_rows_and_matches_except_all(spark):
                   + [("output_only", r["k"]) for r in b.exceptAll(a).collect()])
     assert got == want
     assert sum(1 for s, k in got if k == 7) == 33
+
+
+def test_profile_split_and_one_pass_agree(spark):
+    for t in ("documents", "embeddings", "orders"):
+        d = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        a = sorted(tuple(r) for r in verify.profile(d).collect())
+        b = sorted(tuple(r) for r in verify.profile(d, one_pass=True).collect())
+        assert a == b, t
