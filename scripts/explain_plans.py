@@ -47,8 +47,10 @@ def main() -> None:
         ("query task: join + aggregate", "Orders are aggregated per customer (partial aggregate before the "
          "Exchange) before the join, so a hot customer collapses map-side; the join strategy is Spark's "
          "size-checked choice (AQE).", registry.QUERIES["scan_query_agg"](spark, sf)),
-        ("reconcile (one side)", "A global aggregate: partial per task, one row per task through the Exchange.",
-         verify.profile(orders)),
+        ("reconcile (one side)", "Two global aggregates, partial per task, one row per task through each "
+         "Exchange: a code-generated HashAggregate over the whole scan (counts, fixed-width min/max, hashes) and "
+         "a SortAggregate over a scan pruned to the string columns (their min/max). The final merge sees one row "
+         "per column.", verify.profile(orders)),
         ("multiset diff", "One Exchange on the row columns for both sides (tagged +1/-1), partial aggregate "
          "below it; only surpluses above the chunk size are re-spread (second, small Exchange).",
          verify.diff_except_all(li, li.where(F.col("l_returnflag") != "R"))),
