@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelift.functions import casts
+from tablelift.functions.columns import col
 from tablelift.functions.types import declared_types, target_type_name
 
 REJECT_PREFIX = "rejects__"
@@ -59,7 +60,7 @@ def conform_columns(
     out = []
     for name in df.columns:
         target = target_type_name(declared[name], dialect)
-        expr = casts.convert(F.col(name), src_types[name], target, narrow)
+        expr = casts.convert(col(name), src_types[name], target, narrow)
         out.append((name, expr, src_types[name], target))
     return out
 
@@ -89,14 +90,14 @@ def conform(
     reject_cols = [n for n, _, src, t in cols if casts.can_reject(src, t, narrow)]
     src_alias = {n: f"__src_{i}" for i, n in enumerate(reject_cols)}
     staged = df.select(
-        *[F.col(n).alias(src_alias[n]) for n in reject_cols],
+        *[col(n).alias(src_alias[n]) for n in reject_cols],
         *[e.alias(n) for n, e, _, _ in cols],
     )
     obs = Observation(f"conform_{uuid.uuid4().hex[:10]}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [
-        F.count_if(F.col(src_alias[n]).isNotNull() & F.col(n).isNull()).alias(REJECT_PREFIX + n)
+        F.count_if(F.col(src_alias[n]).isNotNull() & col(n).isNull()).alias(REJECT_PREFIX + n)
         for n in reject_cols
     ]
-    observed = staged.observe(obs, *metrics).select(*[n for n, _, _, _ in cols])
+    observed = staged.observe(obs, *metrics).select(*[col(n) for n, _, _, _ in cols])
     return Conformed(observed, obs, targets, reject_cols)

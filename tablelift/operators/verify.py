@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelift.functions.columns import col
+
 ROW_KEY = "*"  # column_name used for the whole-row hash in profiles
 
 
@@ -41,37 +43,37 @@ def count_check(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def sum_key(df: DataFrame, key: str, alias: str = "sum_id") -> DataFrame:
-    return df.agg(F.sum(F.col(key).cast("bigint")).cast("bigint").alias(alias))
+    return df.agg(F.sum(col(key).cast("bigint")).cast("bigint").alias(alias))
 
 
 def first_last(df: DataFrame, key: str) -> DataFrame:
     """First and last row by ``key`` in one pass (``min_by`` / ``max_by``), tagged by ``position``."""
     cols = df.columns
-    row = F.struct(*cols)
-    agg = df.agg(F.min_by(row, F.col(key)).alias("f"), F.max_by(row, F.col(key)).alias("l"))
+    row = F.struct(*[col(c) for c in cols])
+    agg = df.agg(F.min_by(row, col(key)).alias("f"), F.max_by(row, col(key)).alias("l"))
 
     def tagged(tag: str, s: str) -> Column:
-        return F.struct(F.lit(tag).alias("position"), *[F.col(f"{s}.{c}").alias(c) for c in cols])
+        return F.struct(F.lit(tag).alias("position"), *[F.col(s).getField(c).alias(c) for c in cols])
 
     out = agg.select(F.inline(F.array(tagged("first", "f"), tagged("last", "l"))))
-    return out.where(F.col(key).isNotNull())
+    return out.where(col(key).isNotNull())
 
 
 def peek(df: DataFrame, key: str, n: int, descending: bool = False) -> DataFrame:
     """``ORDER BY key LIMIT n``: a top-k (per-partition top n, then a merge), never a full sort."""
-    order = F.col(key).desc() if descending else F.col(key).asc()
+    order = col(key).desc() if descending else col(key).asc()
     return df.orderBy(order).limit(n)
 
 
 def point_lookup(df: DataFrame, key: str, ids: list) -> DataFrame:
     """Rows at chosen key values; the ``isin`` filter is pushed into the scan."""
-    return df.where(F.col(key).isin(*ids))
+    return df.where(col(key).isin(*ids))
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column_name, null_count) for every column, one aggregate pass."""
     columns = columns or df.columns
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
+    agg = df.agg(*[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
     return agg.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count")) for i, c in enumerate(columns)
     ])))
@@ -125,7 +127,7 @@ def null_mask(cols: list[str]) -> list[Column]:
     """Bitmasks of NULL columns, 62 columns per bigint (so NULLs in different places hash differently)."""
     masks = []
     for start in range(0, len(cols), 62):
-        bits = [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols[start:start + 62])]
+        bits = [F.when(col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols[start:start + 62])]
         masks.append(reduce(lambda a, b: a.bitwiseOR(b), bits).cast("bigint"))
     return masks or [F.lit(0).cast("bigint")]
 
@@ -149,12 +151,12 @@ def profile(df: DataFrame, one_pass: bool = False) -> DataFrame:
 
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(fields):
-        c = F.col(f.name)
+        c = col(f.name)
         aggs.append(F.count(c).alias(f"nn{i}"))
         if in_main(f.dataType):
             aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}")]
         aggs.append(_hash_sum(c).alias(f"h{i}"))
-    aggs.append(_hash_sum(*null_mask(names), *[F.col(n) for n in names]).alias("hrow"))
+    aggs.append(_hash_sum(*null_mask(names), *[col(n) for n in names]).alias("hrow"))
     main = df.agg(*aggs).select(F.inline(F.array(*[
         F.struct(
             F.lit(f.name).alias("column_name"),
@@ -172,7 +174,7 @@ def profile(df: DataFrame, one_pass: bool = False) -> DataFrame:
     if not split:
         return main
     var = [(i, f) for i, f in enumerate(fields) if _orderable(f.dataType) and _variable_width(f.dataType)]
-    mm = df.agg(*[g(F.col(f.name)).alias(f"{p}{i}") for i, f in var for p, g in (("mn", F.min), ("mx", F.max))])
+    mm = df.agg(*[g(col(f.name)).alias(f"{p}{i}") for i, f in var for p, g in (("mn", F.min), ("mx", F.max))])
     extra = mm.select(F.inline(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"), F.lit(None).cast("bigint").alias("row_count"),
                  F.lit(None).cast("bigint").alias("null_count"), _text(F.col(f"mn{i}"), f.dataType).alias("min_value"),
@@ -223,18 +225,19 @@ def diff_except_all(source: DataFrame, output: DataFrame, chunk: int = DIFF_CHUN
     ``reconcile`` disagree.
     """
     cols = source.columns
-    tagged = source.select(F.lit(1).cast("bigint").alias("__n"), *cols).unionByName(
-        output.select(F.lit(-1).cast("bigint").alias("__n"), *cols))
-    d = tagged.groupBy(*cols).agg(F.sum("__n").alias("__d")).where(F.col("__d") != 0)
+    refs = [col(c) for c in cols]
+    tagged = source.select(F.lit(1).cast("bigint").alias("__n"), *refs).unionByName(
+        output.select(F.lit(-1).cast("bigint").alias("__n"), *refs))
+    d = tagged.groupBy(*refs).agg(F.sum("__n").alias("__d")).where(F.col("__d") != 0)
     side = F.when(F.col("__d") > 0, F.lit("source_only")).otherwise(F.lit("output_only")).alias("side")
     m = F.abs(F.col("__d"))
     one = F.lit(1).cast("bigint")
-    small = d.where(m <= chunk).select(side, *cols, F.explode(F.sequence(one, m)).alias("__i"))
+    small = d.where(m <= chunk).select(side, *refs, F.explode(F.sequence(one, m)).alias("__i"))
     big = (d.where(m > chunk)
-           .select(side, *cols, m.alias("__m"),
+           .select(side, *refs, m.alias("__m"),
                    F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(abs(__d) - 1) div {int(chunk)}"))).alias("__c"))
-           .repartition(F.col("__c"), *[F.col(c) for c in cols])
-           .select("side", *cols, F.explode(F.sequence(
+           .repartition(F.col("__c"), *refs)
+           .select("side", *refs, F.explode(F.sequence(
                F.col("__c") * chunk + 1, F.least((F.col("__c") + 1) * chunk, F.col("__m")))).alias("__i")))
     return small.unionByName(big).drop("__i")
 

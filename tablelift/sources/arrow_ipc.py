@@ -175,17 +175,22 @@ def write_arrow(df: DataFrame, path: str, batch_size: int = 10000, compression:
     """Write ``df`` as Arrow IPC files into the new directory ``path`` (one file per task)."""
     spark_schema = df.schema
     size, codec = int(batch_size), compression
+    names = df.columns
 
     def write_task(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
-        file, rows = write_batches(path, batches, size, codec, ctx.partitionId() if ctx else 0)
+        named = (b.rename_columns(names) for b in batches)
+        file, rows = write_batches(path, named, size, codec, ctx.partitionId() if ctx else 0)
         yield pa.RecordBatch.from_pydict({"file": [file], "rows": [rows]},
                                          schema=pa.schema([("file", pa.string()), ("rows", pa.int64())]))
 
-    manifest = df.mapInArrow(write_task, "file string, rows long").collect()  # one row per task
+    # positional names for the Python boundary (any source name, dots and backticks included, is
+    # restored inside the task)
+    positional = df.toDF(*[f"_c{i}" for i in range(len(names))])
+    manifest = positional.mapInArrow(write_task, "file string, rows long").collect()  # one row per task
     commit(path, {r["file"] for r in manifest if r["file"]}, spark_schema, compression)
 
 

@@ -269,7 +269,8 @@ def write_sqlite_shards(df: DataFrame, directory: str, table: str, declared: dic
         con.close()
         yield pa.RecordBatch.from_pydict({"file": [file], "rows": [n]})
 
-    return df.mapInArrow(write, "file string, rows long")
+    # positional names across the Python boundary; the DDL above carries the real column names
+    return df.toDF(*[f"_c{i}" for i in range(len(cols))]).mapInArrow(write, "file string, rows long")
 
 
 def stage_sqlite(spark: SparkSession, df: DataFrame, directory: str, table: str, declared: dict[str, str]) -> int:
