@@ -52,7 +52,9 @@ def main() -> None:
          "a SortAggregate over a scan pruned to the string columns (their min/max). The final merge sees one row "
          "per column.", verify.profile(orders)),
         ("multiset diff", "One Exchange on the row columns for both sides (tagged +1/-1), partial aggregate "
-         "below it; only surpluses above the chunk size are re-spread (second, small Exchange).",
+         "below it; only surpluses above the chunk size are re-spread (second, small Exchange). The initial plan "
+         "below lists the aggregate under both branches; at run time the second branch reads the same shuffle "
+         "(its map stage is skipped: checked with the status tracker), and AQE drops it when no row is hot.",
          verify.diff_except_all(li, li.where(F.col("l_returnflag") != "R"))),
         ("first / last", "min_by / max_by in one global aggregate; no sort of the table.",
          verify.first_last(orders, "o_orderkey")),
