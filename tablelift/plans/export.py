@@ -25,7 +25,7 @@ from tablelift.functions.quoting import target_name
 from tablelift.functions.types import sql_type_name
 from tablelift.operators.conform import conform
 from tablelift.sinks.parquet import write_parquet
-from tablelift.sinks.publish import Publisher
+from tablelift.sinks.publish import Publisher, VersionedPublisher, resolve_output
 from tablelift.sources.arrow_ipc import write_arrow
 from tablelift.sources.drivers import DRIVER_ALIASES, JDBC_KINDS, canonical_driver
 from tablelift.streaming.batches import batch_options
@@ -35,8 +35,9 @@ FORMATS = {"parquet": ".parquet", "arrow": ".arrow"}
 REPORT_SCHEMA = (
     "task string, db string, table_name string, target string, format string, status string, "
     "rows long, seconds double, error_code string, error string, rejects map<string,long>, finished_at string, "
-    "scan_partitions int"
+    "scan_partitions int, published string"
 )
+PUBLISH_MODES = ("swap", "versioned")
 
 
 class JobSpecError(ValueError):
@@ -52,6 +53,7 @@ class GlobalSpec:
     overwrite: bool = False
     max_rows_per_file: int | None = None  # Parquet: roll output files within a task (bounds file size)
     narrow: str = "null"  # integer narrowing: "null" (overflow -> NULL, counted) or "wrap" (two's complement)
+    publish: str = "swap"  # "swap" (rename staging over the target) or "versioned" (pointer file; object stores)
 
     def with_defaults(self) -> "GlobalSpec":
         return GlobalSpec(
@@ -62,6 +64,7 @@ class GlobalSpec:
             overwrite=bool(self.overwrite),
             max_rows_per_file=self.max_rows_per_file if self.max_rows_per_file and self.max_rows_per_file > 0 else None,
             narrow=self.narrow or "null",
+            publish=self.publish or "swap",
         )
 
 
@@ -137,6 +140,8 @@ class ExportJob:
             raise JobSpecError(f"E001 unknown default format {g.default_format!r}")
         if g.narrow not in ("null", "wrap"):
             raise JobSpecError(f"E001 narrow must be 'null' or 'wrap', not {g.narrow!r}")
+        if g.publish not in PUBLISH_MODES:
+            raise JobSpecError(f"E001 publish must be one of {PUBLISH_MODES}, not {g.publish!r}")
         targets: dict[str, str] = {}
         for i, t in enumerate(self.tasks):
             label = t.name or f"task{i + 1}"
@@ -252,15 +257,17 @@ def scan_unit(spark: SparkSession, source, unit: Unit) -> tuple[DataFrame, dict[
 
 
 def read_output(spark: SparkSession, target: str, fmt: str) -> DataFrame:
+    """Read a published output (for versioned targets, the version ``_LATEST`` names)."""
+    path = resolve_output(spark, target)
     if fmt == "arrow":
         from tablelift.sources.arrow_ipc import read_arrow
 
-        return read_arrow(spark, target)
-    return spark.read.parquet(target)
+        return read_arrow(spark, path)
+    return spark.read.parquet(path)
 
 
 def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwrite: bool,
-                max_rows_per_file: int | None = None, narrow: str = "null") -> tuple:
+                max_rows_per_file: int | None = None, narrow: str = "null", publish: str = "swap") -> tuple:
     """Export one table or query; never raises. Returns one report row."""
     t0 = time.perf_counter()
     # Each export thread gets its own scheduler pool: under FAIR scheduling a small table is not
@@ -268,7 +275,7 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tablelift-{unit.label}")
     stage = "check"
     staging = None
-    pub = Publisher(spark, unit.target)
+    pub = (VersionedPublisher if publish == "versioned" else Publisher)(spark, unit.target)
     try:
         if pub.exists() and not overwrite:
             raise FileExistsError(f"E005 output {unit.target} exists and overwrite is off")
@@ -286,11 +293,13 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
         if not pub.succeeded(staging):
             raise OSError(f"E005 write of {unit.target} did not complete")
         pub.publish(staging)
+        published = pub.published(staging)
         staging = None
         m = conformed.metrics()
         rejects = {k: int(v) for k, v in conformed.rejects().items()}
         return (unit.task, unit.db, unit.table or unit.query, unit.target, unit.format, "ok",
-                int(m.get("rows", 0)), time.perf_counter() - t0, None, None, rejects, _now(), scan_partitions)
+                int(m.get("rows", 0)), time.perf_counter() - t0, None, None, rejects, _now(), scan_partitions,
+                published)
     except Exception as e:  # noqa: BLE001 - per-table isolation: report and continue
         if staging is not None:
             try:
@@ -298,7 +307,7 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
             except Exception:  # noqa: BLE001
                 pass
         return (unit.task, unit.db, unit.table or unit.query, unit.target, unit.format, "failed",
-                None, time.perf_counter() - t0, _classify(e, stage), _error_text(e), {}, _now(), None)
+                None, time.perf_counter() - t0, _classify(e, stage), _error_text(e), {}, _now(), None, None)
 
 
 def _now() -> str:
@@ -317,7 +326,7 @@ def run(spark: SparkSession, job: ExportJob, report_path: str | None = None) ->
     g = job.global_
     with ThreadPoolExecutor(max_workers=max(1, g.workers)) as pool:
         rows = list(pool.map(lambda u: export_unit(spark, sources[u.db], u, g.batch_size, g.overwrite,
-                                                   g.max_rows_per_file, g.narrow), units))
+                                                   g.max_rows_per_file, g.narrow, g.publish), units))
     report = spark.createDataFrame(rows, REPORT_SCHEMA)
     if report_path:
         report.write.mode("append").parquet(report_path)

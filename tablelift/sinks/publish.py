@@ -3,12 +3,13 @@
 Uses the Hadoop ``FileSystem`` of the target path, so it works for any file system the cluster
 can write (HDFS, local, mounted shared storage). The old output survives a failing job; a
 failed export publishes nothing. Between the two renames the target is briefly absent; on object
-stores, where rename is a copy, prefer versioned output directories recorded in the run report.
+stores, where rename is a copy, use ``VersionedPublisher`` (``publish = "versioned"``).
 """
 
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +61,57 @@ class Publisher:
             return bool(self.fs.rename(src, dst))
         except Exception:  # noqa: BLE001 - some file systems raise instead of returning False
             return False
+
+    def published(self, staging: str) -> str:
+        """Where readers find the output after ``publish``."""
+        return self.target
+
+
+LATEST = "_LATEST"
+
+
+class VersionedPublisher(Publisher):
+    """Publish without renames, for object stores (where a rename is a copy).
+
+    Every run writes into its own ``<target>/v-<utc time>-<id>/``; publishing overwrites the
+    one-line pointer ``<target>/_LATEST`` with that directory name (a single-object write). Readers
+    resolve the pointer (``resolve_output``); a failed run leaves the pointer, and so the
+    previous version, untouched. Old versions stay until removed by retention outside the export.
+    """
+
+    def exists(self, path: str | None = None) -> bool:
+        if path:
+            return super().exists(path)
+        return super().exists(f"{self.target}/{LATEST}")
+
+    def staging(self) -> str:
+        stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
+        return f"{self.target}/v-{stamp}-{uuid.uuid4().hex[:8]}"
+
+    def publish(self, staging: str) -> None:
+        if not super().exists(f"{staging}/_SUCCESS"):
+            raise OSError(f"E005 version {staging} is not complete")
+        name = staging.rstrip("/").rsplit("/", 1)[-1]
+        out = self.fs.create(self._Path(f"{self.target}/{LATEST}"), True)
+        try:
+            out.write(bytearray((name + "\n").encode()))
+        finally:
+            out.close()
+
+    def published(self, staging: str) -> str:
+        return staging
+
+
+def resolve_output(spark: SparkSession, target: str) -> str:
+    """The directory to read for ``target``: the version named by ``_LATEST``, or the target itself."""
+    jvm = spark._jvm
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{LATEST}")
+    fs = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(pointer):
+        return target
+    stream = fs.open(pointer)
+    try:
+        name = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+    return f"{target.rstrip('/')}/{name}"
