@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import glob
 import os
+import re
 import sqlite3
 import uuid
 from dataclasses import dataclass
@@ -226,8 +227,24 @@ class SqliteSource:
         decl = dict(table_columns(shard_files(self.dsn)[0], table))
         return {c: decl.get(c) for c in columns}
 
-    def read_query(self, spark: SparkSession, sql: str) -> DataFrame:
-        raise NotImplementedError("E003 query tasks on SQLite sources are not supported; export the tables")
+    def tables(self) -> list[str]:
+        with connect_ro(shard_files(self.dsn)[0]) as con:
+            rows = con.execute("SELECT name FROM sqlite_master WHERE type = 'table' "
+                               "AND name NOT LIKE 'sqlite_%'").fetchall()
+        return sorted(r[0] for r in rows)
+
+    def read_query(self, spark: SparkSession, sql: str, **_: object) -> DataFrame:
+        """Spark SQL over the SQLite tables the query names, each scanned in parallel and conformed
+        to its declared types (the query is Spark SQL, evaluated by Spark, not by SQLite)."""
+        from tablelift.operators.conform import conform
+
+        child = spark.newSession()
+        words = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", sql.lower()))
+        for t in self.tables():
+            if t.lower() in words:
+                df = self.read_table(child, t)
+                conform(df, self.declared_types(child, t, df.columns), observe=False).df.createOrReplaceTempView(t)
+        return child.sql(sql)
 
 
 # --- staging shards (fixtures): every Spark task writes its partition into its own SQLite file ---

@@ -16,6 +16,28 @@ def test_parquet_dir_query_registers_only_named_tables(spark):
     assert child_views == {"nation", "region"}
 
 
+def test_sqlite_query_task(spark, scratch):
+    import os
+    import sqlite3
+
+    os.makedirs(scratch)
+    con = sqlite3.connect(f"{scratch}/q.db")
+    con.execute("CREATE TABLE sales (id INTEGER, region TEXT, amount DECIMAL(10,2), ok BOOLEAN)")
+    con.executemany("INSERT INTO sales VALUES (?, ?, ?, ?)",
+                    [(1, "n", "1.50", 1), (2, "n", "2.25", 0), (3, "s", "4", 1), (4, "s", None, 1)])
+    con.execute("CREATE TABLE other (x INTEGER)")
+    con.commit()
+    con.close()
+    out = f"{scratch}/out"
+    q = "select region, count(*) as n, sum(amount) as total from sales where ok group by region"
+    job = ExportJob(GlobalSpec(output_dir=out), [DatabaseSpec("lite", "sqlite3", f"{scratch}/q.db")],
+                    [TaskSpec(db="lite", query=q, output="by_region")])
+    rep = run(spark, job).first()
+    assert rep["status"] == "ok" and rep["rows"] == 2
+    got = {r["region"]: (r["n"], str(r["total"])) for r in spark.read.parquet(f"{out}/by_region.parquet").collect()}
+    assert got == {"n": (1, "1.5000000000"), "s": (2, "4.0000000000")}
+
+
 def test_catalog_source_export(spark, scratch):
     db = f"tl_{uuid.uuid4().hex[:8]}"
     spark.sql(f"create database {db} location '{scratch}/warehouse'")
