@@ -20,6 +20,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--version", action="store_true", help="print the version and exit")
     p.add_argument("-report", "--report", default=None, help="append the run report to this Parquet path")
     p.add_argument("-verify", "--verify", action="store_true", help="reconcile every output with its source")
+    p.add_argument("-diff", "--diff", default=None,
+                   help="with -verify: write the row diff of every failing table under this folder")
     p.add_argument("-master", "--master", default=None, help="Spark master (default: from the environment)")
     args = p.parse_args(argv)
     if args.version:
@@ -59,11 +61,15 @@ def main(argv: list[str] | None = None) -> int:
     print(f"tables={s['tables']} failed={s['failed']} rows={s['rows']} table_seconds={s['seconds']:.2f}")
     failed = any(r["status"] != "ok" for r in rows)
     if args.verify:
-        from tablelift.plans.verify_job import verify_job
+        from tablelift.plans.verify_job import verify_and_diff, verify_job
 
-        for v in verify_job(spark, job, report).collect():
-            print(f"verify {v['db']}:{v['table_name'][:40]} rows {v['source_rows']}/{v['output_rows']} "
-                  f"columns={v['columns_checked']} ok={v['ok']}")
+        checks = verify_and_diff(spark, job, report, args.diff) if args.diff else verify_job(spark, job, report)
+        for v in checks.collect():
+            line = (f"verify {v['db']}:{v['table_name'][:40]} rows {v['source_rows']}/{v['output_rows']} "
+                    f"columns={v['columns_checked']} ok={v['ok']}")
+            if args.diff and v["diff_path"]:
+                line += f" diff_rows={v['diff_rows']} diff={v['diff_path']}"
+            print(line)
             failed = failed or not v["ok"]
     return 1 if failed else 0
 

@@ -70,7 +70,7 @@ def test_cli_exit_codes(spark, scratch, tmp_path):
     from tablelift.__main__ import main
 
     assert main(["--version"]) == 0
-    assert main(["--config", str(job), "-verify", "--log-level", "warn"]) == 0
+    assert main(["--config", str(job), "-verify", "-diff", f"{scratch}/diffs", "--log-level", "warn"]) == 0
     assert main(["-config", str(job)]) == 1  # outputs exist and overwrite is off
     bad = tmp_path / "bad.toml"
     bad.write_text('[[tasks]]\ndb = "nope"\ntables = ["x"]\n')
