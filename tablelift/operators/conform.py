@@ -88,7 +88,11 @@ def conform(
         return Conformed(df.select(*[e.alias(n) for n, e, _, _ in cols]), None, targets)
 
     reject_cols = [n for n, _, src, t in cols if casts.can_reject(src, t, narrow)]
-    src_alias = {n: f"__src_{i}" for i, n in enumerate(reject_cols)}
+    taken = set(df.columns)
+    tag = "__tablelift_src"
+    while any(c.startswith(tag) for c in taken):  # never shadow a real column
+        tag = "_" + tag
+    src_alias = {n: f"{tag}_{i}" for i, n in enumerate(reject_cols)}
     staged = df.select(
         *[col(n).alias(src_alias[n]) for n in reject_cols],
         *[e.alias(n) for n, e, _, _ in cols],
