@@ -228,7 +228,8 @@ def reconcile(source: DataFrame, output: DataFrame) -> DataFrame:
 DIFF_CHUNK = 1 << 20
 
 
-def diff_except_all(source: DataFrame, output: DataFrame, chunk: int = DIFF_CHUNK) -> DataFrame:
+def diff_except_all(source: DataFrame, output: DataFrame, chunk: int = DIFF_CHUNK,
+                    side_col: str = "side") -> DataFrame:
     """Rows only in the source and rows only in the output, as multisets (duplicates count).
 
     Equal to ``source.exceptAll(output)`` plus ``output.exceptAll(source)``, in one shuffle instead
@@ -239,21 +240,28 @@ def diff_except_all(source: DataFrame, output: DataFrame, chunk: int = DIFF_CHUN
     ``reconcile`` disagree.
     """
     cols = source.columns
+    if side_col in cols:
+        raise ValueError(f"the table has a column named {side_col!r}; pass another side_col")
     refs = [col(c) for c in cols]
-    tagged = source.select(F.lit(1).cast("bigint").alias("__n"), *refs).unionByName(
-        output.select(F.lit(-1).cast("bigint").alias("__n"), *refs))
-    d = tagged.groupBy(*refs).agg(F.sum("__n").alias("__d")).where(F.col("__d") != 0)
-    side = F.when(F.col("__d") > 0, F.lit("source_only")).otherwise(F.lit("output_only")).alias("side")
-    m = F.abs(F.col("__d"))
+    tag = "__tl"
+    while any(c.startswith(tag) for c in cols):  # helper columns never shadow a real column
+        tag = "_" + tag
+    n, d_, c_, m_, i_ = (f"{tag}_{x}" for x in ("n", "d", "c", "m", "i"))
+    tagged = source.select(F.lit(1).cast("bigint").alias(n), *refs).unionByName(
+        output.select(F.lit(-1).cast("bigint").alias(n), *refs))
+    d = tagged.groupBy(*refs).agg(F.sum(n).alias(d_)).where(F.col(d_) != 0)
+    side = F.when(F.col(d_) > 0, F.lit("source_only")).otherwise(F.lit("output_only")).alias(side_col)
+    m = F.abs(F.col(d_))
     one = F.lit(1).cast("bigint")
-    small = d.where(m <= chunk).select(side, *refs, F.explode(F.sequence(one, m)).alias("__i"))
+    small = d.where(m <= chunk).select(side, *refs, F.explode(F.sequence(one, m)).alias(i_))
     big = (d.where(m > chunk)
-           .select(side, *refs, m.alias("__m"),
-                   F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(abs(__d) - 1) div {int(chunk)}"))).alias("__c"))
-           .repartition(F.col("__c"), *refs)
-           .select("side", *refs, F.explode(F.sequence(
-               F.col("__c") * chunk + 1, F.least((F.col("__c") + 1) * chunk, F.col("__m")))).alias("__i")))
-    return small.unionByName(big).drop("__i")
+           .select(side, *refs, m.alias(m_),
+                   F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                        F.expr(f"(abs(`{d_}`) - 1) div {int(chunk)}"))).alias(c_))
+           .repartition(F.col(c_), *refs)
+           .select(F.col(side_col), *refs, F.explode(F.sequence(
+               F.col(c_) * chunk + 1, F.least((F.col(c_) + 1) * chunk, F.col(m_)))).alias(i_)))
+    return small.unionByName(big).drop(i_)
 
 
 def verify_rollup(checks: DataFrame, group: str = "db") -> DataFrame:

@@ -28,3 +28,16 @@ def test_awkward_names_end_to_end(spark, scratch):
     write_arrow(back, f"{scratch}/a.arrow")
     assert read_arrow(spark, f"{scratch}/a.arrow").columns == ["order id", "a.b", "we`ird"]
     assert verify.sum_key(back, "order id").first()["sum_id"] == 9
+
+
+def test_diff_helper_columns_never_clash(spark):
+    import pytest
+
+    a = spark.createDataFrame([(1, 7), (1, 7), (2, 8)], "__tl_n long, __tl_d long")
+    b = spark.createDataFrame([(1, 7)], "__tl_n long, __tl_d long")
+    got = sorted(tuple(r) for r in verify.diff_except_all(a, b, chunk=1).collect())
+    assert got == [("source_only", 1, 7), ("source_only", 2, 8)]
+    with pytest.raises(ValueError):
+        verify.diff_except_all(spark.createDataFrame([("x",)], "side string"), spark.createDataFrame([("x",)], "side string"))
+    assert verify.diff_except_all(spark.createDataFrame([("x",)], "side string"),
+                                  spark.createDataFrame([("y",)], "side string"), side_col="where").count() == 2
