@@ -82,7 +82,10 @@ def verify_and_diff(spark: SparkSession, job: ExportJob, report: DataFrame, diff
             conformed = conform(df, declared, dialect=getattr(src, "dialect", None), narrow=job.global_.narrow,
                                 observe=False).df
             path = f"{diff_dir.rstrip('/')}/{target_stem(unit.target)}"
-            diff = verify.diff_except_all(conformed, read_output(spark, unit.target, unit.format))
+            side = "side"
+            while side in conformed.columns:  # a table may have its own "side" column
+                side = "_" + side
+            diff = verify.diff_except_all(conformed, read_output(spark, unit.target, unit.format), side_col=side)
             obs = Observation(f"diff_{uuid.uuid4().hex[:10]}")
             diff.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
             n = int(obs.get["rows"])
