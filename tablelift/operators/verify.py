@@ -46,14 +46,16 @@ def sum_key(df: DataFrame, key: str, alias: str = "sum_id") -> DataFrame:
     return df.agg(F.sum(col(key).cast("bigint")).cast("bigint").alias(alias))
 
 
-def first_last(df: DataFrame, key: str) -> DataFrame:
-    """First and last row by ``key`` in one pass (``min_by`` / ``max_by``), tagged by ``position``."""
+def first_last(df: DataFrame, key: str, position_col: str = "position") -> DataFrame:
+    """First and last row by ``key`` in one pass (``min_by`` / ``max_by``), tagged by ``position_col``."""
     cols = df.columns
+    if position_col in cols:
+        raise ValueError(f"the table has a column named {position_col!r}; pass another position_col")
     row = F.struct(*[col(c) for c in cols])
     agg = df.agg(F.min_by(row, col(key)).alias("f"), F.max_by(row, col(key)).alias("l"))
 
     def tagged(tag: str, s: str) -> Column:
-        return F.struct(F.lit(tag).alias("position"), *[F.col(s).getField(c).alias(c) for c in cols])
+        return F.struct(F.lit(tag).alias(position_col), *[F.col(s).getField(c).alias(c) for c in cols])
 
     out = agg.select(F.inline(F.array(tagged("first", "f"), tagged("last", "l"))))
     return out.where(col(key).isNotNull())
