@@ -63,7 +63,8 @@ EXTRA_TYPE_NAMES = {"SERIAL": "bigint"}
 DIALECT_OVERRIDES = {
     "postgres": {"INT2": "smallint", "INT4": "int", "INT8": "bigint", "SERIAL4": "int", "SERIAL8": "bigint"},
     "oracle": {"NUMBER": "decimal(38,10)", "BINARY_FLOAT": "float", "BINARY_DOUBLE": "double",
-               "RAW": "binary", "LONG RAW": "binary"},
+               "RAW": "binary", "LONG RAW": "binary",
+               "DATE": "timestamp_ntz"},  # an Oracle DATE holds a time of day too
     "mysql": {"MEDIUMINT": "int", "TINYBLOB": "binary", "MEDIUMBLOB": "binary", "LONGBLOB": "binary"},
     "mssql": {"BIT": "boolean", "DATETIME2": "timestamp_ntz", "SMALLDATETIME": "timestamp_ntz",
               "DATETIMEOFFSET": "timestamp_ntz", "MONEY": "decimal(38,10)", "SMALLMONEY": "decimal(38,10)",

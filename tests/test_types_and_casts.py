@@ -54,6 +54,7 @@ def test_dialect_native_names():
     assert target_type_name("VARCHAR2", "oracle") == "string" and target_type_name("CLOB", "oracle") == "string"
     assert target_type_name("BINARY_DOUBLE", "oracle") == "double"
     assert target_type_name("TIMESTAMP(6)", "oracle") == "timestamp_ntz"
+    assert target_type_name("DATE", "oracle") == "timestamp_ntz" and target_type_name("DATE", "mysql") == "date"
     assert target_type_name("BIT", "mssql") == "boolean" and target_type_name("DATETIME2", "mssql") == "timestamp_ntz"
     assert target_type_name("LONGBLOB", "mysql") == "binary" and target_type_name("MEDIUMINT", "mysql") == "int"
 
