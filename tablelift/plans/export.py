@@ -256,6 +256,19 @@ def scan_unit(spark: SparkSession, source, unit: Unit) -> tuple[DataFrame, dict[
     return df, {c: declared.get(c) or sql_type_name(df.schema[c].dataType) for c in df.columns}
 
 
+def scan_tasks(df: DataFrame) -> int | None:
+    """How many tasks read the source (1 for a JDBC table without a partition column: one
+    connection reads it all, which the report makes visible).
+
+    Only for plans without a shuffle: asking an adaptive plan for its partitions would run its
+    shuffle stages. Query tasks and views with joins or aggregates report None.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return None
+    return int(df._jdf.rdd().getNumPartitions())
+
+
 def read_output(spark: SparkSession, target: str, fmt: str) -> DataFrame:
     """Read a published output (for versioned targets, the version ``_LATEST`` names)."""
     path = resolve_output(spark, target)
@@ -281,9 +294,7 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
             raise FileExistsError(f"E005 output {unit.target} exists and overwrite is off")
         stage = "read"
         df, declared = scan_unit(spark, source, unit)
-        # how many tasks read the source: 1 for a JDBC table without a partition column, which
-        # the report makes visible (one connection reads the whole table)
-        scan_partitions = int(df._jdf.rdd().getNumPartitions())
+        scan_partitions = scan_tasks(df)
         stage = "conform"
         conformed = conform(df, declared, dialect=getattr(source, "dialect", None), narrow=narrow)
         stage = "write"

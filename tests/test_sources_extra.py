@@ -16,6 +16,21 @@ def test_parquet_dir_query_registers_only_named_tables(spark):
     assert child_views == {"nation", "region"}
 
 
+def test_scan_tasks_never_runs_a_shuffle(spark):
+    from tablelift.plans.export import scan_tasks
+
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    assert scan_tasks(orders) >= 1
+    sc = spark.sparkContext
+    sc.setJobGroup("scan_tasks_probe", "probe")
+    try:
+        agg = orders.groupBy("o_custkey").count()
+        assert scan_tasks(agg) is None
+    finally:
+        sc.setJobGroup("", "")
+    assert sc.statusTracker().getJobIdsForGroup("scan_tasks_probe") == []
+
+
 def test_sqlite_query_task(spark, scratch):
     import os
     import sqlite3
