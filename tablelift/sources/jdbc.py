@@ -128,10 +128,17 @@ def bounds_sql(driver: str, table: str, column: str) -> str:
 
 def plan_partitions(lo: int, hi: int, n: int, rows_per_partition: int = 1_000_000,
                     max_partitions: int = 10_000) -> int:
-    """Partitions so each holds about ``rows_per_partition`` rows (at least one)."""
-    if n <= 0 or lo is None or hi is None:
+    """Partitions so each holds about ``rows_per_partition`` rows (at least one).
+
+    Integer keys also cap the count at the number of distinct key values in range; date and
+    timestamp keys (which Spark's JDBC reader also splits) are planned from the row count alone.
+    """
+    if not n or n <= 0 or lo is None or hi is None:
         return 1
-    return max(1, min(max_partitions, math.ceil(n / rows_per_partition), int(hi) - int(lo) + 1))
+    parts = min(max_partitions, math.ceil(n / rows_per_partition))
+    if isinstance(lo, int) and isinstance(hi, int):
+        parts = min(parts, hi - lo + 1)
+    return max(1, parts)
 
 
 def quantile_sql(driver: str, table: str, column: str, buckets: int) -> str:

@@ -110,6 +110,17 @@ def test_table_options_and_partitioning():
     assert jdbc.plan_partitions(1, 3, 10 ** 9, rows_per_partition=10) == 3
 
 
+def test_date_and_timestamp_keys_partition():
+    import datetime as dt
+
+    assert jdbc.plan_partitions(dt.date(2020, 1, 1), dt.date(2024, 1, 1), 5_000_000, 1_000_000) == 5
+    ts = (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 1))
+    assert jdbc.plan_partitions(*ts, 3_000_000, 1_000_000) == 3
+    o = jdbc.table_options("postgres", "postgres://u:p@h/d", "t", partition_column="created_at",
+                           lower=dt.date(2020, 1, 1), upper=dt.date(2024, 1, 1), num_partitions=5)
+    assert (o["lowerBound"], o["upperBound"]) == ("2020-01-01", "2024-01-01")
+
+
 def test_quantile_predicates_cover_every_key():
     preds = jdbc.predicates_from_uppers("id", [10, 20, 20, 35])
     assert preds == ["id <= 10", "id > 10 AND id <= 20", "id > 20 AND id <= 35", "id > 35", "id IS NULL"]
