@@ -121,9 +121,31 @@ def derived_table(sql: str) -> str:
     return f"({sql.strip().rstrip(';')}) tl_q"
 
 
-def bounds_sql(driver: str, table: str, column: str) -> str:
+def bounds_sql(driver: str, table: str, column: str, with_count: bool = True) -> str:
+    """MIN / MAX of the key (index ends when the key is indexed), and COUNT(*) only when asked."""
     t = quote_table_name(table, driver)
-    return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n FROM {t}"
+    n = "COUNT(*)" if with_count else "NULL"
+    return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, {n} AS n FROM {t}"
+
+
+def row_estimate_sql(driver: str, table: str) -> str | None:
+    """The database's own row-count estimate from its statistics (no table scan); None if unknown."""
+    if table.lstrip().startswith("("):
+        return None  # derived table: no statistics
+    kind = canonical_driver(driver)
+    schema, _, name = table.rpartition(".")
+    if kind == "postgres":
+        return f"SELECT CAST(reltuples AS BIGINT) AS n FROM pg_class WHERE oid = to_regclass('{table}')"
+    if kind == "mysql":
+        cond = f" AND table_schema = '{schema}'" if schema else " AND table_schema = DATABASE()"
+        return f"SELECT TABLE_ROWS AS n FROM information_schema.tables WHERE table_name = '{name}'{cond}"
+    if kind == "oracle":
+        owner = f" AND OWNER = '{schema.upper()}'" if schema else ""
+        return f"SELECT NUM_ROWS AS n FROM ALL_TABLES WHERE TABLE_NAME = '{name.upper()}'{owner}"
+    if kind == "mssql":
+        return (f"SELECT SUM(row_count) AS n FROM sys.dm_db_partition_stats "
+                f"WHERE object_id = OBJECT_ID('{table}') AND index_id IN (0, 1)")
+    return None
 
 
 def plan_partitions(lo: int, hi: int, n: int, rows_per_partition: int = 1_000_000,
@@ -270,9 +292,23 @@ class JdbcSource:
         """Rows of a small statistics query (one row, or one per bucket) evaluated by the database."""
         return self.read_query(spark, sql).collect()
 
+    def row_estimate(self, spark: SparkSession, table: str) -> int | None:
+        sql = row_estimate_sql(self.driver, table)
+        if sql is None:
+            return None
+        try:
+            rows = self.query_rows(spark, sql)
+        except Exception:  # noqa: BLE001 - no access to statistics: count instead
+            return None
+        n = rows[0][0] if rows else None
+        return int(n) if n is not None and int(n) > 0 else None
+
     def key_stats(self, spark: SparkSession, table: str, column: str, skewed: bool) -> tuple[tuple, list | None]:
-        """One small query for (min, max, count); for skewed keys one more for equal-count bucket bounds."""
-        bounds = tuple(self.query_rows(spark, bounds_sql(self.driver, table, column))[0])
+        """(min, max, rows) of the key, rows from the catalog's estimate when it has one (no full
+        COUNT(*) of a large table); for skewed keys one more query for equal-count bucket bounds."""
+        estimate = self.row_estimate(spark, table)
+        lo, hi, n = tuple(self.query_rows(spark, bounds_sql(self.driver, table, column, estimate is None))[0])
+        bounds = (lo, hi, estimate if estimate is not None else n)
         uppers = None
         parts = plan_partitions(*bounds, self.rows_per_partition)
         if skewed and parts > 1:

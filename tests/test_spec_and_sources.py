@@ -160,8 +160,12 @@ class _FakeJdbc(jdbc.JdbcSource):
         self.sql.append(sql)
         if "NTILE" in sql:
             return [(u,) for u in self.uppers]
+        if "pg_class" in sql:
+            return [(self.estimate,)]
         return [self.stats]
 
+    estimate = None
+
     def load(self, spark, plan):
         return plan
 
@@ -177,6 +181,22 @@ def test_jdbc_read_plans(spark):
     assert skew["options"]["dbtable"] == "t" and any("NTILE(3)" in s for s in fake.sql)
 
 
+def test_catalog_row_estimate_avoids_count(spark):
+    fake = _FakeJdbc(spark, (1, 9_000_000, None), [], rows_per_partition=1_000_000)
+    fake.estimate = 9_000_000
+    plan = fake.read_table(spark, "big", "id")
+    assert plan["options"]["numPartitions"] == "9"
+    bounds = [s for s in fake.sql if "MIN(id)" in s][0]
+    assert "COUNT(*)" not in bounds and "NULL AS n" in bounds
+    nostats = _FakeJdbc(spark, (1, 100, 3_000_000), [], rows_per_partition=1_000_000)
+    nostats.read_table(spark, "t", "id")
+    assert "COUNT(*)" in [s for s in nostats.sql if "MIN(id)" in s][0]
+    assert jdbc.row_estimate_sql("postgres", "(select 1) tl_q") is None
+    assert "TABLE_ROWS" in jdbc.row_estimate_sql("mysql", "db.t")
+    assert "NUM_ROWS" in jdbc.row_estimate_sql("oracle", "system.T")
+    assert "dm_db_partition_stats" in jdbc.row_estimate_sql("mssql", "dbo.t")
+
+
 def test_jdbc_query_task_reads_in_key_ranges(spark):
     fake = _FakeJdbc(spark, (1, 3_000_000, 3_000_000), [], rows_per_partition=1_000_000)
     plan = fake.read_query(spark, "SELECT id, amount FROM sales WHERE amount > 0;", partition_column="id")
