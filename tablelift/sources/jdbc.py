@@ -163,12 +163,39 @@ def plan_partitions(lo: int, hi: int, n: int, rows_per_partition: int = 1_000_00
     return max(1, parts)
 
 
-def quantile_sql(driver: str, table: str, column: str, buckets: int) -> str:
-    """Upper key of each of ``buckets`` equal-count buckets, computed by the database."""
+def quantile_sql(driver: str, table: str, column: str, buckets: int, sample_pct: float | None = None) -> str:
+    """Upper key of each of ``buckets`` equal-count buckets, computed by the database.
+
+    With ``sample_pct`` the buckets come from a table sample (the database sorts a few million rows,
+    not the table). Bucket bounds only place the split points: the predicates built from them still
+    cover every row, so sampling never drops data.
+    """
+    kind = canonical_driver(driver)
     t = quote_table_name(table, driver)
-    alias = "" if canonical_driver(driver) == "oracle" else " AS q"
+    where = ""
+    if sample_pct is not None and sample_pct < 100 and not table.lstrip().startswith("("):
+        p = f"{sample_pct:.6f}".rstrip("0").rstrip(".")
+        if kind == "postgres":
+            t = f"{t} TABLESAMPLE SYSTEM ({p})"
+        elif kind == "mssql":
+            t = f"{t} TABLESAMPLE ({p} PERCENT)"
+        elif kind == "oracle":
+            t = f"{t} SAMPLE ({p})"
+        else:  # mysql: no TABLESAMPLE
+            where = f" WHERE RAND() < {float(p) / 100}"
+    alias = "" if kind == "oracle" else " AS q"
     return (f"SELECT MAX({column}) AS upper_key FROM (SELECT {column}, NTILE({buckets}) OVER (ORDER BY {column}) "
-            f"AS bucket FROM {t}){alias} GROUP BY bucket")
+            f"AS bucket FROM {t}{where}){alias} GROUP BY bucket")
+
+
+QUANTILE_SAMPLE_ROWS = 2_000_000
+
+
+def quantile_sample_pct(rows: int | None) -> float | None:
+    """Sample percentage that leaves about QUANTILE_SAMPLE_ROWS rows (None: use the whole table)."""
+    if not rows or rows <= QUANTILE_SAMPLE_ROWS:
+        return None
+    return max(0.0001, 100.0 * QUANTILE_SAMPLE_ROWS / rows)
 
 
 def _mod(driver: str, expr: str, n: int) -> str:
@@ -312,7 +339,8 @@ class JdbcSource:
         uppers = None
         parts = plan_partitions(*bounds, self.rows_per_partition)
         if skewed and parts > 1:
-            uppers = [r[0] for r in self.query_rows(spark, quantile_sql(self.driver, table, column, parts))]
+            sql = quantile_sql(self.driver, table, column, parts, quantile_sample_pct(bounds[2]))
+            uppers = [r[0] for r in self.query_rows(spark, sql)]
         return bounds, uppers
 
     def load(self, spark: SparkSession, plan: dict) -> DataFrame:

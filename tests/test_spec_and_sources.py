@@ -181,6 +181,19 @@ def test_jdbc_read_plans(spark):
     assert skew["options"]["dbtable"] == "t" and any("NTILE(3)" in s for s in fake.sql)
 
 
+def test_quantiles_from_a_sample_on_large_tables(spark):
+    assert jdbc.quantile_sample_pct(1_000_000) is None
+    assert abs(jdbc.quantile_sample_pct(200_000_000) - 1.0) < 1e-9
+    assert "TABLESAMPLE SYSTEM (1)" in jdbc.quantile_sql("postgres", "t", "id", 8, 1.0)
+    assert "TABLESAMPLE (0.5 PERCENT)" in jdbc.quantile_sql("mssql", "t", "id", 8, 0.5)
+    assert "SAMPLE (2)" in jdbc.quantile_sql("oracle", "t", "ID", 8, 2.0)
+    assert "RAND() < 0.01" in jdbc.quantile_sql("mysql", "t", "id", 8, 1.0)
+    assert "TABLESAMPLE" not in jdbc.quantile_sql("postgres", "(select 1 as id) tl_q", "id", 8, 1.0)
+    fake = _FakeJdbc(spark, (1, 100, 400_000_000), [5, 50, 100], rows_per_partition=100_000_000)
+    fake.read_table(spark, "t", "id", skewed=True)
+    assert any("TABLESAMPLE SYSTEM (0.5)" in s for s in fake.sql)
+
+
 def test_catalog_row_estimate_avoids_count(spark):
     fake = _FakeJdbc(spark, (1, 9_000_000, None), [], rows_per_partition=1_000_000)
     fake.estimate = 9_000_000
