@@ -127,6 +127,13 @@ def _hash_total(prefix: str) -> Column:
     return total.cast("decimal(38,0)")
 
 
+def _hashable(c: Column, dt: T.DataType) -> Column:
+    """Spark does not hash maps: hash their entries sorted by key instead (insertion order ignored)."""
+    if isinstance(dt, T.MapType):
+        return F.array_sort(F.map_entries(c))
+    return c
+
+
 def _text(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, (T.ArrayType, T.StructType)):
         return F.to_json(c)
@@ -171,8 +178,8 @@ def profile(df: DataFrame, one_pass: bool = False) -> DataFrame:
         aggs.append(F.count(c).alias(f"nn{i}"))
         if in_main(f.dataType):
             aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}")]
-        aggs += _hash_parts(f"h{i}", c)
-    aggs += _hash_parts("hrow", *null_mask(names), *[col(n) for n in names])
+        aggs += _hash_parts(f"h{i}", _hashable(c, f.dataType))
+    aggs += _hash_parts("hrow", *null_mask(names), *[_hashable(col(f.name), f.dataType) for f in fields])
     main = df.agg(*aggs).select(F.inline(F.array(*[
         F.struct(
             F.lit(f.name).alias("column_name"),

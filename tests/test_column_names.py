@@ -30,6 +30,14 @@ def test_awkward_names_end_to_end(spark, scratch):
     assert verify.sum_key(back, "order id").first()["sum_id"] == 9
 
 
+def test_map_columns_reconcile_ignoring_insertion_order(spark):
+    a = spark.sql("select 1 as id, map('x', 1, 'y', 2) as m union all select 2, map('z', 3)")
+    b = spark.sql("select 1 as id, map('y', 2, 'x', 1) as m union all select 2, map('z', 3)")
+    c = spark.sql("select 1 as id, map('x', 1, 'y', 5) as m union all select 2, map('z', 3)")
+    assert all(r["ok"] for r in verify.reconcile(a, b).collect())
+    assert not {r["column_name"]: r["ok"] for r in verify.reconcile(a, c).collect()}["m"]
+
+
 def test_diff_helper_columns_never_clash(spark):
     import pytest
 
