@@ -7,8 +7,10 @@ unset (local tests) do we create one and register it.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -42,7 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
-        # Only reached when the session names no shared folder (local tests).
+        # Only local masters may fall back to a folder of this machine.
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tablelift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext
@@ -57,3 +61,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tablelift-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that tasks can import it
+    whatever folder the driver was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tablelift-ship-"), f"tablelift-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in sorted(os.walk(top)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.join("tablelift", os.path.relpath(path, top)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
