@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tablelift.llm.jaccard_join import jaccard_components
+from tablelift.llm.packing import pack
+from tablelift.llm.token_files import token_files_roundtrip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,7 +35,7 @@ with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                     'abcdefghijklmnopqrstuvwxyz'), {WORDS_RE}) as ws from documents),
 s as (select doc_id, case when len(ws) >= 5
-        then list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')))
+        then list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
         when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end as sh from w),
 g as (select doc_id, len(sh) as n, unnest(sh) as x from s),
 links as (select a.doc_id as u, b.doc_id as v from g a join g b on a.x = b.x and a.doc_id < b.doc_id
@@ -44,3 +47,13 @@ from s join (select a, min(b) as c from reach group by a) m on s.doc_id = m.a
 """)
 def op10_jaccard_join(spark, sf):
     return jaccard_components(load(spark, sf, "documents"))
+
+
+@query("op4_token_files")
+def op4_token_files(spark, sf):
+    return token_files_roundtrip(load(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark, sf):
+    return pack(load(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 0, 2048)
