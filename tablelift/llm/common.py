@@ -7,6 +7,7 @@ Words are the runs ``[^\\x20\\x09-\\x0D]+`` of the UTF-8 text, which is exactly
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablelift.session import scratch_path, ship_package
 
-CHUNK_BYTES = 2 << 20
-WORD_CACHE = 400_000
+CHUNK_BYTES = 1 << 20
+# Texts can be long: Arrow batches to and from Python are bounded by bytes, not only by rows.
+BATCH_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+              "spark.sql.execution.arrow.maxRecordsPerBatch": "4000"}
 BROADCAST_IDS = 1_000_000
 
 
@@ -41,7 +44,11 @@ class Scratch:
 
 
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with small batches (where the session doesn't set their size itself)."""
     ship_package(df.sparkSession)
+    for key, value in BATCH_CONF.items():
+        if df.sparkSession.conf.get(key, None) is None:
+            df.sparkSession.conf.set(key, value)
     return df.mapInArrow(fn, schema)
 
 
@@ -73,22 +80,11 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
             yield part, col.slice(a, b - a).cast(pa.binary()).to_pylist()
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash; emptied when it holds WORD_CACHE words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the words of all documents in a row, and the documents' bounds (n + 1)."""
-        ends = np.zeros(len(docs) + 1, dtype=np.int64)
-        np.cumsum([len(d) for d in docs], out=ends[1:])
-        get = self.__getitem__
-        flat = np.fromiter((get(w) for d in docs for w in d), dtype=np.uint64, count=int(ends[-1]))
-        return flat, ends
+def word_hashes(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all documents in a row, and the documents' bounds (n + 1)."""
+    ends = np.zeros(len(docs) + 1, dtype=np.int64)
+    np.cumsum([len(d) for d in docs], out=ends[1:])
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(docs)), np.uint64, int(ends[-1])), ends
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -37,12 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import (Scratch, WordHashes, arrow_map, gram_hashes, mix, semi_ids, signed,
-                                  spread, text_chunks)
+from tablelift.llm.common import (Scratch, arrow_map, gram_hashes, mix, semi_ids, signed,
+                                  spread, text_chunks, word_hashes)
 from tablelift.llm.graph import components
 
 KEYS_PER_BUCKET = 1_500_000
-FLUSH_KEYS = 1_000_000
+FLUSH_KEYS = 500_000
 SEED = 0x5851F42D4C957F2D
 U64 = np.uint64
 
@@ -63,20 +63,16 @@ class Bands:
             a = high - 1
             d = (a + a * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
             z = 0
-            for _ in range(60):
-                k = d + 1 + z
-                mean = k * exp(-low / k)
-                if z >= mean + sqrt(mean):
-                    break
+            while (k := d + 1 + z) < 4 * low and z < (mean := k * exp(-low / k)) + sqrt(mean):
                 z += 1
             lows.append(low), parts.append(d + 1 + z if d else 0), empties.append(z)
             low = high
         return np.array(lows), np.array(parts), np.array(empties)
 
 
-def shingle_sets(texts: list, words: WordHashes, n: int = 5) -> list[np.ndarray]:
+def shingle_sets(texts: list, n: int = 5) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
-    flat, ends = words.of([t.lower().split() if t else [] for t in texts])
+    flat, ends = word_hashes([t.lower().split() if t else [] for t in texts])
     grams, out = gram_hashes(flat, n), []
     for a, b in zip(ends[:-1], ends[1:], strict=True):
         if b - a >= n:
@@ -159,9 +155,8 @@ def _tasks(bands: Bands, n: int, buckets: int):
     """Map tasks of the first pass, as closures for mapInArrow."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for rows, texts in text_chunks(batches):
-            sets = shingle_sets(texts, words, n)
+            sets = shingle_sets(texts, n)
             two = [digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [rows.column(rows.schema.get_field_index("doc_id")),
@@ -169,7 +164,7 @@ def _tasks(bands: Bands, n: int, buckets: int):
                  pa.array([y for _, y in two], pa.int64())], ["doc_id", "n_shingles", "hi", "lo"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen, held, size = WordHashes(), set(), [], 0
+        seen, held, size = set(), [], 0
 
         def flush():
             keys, ids = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -189,7 +184,7 @@ def _tasks(bands: Bands, n: int, buckets: int):
 
         for _, texts in text_chunks(batches):
             fresh, ids = [], []
-            for s in shingle_sets(texts, words, n):
+            for s in shingle_sets(texts, n):
                 lo = digest(s)[1]
                 if lo not in seen and len(s):
                     seen.add(lo), fresh.append(s), ids.append(lo)
@@ -235,11 +230,10 @@ def pair_batch(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
 
 def _sets_task(n: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for rows, texts in text_chunks(batches):
             yield pa.RecordBatch.from_arrays(
                 [rows.column(rows.schema.get_field_index("doc_id")),
-                 pa.array([s.tobytes() for s in shingle_sets(texts, words, n)], pa.binary())], ["rep", "data"])
+                 pa.array([s.tobytes() for s in shingle_sets(texts, n)], pa.binary())], ["rep", "data"])
 
     return sets
 
