@@ -13,12 +13,14 @@ one of the two has at most z empty parts they agree in a part that is not empty:
 keys. A set with more than z empty parts adds the keys of a second, third, ... cutting with
 another seed until it has at most z, so that no pair is lost whatever the sets look like.
 
-Keys meet in buckets. Neither a task nor a bucket emits all pairs of a key: each member is paired
-with the smallest member only, first within the task that made the keys (so that a hot key reaches
-its bucket once a task), then within the bucket. Pairs are verified on the whole shingle sets.
-Only where such a pair fails, the documents around it go through a second pass that pairs members
-of different components, drops those whose dense parity sketches are already too far apart, and
-verifies the rest. The links' connected components are exact.
+Keys meet in buckets, where equal keys make a run. Neither a task nor a bucket emits all pairs of a
+run: members are paired with the run's hub only (the least member in one of three hashed orders,
+chosen by the key), first within the task that made the keys, so that a hot key reaches its bucket
+once a task. A dense parity sketch of each set drops the pairs whose Hamming distance exceeds what
+a link allows; the rest are verified on the whole shingle sets. Then every run whose members are
+still in different components is compared in blocks by the dense sketches, and the pairs across
+components that can link are verified too. So no link that joins components is lost: the
+components are exact.
 
 Defined results: null or empty text has 0 shingles and its own id as component; rows with equal
 text are one class; rows that share a doc_id are one document and count as linked; a null doc_id is
@@ -33,6 +35,7 @@ from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.ipc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +46,8 @@ from tablelift.llm.graph import components
 
 KEYS_PER_BUCKET = 1_500_000
 FLUSH_KEYS = 500_000
+HUBS = 3
+BLOCK = 2_000
 SEED = 0x5851F42D4C957F2D
 U64 = np.uint64
 
@@ -127,28 +132,35 @@ def part_keys(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndar
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def dense_sketch(s: np.ndarray) -> np.ndarray:
+def dense_sketch(s: np.ndarray) -> bytes:
     """Parity sketch with a power of two of bits, about 4 per shingle; sketches of different sizes
     compare after XOR-folding the larger one."""
     bits = 64
     while bits < min(4 * len(s), 1 << 16):
         bits *= 2
     pos = (mix(s) & U64(bits - 1)).astype(np.int64)
-    return np.packbits((np.bincount(pos, minlength=bits) & 1).astype(np.uint8), bitorder="little")
+    return np.packbits((np.bincount(pos, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def fold(sketch: np.ndarray, size: int) -> np.ndarray:
-    return np.bitwise_xor.reduce(sketch.reshape(-1, size), axis=0)
+def words_of(sketch, size: int) -> np.ndarray:
+    """A sketch folded to ``size`` 64-bit words."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, U64).reshape(-1, size), axis=0)
 
 
-def stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (member, hub) pairs of the runs of equal keys, and each run's (key, hub)."""
-    order = np.lexsort((ids, keys))
+def runs_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct (key, id) and the bounds of the runs of equal keys; the hub comes first."""
+    order = np.lexsort((mix(ids.view(U64) ^ (keys % U64(HUBS))), keys))
     keys, ids = keys[order], ids[order]
-    new = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
-    hub = ids[np.flatnonzero(new)][np.cumsum(new) - 1] if len(keys) else ids
-    pairs = np.unique(np.stack([ids[ids != hub], hub[ids != hub]], axis=1), axis=0)
-    return pairs[:, 0], pairs[:, 1], keys[new], ids[new]
+    keep = np.r_[True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])]
+    keys, ids = keys[keep], ids[keep]
+    return keys, ids, np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
+
+
+def run_batch(keys: np.ndarray, members: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    ends = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=ends[1:])
+    return pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.ListArray.from_arrays(pa.array(ends), pa.array(members))],
+                                      ["key", "members"])
 
 
 def _tasks(bands: Bands, n: int, buckets: int):
@@ -161,26 +173,33 @@ def _tasks(bands: Bands, n: int, buckets: int):
             yield pa.RecordBatch.from_arrays(
                 [rows.column(rows.schema.get_field_index("doc_id")),
                  pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in two], pa.int64()),
-                 pa.array([y for _, y in two], pa.int64())], ["doc_id", "n_shingles", "hi", "lo"])
+                 pa.array([y for _, y in two], pa.int64()),
+                 pa.array([dense_sketch(s) for s in sets], pa.binary())],
+                ["doc_id", "n_shingles", "hi", "lo", "sketch"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, size = set(), [], 0
 
         def flush():
-            keys, ids = (np.concatenate(x) for x in zip(*held, strict=True))
-            x, y, keys, ids = stars(keys, ids)
-            bucket = spread(keys, buckets).astype(np.int64)
+            keys, ids, cut = runs_of(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            sizes, first = np.diff(cut), cut[:-1]
+            many = np.repeat(sizes > 1, sizes)
+            bucket = spread(keys[first], buckets).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            keys, ids, bucket = keys[order], ids[order], bucket[order]
-            cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            blobs = [k.tobytes() + i.tobytes() for k, i in
-                     zip(np.split(keys, cut[1:]), np.split(ids, cut[1:]), strict=True)]
-            at = [int(b) for b in bucket[cut]]
-            if len(x):
-                at.append(int(x[0]) % buckets)
-                blobs.append(b"\1" + x.tobytes() + y.tobytes())  # odd length: pairs, not keys
-            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(blobs, pa.binary())],
-                                              ["bucket", "data"])
+            at = np.flatnonzero(np.r_[True, bucket[order][1:] != bucket[order][:-1]])
+            blobs = [keys[first[o]].tobytes() + ids[first[o]].tobytes() for o in np.split(order, at[1:])]
+            targets = [int(b) for b in bucket[order][at]]
+            if many.any():  # runs within this task: their hub alone stands for them in the bucket
+                sink = pa.BufferOutputStream()
+                batch = run_batch(keys[first[sizes > 1]], ids[many], sizes[sizes > 1])
+                with pa.ipc.new_stream(sink, batch.schema) as out:
+                    out.write_batch(batch)
+                targets.append(targets[0])
+                blobs.append(sink.getvalue().to_pybytes())
+            local = [False] * len(at) + [True] * (len(blobs) - len(at))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(targets, pa.int32()), pa.array(local), pa.array(blobs, pa.binary())],
+                ["bucket", "local", "data"])
 
         for _, texts in text_chunks(batches):
             fresh, ids = [], []
@@ -202,16 +221,15 @@ def _tasks(bands: Bands, n: int, buckets: int):
         at, held = None, []
 
         def close():
-            keys = np.concatenate([k for k, _ in held])
-            ids = np.concatenate([i for _, i in held])
-            x, y, _, _ = stars(keys, ids)
-            return pair_batch(x, y)
+            keys, ids, cut = runs_of(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            sizes = np.diff(cut)
+            many = np.repeat(sizes > 1, sizes)
+            return run_batch(keys[cut[:-1][sizes > 1]], ids[many], sizes[sizes > 1])
 
         for batch in batches:
-            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if len(data) % 2:
-                    v = np.frombuffer(data, np.int64, offset=1)
-                    yield pair_batch(v[:len(v) // 2], v[len(v) // 2:])
+            for bucket, local, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if local:
+                    yield from pa.ipc.open_stream(data)
                     continue
                 if bucket != at and held:
                     yield close()
@@ -255,39 +273,52 @@ def _verify_task(num: int, den: int):
     return verify
 
 
-def _rekey_task(bands: Bands):
-    def rekey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _can_link(n, m, far, num: int, den: int):
+    """Whether sizes and the Hamming distance of the sketches allow a link."""
+    return (np.minimum(n, m) * den >= np.maximum(n, m) * num) & (far * (den + num) <= (n + m) * (den - num))
+
+
+def _prune_task(num: int, den: int):
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(v.as_buffer(), U64) for v in batch.column(2)]
-            for a in range(0, len(sets), 256):
-                part = sets[a:a + 256]
-                keys, owner = part_keys(part, bands)
-                sketch = [dense_sketch(s).tobytes() for s in part]
-                take = pa.array(owner + a)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(keys)), batch.column(0).take(take), batch.column(1).take(take),
-                     pa.array([len(s) for s in part], pa.int64()).take(pa.array(owner)),
-                     pa.array(sketch, pa.binary()).take(pa.array(owner))],
-                    ["key", "rep", "component", "n", "sketch"])
+            ok = []
+            for n, m, a, b in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                size = min(len(a), len(b)) // 8
+                far = int(np.bitwise_count(words_of(a, size) ^ words_of(b, size)).sum())
+                ok.append(bool(_can_link(n, m, far, num, den)))
+            yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), ["x", "y"]).filter(pa.array(ok, pa.bool_()))
 
-    return rekey
+    return prune
 
 
 def _cross_task(num: int, den: int):
-    """Pairs of members of one run that lie in different components and whose sizes and sketches
-    allow a link. Members come sorted by key; a run is compared block by block."""
+    """Pairs across components, within blocks of a run, that sizes and sketches allow. Rows come
+    sorted by (key, block); a member of the block's second half carries ``side`` 1."""
+
+    def compare(rows):
+        size = min(len(r[4]) for r in rows) // 8
+        rep, comp, n = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
+        side = np.array([r[5] for r in rows])
+        sk = np.stack([words_of(r[4], size) for r in rows])
+        xs, ys = [], []
+        for i in np.flatnonzero(side != 1):
+            far = np.bitwise_count(sk ^ sk[i]).sum(axis=1, dtype=np.int64)
+            ok = (comp != comp[i]) & _can_link(n, n[i], far, num, den) & ((side == 1) if side[i] == 0 else (rep > rep[i]))
+            xs.append(np.maximum(rep[ok], rep[i])), ys.append(np.minimum(rep[ok], rep[i]))
+        pairs = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)], axis=1), axis=0) if xs else np.zeros((0, 2), np.int64)
+        return pair_batch(pairs[:, 0], pairs[:, 1])
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
         for batch in batches:
-            xs, ys = [], []
-            rep, comp, n, sk, orep, ocomp, on, osk = (batch.column(i).to_pylist() for i in range(8))
-            for i in range(len(rep)):
-                p, q = np.frombuffer(sk[i], np.uint8), np.frombuffer(osk[i], np.uint8)
-                size = min(len(p), len(q))
-                far = int(np.bitwise_count(fold(p, size) ^ fold(q, size)).sum())
-                if far * (den + num) <= (n[i] + on[i]) * (den - num):
-                    xs.append(max(rep[i], orep[i])), ys.append(min(rep[i], orep[i]))
-            yield pair_batch(np.array(xs, np.int64), np.array(ys, np.int64))
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if row[0] != at and rows:
+                    yield compare(rows)
+                    rows = []
+                at = row[0]
+                rows.append(row)
+        if rows:
+            yield compare(rows)
 
     return cross
 
@@ -298,83 +329,68 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     scratch, bands = Scratch(spark), Bands(num, den)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     describe, _, _ = _tasks(bands, n, 1)
-    base = scratch.table(arrow_map(docs, describe, "doc_id long, n_shingles long, hi long, lo long"), "sets")
+    base = scratch.table(arrow_map(docs, describe, "doc_id long, n_shingles long, hi long, lo long, sketch binary"), "sets")
     named = base.filter("doc_id is not null and n_shingles > 0")
-    classes = scratch.table(named.groupBy("hi", "lo", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = scratch.table(named.groupBy("hi", "lo", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")),
+                            "classes")
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total * 0.55 / KEYS_PER_BUCKET) + 1)
 
     _, emit, meet = _tasks(bands, n, buckets)
     blobs = arrow_map(docs.filter("doc_id is not null and text is not null").select("text"), emit,
-                      "bucket int, data binary")
-    found = arrow_map(blobs.repartition(buckets, "bucket").sortWithinPartitions("bucket"), meet, "x long, y long")
-    lo = classes.select("lo", "rep")
-    found = scratch.table(found.distinct(), "found")
-    pairs = _named_pairs(found, lo)
-    pairs = scratch.table(pairs, "pairs")
-    links1, failed = _verified(docs, pairs, scratch, n, num, den, "1")
+                      "bucket int, local boolean, data binary")
+    runs = scratch.table(arrow_map(blobs.repartition(buckets, "bucket").sortWithinPartitions("bucket"), meet,
+                                   "key long, members array<long>"), "runs")
+    stars = runs.select(F.explode(F.expr("slice(members, 2, size(members) - 1)")).alias("x"),
+                        F.col("members")[0].alias("y"))
+    known = classes.select("lo", "rep", F.col("n_shingles").alias("n"), "sketch")
+    pairs = (stars.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+             .join(known.toDF("x", "rx", "nx", "sx"), "x").join(known.toDF("y", "ry", "ny", "sy"), "y")
+             .filter("rx <> ry").selectExpr("greatest(rx, ry) x", "least(rx, ry) y", "if(rx > ry, nx, ny) n",
+                                            "if(rx > ry, ny, nx) m", "if(rx > ry, sx, sy) a", "if(rx > ry, sy, sx) b"))
+    pairs = scratch.table(arrow_map(pairs, _prune_task(num, den), "x long, y long").distinct(), "pairs")
+    links = _verified(docs, pairs, scratch, n, num, den, "1")
 
     # rows that share a doc_id are one document
-    member = base.filter("doc_id is not null and n_shingles > 0").join(classes.drop("n_shingles"), ["hi", "lo"])
-    member = scratch.table(member.select("doc_id", "rep"), "member")
+    member = named.join(classes.select("hi", "lo", "rep"), ["hi", "lo"]).select("doc_id", "rep")
     shared = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")
-    same = member.join(shared, "doc_id").select(F.col("rep").alias("x"), F.col("a").alias("y")).filter("x <> y")
-    links = links1.union(same)
+    links = links.union(member.join(shared, "doc_id").selectExpr("rep x", "a y").filter("x <> y"))
     comps = scratch.table(components(links, Scratch(spark), "x", "y"), "comps1")
 
-    more = _second_pass(docs, pairs, failed, comps, scratch, bands, n)
-    if more is not None:
-        links2, _ = _verified(docs, more, scratch, n, num, den, "2")
-        if not links2.isEmpty():
-            comps = scratch.table(components(links.union(links2), Scratch(spark), "x", "y"), "comps2")
+    more = scratch.table(_across(runs, known, comps, num, den).join(pairs, ["x", "y"], "left_anti"), "more")
+    if not more.isEmpty():
+        links = links.union(_verified(docs, more, scratch, n, num, den, "2"))
+        comps = scratch.table(components(links, Scratch(spark), "x", "y"), "comps2")
     whole = (classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("hi", "lo", F.coalesce("component", "rep").alias("c")))
-    return (base.withColumn("live", F.expr("doc_id is not null and n_shingles > 0"))
-            .withColumn("hi", F.expr("if(live, hi, null)")).join(whole, ["hi", "lo"], "left")
+    return (base.withColumn("hi", F.expr("if(doc_id is not null and n_shingles > 0, hi, null)"))
+            .join(whole, ["hi", "lo"], "left")
             .select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id")))
 
 
-def _named_pairs(found: DataFrame, lo: DataFrame) -> DataFrame:
-    a, b = lo.toDF("x", "rx"), lo.toDF("y", "ry")
-    return (found.join(a, "x").join(b, "y").filter("rx <> ry")
-            .select(F.greatest("rx", "ry").alias("x"), F.least("rx", "ry").alias("y")).distinct())
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, n: int, num: int, den: int, tag: str):
-    """(links, failed pairs) of the written candidate pairs, verified on whole shingle sets."""
+def _verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, n: int, num: int, den: int, tag: str) -> DataFrame:
+    """Those of the written candidate pairs that link, by their whole shingle sets."""
     ids = scratch.table(pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct(), f"ids{tag}")
-    sets = scratch.table(arrow_map(semi_ids(docs, ids, "doc_id").distinct(), _sets_task(n), "rep long, data binary"),
+    sets = scratch.table(arrow_map(semi_ids(docs, ids, "doc_id"), _sets_task(n), "rep long, data binary"),
                          f"arrays{tag}")
-    a, b = sets.toDF("x", "a"), sets.toDF("y", "b")
-    joined = pairs.join(a, "x").join(b, "y").select("x", "y", "a", "b")
+    joined = pairs.join(sets.toDF("x", "a"), "x").join(sets.toDF("y", "b"), "y").select("x", "y", "a", "b")
     checked = arrow_map(joined, _verify_task(num, den), "x long, y long, linked boolean")
-    checked = scratch.table(checked.groupBy("x", "y").agg(F.max("linked").alias("linked")), f"checked{tag}")
-    return checked.filter("linked").select("x", "y"), checked.filter("not linked").select("x", "y")
-
-
-def _second_pass(docs, pairs, failed, comps, scratch, bands, n) -> DataFrame | None:
-    """Candidate pairs that the stars of the first pass stand in for: see the module's text."""
-    of = comps.toDF("d", "c")
-    apart = (failed.join(of.toDF("x", "cx"), "x", "left").join(of.toDF("y", "cy"), "y", "left")
-             .filter("coalesce(cx, x) <> coalesce(cy, y)").select("x", "y"))
-    near = scratch.table(apart.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct(), "near0")
-    if near.isEmpty():
-        return None
-    both = pairs.union(pairs.select("y", "x")).toDF("doc_id", "other")
-    for step in range(1, 4):  # member - task's hub - bucket's hub - task's hub - member
-        wider = both.join(near, "doc_id", "left_semi").select(F.col("other").alias("doc_id"))
-        near = scratch.table(near.union(wider).distinct(), f"near{step}")
-    sets = scratch.table(arrow_map(semi_ids(docs, near, "doc_id").distinct(), _sets_task(n), "rep long, data binary"),
-                         "near_sets")
-    full = sets.join(of.toDF("rep", "c"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("component"), "data")
-    keyed = scratch.table(arrow_map(full, _rekey_task(bands), "key long, rep long, component long, n long, sketch binary"),
-                          "near_keys")
-    open_runs = keyed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
-                                         F.count("*").alias("m")).filter("a < b and m > 2").select("key")
-    left = keyed.join(open_runs, "key", "left_semi")
-    right = left.toDF("key", "orep", "ocomponent", "on", "osketch")
-    pair = (left.join(right, "key").filter(F.expr(
-        f"rep < orep and component <> ocomponent and least(n, on) * {bands.den} >= greatest(n, on) * {bands.num}"))
-        .select("rep", "component", "n", "sketch", "orep", "ocomponent", "on", "osketch"))
-    out = arrow_map(pair, _cross_task(bands.num, bands.den), "x long, y long").distinct()
-    return scratch.table(out.join(pairs, ["x", "y"], "left_anti"), "more")
+    links = scratch.table(checked.filter("linked").select("x", "y").distinct(), f"links{tag}")
+    scratch.drop(f"arrays{tag}", f"ids{tag}")
+    return links
+
+
+def _across(runs: DataFrame, known: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of members of one run in different components that could link; large runs by blocks."""
+    at = (runs.select("key", F.explode("members").alias("lo")).distinct().join(known, "lo")
+          .join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+          .select("key", "rep", F.coalesce("component", "rep").alias("component"), "n", "sketch"))
+    open_ = (at.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
+                                   F.count("*").alias("m")).filter("a < b and m > 2")
+             .select("key", F.expr(f"cast((m - 1) div {BLOCK} + 1 as int)").alias("nb")))
+    rows = (at.join(open_, "key").withColumn("own", F.expr("cast(pmod(xxhash64(rep), nb) as int)"))
+            .withColumn("other", F.explode(F.expr("sequence(0, nb - 1)")))
+            .selectExpr("xxhash64(key, least(own, other), greatest(own, other)) as block", "rep", "component", "n",
+                        "sketch", "case when own = other then 2 when own < other then 0 else 1 end as side"))
+    return arrow_map(rows.repartition("block").sortWithinPartitions("block"), _cross_task(num, den),
+                     "x long, y long").distinct()
