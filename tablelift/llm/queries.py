@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablelift.llm.jaccard_join import jaccard_components
 from tablelift.llm.packing import pack
+from tablelift.llm.suffix_dedup import repeated_spans
 from tablelift.llm.token_files import token_files_roundtrip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +58,20 @@ def op4_token_files(spark, sf):
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(spark, sf):
     return pack(load(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 0, 2048)
+
+
+@query("op1_suffix_dedup", f"""
+with w as (select doc_id, regexp_extract_all(text, {WORDS_RE}) as ws from documents where text is not null),
+p as (select doc_id, unnest(range(0, len(ws) - 49)) as s, ws from w where len(ws) >= 50),
+k as (select doc_id, s, md5(array_to_string(ws[s + 1:s + 50], ' ')) as h from p),
+d as (select doc_id, s, row_number() over (partition by h order by doc_id, s) as r,
+             first_value(doc_id) over (partition by h order by doc_id, s) as f from k),
+e as (select *, case when s <= lag(s) over (partition by doc_id order by s) + 50 then 0 else 1 end as fresh
+      from d where r > 1),
+i as (select *, sum(fresh) over (partition by doc_id order by s) as part from e)
+select doc_id, cast(min(s) as integer) as start_word, cast(max(s) + 50 as integer) as end_word,
+       min(f) as first_doc_id
+from i group by doc_id, part
+""")
+def op1_suffix_dedup(spark, sf):
+    return repeated_spans(load(spark, sf, "documents"))
