@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablelift.llm.jaccard_join import jaccard_components
 from tablelift.llm.packing import pack
+from tablelift.llm.quality_rules import quality_rules
 from tablelift.llm.suffix_dedup import repeated_spans
 from tablelift.llm.token_files import token_files_roundtrip
 
@@ -75,3 +76,73 @@ from i group by doc_id, part
 """)
 def op1_suffix_dedup(spark, sf):
     return repeated_spans(load(spark, sf, "documents"))
+
+
+# SQL for the references, the distances and the verdict, over the same counts.
+_CLASSES = {"symbol": r"[#*$%&|<>]", "lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]",
+            "punct": r"[!\x22'()+,\-./:;=?@\[\x5C\]^_`{}~]", "space": r"[\x20\x09-\x0D]",
+            "control": r"[\x00-\x08\x0E-\x1F\x7F]"}
+
+
+def _cells(pattern: str) -> str:
+    return f"len(regexp_replace(t, '{pattern.replace(chr(39), chr(39) * 2)}', '', 'g'))"
+
+
+def _kl(a: str) -> str:
+    return f"sum(case when {a} > 0 then {a} * log2({a} / (({'p'} + q) / 2)) else 0 end)"
+
+
+_QUALITY_SQL = f"""
+with d as (select doc_id, coalesce(text, '') as t, coalesce(lang, '') as lang from documents),
+w as (select *, regexp_extract_all(t, {WORDS_RE}) as ws,
+             regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {WORDS_RE}) as ls
+      from d),
+rep as (select doc_id, count(distinct i + o) as n from (
+          select doc_id, i, count(*) over (partition by doc_id, g) as c from (
+            select doc_id, i, array_to_string(ws[i:i + 4], ' ') as g
+            from (select doc_id, ws, unnest(range(1, len(ws) - 3)) as i from w where len(ws) >= 5)))
+        cross join (select unnest(range(0, 5)) as o) where c > 1 group by doc_id),
+dup as (select doc_id, count(*) - count(distinct l) as n from (select doc_id, unnest(string_split(t, chr(10))) as l from d)
+        where regexp_matches(l, {WORDS_RE}) group by doc_id),
+base as (select w.doc_id, cast(len(ws) as bigint) as n_words,
+           cast(len(t) - (len(t) - {_cells(_CLASSES['space'])}) as bigint) as word_chars,
+           cast(len(t) - {_cells(_CLASSES['symbol'])} as bigint) as n_symbols,
+           cast(coalesce(dup.n, 0) as bigint) as n_dup_lines, cast(coalesce(rep.n, 0) as bigint) as n_repeat_words,
+           len(t) as n_chars
+         from w left join rep using (doc_id) left join dup using (doc_id)),
+cells as (select doc_id, lang, unnest([{", ".join(f"{{'c': '{k}', 'n': len(t) - {_cells(v)}}}" for k, v in _CLASSES.items())},
+            {{'c': 'other', 'n': len(t) - {" - ".join(f"(len(t) - {_cells(v)})" for v in _CLASSES.values())}}}],
+            recursive := true) from d),
+refs as (select lang from d group by lang having count(*) >= 0.001 * (select count(*) from d)
+         intersect select lang from w where len(ws) > 0),
+rc as (select lang, c, sum(n) / sum(sum(n)) over (partition by lang) as q from cells join refs using (lang) group by lang, c),
+jc as (select doc_id, min(sqrt(greatest((a + b) / 2, 0))) as dist from (
+         select doc_id, lang, {_kl('p')} as a, {_kl('q')} as b from (
+           select x.doc_id, rc.lang, x.n / greatest(sum(x.n) over (partition by x.doc_id, rc.lang), 1) as p, rc.q
+           from cells x join rc using (c)) group by doc_id, lang) group by doc_id),
+lw as (select doc_id, lang, unnest(ls) as x from w),
+wc as (select lang, x, count(*) as n from lw join refs using (lang) group by lang, x),
+top as (select *, row_number() over (partition by lang order by n desc, x) as r,
+               sum(n) over (partition by lang) as total from wc),
+rw as (select lang, x, n / total as q from top where r <= 100
+       union all select lang, null, 1 - sum(n) / max(total) from top where r <= 100 group by lang),
+dw as (select doc_id, x, count(*) as n from lw group by doc_id, x),
+hits as (select dw.doc_id, rw.lang, rw.x, dw.n from dw join rw on dw.x = rw.x),
+pw as (select w.doc_id, rw.lang, rw.q, case when rw.x is null
+          then len(w.ws) - coalesce((s.n), 0) else coalesce(h.n, 0) end / greatest(len(w.ws), 1) as p
+       from w cross join rw left join hits h on h.doc_id = w.doc_id and h.lang = rw.lang and h.x = rw.x
+       left join (select doc_id, lang, sum(n) as n from hits group by doc_id, lang) s
+         on s.doc_id = w.doc_id and s.lang = rw.lang),
+jw as (select doc_id, min(sqrt(greatest((a + b) / 2, 0))) as dist from (
+         select doc_id, lang, {_kl('p')} as a, {_kl('q')} as b from pw group by doc_id, lang) group by doc_id),
+v as (select base.*, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+             (coalesce(jc.dist, 0) > 0.3 and n_chars >= 200) or (coalesce(jw.dist, 0) > 0.5 and n_words >= 50) as far
+      from base left join jc using (doc_id) left join jw using (doc_id))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and not far as kept from v
+"""
+
+
+@query("op2_quality_rules", _QUALITY_SQL)
+def op2_quality_rules(spark, sf):
+    return quality_rules(load(spark, sf, "documents")).drop("char_distance", "word_distance")
