@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tablelift.llm import crf_quality
 from tablelift.llm.jaccard_join import jaccard_components
 from tablelift.llm.packing import pack
 from tablelift.llm.quality_rules import quality_rules
@@ -146,3 +147,9 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 @query("op2_quality_rules", _QUALITY_SQL)
 def op2_quality_rules(spark, sf):
     return quality_rules(load(spark, sf, "documents")).drop("char_distance", "word_distance")
+
+
+@query("op7_crf_quality")
+def op7_crf_quality(spark, sf):
+    docs = load(spark, sf, "documents")
+    return crf_quality.score(docs, crf_quality.fit(docs, load(spark, sf, "labels")))
