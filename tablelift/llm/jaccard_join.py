@@ -38,10 +38,11 @@ import pyarrow as pa
 import pyarrow.ipc
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import (Scratch, arrow_map, gram_hashes, mix, semi_ids, signed,
-                                  spread, text_chunks, word_hashes)
+from tablelift.llm.common import (BROADCAST_IDS, Scratch, arrow_map, gram_hashes, mix, semi_ids,
+                                  signed, spread, text_chunks, word_hashes)
 from tablelift.llm.graph import components
 
 KEYS_PER_BUCKET = 1_500_000
@@ -394,3 +395,22 @@ def _across(runs: DataFrame, known: DataFrame, comps: DataFrame, num: int, den:
                         "sketch", "case when own = other then 2 when own < other then 0 else 1 end as side"))
     return arrow_map(rows.repartition("block").sortWithinPartitions("block"), _cross_task(num, den),
                      "x long, y long").distinct()
+
+
+def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, the one with the smallest doc_id;
+    of rows that share a kept doc_id the one with the smallest text stays. Rows without words or
+    without a doc_id are in no group and stay. All columns are kept."""
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.table(jaccard_components(docs, n, num, den), "components")
+    gone = scratch.table(found.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    small = gone.count() <= BROADCAST_IDS
+    kept = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(*docs.columns)
+    twice = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    twice = scratch.table(twice.select("doc_id"), "twice")
+    if twice.isEmpty():
+        return kept
+    order = W.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    one = kept.join(twice, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order))
+    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(
+        one.filter("_row = 1").select(*docs.columns))
