@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablelift.llm import crf_quality
+from tablelift.llm.byte_bpe import encode_digests
+from tablelift.llm.chat_format import canonical_turns, conversation_digests
 from tablelift.llm.jaccard_join import jaccard_components
 from tablelift.llm.packing import pack
 from tablelift.llm.quality_rules import quality_rules
+from tablelift.llm.sharding import lookup_table, place
 from tablelift.llm.suffix_dedup import repeated_spans
 from tablelift.llm.token_files import token_files_roundtrip
 
@@ -153,3 +157,44 @@ def op2_quality_rules(spark, sf):
 def op7_crf_quality(spark, sf):
     docs = load(spark, sf, "documents")
     return crf_quality.score(docs, crf_quality.fit(docs, load(spark, sf, "labels")))
+
+
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark, sf):
+    return encode_digests(load(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
+
+
+SHARDS, SLOTS = [f"shard-{i:03d}" for i in range(64)], 10_007
+
+
+@query("op5_sharding", f"""
+with t as (select unnest(range(0, {SLOTS})) as slot, unnest({lookup_table(SHARDS, SLOTS)}) as shard),
+d as (select doc_id, cast(('0x' || md5(coalesce(cast(doc_id as varchar), ''))[1:15]) as bigint) % {SLOTS} as slot from documents)
+select doc_id, slot, cast(shard as integer) as shard from d join t using (slot)
+""")
+def op5_sharding(spark, sf):
+    return place(load(spark, sf, "documents").select("doc_id"), "doc_id", SHARDS, SLOTS)
+
+
+_ESC = r"regexp_replace(coalesce(text, ''), '(\\|###|</turn>)', '\\\1', 'g')"
+
+
+@query("op8_chat_format", f"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+           union all select -7, 0, 'user', '\\### Assistant: </turn> ok'
+           union all select -7, 1, 'assistant', '\\### Assistant: </turn> ok')
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(sum(case when role = 'assistant' then len(text) else 0 end) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), '')) as loss_sha256,
+       cast(sum(len(role) + len({_ESC}) + 14) as bigint) as formatted_chars
+from c group by conv_id
+""")
+def op8_chat_format(spark, sf):
+    rows = load(spark, sf, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    own = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], rows.schema)
+    records = rows.unionByName(extra).select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("record"))
+    return conversation_digests(canonical_turns(records, "record"))
