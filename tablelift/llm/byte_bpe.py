@@ -91,28 +91,32 @@ def load_ranks(path: str) -> list[bytes]:
 
 
 def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a word that is no entry itself: a heap over its linked bytes."""
-    n = len(word)
-    start, end = list(range(n)), list(range(1, n + 1))
-    nxt, prv, live = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-    heap = [(ranks[word[i:i + 2]], i, i + 2) for i in range(n - 1) if word[i:i + 2] in ranks]
+    """Ids of a word that is no entry itself: a heap over its linked bytes. A part runs from i to
+    end[i], where the next part starts; end is 0 for bytes inside a part. Heap entries are one
+    integer: rank, place and the joint part's end."""
+    n, get = len(word), ranks.get
+    bits = n.bit_length()
+    mask = (1 << bits) - 1
+    end, prv = list(range(1, n + 1)), list(range(-1, n))
+    heap = [(r << bits | i) << bits | i + 2 for i in range(n - 1) if (r := get(word[i:i + 2])) is not None]
     heapify(heap)
     while heap:
-        _, i, stop = heappop(heap)
-        j = nxt[i] if live[i] else n
-        if j >= n or end[j] != stop:
+        entry = heappop(heap)
+        stop, i = entry & mask, entry >> bits & mask
+        j = end[i]
+        if not j or j >= n or end[j] != stop:
             continue
-        live[j], end[i], nxt[i] = False, stop, nxt[j]
-        if nxt[j] < n:
-            prv[nxt[j]] = i
-            rank = ranks.get(word[start[i]:end[nxt[j]]])
-            if rank is not None:
-                heappush(heap, (rank, i, end[nxt[j]]))
-        if prv[i] >= 0:
-            rank = ranks.get(word[start[prv[i]]:stop])
-            if rank is not None:
-                heappush(heap, (rank, prv[i], stop))
-    return [ranks[word[start[i]:end[i]]] for i in range(n) if live[i]]
+        end[i], end[j], prv[stop] = stop, 0, i
+        if stop < n and (r := get(word[i:end[stop]])) is not None:
+            heappush(heap, (r << bits | i) << bits | end[stop])
+        p = prv[i]
+        if p >= 0 and (r := get(word[p:stop])) is not None:
+            heappush(heap, (r << bits | p) << bits | stop)
+    out, i = [], 0
+    while i < n:
+        out.append(ranks[word[i:end[i]]])
+        i = end[i]
+    return out
 
 
 class ByteBpe(dict):
@@ -122,17 +126,21 @@ class ByteBpe(dict):
         super().__init__()
         self.tokens, self.table, self.pattern = tokens, table, regex.compile(pattern)
         self.ranks = {t: i for i, t in enumerate(tokens)}
+        self.words: dict[str, tuple[int, ...]] = {}
 
     def learn(self, pieces: list[str]) -> None:
         """Add the ids of new pieces."""
         if len(self) + len(pieces) > CACHE_PIECES:
             self.clear()
-        cut = [[w.encode() for w in self.pattern.findall(p)] for p in pieces]
-        words = list(dict.fromkeys(chain.from_iterable(cut)))
-        ids = {w: (r,) if r >= 0 else tuple(merge(w, self.ranks))
-               for w, r in zip(words, self.table.find(words), strict=True)}
+        if len(self.words) > CACHE_PIECES:
+            self.words.clear()
+        ids, cut = self.words, list(map(self.pattern.findall, pieces))
+        new = [w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in ids]
+        raw = [w.encode() for w in new]
+        for w, b, r in zip(new, raw, self.table.find(raw), strict=True):
+            ids[w] = (r,) if r >= 0 else tuple(merge(b, self.ranks))
         for p, ws in zip(pieces, cut, strict=True):
-            self[p] = ids[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(ids[w] for w in ws))
+            self[p] = ids[ws[0]] if len(ws) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, ws)))
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         cut = []
