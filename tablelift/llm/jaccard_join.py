@@ -134,10 +134,10 @@ def part_keys(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndar
 
 
 def dense_sketch(s: np.ndarray) -> bytes:
-    """Parity sketch with a power of two of bits, about 4 per shingle; sketches of different sizes
+    """Parity sketch with a power of two of bits, one or two per shingle; sketches of different sizes
     compare after XOR-folding the larger one."""
     bits = 64
-    while bits < min(4 * len(s), 1 << 16):
+    while bits < min(len(s), 1 << 16):
         bits *= 2
     pos = (mix(s) & U64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(pos, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
@@ -345,10 +345,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     stars = runs.select(F.explode(F.expr("slice(members, 2, size(members) - 1)")).alias("x"),
                         F.col("members")[0].alias("y"))
     known = classes.select("lo", "rep", F.col("n_shingles").alias("n"), "sketch")
-    pairs = (stars.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
-             .join(known.toDF("x", "rx", "nx", "sx"), "x").join(known.toDF("y", "ry", "ny", "sy"), "y")
-             .filter("rx <> ry").selectExpr("greatest(rx, ry) x", "least(rx, ry) y", "if(rx > ry, nx, ny) n",
-                                            "if(rx > ry, ny, nx) m", "if(rx > ry, sx, sy) a", "if(rx > ry, sy, sx) b"))
+    name, sketch = known.select("lo", "rep"), known.select("rep", "n", "sketch")
+    named_pairs = (stars.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+                   .join(name.toDF("x", "rx"), "x").join(name.toDF("y", "ry"), "y").filter("rx <> ry")
+                   .selectExpr("greatest(rx, ry) x", "least(rx, ry) y").distinct())
+    pairs = (named_pairs.join(sketch.toDF("x", "n", "a"), "x").join(sketch.toDF("y", "m", "b"), "y")
+             .select("x", "y", "n", "m", "a", "b"))
     pairs = scratch.table(arrow_map(pairs, _prune_task(num, den), "x long, y long").distinct(), "pairs")
     links = _verified(docs, pairs, scratch, n, num, den, "1")
 
@@ -358,7 +360,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     links = links.union(member.join(shared, "doc_id").selectExpr("rep x", "a y").filter("x <> y"))
     comps = scratch.table(components(links, Scratch(spark), "x", "y"), "comps1")
 
-    more = scratch.table(_across(runs, known, comps, num, den).join(pairs, ["x", "y"], "left_anti"), "more")
+    more = scratch.table(_across(runs, known, comps, scratch, num, den).join(pairs, ["x", "y"], "left_anti"), "more")
     if not more.isEmpty():
         links = links.union(_verified(docs, more, scratch, n, num, den, "2"))
         comps = scratch.table(components(links, Scratch(spark), "x", "y"), "comps2")
@@ -381,15 +383,16 @@ def _verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, n: int, num:
     return links
 
 
-def _across(runs: DataFrame, known: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
+def _across(runs: DataFrame, known: DataFrame, comps: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
     """Pairs of members of one run in different components that could link; large runs by blocks."""
-    at = (runs.select("key", F.explode("members").alias("lo")).distinct().join(known, "lo")
-          .join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-          .select("key", "rep", F.coalesce("component", "rep").alias("component"), "n", "sketch"))
+    of = (known.select("lo", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+          .select("lo", "rep", F.coalesce("component", "rep").alias("component")))
+    at = runs.select("key", F.explode("members").alias("lo")).distinct().join(of, "lo").drop("lo")
     open_ = (at.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
                                    F.count("*").alias("m")).filter("a < b and m > 2")
              .select("key", F.expr(f"cast((m - 1) div {BLOCK} + 1 as int)").alias("nb")))
-    rows = (at.join(open_, "key").withColumn("own", F.expr("cast(pmod(xxhash64(rep), nb) as int)"))
+    at = at.join(scratch.table(open_, "open"), "key").join(known.drop("lo"), "rep")
+    rows = (at.withColumn("own", F.expr("cast(pmod(xxhash64(rep), nb) as int)"))
             .withColumn("other", F.explode(F.expr("sequence(0, nb - 1)")))
             .selectExpr("xxhash64(key, least(own, other), greatest(own, other)) as block", "rep", "component", "n",
                         "sketch", "case when own = other then 2 when own < other then 0 else 1 end as side"))
