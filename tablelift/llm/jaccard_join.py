@@ -18,8 +18,9 @@ run: members are paired with the run's hub only (the least member in one of thre
 chosen by the key), first within the task that made the keys, so that a hot key reaches its bucket
 once a task. A dense parity sketch of each set drops the pairs whose Hamming distance exceeds what
 a link allows; the rest are verified on the whole shingle sets. Then every run whose members are
-still in different components is compared in blocks by the dense sketches, and the pairs across
-components that can link are verified too. So no link that joins components is lost: the
+still in different components is compared in blocks by the dense sketches: twice each member's
+nearest candidate in another component is verified, and at last all pairs across components that
+can link. So no link that joins components is lost: the
 components are exact.
 
 Defined results: null or empty text has 0 shingles and its own id as component; rows with equal
@@ -292,9 +293,9 @@ def _prune_task(num: int, den: int):
     return prune
 
 
-def _cross_task(num: int, den: int):
+def _cross_task(num: int, den: int, nearest: bool):
     """Pairs across components, within blocks of a run, that sizes and sketches allow. Rows come
-    sorted by (key, block); a member of the block's second half carries ``side`` 1."""
+    sorted by (key, block); a member of the block's second half carries ``side`` 1. ``nearest``: only each member's nearest candidate."""
 
     def compare(rows):
         size = min(len(r[4]) for r in rows) // 8
@@ -305,6 +306,8 @@ def _cross_task(num: int, den: int):
         for i in np.flatnonzero(side != 1):
             far = np.bitwise_count(sk ^ sk[i]).sum(axis=1, dtype=np.int64)
             ok = (comp != comp[i]) & _can_link(n, n[i], far, num, den) & ((side == 1) if side[i] == 0 else (rep > rep[i]))
+            if nearest and ok.any():
+                ok = np.flatnonzero(ok)[[np.argmin(far[ok])]]
             xs.append(np.maximum(rep[ok], rep[i])), ys.append(np.minimum(rep[ok], rep[i]))
         pairs = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)], axis=1), axis=0) if xs else np.zeros((0, 2), np.int64)
         return pair_batch(pairs[:, 0], pairs[:, 1])
@@ -360,10 +363,16 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     links = links.union(member.join(shared, "doc_id").selectExpr("rep x", "a y").filter("x <> y"))
     comps = scratch.table(components(links, Scratch(spark), "x", "y"), "comps1")
 
-    more = scratch.table(_across(runs, known, comps, scratch, num, den).join(pairs, ["x", "y"], "left_anti"), "more")
-    if not more.isEmpty():
-        links = links.union(_verified(docs, more, scratch, n, num, den, "2"))
-        comps = scratch.table(components(links, Scratch(spark), "x", "y"), "comps2")
+    # components of a run meet first over each member's nearest candidate, which leaves few pairs
+    # for the last pass, which takes all
+    for k, nearest in enumerate((True, True, False)):
+        more = _across(runs, known, comps, scratch, num, den, nearest, k).join(pairs, ["x", "y"], "left_anti")
+        more = scratch.table(more, f"more{k}")
+        if more.isEmpty():
+            continue
+        links = links.union(_verified(docs, more, scratch, n, num, den, f"more{k}"))
+        pairs = pairs.union(more)
+        comps = scratch.table(components(links, Scratch(spark), "x", "y"), f"comps_more{k}")
     whole = (classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("hi", "lo", F.coalesce("component", "rep").alias("c")))
     return (base.withColumn("hi", F.expr("if(doc_id is not null and n_shingles > 0, hi, null)"))
@@ -383,7 +392,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, n: int, num:
     return links
 
 
-def _across(runs: DataFrame, known: DataFrame, comps: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
+def _across(runs: DataFrame, known: DataFrame, comps: DataFrame, scratch: Scratch, num: int, den: int, nearest: bool,
+            k: int) -> DataFrame:
     """Pairs of members of one run in different components that could link; large runs by blocks."""
     of = (known.select("lo", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
           .select("lo", "rep", F.coalesce("component", "rep").alias("component")))
@@ -391,12 +401,12 @@ def _across(runs: DataFrame, known: DataFrame, comps: DataFrame, scratch: Scratc
     open_ = (at.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
                                    F.count("*").alias("m")).filter("a < b and m > 2")
              .select("key", F.expr(f"cast((m - 1) div {BLOCK} + 1 as int)").alias("nb")))
-    at = at.join(scratch.table(open_, "open"), "key").join(known.drop("lo"), "rep")
+    at = at.join(scratch.table(open_, f"open{k}"), "key").join(known.drop("lo"), "rep")
     rows = (at.withColumn("own", F.expr("cast(pmod(xxhash64(rep), nb) as int)"))
             .withColumn("other", F.explode(F.expr("sequence(0, nb - 1)")))
             .selectExpr("xxhash64(key, least(own, other), greatest(own, other)) as block", "rep", "component", "n",
                         "sketch", "case when own = other then 2 when own < other then 0 else 1 end as side"))
-    return arrow_map(rows.repartition("block").sortWithinPartitions("block"), _cross_task(num, den),
+    return arrow_map(rows.repartition("block").sortWithinPartitions("block"), _cross_task(num, den, nearest),
                      "x long, y long").distinct()
 
 
