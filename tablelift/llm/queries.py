@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablelift.llm import crf_quality
 from tablelift.llm.byte_bpe import encode_digests
 from tablelift.llm.chat_format import canonical_turns, conversation_digests
+from tablelift.llm.embed_dedup import near_vectors
 from tablelift.llm.jaccard_join import jaccard_components
 from tablelift.llm.packing import pack
 from tablelift.llm.quality_rules import quality_rules
@@ -198,3 +199,19 @@ def op8_chat_format(spark, sf):
     extra = spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], rows.schema)
     records = rows.unionByName(extra).select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("record"))
     return conversation_digests(canonical_turns(records, "record"))
+
+
+@query("op3_embed_dedup", """
+with recursive e as (select vec_id, cast(embedding as double[]) as v from embeddings),
+ok as (select vec_id, v from e where v is not null and len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+       and len(list_filter(v, lambda x: x <> 0)) > 0),
+links as (select a.vec_id as u, b.vec_id as w from ok a join ok b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+          where list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) as (select vec_id, vec_id from e union select r.a, l.w from reach r join links l on r.b = l.u),
+c as (select a as vec_id, min(b) as component_id from reach group by a),
+n as (select u as vec_id, count(*) as n from links group by u)
+select vec_id, coalesce(n.n, 0) as n_links, component_id, vec_id = component_id as kept
+from c left join n using (vec_id)
+""")
+def op3_embed_dedup(spark, sf):
+    return near_vectors(load(spark, sf, "embeddings"))
