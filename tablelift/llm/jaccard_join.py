@@ -18,8 +18,8 @@ run: members are paired with the run's hub only (the least member in one of thre
 chosen by the key), first within the task that made the keys, so that a hot key reaches its bucket
 once a task. A dense parity sketch of each set drops the pairs whose Hamming distance exceeds what
 a link allows; the rest are verified on the whole shingle sets. Then every run whose members are
-still in different components is compared in blocks by the dense sketches: twice each member's
-nearest candidate in another component is verified, and at last all pairs across components that
+still in different components is compared in blocks by the dense sketches: twice each component's
+nearest candidate pair is verified, and at last all pairs across components that
 can link. So no link that joins components is lost: the
 components are exact.
 
@@ -295,20 +295,26 @@ def _prune_task(num: int, den: int):
 
 def _cross_task(num: int, den: int, nearest: bool):
     """Pairs across components, within blocks of a run, that sizes and sketches allow. Rows come
-    sorted by (key, block); a member of the block's second half carries ``side`` 1. ``nearest``: only each member's nearest candidate."""
+    sorted by (key, block); a member of the block's second half carries ``side`` 1. ``nearest``: only each component's nearest pair."""
 
     def compare(rows):
         size = min(len(r[4]) for r in rows) // 8
         rep, comp, n = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
         side = np.array([r[5] for r in rows])
         sk = np.stack([words_of(r[4], size) for r in rows])
-        xs, ys = [], []
+        xs, ys, best = [], [], {}
         for i in np.flatnonzero(side != 1):
             far = np.bitwise_count(sk ^ sk[i]).sum(axis=1, dtype=np.int64)
             ok = (comp != comp[i]) & _can_link(n, n[i], far, num, den) & ((side == 1) if side[i] == 0 else (rep > rep[i]))
             if nearest and ok.any():
-                ok = np.flatnonzero(ok)[[np.argmin(far[ok])]]
+                j = np.flatnonzero(ok)[np.argmin(far[ok])]
+                for c in (comp[i], comp[j]):
+                    if far[j] < best.get(c, (1 << 62,))[0]:
+                        best[c] = (far[j], max(rep[i], rep[j]), min(rep[i], rep[j]))
+                continue
             xs.append(np.maximum(rep[ok], rep[i])), ys.append(np.minimum(rep[ok], rep[i]))
+        if best:
+            xs, ys = ([np.array([b[i] for b in best.values()], np.int64)] for i in (1, 2))
         pairs = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)], axis=1), axis=0) if xs else np.zeros((0, 2), np.int64)
         return pair_batch(pairs[:, 0], pairs[:, 1])
 
@@ -363,7 +369,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     links = links.union(member.join(shared, "doc_id").selectExpr("rep x", "a y").filter("x <> y"))
     comps = scratch.table(components(links, Scratch(spark), "x", "y"), "comps1")
 
-    # components of a run meet first over each member's nearest candidate, which leaves few pairs
+    # components of a run meet first over their nearest candidate pairs, which leaves few pairs
     # for the last pass, which takes all
     for k, nearest in enumerate((True, True, False)):
         more = _across(runs, known, comps, scratch, num, den, nearest, k).join(pairs, ["x", "y"], "left_anti")
