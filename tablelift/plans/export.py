@@ -290,6 +290,8 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
     staging = None
     pub = (VersionedPublisher if publish == "versioned" else Publisher)(spark, unit.target)
     try:
+        if pub.other_mode():
+            raise FileExistsError(f"E005 output {unit.target} was published in the other mode")
         if pub.exists() and not overwrite:
             raise FileExistsError(f"E005 output {unit.target} exists and overwrite is off")
         stage = "read"

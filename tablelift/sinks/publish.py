@@ -25,6 +25,10 @@ class Publisher:
     def exists(self, path: str | None = None) -> bool:
         return bool(self.fs.exists(self._Path(path) if path else self.path))
 
+    def other_mode(self) -> bool:
+        """Whether the target holds versions, which a swap would delete."""
+        return self.exists(f"{self.target}/{LATEST}")
+
     def staging(self) -> str:
         return f"{self.target}.{uuid.uuid4().hex}.tmp"
 
@@ -41,6 +45,8 @@ class Publisher:
         src = self._Path(staging)
         if not self.fs.exists(src):
             raise OSError(f"E005 staging output {staging} does not exist")
+        if self.other_mode():
+            raise OSError(f"E005 {self.target} holds versions; a swap would delete them")
         parent = self.path.getParent()
         if parent is not None and not self.fs.exists(parent):
             self.fs.mkdirs(parent)
@@ -82,7 +88,14 @@ class VersionedPublisher(Publisher):
     def exists(self, path: str | None = None) -> bool:
         if path:
             return super().exists(path)
-        return super().exists(f"{self.target}/{LATEST}")
+        return super().exists(f"{self.target}/{LATEST}") or self.other_mode()
+
+    def other_mode(self) -> bool:
+        """Whether the target holds anything that is neither a version nor the pointer."""
+        if not self.fs.exists(self.path):
+            return False
+        names = [f.getPath().getName() for f in self.fs.listStatus(self.path)]
+        return any(n != LATEST and not n.startswith("v-") and not n.startswith(".") for n in names)
 
     def staging(self) -> str:
         stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
@@ -91,6 +104,8 @@ class VersionedPublisher(Publisher):
     def publish(self, staging: str) -> None:
         if not super().exists(f"{staging}/_SUCCESS"):
             raise OSError(f"E005 version {staging} is not complete")
+        if self.other_mode():
+            raise OSError(f"E005 {self.target} holds output that was not published by versions")
         name = staging.rstrip("/").rsplit("/", 1)[-1]
         out = self.fs.create(self._Path(f"{self.target}/{LATEST}"), True)
         try:

@@ -44,3 +44,20 @@ def test_versioned_arrow(spark, scratch):
     rep = run(spark, _job(f"{scratch}/a", fmt="arrow")).first()
     assert rep["status"] == "ok"
     assert read_output(spark, f"{scratch}/a/orders.arrow", "arrow").count() == rep["rows"]
+
+
+def test_publish_modes_do_not_mix(spark, scratch):
+    def swap(out, overwrite):
+        return ExportJob(GlobalSpec(output_dir=out, overwrite=overwrite), [DatabaseSpec("s", "parquet", SF_SMALL)],
+                         [TaskSpec(db="s", tables=["orders"])])
+
+    for overwrite in (False, True):
+        out = f"{scratch}/swap-{overwrite}"
+        assert run(spark, swap(out, False)).first()["status"] == "ok"
+        refused = run(spark, _job(out, overwrite=overwrite)).first()
+        assert refused["status"] == "failed" and refused["error_code"] == "E005"
+        out = f"{scratch}/versions-{overwrite}"
+        kept = run(spark, _job(out, overwrite=False)).first()
+        refused = run(spark, swap(out, overwrite)).first()
+        assert refused["status"] == "failed" and refused["error_code"] == "E005"
+        assert resolve_output(spark, f"{out}/orders.parquet") == kept["published"] and os.path.isdir(kept["published"])
