@@ -18,10 +18,10 @@ run: members are paired with the run's hub only (the least member in one of thre
 chosen by the key), first within the task that made the keys, so that a hot key reaches its bucket
 once a task. A dense parity sketch of each set drops the pairs whose Hamming distance exceeds what
 a link allows; the rest are verified on the whole shingle sets. Then every run whose members are
-still in different components is compared in blocks by the dense sketches: twice each component's
-nearest candidate pair is verified, and at last all pairs across components that
-can link. So no link that joins components is lost: the
-components are exact.
+still in different components is compared in blocks by the dense sketches, members of its largest
+component with the others only: first each component's nearest candidate pair is verified, then all
+pairs across components that can link. So no link that joins components is lost: the components are
+exact.
 
 Defined results: null or empty text has 0 shingles and its own id as component; rows with equal
 text are one class; rows that share a doc_id are one document and count as linked; a null doc_id is
@@ -367,20 +367,22 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     member = named.join(classes.select("hi", "lo", "rep"), ["hi", "lo"]).select("doc_id", "rep")
     shared = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")
     links = links.union(member.join(shared, "doc_id").selectExpr("rep x", "a y").filter("x <> y"))
-    comps = scratch.table(components(links, Scratch(spark), "x", "y"), "comps1")
+    found = components(links, Scratch(spark), "x", "y").withColumnRenamed("node", "rep")
+    comps = scratch.table(classes.select("rep").distinct().join(found, "rep", "left")
+                          .select("rep", F.coalesce("component", "rep").alias("component")), "comps")
 
     # components of a run meet first over their nearest candidate pairs, which leaves few pairs
     # for the last pass, which takes all
-    for k, nearest in enumerate((True, True, False)):
+    for k, nearest in enumerate((True, False)):
         more = _across(runs, known, comps, scratch, num, den, nearest, k).join(pairs, ["x", "y"], "left_anti")
         more = scratch.table(more, f"more{k}")
         if more.isEmpty():
             continue
-        links = links.union(_verified(docs, more, scratch, n, num, den, f"more{k}"))
+        links = _verified(docs, more, scratch, n, num, den, f"more{k}")
+        if not links.isEmpty():
+            comps = _merged(comps, links, scratch, k)
         pairs = pairs.union(more)
-        comps = scratch.table(components(links, Scratch(spark), "x", "y"), f"comps_more{k}")
-    whole = (classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("hi", "lo", F.coalesce("component", "rep").alias("c")))
+    whole = classes.join(comps, "rep").select("hi", "lo", F.col("component").alias("c"))
     return (base.withColumn("hi", F.expr("if(doc_id is not null and n_shingles > 0, hi, null)"))
             .join(whole, ["hi", "lo"], "left")
             .select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id")))
@@ -398,18 +400,28 @@ def _verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, n: int, num:
     return links
 
 
+def _merged(comps: DataFrame, links: DataFrame, scratch: Scratch, k: int) -> DataFrame:
+    """The components after further links: only the graph between components is contracted anew."""
+    ends = (links.join(comps.toDF("x", "cx"), "x").join(comps.toDF("y", "cy"), "y").select("cx", "cy"))
+    met = components(ends, Scratch(comps.sparkSession), "cx", "cy").toDF("component", "least")
+    return scratch.table(comps.join(met, "component", "left")
+                         .select("rep", F.coalesce("least", "component").alias("component")), f"comps_more{k}")
+
+
 def _across(runs: DataFrame, known: DataFrame, comps: DataFrame, scratch: Scratch, num: int, den: int, nearest: bool,
             k: int) -> DataFrame:
-    """Pairs of members of one run in different components that could link; large runs by blocks."""
-    of = (known.select("lo", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-          .select("lo", "rep", F.coalesce("component", "rep").alias("component")))
+    """Pairs of members of one run in different components that could link; large runs by blocks.
+    Members of the run's largest component meet the other members only, never one another, so a run
+    that is almost one component costs its length and not its square."""
+    of = known.select("lo", "rep").join(comps, "rep")
     at = runs.select("key", F.explode("members").alias("lo")).distinct().join(of, "lo").drop("lo")
-    open_ = (at.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
-                                   F.count("*").alias("m")).filter("a < b and m > 2")
-             .select("key", F.expr(f"cast((m - 1) div {BLOCK} + 1 as int)").alias("nb")))
+    sums = at.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(
+        F.expr("max_by(component, struct(m, component))").alias("main"), F.max("m").alias("m"), F.sum("m").alias("all"))
+    open_ = (sums.filter("m < all and all > 2")
+             .selectExpr("key", "main", f"(m - 1) div {BLOCK} + 1 as nm", f"(all - m - 1) div {BLOCK} + 1 as no"))
     at = at.join(scratch.table(open_, f"open{k}"), "key").join(known.drop("lo"), "rep")
-    rows = (at.withColumn("own", F.expr("cast(pmod(xxhash64(rep), nb) as int)"))
-            .withColumn("other", F.explode(F.expr("sequence(0, nb - 1)")))
+    rows = (at.withColumn("own", F.expr("if(component = main, pmod(xxhash64(rep), nm), nm + pmod(xxhash64(rep), no))"))
+            .withColumn("other", F.explode(F.expr("sequence(if(component = main, nm, 0L), nm + no - 1)")))
             .selectExpr("xxhash64(key, least(own, other), greatest(own, other)) as block", "rep", "component", "n",
                         "sketch", "case when own = other then 2 when own < other then 0 else 1 end as side"))
     return arrow_map(rows.repartition("block").sortWithinPartitions("block"), _cross_task(num, den, nearest),
