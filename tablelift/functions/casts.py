@@ -146,17 +146,15 @@ def to_timestamp_ntz(c: Column, src: T.DataType) -> Column:
 
 
 def to_time_text(c: Column, src: T.DataType) -> Column:
-    """TIME as ``HH:mm:ss`` text (time of day of a timestamp, or normalised time text)."""
+    """TIME as ``HH:mm:ss[.SSSSSS]`` text (time of day of a timestamp, or normalised time text); the
+    fraction is written where it isn't zero."""
     if _is(src, T.TimestampType):
-        return F.date_format(utc_wall_clock(c), TIME_TEXT_FORMAT)
-    if _is(src, T.TimestampNTZType):
-        return F.date_format(c, TIME_TEXT_FORMAT)
-    if _is(src, T.TimeType):  # time of day from a source that returns Spark's TIME type
-        return F.substring(c.cast("string"), 1, 8)
-    if _is(src, T.StringType):
-        parsed = F.concat(F.lit("1970-01-01 "), F.trim(c)).try_cast("timestamp_ntz")
-        return F.date_format(parsed, TIME_TEXT_FORMAT)
-    return F.lit(None).cast("string")
+        c = utc_wall_clock(c)
+    elif _is(src, (T.TimeType, T.StringType)):
+        c = F.concat(F.lit("1970-01-01 "), F.trim(c.cast("string"))).try_cast("timestamp_ntz")
+    elif not _is(src, T.TimestampNTZType):
+        return F.lit(None).cast("string")
+    return F.regexp_replace(F.date_format(c, TIME_TEXT_FORMAT), r"\.000000$", "")
 
 
 def convert(c: Column, src: T.DataType, target: str, narrow: str = "null") -> Column:

@@ -72,7 +72,7 @@ DIALECT_OVERRIDES = {
 }
 KEEP = "keep"  # keep the source column's own type (arrays from sources that return them)
 
-TIME_TEXT_FORMAT = "HH:mm:ss"  # TIME values are written as text (Parquet has no Spark TIME support)
+TIME_TEXT_FORMAT = "HH:mm:ss.SSSSSS"  # TIME values are written as text (Parquet has no Spark TIME support)
 
 _SIMPLE = {
     "bigint": T.LongType(),

@@ -1,7 +1,7 @@
 """Run-log analytics: throughput, speedup and efficiency of export runs.
 
 Input is a run log with one row per (test, workers, table) export: real rows written and wall
-seconds. Throughput uses the rows actually written (from the run report), not a nominal count.
+seconds (a decimal column is summed exactly). Runs of 0 seconds have no throughput. Throughput uses the rows actually written (from the run report), not a nominal count.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ def throughput(log: DataFrame, test: str = "test", workers: str = "workers",
     agg = log.groupBy(F.col(test).alias("test"), F.col(workers).alias("workers")).agg(
         F.count(F.lit(1)).alias("runs"),
         F.sum(F.col(rows).cast("bigint")).alias("rows"),
-        F.sum(F.col(seconds).cast("double")).alias("seconds"),
+        F.sum(F.col(seconds)).cast("double").alias("seconds"),
     )
-    return agg.withColumn("throughput", F.col("rows").cast("double") / F.col("seconds"))
+    return agg.withColumn("throughput", F.try_divide(F.col("rows").cast("double"), "seconds"))
 
 
 def scalability(tp: DataFrame) -> DataFrame:
@@ -33,6 +33,6 @@ def summary(log: DataFrame, test: str = "test", rows: str = "rows", seconds: str
     return log.groupBy(F.col(test).alias("test")).agg(
         F.count(F.lit(1)).alias("runs"),
         F.sum(F.col(rows).cast("bigint")).alias("rows"),
-        F.sum(F.col(seconds).cast("double")).alias("seconds"),
-        F.max(F.col(rows).cast("double") / F.col(seconds).cast("double")).alias("best_throughput"),
+        F.sum(F.col(seconds)).cast("double").alias("seconds"),
+        F.max(F.try_divide(F.col(rows).cast("double"), F.col(seconds).cast("double"))).alias("best_throughput"),
     )

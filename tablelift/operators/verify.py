@@ -61,10 +61,11 @@ def first_last(df: DataFrame, key: str, position_col: str = "position") -> DataF
     return out.where(col(key).isNotNull())
 
 
-def peek(df: DataFrame, key: str, n: int, descending: bool = False) -> DataFrame:
-    """``ORDER BY key LIMIT n``: a top-k (per-partition top n, then a merge), never a full sort."""
+def peek(df: DataFrame, key: str, n: int, descending: bool = False, ties: tuple = ()) -> DataFrame:
+    """``ORDER BY key LIMIT n``: a top-k (per-partition top n, then a merge), never a full sort. Equal
+    keys are taken in the order of the columns ``ties``."""
     order = col(key).desc() if descending else col(key).asc()
-    return df.orderBy(order).limit(n)
+    return df.orderBy(order, *[col(t).asc() for t in ties]).limit(n)
 
 
 def point_lookup(df: DataFrame, key: str, ids: list) -> DataFrame:

@@ -74,6 +74,8 @@ class DatabaseSpec:
     driver: str
     dsn: str
     options: dict = field(default_factory=dict)
+    max_open_conns: int | None = None  # JDBC: most key ranges of one scan, each of which holds a connection
+    max_idle_conns: int | None = None  # accepted; a task's connection closes with the task
 
 
 @dataclass
@@ -88,6 +90,19 @@ class TaskSpec:
     skewed: bool = False
 
 
+def _record(kind: type, given: dict, at: str, wrong: list[str]):
+    """A spec record from its table; keys that it doesn't have are noted in ``wrong``."""
+    fields = kind.__dataclass_fields__
+    wrong += [f"{at} {key}: unknown key" for key in given if key not in fields]
+    blank = {k: "" for k in ("name", "driver", "dsn", "db") if k in fields}
+    return kind(**blank | {k: v for k, v in given.items() if k in fields})
+
+
+def _refuse(wrong: list[str]) -> None:
+    if wrong:
+        raise JobSpecError("E001 " + "; ".join(wrong))
+
+
 @dataclass
 class ExportJob:
     global_: GlobalSpec = field(default_factory=GlobalSpec)
@@ -96,15 +111,12 @@ class ExportJob:
 
     @classmethod
     def from_dict(cls, d: dict) -> "ExportJob":
-        g = d.get("global", {}) or {}
-        job = cls(
-            GlobalSpec(**{k: v for k, v in g.items() if k in GlobalSpec.__dataclass_fields__}).with_defaults(),
-            [DatabaseSpec(**{k: v for k, v in db.items() if k in DatabaseSpec.__dataclass_fields__})
-             for db in d.get("databases", [])],
-            [TaskSpec(**{k: v for k, v in t.items() if k in TaskSpec.__dataclass_fields__})
-             for t in d.get("tasks", [])],
-        )
-        job.validate()
+        wrong: list[str] = []
+        job = cls(_record(GlobalSpec, d.get("global") or {}, "[global]", wrong).with_defaults(),
+                  [_record(DatabaseSpec, db, f"[[databases]] {k}", wrong) for k, db in enumerate(d.get("databases", []), 1)],
+                  [_record(TaskSpec, t, f"[[tasks]] {k}", wrong) for k, t in enumerate(d.get("tasks", []), 1)])
+        wrong += [f"unknown section {key!r}" for key in d if key not in ("global", "databases", "tasks")]
+        _refuse(wrong + job.problems())
         return job
 
     @classmethod
@@ -123,48 +135,37 @@ class ExportJob:
         raise JobSpecError(f"E001 unknown database {name!r}")
 
     def validate(self) -> None:
-        """The spec rules, all checked before any data is read."""
-        g = self.global_ = self.global_.with_defaults()
-        names = set()
-        for db in self.databases:
-            if not db.name:
-                raise JobSpecError("E001 database without name")
-            if not db.driver:
-                raise JobSpecError(f"E001 database {db.name} has no driver")
-            if not db.dsn:
-                raise JobSpecError(f"E001 database {db.name} has no dsn")
-            if db.driver.strip().lower() not in DRIVER_ALIASES:
-                raise JobSpecError(f"E001 database {db.name} has unknown driver {db.driver!r}")
-            names.add(db.name)
-        if g.default_format not in FORMATS:
-            raise JobSpecError(f"E001 unknown default format {g.default_format!r}")
-        if g.narrow not in ("null", "wrap"):
-            raise JobSpecError(f"E001 narrow must be 'null' or 'wrap', not {g.narrow!r}")
-        if g.publish not in PUBLISH_MODES:
-            raise JobSpecError(f"E001 publish must be one of {PUBLISH_MODES}, not {g.publish!r}")
-        targets: dict[str, str] = {}
-        for i, t in enumerate(self.tasks):
-            label = t.name or f"task{i + 1}"
-            if not t.db:
-                raise JobSpecError(f"E001 task {label} has no db")
-            if t.db not in names:
-                raise JobSpecError(f"E001 task {label} refers to unknown database {t.db!r}")
-            has_tables, has_query, has_output = bool(t.tables), bool(t.query), bool(t.output)
-            if has_tables and has_query:
-                raise JobSpecError(f"E001 task {label} sets both tables and query")
-            if not has_tables and not has_query:
-                raise JobSpecError(f"E001 task {label} sets neither tables nor query")
-            if has_query and not has_output:
-                raise JobSpecError(f"E001 task {label} uses a query without output")
-            if any(not str(tb).strip() for tb in t.tables):
-                raise JobSpecError(f"E001 task {label} lists an empty table name")
-            fmt = t.format or g.default_format
-            if fmt not in FORMATS:
-                raise JobSpecError(f"E001 task {label} has unknown format {fmt!r}")
-            for unit in self._units_of(t, i):
-                if unit.target in targets:
-                    raise JobSpecError(f"E001 two exports write {unit.target}: {targets[unit.target]} and {unit.label}")
-                targets[unit.target] = unit.label
+        """Refuse the job, before any data is read, with everything that is wrong in it."""
+        self.global_ = self.global_.with_defaults()
+        _refuse(self.problems())
+
+    def problems(self) -> list[str]:
+        """Every violation of the spec, each with its place and key."""
+        g = self.global_
+        allowed = [("default_format", tuple(FORMATS)), ("narrow", ("null", "wrap")), ("publish", tuple(PUBLISH_MODES))]
+        wrong = [f"[global] {key}: {getattr(g, key)!r} is none of {', '.join(values)}"
+                 for key, values in allowed if getattr(g, key) not in values]
+        for k, db in enumerate(self.databases, 1):
+            at = f"[[databases]] {db.name or k}"
+            wrong += [f"{at} {key}: missing" for key in ("name", "driver", "dsn") if not getattr(db, key)]
+            if db.driver and db.driver.strip().lower() not in DRIVER_ALIASES:
+                wrong.append(f"{at} driver: {db.driver!r} is not known")
+        known, writers = {db.name for db in self.databases if db.name}, {}
+        for k, t in enumerate(self.tasks):
+            at, before = f"[[tasks]] {t.name or k + 1}", len(wrong)
+            if t.db not in known:
+                wrong.append(f"{at} db: {t.db!r} is not among the databases" if t.db else f"{at} db: missing")
+            if len([x for x in (t.tables, t.query) if x]) != 1:
+                wrong.append(f"{at} tables, query: exactly one of them is needed")
+            if t.query and not t.output:
+                wrong.append(f"{at} output: a query needs the name of its output")
+            wrong += [f"{at} tables: name {n} is empty" for n, table in enumerate(t.tables, 1) if not str(table).strip()]
+            if t.format and t.format not in FORMATS:
+                wrong.append(f"{at} format: {t.format!r} is none of {', '.join(FORMATS)}")
+            if len(wrong) == before and g.default_format in FORMATS:
+                for unit in self._units_of(t, k):
+                    writers.setdefault(unit.target, []).append(unit.label)
+        return wrong + [f"{target}: written by {' and '.join(labels)}" for target, labels in writers.items() if len(labels) > 1]
 
     def _units_of(self, t: TaskSpec, i: int) -> list["Unit"]:
         g = self.global_
@@ -219,7 +220,8 @@ def make_source(db: DatabaseSpec, batch_size: int = 10000):
     if kind in JDBC_KINDS:
         from tablelift.sources.jdbc import JdbcSource
 
-        return JdbcSource(db.name, db.driver, db.dsn, fetchsize=fetch, options=db.options)
+        return JdbcSource(db.name, db.driver, db.dsn, fetchsize=fetch, options=db.options,
+                          max_partitions=db.max_open_conns)
     raise JobSpecError(f"E001 driver {db.driver!r} cannot be exported from")
 
 
@@ -357,11 +359,5 @@ def report_summary(report: DataFrame) -> DataFrame:
 
 
 def _error_text(e: Exception) -> str:
-    """First line of the error, plus the Python worker's last line when Spark wraps one."""
-    text = str(e)
-    first = text.splitlines()[0] if text else type(e).__name__
-    i = text.rfind("\n", 0, text.find("Error: ", text.find("Traceback")) + 1) if "Traceback" in text else -1
-    tail = ""
-    if i >= 0:
-        tail = text[i + 1:].splitlines()[0]
-    return (first + (" | " + tail if tail and tail != first else ""))[:800]
+    """The whole text of the error, the Python worker's traceback included when Spark wraps one."""
+    return str(e) or type(e).__name__

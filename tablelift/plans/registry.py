@@ -118,18 +118,13 @@ def q_type_map(spark, sf):
     return cat.select("source_type", target_type_col(F.col("source_type")).alias("target_type")).distinct()
 
 
-# The sample query task (customers with their recent order count and amount). Written with the
-# aggregate below the join: the WHERE on the orders side makes the LEFT JOIN an inner join, and
-# c_custkey is the customer key, so aggregating orders per customer first gives the same rows
-# while a customer holding a large share of orders collapses map-side before any shuffle.
+# The sample query task (customers with their recent order count and amount), run as a user gives it.
 SCAN_QUERY_AGG_SPARK = """
-select c.c_custkey as user_id, c.c_name as user_name, o.order_count, o.total_amount
-from customer c
-join (select o_custkey, count(o_orderkey) as order_count,
-             sum(cast(o_totalprice as decimal(38,10))) as total_amount
-      from orders where o_orderdate >= timestamp_ntz'1998-01-01'
-      group by o_custkey) o
-  on c.c_custkey = o.o_custkey
+select c.c_custkey as user_id, c.c_name as user_name, count(o.o_orderkey) as order_count,
+       sum(cast(o.o_totalprice as decimal(38,10))) as total_amount
+from customer c left join orders o on c.c_custkey = o.o_custkey
+where o.o_orderdate >= timestamp_ntz'1998-01-01'
+group by c.c_custkey, c.c_name
 """
 SCAN_QUERY_AGG_DUCK = """
 select c.c_custkey as user_id, c.c_name as user_name, count(o.o_orderkey) as order_count,
@@ -321,8 +316,8 @@ def q_cast_decimal(spark, sf):
                     _cast_on(o, "o_custkey", casts.to_decimal).alias("k_decimal"))
 
 
-@query("conform_temporal", """
-select event_id, cast(ts as date) as v_date, ts as v_timestamp, strftime(ts, '%H:%M:%S') as v_time from events
+@query("conform_temporal", r"""
+select event_id, cast(ts as date) as v_date, ts as v_timestamp, regexp_replace(strftime(ts, '%H:%M:%S.%f'), '\.000000$', '') as v_time from events
 """)
 def q_conform_temporal(spark, sf):
     e = load(spark, sf, "events")
@@ -457,8 +452,7 @@ def q_first_last(spark, sf):
 
 @query("peek", "select * from orders order by o_totalprice desc, o_orderkey limit 10")
 def q_peek(spark, sf):
-    o = load(spark, sf, "orders")
-    return o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey")).limit(10)
+    return verify.peek(load(spark, sf, "orders"), "o_totalprice", 10, descending=True, ties=("o_orderkey",))
 
 
 @query("point_lookup", "select * from orders where o_orderkey in (1, 500, 1000)")
@@ -739,50 +733,41 @@ from events group by 1, 2
 
 
 def _events_runlog(spark, sf):
+    """``events`` as a run log; seconds are exact decimals of two places."""
     e = load(spark, sf, "events")
     return e.select(F.col("event_type").alias("test"),
                     F.expr("shiftleft(1, cast(user_id % 4 as int))").alias("workers"),
                     F.lit(1).cast("bigint").alias("rows"),
-                    (F.round(F.col("value") * 100).cast("bigint").cast("double") / F.lit(100.0)).alias("seconds"))
-
-
-def _runlog_tp(spark, sf):
-    e = load(spark, sf, "events")
-    log = e.select(F.col("event_type").alias("test"),
-                   F.expr("shiftleft(1, cast(user_id % 4 as int))").alias("workers"),
-                   F.round(F.col("value") * 100).cast("bigint").alias("centis"))
-    agg = log.groupBy("test", "workers").agg(F.count(F.lit(1)).alias("rows"), F.sum("centis").alias("centis"))
-    return agg.select("test", "workers", "rows",
-                      (F.col("centis").cast("double") / F.lit(100.0)).alias("seconds")).withColumn(
-        "throughput", F.col("rows").cast("double") / F.col("seconds"))
+                    (F.round(F.col("value") * 100).cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(18,2)").alias("seconds"))
 
 
 @query("throughput", f"""
-select test, workers, rows, cast(centis as double) / 100.0 as seconds,
+select test, workers, rows as runs, rows, cast(centis as double) / 100.0 as seconds,
        cast(rows as double) / (cast(centis as double) / 100.0) as throughput
 from ({RUNLOG_DUCK_BASE}) b
 """)
 def q_throughput(spark, sf):
-    return _runlog_tp(spark, sf)
+    return runlog.throughput(_events_runlog(spark, sf))
 
 
 @query("scalability", f"""
-with tp as (select test, workers, rows, cast(centis as double) / 100.0 as seconds,
+with tp as (select test, workers, rows as runs, rows, cast(centis as double) / 100.0 as seconds,
                    cast(rows as double) / (cast(centis as double) / 100.0) as throughput
             from ({RUNLOG_DUCK_BASE}) b)
-select test, workers, rows, seconds, throughput,
+select test, workers, runs, rows, seconds, throughput,
        throughput / first_value(throughput) over (partition by test order by workers) as speedup,
        throughput / first_value(throughput) over (partition by test order by workers) / cast(workers as double) * 100.0 as efficiency
 from tp
 """)
 def q_scalability(spark, sf):
-    return runlog.scalability(_runlog_tp(spark, sf))
+    return runlog.scalability(runlog.throughput(_events_runlog(spark, sf)))
 
 
 @query("runlog_summary", """
-select event_type as test, count(*) as runs, count(*) as rows
+select event_type as test, count(*) as runs, count(*) as rows,
+       cast(sum(cast(round(value * 100) as bigint)) as double) / 100 as seconds,
+       max(1 / nullif(cast(round(value * 100) as double) / 100, 0)) as best_throughput
 from events group by 1
 """)
 def q_runlog_summary(spark, sf):
-    s = runlog.summary(_events_runlog(spark, sf))
-    return s.select("test", "runs", "rows")
+    return runlog.summary(_events_runlog(spark, sf))

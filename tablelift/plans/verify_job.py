@@ -25,7 +25,9 @@ VERIFY_SCHEMA = ("db string, table_name string, target string, source_rows long,
 
 
 def verify_job(spark: SparkSession, job: ExportJob, report: DataFrame, tables_per_job: int = 32) -> DataFrame:
-    """(db, table_name, target, source_rows, output_rows, columns_checked, ok) per exported table.
+    """(db, table_name, target, source_rows, output_rows, columns_checked, ok) per unit of the job.
+
+    A unit that the report doesn't list as exported has no rows to compare and is not ok.
 
     Tables are checked ``tables_per_job`` at a time: each batch is one Spark job whose independent
     scans and partial aggregates run side by side, and driver-side planning stays bounded for jobs
@@ -35,7 +37,7 @@ def verify_job(spark: SparkSession, job: ExportJob, report: DataFrame, tables_pe
     done = {r["target"] for r in report.where(F.col("status") == "ok").select("target").collect()}
     units = [u for u in job.units() if u.target in done]
     sources = {db.name: make_source(db) for db in job.databases}
-    rows = []
+    rows = [(u.db, u.table or u.query, u.target, None, None, 0, False) for u in job.units() if u.target not in done]
     for start in range(0, len(units), max(1, tables_per_job)):
         batch = _verify_frames(spark, units[start:start + tables_per_job], sources, job.global_.narrow)
         rows.extend(tuple(r) for r in batch.collect())

@@ -13,6 +13,8 @@ as one snapshot.
 from __future__ import annotations
 
 import math
+from datetime import date, datetime
+from decimal import Decimal
 from urllib.parse import parse_qsl, unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,7 +142,7 @@ def row_estimate_sql(driver: str, table: str) -> str | None:
         cond = f" AND table_schema = '{schema}'" if schema else " AND table_schema = DATABASE()"
         return f"SELECT TABLE_ROWS AS n FROM information_schema.tables WHERE table_name = '{name}'{cond}"
     if kind == "oracle":
-        owner = f" AND OWNER = '{schema.upper()}'" if schema else ""
+        owner = f" AND OWNER = '{schema.upper()}'" if schema else " AND OWNER = SYS_CONTEXT('USERENV', 'CURRENT_SCHEMA')"
         return f"SELECT NUM_ROWS AS n FROM ALL_TABLES WHERE TABLE_NAME = '{name.upper()}'{owner}"
     if kind == "mssql":
         return (f"SELECT SUM(row_count) AS n FROM sys.dm_db_partition_stats "
@@ -148,8 +150,11 @@ def row_estimate_sql(driver: str, table: str) -> str | None:
     return None
 
 
+MAX_PARTITIONS = 10_000
+
+
 def plan_partitions(lo: int, hi: int, n: int, rows_per_partition: int = 1_000_000,
-                    max_partitions: int = 10_000) -> int:
+                    max_partitions: int = MAX_PARTITIONS) -> int:
     """Partitions so each holds about ``rows_per_partition`` rows (at least one).
 
     Integer keys also cap the count at the number of distinct key values in range; date and
@@ -164,7 +169,8 @@ def plan_partitions(lo: int, hi: int, n: int, rows_per_partition: int = 1_000_00
 
 
 def quantile_sql(driver: str, table: str, column: str, buckets: int, sample_pct: float | None = None) -> str:
-    """Upper key of each of ``buckets`` equal-count buckets, computed by the database.
+    """(bucket, upper key) of ``buckets`` equal-count buckets, computed by the database. The bucket
+    numbers carry the database's own order of the keys, which predicates must follow.
 
     With ``sample_pct`` the buckets come from a table sample (the database sorts a few million rows,
     not the table). Bucket bounds only place the split points: the predicates built from them still
@@ -184,10 +190,15 @@ def quantile_sql(driver: str, table: str, column: str, buckets: int, sample_pct:
         else:  # mysql: no TABLESAMPLE
             where = f" WHERE RAND() < {float(p) / 100}"
     alias = "" if kind == "oracle" else " AS q"
-    return (f"SELECT MAX({column}) AS upper_key FROM (SELECT {column}, NTILE({buckets}) OVER (ORDER BY {column}) "
+    return (f"SELECT bucket, MAX({column}) AS upper_key FROM (SELECT {column}, NTILE({buckets}) OVER (ORDER BY {column}) "
             f"AS bucket FROM {t}{where}){alias} GROUP BY bucket")
 
 
+def _whole(v):
+    """Whole decimals (every integer key of Oracle is a NUMBER) as integers."""
+    return int(v) if isinstance(v, Decimal) and v == v.to_integral_value() else v
+
+
 QUANTILE_SAMPLE_ROWS = 2_000_000
 
 
@@ -199,46 +210,63 @@ def quantile_sample_pct(rows: int | None) -> float | None:
 
 
 def _mod(driver: str, expr: str, n: int) -> str:
+    """The whole part of ``expr`` dealt to 0 .. n-1, so that fractions have a place too."""
     if canonical_driver(driver) == "mssql":
-        return f"ABS({expr} % {n})"
-    return f"ABS(MOD({expr}, {n}))"
+        return f"ABS(CAST(FLOOR({expr}) AS DECIMAL(38, 0)) % {n})"
+    return f"ABS(MOD(FLOOR({expr}), {n}))"
 
 
 def predicates_from_uppers(column: str, uppers: list, split_column: str | None = None,
                            driver: str = "postgres") -> list[str]:
     """Disjoint, covering WHERE clauses from bucket upper keys (NULL keys get their own range).
 
-    A key value that closes several equal-count buckets is a hot value. With ``split_column``
-    (any numeric column), such a value is read by as many partitions as buckets it spans, split
-    by ``ABS(MOD(split_column, k))``, plus one partition for a NULL ``split_column``; the keys
-    below it in the same range get their own partition.
+    ``uppers`` come in the database's order and are never compared here: collations differ. Only
+    neighbours that are the same value are merged. Every clause starts above the bound before it, so
+    keys that the database holds equal are read once however they are spelled.
+
+    A key value that closes several equal-count buckets is a hot value. With ``split_column`` (any
+    numeric column), it is read by as many partitions as buckets it spans, by the whole part of
+    ``split_column``: one for each remainder but the last, one for every other remainder, and one
+    for rows that have none. The keys below it in the same range get their own partition.
     """
-    weight: dict = {}
+    runs: list[list] = []
     for u in uppers:
-        if u is not None:
-            weight[u] = weight.get(u, 0) + 1
-    preds = []
-    prev = None
-    for u in sorted(weight):
-        lit = _sql_literal(u)
-        low = f"{column} > {_sql_literal(prev)} AND " if prev is not None else ""
-        k = weight[u]
+        if u is None:
+            continue
+        if runs and runs[-1][0] == u:
+            runs[-1][1] += 1
+        else:
+            runs.append([u, 1])
+    preds, low = [], ""
+    for u, k in runs:
+        lit = _sql_literal(u, driver)
         if k > 1 and split_column:
+            part, here = _mod(driver, split_column, k), f"{low}{column} = {lit}"
             preds.append(f"{low}{column} < {lit}")
-            preds.extend(f"{column} = {lit} AND {_mod(driver, split_column, k)} = {i}" for i in range(k))
-            preds.append(f"{column} = {lit} AND {split_column} IS NULL")
+            preds.extend(f"{here} AND {part} = {i}" for i in range(k - 1))
+            preds.append(f"{here} AND {part} NOT IN ({', '.join(map(str, range(k - 1)))})")
+            preds.append(f"{here} AND {part} IS NULL")
         else:
             preds.append(f"{low}{column} <= {lit}")
-        prev = u
-    if prev is not None:
-        preds.append(f"{column} > {_sql_literal(prev)}")
+        low = f"{column} > {lit} AND "
+    if runs:
+        preds.append(low.removesuffix(" AND "))
     preds.append(f"{column} IS NULL")
     return preds
 
 
-def _sql_literal(v) -> str:
+def _sql_literal(v, driver: str = "postgres") -> str:
+    """A literal of the value's own type: dates don't depend on the session's text format."""
+    if isinstance(v, Decimal):
+        return format(v, "f")
     if isinstance(v, (int, float)):
         return repr(v)
+    if isinstance(v, (date, datetime)):
+        stamp = isinstance(v, datetime)
+        text = v.isoformat(" ") if stamp else v.isoformat()
+        if canonical_driver(driver) == "mssql":
+            return f"CAST('{text}' AS {'DATETIME2' if stamp else 'DATE'})"
+        return f"{'TIMESTAMP' if stamp else 'DATE'} '{text}'"
     return "'" + str(v).replace("'", "''") + "'"
 
 
@@ -247,10 +275,11 @@ def catalog_sql(driver: str, table: str) -> str:
     kind = canonical_driver(driver)
     schema, _, name = table.rpartition(".")
     if kind == "oracle":
-        owner = f" AND OWNER = '{schema.upper()}'" if schema else ""
+        owner = f" AND OWNER = '{schema.upper()}'" if schema else " AND OWNER = SYS_CONTEXT('USERENV', 'CURRENT_SCHEMA')"
         return (f"SELECT COLUMN_NAME AS column_name, DATA_TYPE AS data_type, COLUMN_ID AS ordinal "
                 f"FROM ALL_TAB_COLUMNS WHERE TABLE_NAME = '{name.upper()}'{owner}")
-    cond = f" AND table_schema = '{schema}'" if schema else ""
+    here = {"mysql": "DATABASE()", "mssql": "SCHEMA_NAME()"}.get(kind, "current_schema()")
+    cond = f" AND table_schema = '{schema}'" if schema else f" AND table_schema = {here}"
     # PostgreSQL: the type's own name (int4, float8, timestamptz, _int4 for arrays), which is what
     # its drivers report as the column type name; information_schema's data_type spells it out.
     type_col = "upper(udt_name)" if kind == "postgres" else "data_type"
@@ -262,7 +291,9 @@ class JdbcSource:
     """A named JDBC database: table scans, query scans, catalog lookups."""
 
     def __init__(self, name: str, driver: str, dsn: str, fetchsize: int = 10000,
-                 rows_per_partition: int = 1_000_000, options: dict | None = None):
+                 rows_per_partition: int = 1_000_000, options: dict | None = None,
+                 max_partitions: int | None = None):
+        self.max_partitions = max_partitions or MAX_PARTITIONS  # key ranges, and so connections, of a scan
         self.name, self.driver, self.dsn = name, driver, dsn
         self.kind = canonical_driver(driver)
         self.fetchsize = fetchsize
@@ -304,8 +335,8 @@ class JdbcSource:
         """
         if partition_column is None or bounds is None:
             return {"options": table_options(self.driver, self.dsn, table, self.fetchsize), "predicates": None}
-        lo, hi, n = bounds
-        parts = plan_partitions(lo, hi, n, self.rows_per_partition)
+        lo, hi, n = (_whole(b) for b in bounds)
+        parts = plan_partitions(lo, hi, n, self.rows_per_partition, self.max_partitions)
         if skewed and parts > 1 and uppers:
             opts = {**jdbc_connection(self.driver, self.dsn), "dbtable": quote_table_name(table, self.driver),
                     "fetchsize": str(self.fetchsize), "preferTimestampNTZ": "true"}
@@ -337,10 +368,10 @@ class JdbcSource:
         lo, hi, n = tuple(self.query_rows(spark, bounds_sql(self.driver, table, column, estimate is None))[0])
         bounds = (lo, hi, estimate if estimate is not None else n)
         uppers = None
-        parts = plan_partitions(*bounds, self.rows_per_partition)
+        parts = plan_partitions(*bounds, self.rows_per_partition, self.max_partitions)
         if skewed and parts > 1:
             sql = quantile_sql(self.driver, table, column, parts, quantile_sample_pct(bounds[2]))
-            uppers = [r[0] for r in self.query_rows(spark, sql)]
+            uppers = [u for _, u in sorted(map(tuple, self.query_rows(spark, sql)), key=lambda r: int(r[0]))]
         return bounds, uppers
 
     def load(self, spark: SparkSession, plan: dict) -> DataFrame:

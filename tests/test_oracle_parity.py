@@ -1,10 +1,11 @@
-"""Every registered query against its DuckDB oracle (multiset compare, columns sorted by name)."""
+"""Every query of the registry against its DuckDB oracle (multiset compare, columns sorted by name)."""
 
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from scripts.check_oracle import canon
+from tablelift.plans.registry import ORACLE, QUERIES
 
 from .conftest import SF_SMALL
 
@@ -21,18 +22,18 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"size_ranking"}
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLE) == {"size_ranking"}
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
-    df = queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    if key not in oracle_sql():
+    if key not in ORACLE:
         assert len(rows) > 0
         return
-    res = duck.execute(oracle_sql()[key])
+    res = duck.execute(ORACLE[key])
     a = canon(df.columns, rows)
     b = canon([d[0] for d in res.description], res.fetchall())
     assert a[0] == b[0]

@@ -139,14 +139,38 @@ def test_hot_key_predicates_split_and_cover_every_row_once():
                case when i % 11 = 0 then null else i - 500 end as s
         from range(0, 3000) r(i)""")
     uppers = [r[0] for r in con.execute(
-        "select max(id) from (select id, ntile(6) over (order by id) b from t) group by b").fetchall()]
+        "select max(id) from (select id, ntile(6) over (order by id) b from t) group by b order by b").fetchall()]
     preds = jdbc.predicates_from_uppers("id", uppers, split_column="s", driver="postgres")
     assert sum(1 for p in preds if "MOD" in p) >= 2
     hits = con.execute("select " + ", ".join(f"count(*) filter (where {p})" for p in preds) + ", count(*) from t").fetchone()
     assert sum(hits[:-1]) == hits[-1] == 3000
     per_row = con.execute("select max(" + " + ".join(f"cast(({p}) is true as int)" for p in preds) + ") from t").fetchone()
     assert per_row[0] == 1
-    assert "ABS(s % 2)" in jdbc.predicates_from_uppers("id", [7, 7], split_column="s", driver="mssql")[1]
+    assert "ABS(CAST(FLOOR(s) AS DECIMAL(38, 0)) % 2)" in jdbc.predicates_from_uppers("id", [7, 7], split_column="s", driver="mssql")[1]
+
+
+@pytest.mark.parametrize("key, split", [("k", "amt"), ("folded", "amt"), ("d", "amt"), ("ts", "n")])
+def test_predicates_read_every_row_once_for_any_key(key, split):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create table t (k varchar, folded varchar collate nocase, d date, ts timestamp, amt decimal(10, 2), n int)")
+    con.execute("""insert into t
+        select case when i % 3 = 0 then 'b' when i % 31 = 0 then null else chr(65 + (i * 7 % 58)::int) end as k, k,
+               date '2024-01-01' + (i % 40)::int as d, timestamp '2024-01-01' + to_seconds(i % 50) as ts,
+               case when i % 13 = 0 then null else (i - 700) / 4 end::decimal(10, 2) as amt, i % 9 as n
+        from range(0, 2000) r(i)""")
+    uppers = [r[1] for r in con.execute(jdbc.quantile_sql("postgres", "t", key, 8) + " ORDER BY bucket").fetchall()]
+    preds = jdbc.predicates_from_uppers(key, uppers, split_column=split)
+    once = con.execute("select count(*) from t where " + " + ".join(f"(({p}) is true)::int" for p in preds) + " = 1")
+    assert once.fetchone()[0] == 2000
+
+
+def test_every_violation_is_named():
+    with pytest.raises(JobSpecError) as e:
+        ExportJob.from_dict({"global": {"overwite": True}, "databases": [{"name": "a", "driver": "postgres"}],
+                             "tasks": [{"db": "b", "tables": ["t"], "query": "q"}]})
+    assert all(x in str(e.value) for x in ("overwite", "dsn: missing", "'b'", "exactly one", "output"))
 
 
 class _FakeJdbc(jdbc.JdbcSource):
@@ -159,7 +183,7 @@ class _FakeJdbc(jdbc.JdbcSource):
     def query_rows(self, spark, sql):
         self.sql.append(sql)
         if "NTILE" in sql:
-            return [(u,) for u in self.uppers]
+            return list(enumerate(self.uppers, 1))
         if "pg_class" in sql:
             return [(self.estimate,)]
         return [self.stats]
