@@ -492,6 +492,22 @@ def q_profile(spark, sf):
     return verify.profile(o).where(F.col("column_name") != verify.ROW_KEY).drop("hash_sum")
 
 
+@query("profile_all", f"""
+select *, true as hash_match from ({_profile_sql("orders", ORDERS_COLS)}
+union all
+select '*' as column_name, count(*) as row_count, 0 as null_count, null as min_value, null as max_value from orders) p
+""")
+def q_profile_all(spark, sf):
+    """``profile`` on every column and the whole row; SQL cannot state the hashes, so they are held
+    against those of the exported table."""
+    report, out = export(spark, sf, ["orders"])
+    _ok(report, "orders")
+    back = verify.profile(spark.read.parquet(f"{out}/orders.parquet"))
+    back = back.select("column_name", F.col("hash_sum").alias("output_hash"))
+    return verify.profile(load(spark, sf, "orders")).join(back, "column_name", "left") \
+        .withColumn("hash_match", F.expr("coalesce(hash_sum = output_hash, hash_sum <=> output_hash)")).drop("hash_sum", "output_hash")
+
+
 def _reconcile_sql(table: str, cols: list[str]) -> str:
     parts = [f"select '{c}' as column_name, count(*) as source_rows, count(*) as output_rows, "
              f"count(*) - count({c}) as source_nulls, count(*) - count({c}) as output_nulls, "
@@ -527,12 +543,9 @@ def q_diff_except_all(spark, sf):
 ROLLUP_GROUPS = {"tpch": ["region", "nation", "supplier", "customer"], "content": ["labels", "benchmark"]}
 
 
-@query("verify_rollup", "\nunion all\n".join(
-    f"select '{db}' as db, cast({len(ts)} as bigint) as tables, cast({len(ts)} as bigint) as passed, true as ok"
-    for db, ts in ROLLUP_GROUPS.items()))
-def q_verify_rollup(spark, sf):
+def _rollup(spark, sf, groups: dict[str, list[str]]) -> DataFrame:
     checks = []
-    for db, tables in ROLLUP_GROUPS.items():
+    for db, tables in groups.items():
         report, out = export(spark, sf, tables)
         for t in tables:
             _ok(report, t)
@@ -545,6 +558,25 @@ def q_verify_rollup(spark, sf):
     return verify.verify_rollup(all_checks)
 
 
+def _rollup_sql(groups: dict[str, list[str]]) -> str:
+    return "\nunion all\n".join(
+        f"select '{db}' as db, cast({len(ts)} as bigint) as tables, cast({len(ts)} as bigint) as passed, true as ok"
+        for db, ts in groups.items())
+
+
+@query("verify_rollup", _rollup_sql(ROLLUP_GROUPS))
+def q_verify_rollup(spark, sf):
+    return _rollup(spark, sf, ROLLUP_GROUPS)
+
+
+ALL_GROUPS = {"tpch": TABLES[:7], "content": TABLES[7:]}
+
+
+@query("verify_rollup_all", _rollup_sql(ALL_GROUPS))
+def q_verify_rollup_all(spark, sf):
+    return _rollup(spark, sf, ALL_GROUPS)
+
+
 @query("output_exists", f"""
 select table_name, true as output_exists, true as non_empty, true as schema_readable,
        cast(count(*) as integer) as columns
@@ -697,32 +729,57 @@ def q_row_groups(spark, sf):
 RUN_TABLES = ["region", "nation", "supplier", "customer", "orders"]
 
 
-@query("run_report", "\nunion all\n".join(
-    f"select '{t}' as table_name, 'ok' as status, count(*) as rows, cast(0 as bigint) as reject_columns from {t}"
-    for t in RUN_TABLES))
-def q_run_report(spark, sf):
-    report, _ = export(spark, sf, RUN_TABLES)
+def _run_report_sql(tables: list[str]) -> str:
+    return "\nunion all\n".join(
+        f"select '{t}' as table_name, 'ok' as status, count(*) as rows, cast(0 as bigint) as reject_columns from {t}"
+        for t in tables)
+
+
+def _run_report(spark, sf, tables: list[str]) -> DataFrame:
+    report, _ = export(spark, sf, tables)
     df = report_df(spark, report)
     return df.select("table_name", "status", "rows", F.size(F.map_keys("rejects")).cast("bigint").alias("reject_columns"))
 
 
+@query("run_report", _run_report_sql(RUN_TABLES))
+def q_run_report(spark, sf):
+    return _run_report(spark, sf, RUN_TABLES)
+
+
+@query("run_report_all", _run_report_sql(TABLES))
+def q_run_report_all(spark, sf):
+    return _run_report(spark, sf, TABLES)
+
+
 VERIFY_TABLES = {"region": 2, "nation": 3, "supplier": 4, "customer": 5, "orders": 6, "lineitem": 11}
 
 
-@query("verify_export", "\nunion all\n".join(
-    f"select 'tpch' as db, '{t}' as table_name, count(*) as source_rows, count(*) as output_rows, "
-    f"cast({n} as bigint) as columns_checked, true as ok from {t}" for t, n in VERIFY_TABLES.items()))
-def q_verify_export(spark, sf):
+def _verify_export(spark, sf, tables: list[str]) -> DataFrame:
     from tablelift.plans.verify_job import verify_job
 
     out = scratch_path(spark, "verify")
     job = ExportJob(GlobalSpec(workers=4, output_dir=out), [DatabaseSpec("tpch", "parquet", sf)],
-                    [TaskSpec(db="tpch", tables=[t for t in VERIFY_TABLES if t != "lineitem"]),
+                    [TaskSpec(db="tpch", tables=[t for t in tables if t != "lineitem"]),
                      TaskSpec(db="tpch", tables=["lineitem"], format="arrow")])
     report = run(spark, job)
     return verify_job(spark, job, report).drop("target")
 
 
+@query("verify_export", "\nunion all\n".join(
+    f"select 'tpch' as db, '{t}' as table_name, count(*) as source_rows, count(*) as output_rows, "
+    f"cast({n} as bigint) as columns_checked, true as ok from {t}" for t, n in VERIFY_TABLES.items()))
+def q_verify_export(spark, sf):
+    return _verify_export(spark, sf, list(VERIFY_TABLES))
+
+
+@query("verify_export_all", "\nunion all\n".join(
+    f"select 'tpch' as db, '{t}' as table_name, count(*) as source_rows, count(*) as output_rows, "
+    f"(select count(*) from information_schema.columns where table_name = '{t}') as columns_checked, true as ok from {t}"
+    for t in TABLES))
+def q_verify_export_all(spark, sf):
+    return _verify_export(spark, sf, TABLES)
+
+
 # ---------------------------------------------------------------- run-log analytics (events as the run log)
 
 RUNLOG_DUCK_BASE = """
