@@ -8,9 +8,11 @@ document is rejected when the distance of the character classes, or that of the
 exceeds its bound; each comparison is only made from a minimum length on, since short texts stray by
 chance. Base rules (too few words, too many repeated 5-word windows) come first.
 
-Word counts are combined per task before the shuffle. References are made for languages with at
-least ``min_share`` of the documents, which bounds what is broadcast to ``1 / min_share`` languages;
-documents of rarer ones are compared with the others' references like all documents.
+Word counts are combined per task before the shuffle. Every language with ``min_reference_words``
+words has a reference, however small its share of the corpus: so many words leave a histogram of 101
+cells at about sqrt(101 / (8 n ln 2)) = 0.06 from its language's. Documents of languages with fewer
+words are not judged by distance, only by the base rules. The references are broadcast (about 7 KB
+a language) and compared ``BLOCK`` languages at a time.
 
 Defined results: a null text is an empty one and fails the base rules; a null lang counts as a
 language of its own; without any reference (empty table) nothing is compared; rows are treated
@@ -34,6 +36,7 @@ from tablelift.llm.common import Scratch, arrow_map, gram_hashes, text_chunks, w
 
 SPACE, SYMBOL, LOWER, UPPER, DIGIT, PUNCT, CONTROL, OTHER, INNER = range(9)
 FLUSH_WORDS = 200_000
+BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -46,7 +49,7 @@ class Rules:
     char_min_length: int = 200
     word_distance: float = 0.5
     word_min_length: int = 50
-    min_share: float = 0.001
+    min_reference_words: int = 5_000
 
 
 def char_classes() -> np.ndarray:
@@ -86,7 +89,7 @@ def repeated_words(grams: np.ndarray, window: int) -> int:
 
 
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, chars, docs, size = defaultdict(Counter), defaultdict(lambda: np.zeros(9, np.int64)), Counter(), 0
+    words, chars, size = defaultdict(Counter), defaultdict(lambda: np.zeros(9, np.int64)), 0
 
     def flush():
         rows = [(lang, w, n) for lang, c in words.items() for w, n in c.items()]
@@ -102,48 +105,40 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, t, h in zip(langs, texts, histograms(texts), strict=True):
             words[lang].update((t or b"").lower().split())
             chars[lang] += h
-            docs[lang] += 1
         size = sum(map(len, words.values()))
         if size >= FLUSH_WORDS:
             yield batch(flush())
     yield batch(flush())
-    # space cannot be in a word: such keys carry the character classes and the documents
-    yield batch([(k, b" %d" % i, int(n)) for k, h in chars.items() for i, n in enumerate(h)]
-                + [(k, b" docs", n) for k, n in docs.items()])
+    # space cannot be in a word: such keys carry the character classes
+    yield batch([(k, b" %d" % i, int(n)) for k, h in chars.items() for i, n in enumerate(h)])
 
 
 def references(docs: DataFrame, rules: Rules) -> dict[str, tuple[np.ndarray, list[bytes], np.ndarray]]:
     """lang -> (character distribution, common words, their distribution with the rest last)."""
-    counts = arrow_map(docs.select(F.coalesce("lang", F.lit("")).alias("lang"), "text")
-                       .select(F.col("text"), F.col("lang")), _count_task, "lang string, word binary, n long")
+    counts = arrow_map(docs, _count_task, "lang string, word binary, n long")
     scratch = Scratch(docs.sparkSession)
     counts = scratch.table(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "word-counts")
-    meta = [tuple(r) for r in counts.filter("word = cast(' docs' as binary)").select("lang", "n").collect()] \
-        if counts.filter("word = cast(' docs' as binary)").count() <= 10_000 else None
-    if meta is None:
-        raise ValueError("lang has more than 10,000 values: it holds no languages")
-    total = sum(n for _, n in meta)
-    langs = sorted(k for k, n in meta if n >= rules.min_share * total)
-    here = counts.filter(F.col("lang").isin(langs) if langs else F.lit(False))
     is_word = F.expr("substring(word, 1, 1) <> cast(' ' as binary)")
+    sums = dict(map(tuple, counts.filter(is_word).groupBy("lang").agg(F.sum("n").alias("n"))
+                    .filter(F.col("n") >= rules.min_reference_words).collect()))
+    langs = sorted(sums)
+    here = counts.join(F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in langs], "lang string")), "lang", "left_semi")
     order = W.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = here.filter(is_word).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= rules.n_common)
-    sums = {r["lang"]: r["n"] for r in here.filter(is_word).groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     chars, words = defaultdict(lambda: np.zeros(9)), defaultdict(list)
-    for r in here.filter(~is_word & F.expr("word <> cast(' docs' as binary)")).collect():
+    for r in here.filter(~is_word).collect():
         chars[r["lang"]][int(bytes(r["word"]))] = r["n"]
     for r in top.orderBy("lang", "r").collect():
         words[r["lang"]].append((bytes(r["word"]), r["n"]))
     scratch.drop("word-counts")
     out = {}
     for k in langs:
-        if sums.get(k):
-            n = np.array([n for _, n in words[k]] + [sums[k] - sum(n for _, n in words[k])], float)
-            out[k] = (chars[k][:INNER] / max(chars[k][:INNER].sum(), 1), [w for w, _ in words[k]], n / sums[k])
+        n = np.array([n for _, n in words[k]] + [sums[k] - sum(n for _, n in words[k])], float)
+        out[k] = (chars[k][:INNER] / max(chars[k][:INNER].sum(), 1), [w for w, _ in words[k]], n / sums[k])
     return out
 
 
-def _judge(texts: list, refs: dict, rules: Rules) -> dict[str, np.ndarray]:
+def _judge(texts: list, langs: list, refs: dict, rules: Rules) -> dict[str, np.ndarray]:
     """The base measures, the distances to the nearest reference and the verdicts."""
     split = [t.split() if t else [] for t in texts]
     flat, ends = word_hashes(split)
@@ -152,21 +147,22 @@ def _judge(texts: list, refs: dict, rules: Rules) -> dict[str, np.ndarray]:
     lines = [[x for x in (t or b"").split(b"\n") if x.strip()] for t in texts]
     repeats = np.array([repeated_words(grams[a:b - w + 1], w) if b - a > w else 0
                         for a, b in zip(ends[:-1], ends[1:], strict=True)], np.int64)
-    vocab = {x: i for i, x in enumerate(sorted({x for _, ws, _ in refs.values() for x in ws}))}
-    known = np.stack([np.bincount([vocab[x] for x in (t or b"").lower().split() if x in vocab], minlength=len(vocab) + 1)
-                      for t in texts])
-    n_chars = hist[:, :INNER].sum(axis=1)
-    char, word = np.ones(len(texts)), np.ones(len(texts))
-    for dist, ws, freq in refs.values():
-        own = known[:, [vocab[x] for x in ws]]
-        char = np.minimum(char, js_distance(hist[:, :INNER], dist))
-        word = np.minimum(word, js_distance(np.c_[own, n_words - own.sum(axis=1)], freq))
+    n_chars, lower = hist[:, :INNER].sum(axis=1), [(t or b"").lower().split() for t in texts]
+    char, word, all_refs = np.ones(len(texts)), np.ones(len(texts)), list(refs.values())
+    for k in range(0, len(all_refs), BLOCK):
+        vocab = {x: i for i, x in enumerate(sorted({x for _, ws, _ in all_refs[k:k + BLOCK] for x in ws}))}
+        known = np.stack([np.bincount([vocab[x] for x in t if x in vocab], minlength=len(vocab) + 1) for t in lower])
+        for dist, ws, freq in all_refs[k:k + BLOCK]:
+            own = known[:, [vocab[x] for x in ws]]
+            char = np.minimum(char, js_distance(hist[:, :INNER], dist))
+            word = np.minimum(word, js_distance(np.c_[own, n_words - own.sum(axis=1)], freq))
     far = ((char > rules.char_distance) & (n_chars >= rules.char_min_length)) | (
         (word > rules.word_distance) & (n_words >= rules.word_min_length))
+    far &= np.array([k in refs for k in langs], bool)
     failed = (n_words < rules.min_words) | (100 * repeats > rules.max_repeat_percent * n_words)
     return {"n_words": n_words, "word_chars": n_chars - hist[:, SPACE], "n_symbols": hist[:, SYMBOL],
             "n_dup_lines": np.array([len(x) - len(set(x)) for x in lines], np.int64), "n_repeat_words": repeats,
-            "base_failed": failed, "kept": ~failed & ~(far if refs else np.zeros(len(texts), bool)),
+            "base_failed": failed, "kept": ~failed & ~far,
             "char_distance": char, "word_distance": word}
 
 
@@ -174,9 +170,12 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
           "base_failed boolean, kept boolean, char_distance double, word_distance double")
 
 
+def _lang(docs: DataFrame):
+    return F.coalesce(F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string"), F.lit(""))
+
+
 def _ready(docs: DataFrame) -> DataFrame:
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    return docs.select(F.col("text").cast("string").alias("text"), lang.alias("lang"))
+    return docs.select(F.col("text").cast("string").alias("text"), _lang(docs).alias("lang"))
 
 
 def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -185,19 +184,25 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_chunks(batches):
-            got = _judge(texts, refs.value, rules)
+            got = _judge(texts, rows.column(2).to_pylist(), refs.value, rules)
             yield pa.RecordBatch.from_arrays([rows.column(0), *map(pa.array, got.values())], ["doc_id", *got])
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
-                     judge, f"doc_id long, {SCHEMA}")
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                                 _lang(docs).alias("lang")), judge,
+                     f"doc_id long, {SCHEMA}")
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     refs = docs.sparkSession.sparkContext.broadcast(references(_ready(docs), rules))
 
+    lang = "lang_key"
+    while lang in docs.columns:
+        lang = "_" + lang
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_chunks(batches):
-            yield rows.filter(pa.array(_judge(texts, refs.value, rules)["kept"]))
+            kept = rows.filter(pa.array(_judge(texts, rows.column(rows.num_columns - 1).to_pylist(), refs.value, rules)["kept"]))
+            yield kept.select(range(kept.num_columns - 1))
 
-    return arrow_map(docs, keep, docs.schema)
+    return arrow_map(docs.select("*", _lang(docs).alias(lang)), keep, docs.schema)
