@@ -4,7 +4,8 @@ Documents become pieces of at most ``capacity`` tokens, to be packed into as few
 possible. Pieces of one length are interchangeable, so the whole instance is its histogram of
 lengths: ``capacity`` counts, whatever the corpus holds. On it
 
-1. the reduction fixes sets that dominate every other set with the largest open piece j:
+1. the reduction goes through the lengths j from long to short and fixes sets that dominate every other
+   set with a piece j (a length without a proof stays open, and the next one follows):
    {j} if nothing fits beside it; {j, k} with the largest fitting k if that fills the sequence,
    if only one more piece can fit, or if at most two can and no two together exceed k;
    {j, k, l} if at most two can fit and no pair that fits has a second piece above l. Each rule is
@@ -72,8 +73,8 @@ class Open:
 
 
 def dominating(open_: Open, j: int, capacity: int) -> list[int] | None:
-    """The lengths of a set with the largest open piece ``j`` that dominates all others, if a rule
-    of up to three pieces proves one."""
+    """The lengths of a set with an open piece ``j`` that dominates all others with one, if a rule of
+    up to three pieces proves one."""
     room, own = capacity - j, {j: 1}
     low = open_.smallest(3, own)
     most = sum(sum(low[:i + 1]) <= room for i in range(len(low)))
@@ -106,24 +107,22 @@ def dominating(open_: Open, j: int, capacity: int) -> list[int] | None:
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
     """[(sequences, [(length, copies in each), ...]), ...] that pack all counted pieces."""
-    open_, fixed, rest = Open(counts), [], {}
+    open_, fixed = Open(counts), []
     for j in sorted(open_.count, reverse=True):
         while j in open_.count:
             chosen = dominating(open_, j, capacity)
             if chosen is None:
-                rest[j] = open_.count[j]
-                break
+                break  # left to best fit; the proofs for shorter pieces look at it as an open piece
             need = defaultdict(int)
             for x in chosen:
                 need[x] += 1
             n = min(open_.count[x] // c for x, c in need.items())
             if len(chosen) == 3:
-                n = 1  # the proof holds for the multiset as it is
+                # a proof looks at four copies of a length at most: it holds as long as there are so many
+                n = max(0, min((open_.count[x] - 4) // c for x, c in need.items())) + 1
             for x, c in need.items():
                 open_.take(x, n * c)
             fixed.append((n, sorted(need.items(), reverse=True)))
-        if j in rest:
-            break
     return fixed + best_fit(open_.count, capacity)
 
 
