@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.llm import crf_quality
+from tablelift.llm.anchor_dedup import removal_digests, remove_repeats
 from tablelift.llm.byte_bpe import encode_digests
+from tablelift.llm.centroids import cluster_report
 from tablelift.llm.chat_format import canonical_turns, conversation_digests
 from tablelift.llm.embed_dedup import near_vectors
 from tablelift.llm.jaccard_join import jaccard_components
@@ -18,6 +20,7 @@ from tablelift.llm.quality_rules import quality_rules
 from tablelift.llm.sharding import lookup_table, place
 from tablelift.llm.suffix_dedup import repeated_spans
 from tablelift.llm.token_files import token_files_roundtrip
+from tablelift.llm.whitening import whiten_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -215,3 +218,56 @@ from c left join n using (vec_id)
 """)
 def op3_embed_dedup(spark, sf):
     return near_vectors(load(spark, sf, "embeddings"))
+
+
+def _assign_sql(step: int) -> str:
+    """Nearest centroid of every vector, ties to the smaller number."""
+    return f"""d{step} as (select rid, min({{'d': list_sum(list_transform(list_zip(e.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))),
+                                            'c': c.c}}) as m from e cross join c{step} c group by rid)"""
+
+
+def _update_sql(step: int) -> str:
+    """Floor of the mean of every cluster; an empty one stays."""
+    return f"""s{step} as (select c, i, sum(x) as s, count(*) as n from (
+             select m.c as c, unnest(e.v) as x, unnest(range(1, 65)) as i from e join d{step} using (rid)) group by c, i),
+u{step} as (select c, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as v from s{step} group by c),
+c{step + 1} as (select c.c, coalesce(u.v, c.v) as v from c{step} c left join u{step} u on c.c = u.c)"""
+
+
+@query("op11_centroids", f"""
+with e as (select row_number() over () as rid, vec_id,
+             list_transform(cast(embedding as double[]), lambda x: cast(floor(64 * x) as bigint)) as v
+           from embeddings where len(embedding) = 64
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c0 as (select c, v from (select row_number() over (order by sha256('1:' || cast(vec_id as varchar)), v) - 1 as c, v
+                         from e where vec_id is not null) where c < 16),
+{", ".join(f"{_assign_sql(k)}, {_update_sql(k)}" for k in range(3))},
+{_assign_sql(3)},
+r as (select vec_id, cast(m.c as integer) as cluster, cast(m.d as bigint) as distance from e join d3 using (rid))
+select vec_id, cluster, distance, cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+       cast(sum(distance) over () as bigint) as inertia, sha256(array_to_string(c3.v, ',')) as centroid_sha256
+from r join c3 on r.cluster = c3.c
+""")
+def op11_centroids(spark, sf):
+    return cluster_report(load(spark, sf, "embeddings"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark, sf):
+    return whiten_vectors(load(spark, sf, "embeddings"))
+
+
+@query("op13_anchor_dedup", f"""
+with w as (select row_number() over () as rid, doc_id, coalesce(regexp_extract_all(text, {WORDS_RE}), []) as ws from documents),
+k as (select rid, doc_id, s, md5(array_to_string(ws[s + 1:s + 13], ' ')) as h
+      from (select rid, doc_id, ws, unnest(range(0, len(ws) - 12)) as s from w where len(ws) >= 13 and doc_id is not null)),
+later as (select rid, s from (select rid, s, doc_id, min(doc_id) over (partition by h) as f from k) where doc_id > f),
+gone as (select distinct rid, s + unnest(range(1, 14)) as i from later),
+kept as (select rid, string_agg(x, ' ' order by i) as t from (
+           select rid, unnest(ws) as x, unnest(range(1, len(ws) + 1)) as i from w) anti join gone using (rid, i) group by rid),
+n as (select rid, count(*) as n from gone group by rid)
+select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n.n, 0) as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256
+from w left join kept using (rid) left join n using (rid)
+""")
+def op13_anchor_dedup(spark, sf):
+    return removal_digests(remove_repeats(load(spark, sf, "documents")))
