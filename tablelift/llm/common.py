@@ -6,6 +6,7 @@ Words are the runs ``[^\\x20\\x09-\\x0D]+`` of the UTF-8 text, which is exactly
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -43,13 +44,35 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release() -> None:
+    """Give freed memory of a Python worker back: workers live on and serve later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """A column name that none of ``taken`` equals, whatever its case."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with small batches (where the session doesn't set their size itself)."""
+    """``mapInArrow`` with small batches (where the session doesn't set their size itself); a task
+    releases its memory when it ends."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        release()
+
     ship_package(df.sparkSession)
     for key, value in BATCH_CONF.items():
         if df.sparkSession.conf.get(key, None) is None:
             df.sparkSession.conf.set(key, value)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(task, schema)
 
 
 def semi_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -19,9 +19,10 @@ chosen by the key), first within the task that made the keys, so that a hot key
 once a task. A dense parity sketch of each set drops the pairs whose Hamming distance exceeds what
 a link allows; the rest are verified on the whole shingle sets. Then every run whose members are
 still in different components is compared in blocks by the dense sketches, members of its largest
-component with the others only: first each component's nearest candidate pair is verified, then all
-pairs across components that can link. So no link that joins components is lost: the components are
-exact.
+component with the others only. A block keeps the members that could link with another one there;
+only these get their shingle sets, and the block verifies their pairs, each member's nearest first and none within
+what it has already joined, so that it emits a spanning forest of its links: fewer rows than members.
+So no link that joins components is lost: the components are exact.
 
 Defined results: null or empty text has 0 shingles and its own id as component; rows with equal
 text are one class; rows that share a doc_id are one document and count as linked; a null doc_id is
@@ -38,11 +39,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.ipc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import (BROADCAST_IDS, Scratch, arrow_map, gram_hashes, mix, semi_ids,
+from tablelift.llm.common import (BROADCAST_IDS, Scratch, arrow_map, free_name, gram_hashes, mix, semi_ids,
                                   signed, spread, text_chunks, word_hashes)
 from tablelift.llm.graph import components
 
@@ -50,6 +52,7 @@ KEYS_PER_BUCKET = 1_500_000
 FLUSH_KEYS = 500_000
 HUBS = 3
 BLOCK = 2_000
+BLOCK_SHINGLES = 1_000_000
 SEED = 0x5851F42D4C957F2D
 U64 = np.uint64
 
@@ -180,7 +183,7 @@ def _tasks(bands: Bands, n: int, buckets: int):
                 ["doc_id", "n_shingles", "hi", "lo", "sketch"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held, size = set(), [], 0
+        seen, held, size, part, flushes = set(), [], 0, TaskContext.get().partitionId(), 0
 
         def flush():
             keys, ids, cut = runs_of(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -196,7 +199,8 @@ def _tasks(bands: Bands, n: int, buckets: int):
                 batch = run_batch(keys[first[sizes > 1]], ids[many], sizes[sizes > 1])
                 with pa.ipc.new_stream(sink, batch.schema) as out:
                     out.write_batch(batch)
-                targets.append(targets[0])
+                # not a bucket's own: dealt over all of them
+                targets.append(xxhash.xxh3_64_intdigest(b"%d %d" % (part, flushes)) % buckets)
                 blobs.append(sink.getvalue().to_pybytes())
             local = [False] * len(at) + [True] * (len(blobs) - len(at))
             return pa.RecordBatch.from_arrays(
@@ -206,16 +210,16 @@ def _tasks(bands: Bands, n: int, buckets: int):
         for _, texts in text_chunks(batches):
             fresh, ids = [], []
             for s in shingle_sets(texts, n):
-                lo = digest(s)[1]
-                if lo not in seen and len(s):
-                    seen.add(lo), fresh.append(s), ids.append(lo)
+                both = digest(s)
+                if both not in seen and len(s):
+                    seen.add(both), fresh.append(s), ids.append(both[1])
             keys, owner = part_keys(fresh, bands)
             if len(keys):
                 held.append((keys, np.array(ids, dtype=np.int64)[owner]))
                 size += len(keys)
             if size >= FLUSH_KEYS:
                 yield flush()
-                held, size = [], 0
+                held, size, flushes = [], 0, flushes + 1
         if held:
             yield flush()
 
@@ -258,18 +262,21 @@ def _sets_task(n: int):
     return sets
 
 
+def links_sets(s: np.ndarray, t: np.ndarray, num: int, den: int) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    if min(len(s), len(t)) * den < max(len(s), len(t)) * num:
+        return False
+    both = np.sort(np.concatenate([s, t]))
+    same = int((both[1:] == both[:-1]).sum())
+    return same > 0 and same * den >= (len(s) + len(t) - same) * num
+
+
 def _verify_task(num: int, den: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y, a, b = (batch.column(i) for i in range(4))
-            ok = []
-            for p, q in zip(a, b, strict=True):
-                s, t = np.frombuffer(p.as_buffer(), U64), np.frombuffer(q.as_buffer(), U64)
-                same = 0
-                if min(len(s), len(t)) * den >= max(len(s), len(t)) * num:
-                    both = np.sort(np.concatenate([s, t]))
-                    same = int((both[1:] == both[:-1]).sum())
-                ok.append(same > 0 and same * den >= (len(s) + len(t) - same) * num)
+            ok = [links_sets(np.frombuffer(p.as_buffer(), U64), np.frombuffer(q.as_buffer(), U64), num, den)
+                  for p, q in zip(a, b, strict=True)]
             yield pa.RecordBatch.from_arrays([x, y, pa.array(ok, pa.bool_())], ["x", "y", "linked"])
 
     return verify
@@ -293,46 +300,90 @@ def _prune_task(num: int, den: int):
     return prune
 
 
-def _cross_task(num: int, den: int, nearest: bool):
-    """Pairs across components, within blocks of a run, that sizes and sketches allow. Rows come
-    sorted by (key, block); a member of the block's second half carries ``side`` 1. ``nearest``: only each component's nearest pair."""
+class Block:
+    """Members of one block of a run: (block, rep, component, n, sketch, side[, set]) each. Those of
+    side 0 meet those of side 1; those of side 2 (a block against itself) meet one another."""
 
-    def compare(rows):
+    def __init__(self, rows: list, num: int, den: int):
+        self.rows, self.num, self.den = rows, num, den
         size = min(len(r[4]) for r in rows) // 8
-        rep, comp, n = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-        side = np.array([r[5] for r in rows])
-        sk = np.stack([words_of(r[4], size) for r in rows])
-        xs, ys, best = [], [], {}
-        for i in np.flatnonzero(side != 1):
-            far = np.bitwise_count(sk ^ sk[i]).sum(axis=1, dtype=np.int64)
-            ok = (comp != comp[i]) & _can_link(n, n[i], far, num, den) & ((side == 1) if side[i] == 0 else (rep > rep[i]))
-            if nearest and ok.any():
-                j = np.flatnonzero(ok)[np.argmin(far[ok])]
-                for c in (comp[i], comp[j]):
-                    if far[j] < best.get(c, (1 << 62,))[0]:
-                        best[c] = (far[j], max(rep[i], rep[j]), min(rep[i], rep[j]))
-                continue
-            xs.append(np.maximum(rep[ok], rep[i])), ys.append(np.minimum(rep[ok], rep[i]))
-        if best:
-            xs, ys = ([np.array([b[i] for b in best.values()], np.int64)] for i in (1, 2))
-        pairs = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)], axis=1), axis=0) if xs else np.zeros((0, 2), np.int64)
-        return pair_batch(pairs[:, 0], pairs[:, 1])
+        self.rep, self.comp, self.n, self.side = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3, 5))
+        self.sketch = np.stack([words_of(r[4], size) for r in rows])
+
+    def candidates(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(member, its possible partners in other components, their sketch distances)."""
+        for i in np.flatnonzero(self.side != 1):
+            far = np.bitwise_count(self.sketch ^ self.sketch[i]).sum(axis=1, dtype=np.int64)
+            ok = (self.comp != self.comp[i]) & _can_link(self.n, self.n[i], far, self.num, self.den)
+            ok &= (self.side == 1) if self.side[i] == 0 else (self.rep > self.rep[i])
+            if ok.any():
+                yield int(i), np.flatnonzero(ok), far[ok]
+
+    def possible(self) -> list:
+        """The rows with a possible partner."""
+        flag = np.zeros(len(self.rows), bool)
+        for i, others, _ in self.candidates():
+            flag[i] = flag[others] = True
+        return [self.rows[i] for i in np.flatnonzero(flag)]
+
+    def forest(self) -> list[tuple[int, int]]:
+        """Links that join all components of the block that its links join, one per join."""
+        sets, root, out = [np.frombuffer(r[6], U64) for r in self.rows], {int(c): int(c) for c in self.comp}, []
+
+        def find(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        for i, others, far in self.candidates():
+            for j in others[np.argsort(far, kind="stable")].tolist():
+                a, b = find(int(self.comp[i])), find(int(self.comp[j]))
+                if a != b and links_sets(sets[i], sets[j], self.num, self.den):
+                    root[max(a, b)] = min(a, b)
+                    out.append((max(int(self.rep[i]), int(self.rep[j])), min(int(self.rep[i]), int(self.rep[j]))))
+        return out
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[Block]:
+    """Blocks of rows sorted by block."""
+    at, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[0] != at and rows:
+                yield Block(rows, num, den)
+                rows = []
+            at = row[0]
+            rows.append(row)
+    if rows:
+        yield Block(rows, num, den)
+
+
+MEMBER = "block long, rep long, component long, n long, sketch binary, side int"
+
+
+def _cross_task(num: int, den: int):
+    kinds = pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32()
+    names = [x.split()[0] for x in MEMBER.split(", ")]
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows = None, []
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                if row[0] != at and rows:
-                    yield compare(rows)
-                    rows = []
-                at = row[0]
-                rows.append(row)
-        if rows:
-            yield compare(rows)
+        for block in _blocks(batches, num, den):
+            rows = block.possible()
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
     return cross
 
 
+def _forest_task(num: int, den: int):
+    def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, num, den):
+            links = np.array(block.forest(), np.int64).reshape(-1, 2)
+            if len(links):
+                yield pair_batch(links[:, 0], links[:, 1])
+
+    return forest
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -371,17 +422,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     comps = scratch.table(classes.select("rep").distinct().join(found, "rep", "left")
                           .select("rep", F.coalesce("component", "rep").alias("component")), "comps")
 
-    # components of a run meet first over their nearest candidate pairs, which leaves few pairs
-    # for the last pass, which takes all
-    for k, nearest in enumerate((True, False)):
-        more = _across(runs, known, comps, scratch, num, den, nearest, k).join(pairs, ["x", "y"], "left_anti")
-        more = scratch.table(more, f"more{k}")
-        if more.isEmpty():
-            continue
-        links = _verified(docs, more, scratch, n, num, den, f"more{k}")
-        if not links.isEmpty():
-            comps = _merged(comps, links, scratch, k)
-        pairs = pairs.union(more)
+    links = _across(docs, runs, known, comps, scratch, n, num, den)
+    if not links.isEmpty():
+        comps = _merged(comps, links, scratch)
     whole = classes.join(comps, "rep").select("hi", "lo", F.col("component").alias("c"))
     return (base.withColumn("hi", F.expr("if(doc_id is not null and n_shingles > 0, hi, null)"))
             .join(whole, ["hi", "lo"], "left")
@@ -400,32 +443,38 @@ def _verified(docs: DataFrame, pairs: DataFrame, scratch: Scratch, n: int, num:
     return links
 
 
-def _merged(comps: DataFrame, links: DataFrame, scratch: Scratch, k: int) -> DataFrame:
+def _merged(comps: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """The components after further links: only the graph between components is contracted anew."""
     ends = (links.join(comps.toDF("x", "cx"), "x").join(comps.toDF("y", "cy"), "y").select("cx", "cy"))
     met = components(ends, Scratch(comps.sparkSession), "cx", "cy").toDF("component", "least")
     return scratch.table(comps.join(met, "component", "left")
-                         .select("rep", F.coalesce("least", "component").alias("component")), f"comps_more{k}")
+                         .select("rep", F.coalesce("least", "component").alias("component")), "comps_more")
 
 
-def _across(runs: DataFrame, known: DataFrame, comps: DataFrame, scratch: Scratch, num: int, den: int, nearest: bool,
-            k: int) -> DataFrame:
-    """Pairs of members of one run in different components that could link; large runs by blocks.
-    Members of the run's largest component meet the other members only, never one another, so a run
-    that is almost one component costs its length and not its square."""
-    of = known.select("lo", "rep").join(comps, "rep")
+def _across(docs: DataFrame, runs: DataFrame, known: DataFrame, comps: DataFrame, scratch: Scratch, n: int, num: int,
+            den: int) -> DataFrame:
+    """Verified links that join the components of every run; large runs by blocks, bounded by members
+    and by shingles. Members of the run's largest component meet the other members only, never one
+    another, so a run that is almost one component costs its length and not its square."""
+    of = known.select("lo", "rep", "n").join(comps, "rep")
     at = runs.select("key", F.explode("members").alias("lo")).distinct().join(of, "lo").drop("lo")
-    sums = at.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(
-        F.expr("max_by(component, struct(m, component))").alias("main"), F.max("m").alias("m"), F.sum("m").alias("all"))
+    sums = at.groupBy("key", "component").agg(F.count("*").alias("m"), F.max("n").alias("big")).groupBy("key").agg(
+        F.expr("max_by(component, struct(m, component))").alias("main"), F.max("m").alias("m"), F.sum("m").alias("all"),
+        F.expr(f"greatest(1L, least({BLOCK}, {BLOCK_SHINGLES} div max(big)))").alias("per"))
     open_ = (sums.filter("m < all and all > 2")
-             .selectExpr("key", "main", f"(m - 1) div {BLOCK} + 1 as nm", f"(all - m - 1) div {BLOCK} + 1 as no"))
-    at = at.join(scratch.table(open_, f"open{k}"), "key").join(known.drop("lo"), "rep")
+             .selectExpr("key", "main", "(m - 1) div per + 1 as nm", "(all - m - 1) div per + 1 as no"))
+    at = at.drop("n").join(scratch.table(open_, "open"), "key").join(known.drop("lo"), "rep")
     rows = (at.withColumn("own", F.expr("if(component = main, pmod(xxhash64(rep), nm), nm + pmod(xxhash64(rep), no))"))
             .withColumn("other", F.explode(F.expr("sequence(if(component = main, nm, 0L), nm + no - 1)")))
             .selectExpr("xxhash64(key, least(own, other), greatest(own, other)) as block", "rep", "component", "n",
                         "sketch", "case when own = other then 2 when own < other then 0 else 1 end as side"))
-    return arrow_map(rows.repartition("block").sortWithinPartitions("block"), _cross_task(num, den, nearest),
-                     "x long, y long").distinct()
+    possible = scratch.table(arrow_map(rows.repartition("block").sortWithinPartitions("block"), _cross_task(num, den), MEMBER),
+                             "possible")
+    ids = scratch.table(possible.select(F.col("rep").alias("doc_id")).distinct(), "possible_ids")
+    sets = scratch.table(arrow_map(semi_ids(docs, ids, "doc_id"), _sets_task(n), "rep long, data binary"), "possible_sets")
+    rows = possible.join(sets, "rep").select("block", "rep", "component", "n", "sketch", "side", "data")
+    return scratch.table(arrow_map(rows.repartition("block").sortWithinPartitions("block"), _forest_task(num, den),
+                                   "x long, y long").distinct(), "links_more")
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -442,6 +491,7 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     if twice.isEmpty():
         return kept
     order = W.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    one = kept.join(twice, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order))
+    row = free_name("row", docs.columns)
+    one = kept.join(twice, "doc_id", "left_semi").withColumn(row, F.row_number().over(order))
     return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        one.filter("_row = 1").select(*docs.columns))
+        one.filter(F.col(row) == 1).select(*docs.columns))

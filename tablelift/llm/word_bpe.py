@@ -2,7 +2,7 @@
 
 The vocabulary drops white space and never merges across it, so a text's ids are the ids of its
 ASCII-white-space runs one after the other. Each run is encoded once by the library and kept in a
-bounded cache. Runs of Latin letters with ASCII punctuation behind them go straight to the
+cache bounded by bytes; runs too long for it are encoded each time. Runs of Latin letters with ASCII punctuation behind them go straight to the
 library's BPE model, as lower-cased letters and punctuation (its normalizer and splitter do no
 more to them); everything else goes through the whole tokenizer.
 """
@@ -13,7 +13,7 @@ import os
 import re
 from array import array
 
-CACHE_RUNS = 400_000
+CACHE_BYTES, ENTRY_BYTES, LONGEST = 48 << 20, 150, 4096
 RUN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-/:-@\\[-`{-~]*)")
 
 
@@ -36,6 +36,7 @@ class WordBpe(dict):
         self.tok, self.end, self.code = Tokenizer.from_file(path), end_id, code
         self.model = self.tok.model
         self.parts: dict[str, bytes] = {}
+        self.room = CACHE_BYTES  # of both caches together
         self.letters = byte_letters()
 
     def _pack(self, ids) -> bytes:
@@ -44,12 +45,21 @@ class WordBpe(dict):
     def _part(self, part: str) -> bytes:
         got = self.parts.get(part)
         if got is None:
-            if len(self.parts) >= CACHE_RUNS:
-                self.parts.clear()
             shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            got = self.parts[part] = self._pack([t.id for t in self.model.tokenize(shown)])
+            got = self._keep(self.parts, part, self._pack([t.id for t in self.model.tokenize(shown)]))
         return got
 
+    def _keep(self, cache: dict, key, ids: bytes) -> bytes:
+        """Cache ``ids`` within the byte budget; a full one starts anew."""
+        size = len(key) + len(ids) + ENTRY_BYTES
+        if size <= LONGEST:
+            if size > self.room:
+                self.clear(), self.parts.clear()
+                self.room = CACHE_BYTES
+            self.room -= size
+            cache[key] = ids
+        return ids
+
     def _run(self, run: bytes) -> bytes:
         text = run.decode()
         m = RUN.fullmatch(text)
@@ -61,10 +71,7 @@ class WordBpe(dict):
         return self._part(word.lower()) + self._part(tail)
 
     def __missing__(self, run: bytes) -> bytes:
-        if len(self) >= CACHE_RUNS:
-            self.clear()
-        ids = self[run] = self._run(run)
-        return ids
+        return self._keep(self, run, self._run(run))
 
     def texts(self, texts: list) -> list[bytes]:
         """Packed ids of each text (None: empty) and the end id."""
