@@ -3,16 +3,19 @@
 Every language of the corpus has a reference: the histogram of its character classes and of its
 ``n_common`` most frequent words (all others together are one more cell), counted over all its
 documents. A document's own two histograms are compared with the references by Jensen-Shannon
-distance (base 2, 0 to 1), and the nearest language counts, so a wrong ``lang`` does no harm. A
+distance (base 2, 0 to 1), and the nearest language counts: a document's own ``lang`` is not looked at. A
 document is rejected when the distance of the character classes, or that of the common words,
 exceeds its bound; each comparison is only made from a minimum length on, since short texts stray by
 chance. Base rules (too few words, too many repeated 5-word windows) come first.
 
-Word counts are combined per task before the shuffle. Every language with ``min_reference_words``
-words has a reference, however small its share of the corpus: so many words leave a histogram of 101
-cells at about sqrt(101 / (8 n ln 2)) = 0.06 from its language's. Documents of languages with fewer
-words are not judged by distance, only by the base rules. The references are broadcast (about 7 KB
-a language) and compared ``BLOCK`` languages at a time.
+Word counts are combined per task before the shuffle. A language has a reference when its documents
+hold ``min_reference_words`` words, however small its share of the corpus: so many words leave a
+histogram of 101 cells at about sqrt(101 / (8 n ln 2)) = 0.06 from its language's. A document of a
+language without one is compared like all others; only a text whose letters are mostly not ASCII is
+judged by the base rules alone while no reference is of that kind. Missing common words alone reach
+a distance of about 0.46 at most, below the bound for words, so that rule finds overused words; a
+clean text of a language without a reference, in a known script, passes. The references are
+broadcast (about 7 KB a language) and compared ``BLOCK`` languages at a time.
 
 Defined results: a null text is an empty one and fails the base rules; a null lang counts as a
 language of its own; without any reference (empty table) nothing is compared; rows are treated
@@ -138,7 +141,12 @@ def references(docs: DataFrame, rules: Rules) -> dict[str, tuple[np.ndarray, lis
     return out
 
 
-def _judge(texts: list, langs: list, refs: dict, rules: Rules) -> dict[str, np.ndarray]:
+def _other_script(hist: np.ndarray) -> np.ndarray:
+    """Whether most letters are not ASCII."""
+    return 2 * hist[..., OTHER] > hist[..., [LOWER, UPPER, OTHER]].sum(axis=-1)
+
+
+def _judge(texts: list, refs: dict, rules: Rules) -> dict[str, np.ndarray]:
     """The base measures, the distances to the nearest reference and the verdicts."""
     split = [t.split() if t else [] for t in texts]
     flat, ends = word_hashes(split)
@@ -158,7 +166,8 @@ def _judge(texts: list, langs: list, refs: dict, rules: Rules) -> dict[str, np.n
             word = np.minimum(word, js_distance(np.c_[own, n_words - own.sum(axis=1)], freq))
     far = ((char > rules.char_distance) & (n_chars >= rules.char_min_length)) | (
         (word > rules.word_distance) & (n_words >= rules.word_min_length))
-    far &= np.array([k in refs for k in langs], bool)
+    if not any(_other_script(dist) for dist, _, _ in all_refs):
+        far &= ~_other_script(hist) & bool(all_refs)
     failed = (n_words < rules.min_words) | (100 * repeats > rules.max_repeat_percent * n_words)
     return {"n_words": n_words, "word_chars": n_chars - hist[:, SPACE], "n_symbols": hist[:, SYMBOL],
             "n_dup_lines": np.array([len(x) - len(set(x)) for x in lines], np.int64), "n_repeat_words": repeats,
@@ -184,25 +193,19 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_chunks(batches):
-            got = _judge(texts, rows.column(2).to_pylist(), refs.value, rules)
+            got = _judge(texts, refs.value, rules)
             yield pa.RecordBatch.from_arrays([rows.column(0), *map(pa.array, got.values())], ["doc_id", *got])
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                                 _lang(docs).alias("lang")), judge,
-                     f"doc_id long, {SCHEMA}")
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
+                     judge, f"doc_id long, {SCHEMA}")
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     refs = docs.sparkSession.sparkContext.broadcast(references(_ready(docs), rules))
 
-    lang = "lang_key"
-    while lang in docs.columns:
-        lang = "_" + lang
-
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_chunks(batches):
-            kept = rows.filter(pa.array(_judge(texts, rows.column(rows.num_columns - 1).to_pylist(), refs.value, rules)["kept"]))
-            yield kept.select(range(kept.num_columns - 1))
+            yield rows.filter(pa.array(_judge(texts, refs.value, rules)["kept"]))
 
-    return arrow_map(docs.select("*", _lang(docs).alias(lang)), keep, docs.schema)
+    return arrow_map(docs, keep, docs.schema)

@@ -84,7 +84,7 @@ select doc_id, cast(min(s) as integer) as start_word, cast(max(s) + 50 as intege
 from i group by doc_id, part
 """)
 def op1_suffix_dedup(spark, sf):
-    return repeated_spans(load(spark, sf, "documents"))
+    return repeated_spans(load(spark, sf, "documents")).drop("text_key")
 
 
 # SQL for the references, the distances and the verdict, over the same counts.
@@ -122,9 +122,12 @@ base as (select w.doc_id, cast(len(ws) as bigint) as n_words,
 cells as (select doc_id, lang, unnest([{", ".join(f"{{'c': '{k}', 'n': len(t) - {_cells(v)}}}" for k, v in _CLASSES.items())},
             {{'c': 'other', 'n': len(t) - {" - ".join(f"(len(t) - {_cells(v)})" for v in _CLASSES.values())}}}],
             recursive := true) from d),
-refs as (select lang from d group by lang having count(*) >= 0.001 * (select count(*) from d)
-         intersect select lang from w where len(ws) > 0),
+refs as (select lang from w group by lang having sum(len(ws)) >= 5000),
 rc as (select lang, c, sum(n) / sum(sum(n)) over (partition by lang) as q from cells join refs using (lang) group by lang, c),
+alone as (select count(*) = 0 as yes from (select lang from rc group by lang having 2 * sum(q) filter (c = 'other')
+          > sum(q) filter (c in ('lower', 'upper', 'other')))),
+script as (select doc_id, 2 * sum(n) filter (c = 'other') > sum(n) filter (c in ('lower', 'upper', 'other')) as other
+           from cells group by doc_id),
 jc as (select doc_id, min(sqrt(greatest((a + b) / 2, 0))) as dist from (
          select doc_id, lang, {_kl('p')} as a, {_kl('q')} as b from (
            select x.doc_id, rc.lang, x.n / greatest(sum(x.n) over (partition by x.doc_id, rc.lang), 1) as p, rc.q
@@ -145,8 +148,9 @@ pw as (select w.doc_id, rw.lang, rw.q, case when rw.x is null
 jw as (select doc_id, min(sqrt(greatest((a + b) / 2, 0))) as dist from (
          select doc_id, lang, {_kl('p')} as a, {_kl('q')} as b from pw group by doc_id, lang) group by doc_id),
 v as (select base.*, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
-             (coalesce(jc.dist, 0) > 0.3 and n_chars >= 200) or (coalesce(jw.dist, 0) > 0.5 and n_words >= 50) as far
-      from base left join jc using (doc_id) left join jw using (doc_id))
+             ((coalesce(jc.dist, 0) > 0.3 and n_chars >= 200) or (coalesce(jw.dist, 0) > 0.5 and n_words >= 50))
+               and not (script.other and alone.yes) as far
+      from base left join jc using (doc_id) left join jw using (doc_id) left join script using (doc_id), alone)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and not far as kept from v
 """

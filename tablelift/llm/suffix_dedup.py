@@ -14,11 +14,13 @@ selected them (their "run"). Runs are sorted by their whole content first: a run
 earlier one is repeated as a whole. The remaining different runs of one suffix are then compared
 window by window, which finds where a match ends inside a run.
 
-Counts and minima combine map-side; hot passages are split by AQE's skew join. Nothing is limited.
+Counts and minima combine map-side; the repeated suffixes are a written table, so that both sides of
+their join have a shuffle of their own and AQE's skew join can split a hot one. Nothing is limited.
 
-Defined results: null and short texts have no passage; a null doc_id is left alone; of a doc_id
-that comes with two different texts neither is compared; equal rows count as one document. Extra
-columns are ignored by ``repeated_spans`` and kept by ``cut_repeats``.
+Defined results: null and short texts have no passage; a null doc_id is left alone; texts that share
+a doc_id are documents of their own, the one with the smaller 64-bit hash (``text_key``) first; equal
+rows count as one document. Extra columns are ignored by ``repeated_spans`` and kept by
+``cut_repeats``.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.common import (BROADCAST_IDS, Scratch, arrow_map, gram_hashes, mix, semi_ids, signed, slices,
-                                  text_chunks, within, word_hashes)
+from tablelift.llm.common import (BROADCAST_IDS, Scratch, arrow_map, free_name, gram_hashes, mix, semi_ids, signed,
+                                  slices, text_chunks, within, word_hashes)
 
 U64 = np.uint64
 
@@ -69,8 +71,8 @@ def _sample_task(length: int, k: int):
             new = np.flatnonzero(np.r_[True, (chosen[1:] != chosen[:-1])]) if len(chosen) else chosen
             at, of = chosen[new], doc[new]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(grams[at])), rows.column(0).take(pa.array(of)),
-                 pa.array((at - ends[:-1][of]).astype(np.int32))], ["suffix", "doc_id", "at"])
+                [pa.array(signed(grams[at])), rows.column(0).take(pa.array(of)), rows.column(1).take(pa.array(of)),
+                 pa.array((at - ends[:-1][of]).astype(np.int32))], ["suffix", "doc_id", "text_key", "at"])
 
     return sample
 
@@ -78,12 +80,12 @@ def _sample_task(length: int, k: int):
 def _extend_task(length: int, k: int):
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(2)):
                 rows = batch.slice(a, b - a)
-                texts = rows.column(1).cast(pa.binary()).to_pylist()
+                texts = rows.column(2).cast(pa.binary()).to_pylist()
                 words, ends = word_hashes([t.split() if t else [] for t in texts])
                 starts, doc, chosen, grams = minimisers(words, ends, length, k)
-                hits = rows.column(2)
+                hits = rows.column(3)
                 marked = np.zeros(len(words) + 1, bool)
                 marked[np.asarray(hits.flatten()) + np.repeat(ends[:-1], np.asarray(hits.value_lengths()))] = True
                 keep = marked[chosen]
@@ -100,9 +102,10 @@ def _extend_task(length: int, k: int):
                 offsets = pa.array(np.r_[cut, len(starts)].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(grams[chosen[cut]])), pa.array(signed(run)), rows.column(0).take(pa.array(doc[cut])),
+                     rows.column(1).take(pa.array(doc[cut])),
                      pa.array((starts[cut] - ends[:-1][doc[cut]]).astype(np.int32)), pa.array(sizes.astype(np.int32)),
                      pa.ListArray.from_arrays(offsets, pa.array(signed(windows)))],
-                    ["suffix", "run", "doc_id", "start", "n", "windows"])
+                    ["suffix", "run", "doc_id", "text_key", "start", "n", "windows"])
 
     return extend
 
@@ -110,54 +113,52 @@ def _extend_task(length: int, k: int):
 def _merge_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for doc, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for doc, key, spans in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             cur = None
             for s in sorted((s["a"], s["b"], s["f"]) for s in spans):
-                if cur and s[0] <= cur[2]:
-                    cur[2], cur[3] = max(cur[2], s[1]), min(cur[3], s[2])
+                if cur and s[0] <= cur[3]:
+                    cur[3], cur[4] = max(cur[3], s[1]), min(cur[4], s[2])
                 else:
-                    cur = [doc, *s]
+                    cur = [doc, key, *s]
                     out.append(cur)
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in
-                                          enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int64()))],
-                                         ["doc_id", "start_word", "end_word", "first_doc_id"])
+                                          enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))],
+                                         ["doc_id", "text_key", "start_word", "end_word", "first_doc_id"])
+
+
+def text_key():
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, k: int = 16) -> DataFrame:
-    """(doc_id, start_word, end_word, first_doc_id): the maximal runs of repeated words of every
-    document, end exclusive, with the smallest doc_id that has one of their passages first."""
-    scratch = Scratch(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """(doc_id, text_key, start_word, end_word, first_doc_id): the maximal runs of repeated words of
+    every text, end exclusive, with the smallest doc_id that has one of their passages first."""
+    scratch, here = Scratch(docs.sparkSession), ["doc_id", "text_key"]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
     docs = docs.filter("doc_id is not null and text is not null")
-    unclear = docs.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b"))
-    unclear = scratch.table(unclear.filter("a <> b").select("doc_id"), "unclear")
-    if not unclear.isEmpty():
-        docs = docs.join(unclear, "doc_id", "left_anti")
 
-    kept = scratch.table(arrow_map(docs, _sample_task(length, k), "suffix long, doc_id long, at int"), "suffixes")
+    kept = scratch.table(arrow_map(docs, _sample_task(length, k), "suffix long, doc_id long, text_key long, at int"), "suffixes")
     twice = kept.groupBy("suffix").agg(F.count("*").alias("n")).filter("n > 1").select("suffix")
-    hits = (kept.join(twice, "suffix").groupBy("doc_id").agg(F.collect_set("at").alias("hits")))
+    hits = kept.join(scratch.table(twice, "twice"), "suffix").groupBy(*here).agg(F.collect_set("at").alias("hits"))
     hits = scratch.table(hits, "hits")
-    scratch.drop("suffixes")
-    ids = hits.select("doc_id")
-    wide = semi_ids(docs, ids, "doc_id").join(hits, "doc_id")
-    runs = scratch.table(arrow_map(wide.select("doc_id", "text", "hits"), _extend_task(length, k),
-                                   "suffix long, run long, doc_id long, start int, n int, windows array<long>"), "runs")
-    first = runs.groupBy("suffix", "run").agg(F.min(F.struct("doc_id", "start")).alias("f"))
-    first = scratch.table(first, "first")
-    later = (runs.select("suffix", "run", "doc_id", "start", "n").join(first, ["suffix", "run"])
-             .filter("struct(doc_id, start) > f")
-             .selectExpr("doc_id", f"struct(start as a, start + n - 1 + {length} as b, f.doc_id as f) as span"))
+    scratch.drop("suffixes", "twice")
+    wide = semi_ids(docs, hits.select("doc_id").distinct(), "doc_id").join(hits, here)
+    runs = scratch.table(arrow_map(wide.select(*here, "text", "hits"), _extend_task(length, k),
+                                   "suffix long, run long, doc_id long, text_key long, start int, n int, windows array<long>"), "runs")
+    place = F.struct(*here, "start")
+    first = scratch.table(runs.groupBy("suffix", "run").agg(F.min(place).alias("f")), "first")
+    later = (runs.select("suffix", "run", *here, "start", "n").join(first, ["suffix", "run"]).filter(place > F.col("f"))
+             .selectExpr(*here, f"struct(start as a, start + n - 1 + {length} as b, f.doc_id as f) as span"))
     several = first.groupBy("suffix").agg(F.count("*").alias("n")).filter("n > 1").select("suffix")
     heads = (runs.join(first.join(several, "suffix", "left_semi"), ["suffix", "run"])
-             .filter("struct(doc_id, start) = f").select("suffix", "doc_id", "start", F.posexplode("windows"))
-             .selectExpr("suffix", "col as w", "doc_id", "start + pos as start").distinct())
+             .filter(place == F.col("f")).select("suffix", *here, "start", F.posexplode("windows"))
+             .selectExpr("suffix", "col as w", *here, "start + pos as start").distinct())
     heads = scratch.table(heads, "heads")
-    low = heads.groupBy("suffix", "w").agg(F.min(F.struct("doc_id", "start")).alias("f"), F.count("*").alias("n"))
-    more = (heads.join(low.filter("n > 1"), ["suffix", "w"]).filter("struct(doc_id, start) > f")
-            .selectExpr("doc_id", f"struct(start as a, start + {length} as b, f.doc_id as f) as span"))
-    spans = later.union(more).groupBy("doc_id").agg(F.collect_set("span").alias("spans"))
-    return arrow_map(spans, _merge_task, "doc_id long, start_word int, end_word int, first_doc_id long")
+    low = heads.groupBy("suffix", "w").agg(F.min(place).alias("f"), F.count("*").alias("n"))
+    more = (heads.join(low.filter("n > 1"), ["suffix", "w"]).filter(place > F.col("f"))
+            .selectExpr(*here, f"struct(start as a, start + {length} as b, f.doc_id as f) as span"))
+    spans = later.union(more).groupBy(*here).agg(F.collect_set("span").alias("spans"))
+    return arrow_map(spans, _merge_task, "doc_id long, text_key long, start_word int, end_word int, first_doc_id long")
 
 
 def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -177,12 +178,14 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def cut_repeats(docs: DataFrame, length: int = 50, k: int = 16) -> DataFrame:
     """``docs`` with the repeated words cut from ``text``; ``n_chars``, where there is one, follows.
     Documents of which no word is left are gone; all other rows and columns stay."""
-    scratch = Scratch(docs.sparkSession)
-    spans = repeated_spans(docs, length, k).groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("_spans"))
+    scratch, own = Scratch(docs.sparkSession), free_name("spans", docs.columns)
+    key = free_name("text_key", docs.columns)
+    spans = repeated_spans(docs, length, k).groupBy("doc_id", F.col("text_key").alias(key)).agg(
+        F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias(own))
     spans = scratch.table(spans, "spans")
     small = spans.count() <= BROADCAST_IDS // 8
-    joined = docs.join(F.broadcast(spans) if small else spans, "doc_id", "left").select(*docs.columns, "_spans")
+    joined = docs.withColumn(key, text_key()).join(F.broadcast(spans) if small else spans, ["doc_id", key], "left").select(
+        *docs.columns, own)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
