@@ -188,8 +188,41 @@ def convert(c: Column, src: T.DataType, target: str, narrow: str = "null") -> Co
     raise ValueError(f"E004 unknown conform target {target!r}")
 
 
+# more than ten decimals that aren't zero: text that decimal(38,10) can't hold
+_LONG_FRACTION = rf"\.\d{{{DEFAULT_DECIMAL[1]}}}\d*[1-9]"
+
+
+def loses(c: Column, src: T.DataType, out: Column, target: str) -> Column | None:
+    """Whether the conversion of ``c`` gave another value instead of NULL: a fraction cut off, a
+    finite number made infinite or a non-zero one made zero, decimals beyond the scale. None where
+    that can't happen. Rounding to the nearest float is no loss, nor is the wrap-around that was
+    asked for."""
+    if target in ("bigint", "int", "smallint", "tinyint") and _is(src, FRACTIONAL):
+        whole = as_long(c, src)  # before narrowing, which may wrap
+        back = whole.try_cast(src) if _is(src, T.DecimalType) else whole.cast("double")
+        return out.isNotNull() & ~back.eqNullSafe(c if _is(src, T.DecimalType) else c.cast("double"))
+    if target in ("float", "double") and _is(src, (T.DoubleType, T.DecimalType, T.StringType)) and not (
+            target == "double" and not _is(src, T.StringType)):
+        value = c.try_cast("double") if _is(src, T.StringType) else c.cast("double")
+        inf = F.lit(float("inf"))
+        finite = ~F.lower(F.trim(c)).rlike("^[+-]?inf(inity)?$") if _is(src, T.StringType) else F.abs(value) < inf
+        return F.coalesce((finite & (F.abs(out.cast("double")) == inf)) | ((out == 0) & (value != 0)), F.lit(False))
+    if target.startswith("decimal"):
+        if _is(src, T.DecimalType):
+            # in the source's own type: comparing two decimal types may round both
+            return out.isNotNull() & ~out.try_cast(src).eqNullSafe(c) if src.scale > DEFAULT_DECIMAL[1] else None
+        if _is(src, (T.FloatType, T.DoubleType)):  # a float's own decimal text is its value
+            value = c.cast("string").cast("double") if _is(src, T.FloatType) else c
+            return out.isNotNull() & (out.cast("double") != value)
+        if _is(src, (T.StringType, T.BinaryType)):
+            text = c.cast("string")
+            return out.isNotNull() & (text.rlike(_LONG_FRACTION) | F.coalesce(out.cast("double") != F.trim(text).try_cast("double"), F.lit(False)))
+    return None
+
+
 def can_reject(src: T.DataType, target: str, narrow: str = "null") -> bool:
-    """False when the conversion can never turn a non-NULL value into NULL (no reject metric needed)."""
+    """False when the conversion can never lose a non-NULL value, by NULL or another value (no reject
+    metric needed)."""
     if target == KEEP:
         return False
     if target == "string":
@@ -198,7 +231,9 @@ def can_reject(src: T.DataType, target: str, narrow: str = "null") -> bool:
         return False
     if target in ("int", "smallint", "tinyint") and narrow == "wrap" and _is(src, INTEGRAL):
         return False
-    if target in ("float", "double") and _is(src, NUMERIC):
+    if target == "double" and _is(src, NUMERIC):
+        return False
+    if target == "float" and _is(src, INTEGRAL + (T.FloatType,)):
         return False
     if target == "boolean" and _is(src, (T.BooleanType,) + NUMERIC + (T.StringType,)):
         return False

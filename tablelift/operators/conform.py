@@ -1,8 +1,9 @@
 """Conform: cast every column of a scan to the declared type system in one projection.
 
 ``conform`` is a single ``select`` of column expressions (whole-stage code-generated, no shuffle,
-no UDF). Row count and per-column reject counts (source not NULL, output NULL) are gathered by
-``DataFrame.observe`` while the data flows to the sink, so there is no second scan.
+no UDF). Row count and per-column reject counts (source not NULL, output NULL or another value, see
+``casts.loses``) are gathered by ``DataFrame.observe`` while the data flows to the sink, so there is
+no second scan.
 """
 
 from __future__ import annotations
@@ -99,9 +100,10 @@ def conform(
     )
     obs = Observation(f"conform_{uuid.uuid4().hex[:10]}")
     metrics = [F.count(F.lit(1)).alias("rows")]
-    metrics += [
-        F.count_if(F.col(src_alias[n]).isNotNull() & col(n).isNull()).alias(REJECT_PREFIX + n)
-        for n in reject_cols
-    ]
+    for n, _, src, target in cols:
+        if n in src_alias:
+            lost = casts.loses(F.col(src_alias[n]), src, col(n), target)
+            gone = F.col(src_alias[n]).isNotNull() & col(n).isNull()
+            metrics.append(F.count_if(gone if lost is None else gone | lost).alias(REJECT_PREFIX + n))
     observed = staged.observe(obs, *metrics).select(*[col(n) for n, _, _, _ in cols])
     return Conformed(observed, obs, targets, reject_cols)

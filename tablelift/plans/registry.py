@@ -8,7 +8,9 @@ directory under the shared checkpoint folder) and return what was read back.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +18,9 @@ from pyspark.sql import functions as F
 from tablelift.functions import casts
 from tablelift.functions.quoting import quote_table_name_col
 from tablelift.functions.types import EXACT_TYPE_NAMES, EXTRA_TYPE_NAMES, declared_types, target_type_col
-from tablelift.operators import fixtures, runlog, verify
+from tablelift.operators import fixtures, range_diff, runlog, splits, verify
 from tablelift.operators.conform import conform
+from tablelift.operators.quarantine import quarantine
 from tablelift.plans.export import REPORT_SCHEMA, DatabaseSpec, ExportJob, GlobalSpec, TaskSpec, run
 from tablelift.session import scratch_path
 from tablelift.sinks.parquet import row_group_layout
@@ -540,6 +543,58 @@ def q_diff_except_all(spark, sf):
     return verify.diff_except_all(li, lossy)
 
 
+@query("scan_split_plan", "select l_orderkey, l_linenumber, 1 as ranges_holding, true as even from lineitem")
+def q_scan_split_plan(spark, sf):
+    """Every row with the number of ranges of the plan that hold it, and whether these are within 1.2 of even."""
+    li, key = load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]
+    cuts = splits.key_quantiles(li, key, 16)
+    counts = [r["rows"] for r in splits.split_counts(li, key, cuts).collect()]
+    even = len(counts) == 16 and max(counts) <= 1.2 * sum(counts) / len(counts)
+    held = [splits.in_range(li, key, cuts, i).cast("int") for i in range(splits.NULL_RANGE, len(cuts) + 1)]
+    return li.select(*key, reduce(operator.add, held).alias("ranges_holding"), F.lit(even).alias("even"))
+
+
+CHANGED_DUCK = """(select * replace (case when l_orderkey = 1 and l_linenumber = 7 then l_quantity + 1 else l_quantity end as l_quantity)
+  from lineitem where not (l_orderkey = 7 and l_linenumber = 2) union all select * from lineitem where l_orderkey = 3 and l_linenumber = 2)"""
+
+
+@query("diff_by_range", f"""
+select 'source_only' as side, * from (select * from lineitem except all select * from {CHANGED_DUCK})
+union all
+select 'output_only' as side, * from (select * from {CHANGED_DUCK} except all select * from lineitem)
+""")
+def q_diff_by_range(spark, sf):
+    li = load(spark, sf, "lineitem")
+    changed = li.withColumn("l_quantity", F.expr("if(l_orderkey = 1 and l_linenumber = 7, l_quantity + 1, l_quantity)").cast(
+        li.schema["l_quantity"].dataType))
+    output = changed.where("not (l_orderkey = 7 and l_linenumber = 2)").unionByName(li.where("l_orderkey = 3 and l_linenumber = 2"))
+    return range_diff.diff_by_range(li, output, ["l_orderkey", "l_linenumber"], leaf_rows=1000)
+
+
+@query("export_rejects", """
+with o as (select o_orderkey, cast(o_totalprice as double) as price, o_orderpriority as priority from orders)
+select * from (
+  select o_orderkey, 'cut' as column_name, price as raw_number, 'fraction' as reason from o where price <> trunc(price)
+  union all select o_orderkey, 'far', price * 1e300, 'infinity' from o where price <> 0
+  union all select o_orderkey, 'fine', price / 1e13, 'scale' from o where cast(cast(price / 1e13 as decimal(38, 10)) as double) <> price / 1e13
+  union all select o_orderkey, 'word', null, 'bad text' from o where priority is not null
+  union all select o_orderkey, 'narrow', cast(o_orderkey * 10 as double), 'overflow' from o where o_orderkey * 10 > 32767
+  union all select null, 'rows', count(*), null from o)
+""")
+def q_export_rejects(spark, sf):
+    """Orders whose declared types are too small for their values: each lost value, and the number of rows kept."""
+    o = load(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_totalprice").cast("double").alias("cut"),
+                                         (F.col("o_totalprice").cast("double") * F.lit(1e300)).alias("far"),
+                                         (F.col("o_totalprice").cast("double") / F.lit(1e13)).alias("fine"),
+                                         F.col("o_orderpriority").alias("word"), (F.col("o_orderkey") * 10).cast("long").alias("narrow"))
+    declared = {"o_orderkey": "BIGINT", "cut": "BIGINT", "far": "FLOAT", "fine": "DECIMAL", "word": "BIGINT", "narrow": "INT16"}
+    kept = quarantine(o, declared, ["o_orderkey"])
+    lost = kept.rejects.select("o_orderkey", "column_name", F.col("raw_value").try_cast("double").alias("raw_number"), "reason")
+    total = kept.rows.agg(F.count(F.lit(1)).cast("double").alias("raw_number"))
+    return lost.unionByName(total.select(F.lit(None).cast("long").alias("o_orderkey"), F.lit("rows").alias("column_name"), "raw_number",
+                                         F.lit(None).cast("string").alias("reason")))
+
+
 ROLLUP_GROUPS = {"tpch": ["region", "nation", "supplier", "customer"], "content": ["labels", "benchmark"]}
 
 

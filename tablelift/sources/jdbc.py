@@ -13,6 +13,7 @@ as one snapshot.
 from __future__ import annotations
 
 import math
+import warnings
 from datetime import date, datetime
 from decimal import Decimal
 from urllib.parse import parse_qsl, unquote, urlsplit
@@ -168,14 +169,8 @@ def plan_partitions(lo: int, hi: int, n: int, rows_per_partition: int = 1_000_00
     return max(1, parts)
 
 
-def quantile_sql(driver: str, table: str, column: str, buckets: int, sample_pct: float | None = None) -> str:
-    """(bucket, upper key) of ``buckets`` equal-count buckets, computed by the database. The bucket
-    numbers carry the database's own order of the keys, which predicates must follow.
-
-    With ``sample_pct`` the buckets come from a table sample (the database sorts a few million rows,
-    not the table). Bucket bounds only place the split points: the predicates built from them still
-    cover every row, so sampling never drops data.
-    """
+def _sampled(driver: str, table: str, sample_pct: float | None) -> tuple[str, str]:
+    """The FROM item and WHERE clause of a table, or of a sample of its rows."""
     kind = canonical_driver(driver)
     t = quote_table_name(table, driver)
     where = ""
@@ -189,7 +184,19 @@ def quantile_sql(driver: str, table: str, column: str, buckets: int, sample_pct:
             t = f"{t} SAMPLE ({p})"
         else:  # mysql: no TABLESAMPLE
             where = f" WHERE RAND() < {float(p) / 100}"
-    alias = "" if kind == "oracle" else " AS q"
+    return t, where
+
+
+def quantile_sql(driver: str, table: str, column: str, buckets: int, sample_pct: float | None = None) -> str:
+    """(bucket, upper key) of ``buckets`` equal-count buckets, computed by the database. The bucket
+    numbers carry the database's own order of the keys, which predicates must follow.
+
+    With ``sample_pct`` the buckets come from a table sample (the database sorts a few million rows,
+    not the table). Bucket bounds only place the split points: the predicates built from them still
+    cover every row, so sampling never drops data.
+    """
+    t, where = _sampled(driver, table, sample_pct)
+    alias = "" if canonical_driver(driver) == "oracle" else " AS q"
     return (f"SELECT bucket, MAX({column}) AS upper_key FROM (SELECT {column}, NTILE({buckets}) OVER (ORDER BY {column}) "
             f"AS bucket FROM {t}{where}){alias} GROUP BY bucket")
 
@@ -270,6 +277,91 @@ def _sql_literal(v, driver: str = "postgres") -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
+def key_sql(driver: str, table: str) -> str | None:
+    """(key_name, is_primary, column_name, ordinal) of the table's primary and unique keys, from the
+    catalog; keys over expressions or part of the rows are left out. None for a derived table."""
+    if table.lstrip().startswith("("):
+        return None
+    kind = canonical_driver(driver)
+    schema, _, name = table.rpartition(".")
+    if kind == "postgres":
+        return ("SELECT i.indexrelid AS key_name, CASE WHEN i.indisprimary THEN 1 ELSE 0 END AS is_primary, a.attname AS column_name, "
+                "k.ord AS ordinal FROM pg_index i CROSS JOIN LATERAL unnest(i.indkey) WITH ORDINALITY AS k(attnum, ord) "
+                "JOIN pg_attribute a ON a.attrelid = i.indrelid AND a.attnum = k.attnum "
+                f"WHERE i.indrelid = to_regclass('{table}') AND i.indisunique AND i.indpred IS NULL AND i.indexprs IS NULL "
+                "AND k.ord <= i.indnkeyatts")
+    if kind == "mysql":
+        here = f"'{schema}'" if schema else "DATABASE()"
+        return ("SELECT INDEX_NAME AS key_name, CASE WHEN INDEX_NAME = 'PRIMARY' THEN 1 ELSE 0 END AS is_primary, COLUMN_NAME AS column_name, "
+                f"SEQ_IN_INDEX AS ordinal FROM information_schema.statistics WHERE NON_UNIQUE = 0 AND TABLE_NAME = '{name}' "
+                f"AND TABLE_SCHEMA = {here}")
+    if kind == "oracle":
+        owner = f"'{schema.upper()}'" if schema else "SYS_CONTEXT('USERENV', 'CURRENT_SCHEMA')"
+        return ("SELECT c.CONSTRAINT_NAME AS key_name, CASE WHEN c.CONSTRAINT_TYPE = 'P' THEN 1 ELSE 0 END AS is_primary, "
+                "k.COLUMN_NAME AS column_name, k.POSITION AS ordinal FROM ALL_CONSTRAINTS c JOIN ALL_CONS_COLUMNS k "
+                "ON k.OWNER = c.OWNER AND k.CONSTRAINT_NAME = c.CONSTRAINT_NAME "
+                f"WHERE c.CONSTRAINT_TYPE IN ('P', 'U') AND c.TABLE_NAME = '{name.upper()}' AND c.OWNER = {owner}")
+    if kind == "mssql":
+        return ("SELECT i.name AS key_name, CAST(i.is_primary_key AS INT) AS is_primary, c.name AS column_name, "
+                "x.key_ordinal AS ordinal FROM sys.indexes i JOIN sys.index_columns x ON x.object_id = i.object_id AND x.index_id = i.index_id "
+                "JOIN sys.columns c ON c.object_id = x.object_id AND c.column_id = x.column_id "
+                f"WHERE i.object_id = OBJECT_ID('{table}') AND i.is_unique = 1 AND i.has_filter = 0 AND x.key_ordinal > 0")
+    return None
+
+
+def quoted(driver: str, name: str) -> str:
+    """A column name from the catalog as this database quotes it."""
+    first, last = {"mysql": "``", "mssql": "[]"}.get(canonical_driver(driver), '""')
+    return first + name.replace(last, last * 2) + last
+
+
+def choose_key(rows: list) -> list[str] | None:
+    """The columns, in order, of the primary key, else of the unique key with the fewest columns."""
+    keys: dict = {}
+    for name, primary, column, ordinal in rows:
+        keys.setdefault((-int(primary), str(name)), []).append((int(ordinal), column))
+    keys = {k: v for k, v in keys.items() if all(c is not None for _, c in v)}
+    if not keys:
+        return None
+    best = min(keys, key=lambda k: (k[0], len(keys[k]), k[1]))
+    return [c for _, c in sorted(keys[best])]
+
+
+def key_cuts_sql(driver: str, table: str, columns: list[str], buckets: int, sample_pct: float | None = None) -> str:
+    """(bucket, k0, k1, ...): the last key, in the database's own order, of each of ``buckets``
+    equal-count buckets of a table's (or a sample's) rows by a key of several columns."""
+    t, where = _sampled(driver, table, sample_pct)
+    names = [f"k{i}" for i in range(len(columns))]
+    alias = "" if canonical_driver(driver) == "oracle" else " AS q"
+    picked = ", ".join(f"{c} AS {k}" for c, k in zip(columns, names, strict=True))
+    keys, down = ", ".join(names), ", ".join(f"{k} DESC" for k in names)
+    return (f"SELECT bucket, {keys} FROM (SELECT bucket, {keys}, ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY {down}) AS place "
+            f"FROM (SELECT {picked}, NTILE({buckets}) OVER (ORDER BY {', '.join(columns)}) AS bucket FROM {t}{where}){alias}){alias} "
+            f"WHERE place = 1")
+
+
+def key_predicates(columns: list[str], cuts: list[tuple], driver: str = "postgres") -> list[str]:
+    """Disjoint, covering WHERE clauses between neighbouring ``cuts`` of a key of several columns, which
+    come in the database's order; rows with a NULL in the key are the last range. Row values are
+    written out, since not all databases compare them, after a bound of the first column alone, which
+    an index serves."""
+    cuts = [c for i, c in enumerate(cuts) if None not in c and (i == 0 or c != cuts[i - 1])]
+
+    def beyond(cut: tuple, op: str, last: str) -> str:
+        out = ""
+        for i, (c, v) in reversed(list(enumerate(zip(columns, cut, strict=True)))):
+            lit = _sql_literal(_whole(v), driver)
+            out = f"{c} {last} {lit}" if not out else f"({c} {op} {lit} OR ({c} = {lit} AND {out}))"
+        return out if len(columns) == 1 else f"{columns[0]} {op}= {_sql_literal(_whole(cut[0]), driver)} AND {out}"
+
+    known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    preds = []
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        parts = ([beyond(low, ">", ">")] if low else []) + ([beyond(high, "<", "<=")] if high else []) + [known]
+        preds.append(" AND ".join(parts))
+    return [*preds, " OR ".join(f"{c} IS NULL" for c in columns)]
+
+
 def catalog_sql(driver: str, table: str) -> str:
     """Declared column types of a table from the database catalog, in column order."""
     kind = canonical_driver(driver)
@@ -331,7 +423,8 @@ class JdbcSource:
         """Reader options (and WHERE predicates for skewed keys) of a table scan, from key statistics.
 
         ``bounds`` is (min, max, count) of the partition column; ``uppers`` the bucket upper keys from
-        ``quantile_sql``. Without a partition column the table is read by one task.
+        ``quantile_sql``. Without a partition column the table is read by one task (``plan_key_read``
+        finds a key).
         """
         if partition_column is None or bounds is None:
             return {"options": table_options(self.driver, self.dsn, table, self.fetchsize), "predicates": None}
@@ -374,6 +467,37 @@ class JdbcSource:
             uppers = [u for _, u in sorted(map(tuple, self.query_rows(spark, sql)), key=lambda r: int(r[0]))]
         return bounds, uppers
 
+    def discover_key(self, spark: SparkSession, table: str) -> list[str] | None:
+        """The key to split a table by when none is given; None where the catalog names none."""
+        sql = key_sql(self.driver, table)
+        if sql is None:
+            return None
+        try:
+            return choose_key([tuple(r) for r in self.query_rows(spark, sql)])
+        except Exception as e:  # noqa: BLE001 - the scan still works, in one task
+            warnings.warn(f"no key of {self.name}.{table} could be read, one task scans it: {e}", stacklevel=2)
+            return None
+
+    def plan_key_read(self, spark: SparkSession, table: str) -> dict:
+        """A scan in even ranges of the table's own key: as many as its rows ask for, in one task where
+        it has no key or few rows."""
+        key, whole = self.discover_key(spark, table), self.plan_table_read(table)
+        if key is None:
+            return whole
+        key = [quoted(self.driver, c) for c in key]
+        rows = self.row_estimate(spark, table)
+        if rows is None:
+            t = quote_table_name(table, self.driver)
+            rows = int(self.query_rows(spark, f"SELECT COUNT(*) AS n FROM {t}")[0][0])
+        parts = min(self.max_partitions, math.ceil(rows / self.rows_per_partition))
+        if parts < 2:
+            return whole
+        sql = key_cuts_sql(self.driver, table, key, parts, quantile_sample_pct(rows))
+        found = sorted(map(tuple, self.query_rows(spark, sql)), key=lambda r: int(r[0]))
+        opts = {**jdbc_connection(self.driver, self.dsn), "dbtable": quote_table_name(table, self.driver),
+                "fetchsize": str(self.fetchsize), "preferTimestampNTZ": "true"}
+        return {"options": opts, "predicates": key_predicates(key, [r[1:] for r in found[:-1]], self.driver)}
+
     def load(self, spark: SparkSession, plan: dict) -> DataFrame:
         if plan["predicates"]:
             props = {**plan["options"], **self.options}
@@ -383,9 +507,9 @@ class JdbcSource:
 
     def read_table(self, spark: SparkSession, table: str, partition_column: str | None = None,
                    skewed: bool = False) -> DataFrame:
-        bounds = uppers = None
-        if partition_column is not None:
-            bounds, uppers = self.key_stats(spark, table, partition_column, skewed)
+        if partition_column is None:
+            return self.load(spark, self.plan_key_read(spark, table))
+        bounds, uppers = self.key_stats(spark, table, partition_column, skewed)
         return self.load(spark, self.plan_table_read(table, partition_column, skewed, bounds, uppers))
 
     def declared_types(self, spark: SparkSession, table: str, columns: list[str], df: DataFrame | None = None) -> dict[str, str]:
