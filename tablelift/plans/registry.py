@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tablelift.functions import casts
 from tablelift.functions.quoting import quote_table_name_col
 from tablelift.functions.types import EXACT_TYPE_NAMES, EXTRA_TYPE_NAMES, declared_types, target_type_col
-from tablelift.operators import fixtures, range_diff, runlog, splits, verify
+from tablelift.operators import fixtures, range_diff, runlog, sketch_diff, splits, verify
 from tablelift.operators.conform import conform
 from tablelift.operators.quarantine import quarantine
 from tablelift.plans.export import REPORT_SCHEMA, DatabaseSpec, ExportJob, GlobalSpec, TaskSpec, run
@@ -564,11 +564,21 @@ union all
 select 'output_only' as side, * from (select * from {CHANGED_DUCK} except all select * from lineitem)
 """)
 def q_diff_by_range(spark, sf):
+    li, output = _changed_lineitem(spark, sf)
+    return range_diff.diff_by_range(li, output, ["l_orderkey", "l_linenumber"], leaf_rows=1000)
+
+
+@query("diff_iblt", ORACLE["diff_by_range"])
+def q_diff_iblt(spark, sf):
+    return sketch_diff.diff_iblt(*_changed_lineitem(spark, sf))
+
+
+def _changed_lineitem(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """lineitem, and lineitem with a changed, a dropped and an added row (or two with equal keys)."""
     li = load(spark, sf, "lineitem")
     changed = li.withColumn("l_quantity", F.expr("if(l_orderkey = 1 and l_linenumber = 7, l_quantity + 1, l_quantity)").cast(
         li.schema["l_quantity"].dataType))
-    output = changed.where("not (l_orderkey = 7 and l_linenumber = 2)").unionByName(li.where("l_orderkey = 3 and l_linenumber = 2"))
-    return range_diff.diff_by_range(li, output, ["l_orderkey", "l_linenumber"], leaf_rows=1000)
+    return li, changed.where("not (l_orderkey = 7 and l_linenumber = 2)").unionByName(li.where("l_orderkey = 3 and l_linenumber = 2"))
 
 
 @query("export_rejects", """
