@@ -5,7 +5,9 @@ instruction and answer fields. The fingerprint of a record is the hash of its so
 field paths (list items are ``[]``; fields that are null don't count); it selects one of the declared
 mappings, each of which says where the turns are, which field holds the role and which the text. The
 result is always the same: canonical turns (conv_id, turn, role, text). Records of unknown layout
-are returned with a null mapping, never dropped.
+are returned with a null mapping, never dropped. A record whose fingerprint is unknown is tried again
+without the fields that no mapping names, then with its null fields counted; extra fields
+are left out only where a text of the mapping is there, so that no text is lost with them.
 
 A turn is written as ``### role: text</turn>`` and a line end. Inside roles and texts a backslash
 goes before every backslash, ``###`` and ``</turn>`` (in roles also before colons), so that no text
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from tablelift.llm.common import arrow_map
 
 END = "</turn>"
+WHOLE = re.compile(r"[+-]?[0-9]{1,19}")
 TOKEN = re.compile(r"\\(\\|###|</turn>|:)|(</turn>\n)|(: )")
 
 
@@ -59,12 +62,12 @@ def fingerprint(paths) -> int:
     return xxhash.xxh64_intdigest("\n".join(sorted(paths)).encode())
 
 
-def field_paths(value, at: str = "") -> set[str]:
-    """The paths of all fields of a parsed record that are not null."""
+def field_paths(value, at: str = "", nulls: bool = False) -> set[str]:
+    """The paths of all fields of a parsed record, those that are null only with ``nulls``."""
     if isinstance(value, dict):
-        return set().union(*[field_paths(v, f"{at}.{k}" if at else k) for k, v in value.items() if v is not None])
+        return set().union(*[field_paths(v, f"{at}.{k}" if at else k, nulls) for k, v in value.items() if nulls or v is not None])
     if isinstance(value, list):
-        return set().union(*[field_paths(v, f"{at}[]") for v in value]) if value else {f"{at}[]"}
+        return set().union(*[field_paths(v, f"{at}[]", nulls) for v in value]) if value else {f"{at}[]"}
     return {at}
 
 
@@ -96,6 +99,61 @@ MAPPINGS = _turn_rows() + [
 BY_PRINT = {fingerprint(m.paths): m for m in MAPPINGS}
 
 
+def _parents(path: str) -> set[str]:
+    """What holds the field ``path``: ``a[].b`` is below ``a[]`` and ``a``."""
+    return {path[:m.start()] for m in re.finditer(r"\.|\[\]", path)} | {path[:m.end()] for m in re.finditer(r"\[\]", path)} - {path}
+
+
+class Layouts:
+    """Fingerprint -> mapping, with the looser tries for records of no known fingerprint."""
+
+    def __init__(self, table: dict[int, Mapping]):
+        self.table = table
+        self.named = {p for m in table.values() for p in m.paths}
+        self.above = set().union(*[_parents(p) for p in self.named])
+
+    def counts(self, path: str) -> bool:
+        """Whether a path tells layouts apart: a mapping names it, or it stands where one names another shape."""
+        return path in self.named or path in self.above or not self.named.isdisjoint(_parents(path))
+
+    def of(self, record: dict) -> Mapping | None:
+        paths = field_paths(record)
+        for tried in (paths, field_paths(record, nulls=True)):
+            mapping = self.table.get(fingerprint(tried))
+            if mapping is not None:
+                return mapping
+            mapping = self.table.get(fingerprint(filter(self.counts, tried)))
+            if mapping is not None and paths & _texts(mapping):
+                return mapping
+        return None
+
+
+def _texts(mapping: Mapping) -> set[str]:
+    if mapping.fixed:
+        return {f for _, names in mapping.fixed for f in names}
+    return {mapping.text if mapping.turns is None else f"{mapping.turns}[].{mapping.text}"}
+
+
+def _text(value) -> str | None:
+    if value is None:
+        return None
+    text = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return text if text.isascii() else text.encode("utf-8", "surrogatepass").decode("utf-8", "replace")
+
+
+def _whole(value) -> int | None:
+    """A 64-bit whole number; ValueError for any other value that is not null."""
+    if value is None:
+        return None
+    if isinstance(value, bool) or not isinstance(value, (int, float, str)) or (isinstance(value, str) and not WHOLE.fullmatch(value)) \
+            or (isinstance(value, float) and not value.is_integer()):
+        raise ValueError(f"{value!r} is no whole number")
+    number = int(value)
+    if not -1 << 63 <= number < 1 << 63:
+        raise ValueError(f"{number} has more than 64 bits")
+    return number
+
+
 def _get(value, path: str):
     for k in path.split("."):
         value = value.get(k) if isinstance(value, dict) else None
@@ -103,40 +161,43 @@ def _get(value, path: str):
 
 
 def turns_of(record: dict, mapping: Mapping) -> list[tuple]:
-    """(conv_id, turn, role, text) of a record."""
-    conv = record.get(mapping.id)
+    """(conv_id, turn, role, text) of a record; ValueError where an id or a turn is no whole number."""
+    conv = _whole(record.get(mapping.id))
     if mapping.fixed:
-        return [(conv, i, role, "\n\n".join(record[f] for f in names)) for i, (role, names) in enumerate(mapping.fixed)]
+        return [(conv, i, role, "\n\n".join(_text(record.get(f)) or "" for f in names))
+                for i, (role, names) in enumerate(mapping.fixed)]
     if mapping.turns is None:
-        return [(conv, record.get(mapping.turn), record.get(mapping.role), record.get(mapping.text))]
-    return [(conv, i, ROLES.get(r := _get(m, mapping.role), r), _get(m, mapping.text))
+        return [(conv, _whole(record.get(mapping.turn)), _text(record.get(mapping.role)), _text(record.get(mapping.text)))]
+    return [(conv, i, ROLES.get(r := _text(_get(m, mapping.role)), r), _text(_get(m, mapping.text)))
             for i, m in enumerate(_get(record, mapping.turns))]
 
 
+def canonical_record(raw: str | None, layouts: Layouts) -> list[tuple]:
+    """(conv_id, turn, role, text, layout) of a JSON record, as it came and without a layout where none fits."""
+    try:
+        record = json.loads(raw) if raw is not None else None
+        mapping = layouts.of(record) if isinstance(record, dict) else None
+        if mapping is not None:
+            return [(*t, mapping.name) for t in turns_of(record, mapping)]
+    except (ValueError, RecursionError):
+        pass  # no JSON, or an id that is no number
+    return [(None, None, None, raw, None)]
+
+
 def canonical_turns(records: DataFrame, column: str, mappings: dict[int, Mapping] | None = None) -> DataFrame:
     """(conv_id, turn, role, text, layout) of the JSON records in ``column``. A record that is no
     object or has no mapping is one row with a null layout and itself as text."""
-    table = BY_PRINT if mappings is None else mappings
+    layouts = Layouts(BY_PRINT if mappings is None else mappings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for raw in batch.column(0).to_pylist():
-                try:
-                    record = json.loads(raw) if raw is not None else None
-                except ValueError:
-                    record = None
-                mapping = table.get(fingerprint(field_paths(record))) if isinstance(record, dict) else None
-                if mapping is None:
-                    rows.append((None, None, None, raw, None))
-                else:
-                    rows += [(*t, mapping.name) for t in turns_of(record, mapping)]
+            rows = [t for raw in batch.column(0).to_pylist() for t in canonical_record(raw, layouts)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in
                  enumerate((pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()))],
                 ["conv_id", "turn", "role", "text", "layout"])
 
-    return arrow_map(records.select(F.col(column)), run, "conv_id long, turn long, role string, text string, layout string")
+    return arrow_map(records.select(F.col(column).cast("string")), run, "conv_id long, turn long, role string, text string, layout string")
 
 
 def escaped(text, marks: str = r"\\|###|</turn>"):

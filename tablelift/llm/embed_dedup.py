@@ -6,13 +6,14 @@ tables. Besides its own bucket a vector probes the ``probes`` next likely ones:
 hash is replaced by its second nearest axis, the closest call first. Vectors that share a bucket,
 which is the own one of one of them, are compared by cosine in double precision.
 
-Equal vectors are one class before anything is hashed. Buckets over ``BLOCK`` vectors are compared
+Equal vectors are one class, numbered apart from their ids, before anything is hashed. Buckets over ``BLOCK`` vectors are compared
 in pairs of blocks, each a group of its own. A pair is counted in the least bucket that it shares, so
 a link counts once without a distinct over pairs; tasks emit counts and one edge a vector, not pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link
 with nothing (0 links, own id); vectors of different lengths don't link; rows with equal vectors
-link with each other, also when they repeat a vec_id; a null vec_id has a null component and doesn't
+link with each other, also when they repeat a vec_id; rows that share a vec_id but not the vector are
+vectors of their own; a null vec_id has a null component and doesn't
 take part. Extra columns are ignored.
 """
 
@@ -97,7 +98,7 @@ def _unit(data: list[bytes]) -> np.ndarray:
 def _hash_task(tables: int, width: int, probes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rep, size, data = (batch.column(i).to_pylist() for i in range(3))
+            cls, size, data = (batch.column(i).to_pylist() for i in range(3))
             dims = np.array([len(d) for d in data])
             for dim in np.unique(dims):
                 here = np.flatnonzero(dims == dim)
@@ -111,7 +112,7 @@ def _hash_task(tables: int, width: int, probes: int):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(flat.ravel()), pa.array(own), *(batch.column(i).take(take) for i in range(3)),
                          pa.array([p.tobytes() for p in flat], pa.binary()).take(pa.array(np.repeat(np.arange(len(part)), n)))],
-                        ["place", "own", "rep", "size", "data", "places"])
+                        ["place", "own", "cls", "size", "data", "places"])
 
     return run
 
@@ -120,17 +121,17 @@ def _compare_task(bound: float, probes: int):
     def compare(rows) -> pa.RecordBatch:
         place = rows[0][1]
         own, side = (np.array([r[i] for r in rows]) for i in (2, 7))
-        rep, size = (np.array([r[i] for r in rows], np.int64) for i in (3, 4))
+        cls, size = (np.array([r[i] for r in rows], np.int64) for i in (3, 4))
         x = _unit([r[5] for r in rows])
         every = np.stack([np.frombuffer(r[6], np.int64) for r in rows])
         first = every[:, ::1 + probes]
-        links, label = np.zeros(len(rep), np.int64), rep.copy()
+        links, label = np.zeros(len(cls), np.int64), cls.copy()
         us, vs = [], []
-        left, right = (np.flatnonzero(side != 1), np.flatnonzero(side != 0)) if (side != 2).any() else (np.arange(len(rep)),) * 2
+        left, right = (np.flatnonzero(side != 1), np.flatnonzero(side != 0)) if (side != 2).any() else (np.arange(len(cls)),) * 2
         for a in range(0, len(left), 256):
             i, j = np.nonzero(x[left[a:a + 256]] @ x[right].T >= bound)
             i, j = left[a + i], right[j]
-            keep = (rep[i] != rep[j]) & (own[i] | own[j]) & ((rep[i] < rep[j]) | (side[i] != 2))
+            keep = (cls[i] != cls[j]) & (own[i] | own[j]) & ((cls[i] < cls[j]) | (side[i] != 2))
             us.append(i[keep]), vs.append(j[keep])
         u, v = np.concatenate(us), np.concatenate(vs)
         for a in range(0, len(u), 20_000):
@@ -148,9 +149,9 @@ def _compare_task(bound: float, probes: int):
             np.minimum.at(label, v, old[u])
             if (label == old).all():
                 break
-        hit = (links > 0) | (label != rep)
-        return pa.RecordBatch.from_arrays([pa.array(rep[hit]), pa.array(links[hit]), pa.array(label[hit])],
-                                          ["rep", "links", "label"])
+        hit = (links > 0) | (label != cls)
+        return pa.RecordBatch.from_arrays([pa.array(cls[hit]), pa.array(links[hit]), pa.array(label[hit])],
+                                          ["cls", "links", "label"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, rows = None, []
@@ -177,25 +178,29 @@ def near_vectors(vectors: DataFrame, bound: float = 0.95, tables: int = 6, width
                      _read_task, "vec_id long, digest string, data binary")
     read = scratch.table(read.withColumn("digest", F.expr("if(vec_id is null, null, digest)")), "vectors")
     live = read.filter("digest is not null")
-    classes = scratch.table(live.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"),
-                                                       F.first("data").alias("data")), "classes")
-    hashed = arrow_map(classes.select("rep", "size", "data"), _hash_task(tables, width, probes),
-                       "place long, own boolean, rep long, size long, data binary, places binary")
+    classes = scratch.table(live.groupBy("digest").agg(F.min("vec_id").alias("least"), F.count("*").alias("size"),
+                                                       F.first("data").alias("data"))
+                            .withColumn("cls", F.monotonically_increasing_id()), "classes")
+    hashed = arrow_map(classes.select("cls", "size", "data"), _hash_task(tables, width, probes),
+                       "place long, own boolean, cls long, size long, data binary, places binary")
     hashed = scratch.table(hashed, "hashed")
     crowd = (hashed.groupBy("place").agg(F.count("*").alias("n"), F.max("own").alias("any_own")).filter("n > 1 and any_own")
              .select("place", F.expr(f"cast((n - 1) div {BLOCK} + 1 as int)").alias("nb")))
-    rows = (hashed.join(crowd, "place").withColumn("a", F.expr("cast(pmod(xxhash64(rep), nb) as int)"))
+    rows = (hashed.join(crowd, "place").withColumn("a", F.expr("cast(pmod(xxhash64(cls), nb) as int)"))
             .withColumn("b", F.explode(F.expr("sequence(0, nb - 1)")))
-            .selectExpr("xxhash64(place, least(a, b), greatest(a, b)) as block", "place", "own", "rep", "size", "data",
+            .selectExpr("xxhash64(place, least(a, b), greatest(a, b)) as block", "place", "own", "cls", "size", "data",
                         "places", "case when a = b then 2 when a < b then 0 else 1 end as side"))
     found = arrow_map(rows.repartition("block").sortWithinPartitions("block"), _compare_task(bound, probes),
-                      "rep long, links long, label long")
-    found = scratch.table(found.groupBy("rep", "label").agg(F.sum("links").alias("links")), "found")
-    comps = components(found, Scratch(spark), "rep", "label")
-    sums = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    whole = (classes.drop("data").join(sums, "rep", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+                      "cls long, links long, label long")
+    found = scratch.table(found.groupBy("cls", "label").agg(F.sum("links").alias("links")), "found")
+    scratch.drop("hashed")
+    comps = components(found, Scratch(spark), "cls", "label").withColumnRenamed("node", "cls")
+    comps = comps.join(classes.select("cls", "least"), "cls")
+    names = comps.groupBy("component").agg(F.min("least").alias("named"))  # a component is named by its smallest vec_id
+    sums = found.groupBy("cls").agg(F.sum("links").alias("links"))
+    whole = (classes.drop("data").join(sums, "cls", "left").join(comps.join(names, "component").select("cls", "named"), "cls", "left")
              .select("digest", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n"),
-                     F.coalesce("component", "rep").alias("c")))
+                     F.coalesce("named", "least").alias("c")))
     return (read.drop("data").join(whole, "digest", "left")
             .select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("c", "vec_id").alias("component_id"))

@@ -7,8 +7,8 @@ few slots change hands but its own. A row's key is hashed to a slot; the table,
 parameter, is broadcast, and the placement is one lookup, without a shuffle.
 
 Defined results: a null key is hashed like the empty string, so all its rows are in one slot; equal
-keys share a slot; no rows give no rows. Columns of the input stay as they are; ``slot`` and ``shard``
-take other names when the input has such columns (see ``place``).
+keys share a slot; no rows give no rows. Columns of the input stay as they are; where the input has a
+column ``slot``, ``shard`` or ``_shard`` of any case, the operator's own takes underscores in front.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablelift.llm.common import free_name
+
 HEX = 15  # digits of the md5 that make the key's hash
 
 
@@ -48,8 +50,8 @@ def lookup_table(shards: list[str], size: int) -> list[int]:
 def place(df: DataFrame, key: str, shards: list[str], size: int = 10_007, slot: str = "slot",
           shard: str = "shard") -> DataFrame:
     """``df`` with the slot (long) and the shard (place in ``shards``, int) of every row."""
-    if {slot.lower(), shard.lower()} & {c.lower() for c in df.columns}:
-        raise ValueError(f"the input has a column {slot} or {shard}: name others")
+    slot = free_name(slot, df.columns)
+    shard = free_name(shard, [*df.columns, slot])
     spark, table = df.sparkSession, lookup_table(shards, size)
     slots = spark.createDataFrame(list(enumerate(table)), f"`{slot}` long, `{shard}` int")  # size rows
     digest = F.md5(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary"))
@@ -59,8 +61,10 @@ def place(df: DataFrame, key: str, shards: list[str], size: int = 10_007, slot:
 
 def write_shards(df: DataFrame, key: str, shards: list[str], path: str, size: int = 10_007,
                  files_per_shard: int = 8) -> None:
-    """Write ``df`` as Parquet, one folder a shard; slots are dealt to ``files_per_shard`` files, so
-    that a shard is not one task."""
-    placed = place(df, key, shards, size, "_slot", "_shard").withColumn("_part", F.col("_slot") % files_per_shard)
-    (placed.repartition(len(shards) * files_per_shard, "_shard", "_part").drop("_slot", "_part")
-     .write.partitionBy("_shard").parquet(path))
+    """Write ``df`` as Parquet, one folder ``_shard=<place>`` a shard; slots are dealt to
+    ``files_per_shard`` files, so that a shard is not one task."""
+    slot, shard = free_name("_slot", df.columns), free_name("_shard", df.columns)
+    part = free_name("_part", df.columns)
+    placed = place(df, key, shards, size, slot, shard).withColumn(part, F.col(slot) % files_per_shard)
+    (placed.repartition(len(shards) * files_per_shard, shard, part).drop(slot, part)
+     .write.partitionBy(shard).parquet(path))
