@@ -19,6 +19,8 @@ def main(argv: list[str] | None = None) -> int:
                    help="Spark log level")
     p.add_argument("--version", action="store_true", help="print the version and exit")
     p.add_argument("-report", "--report", default=None, help="append the run report to this Parquet path")
+    p.add_argument("--resume", default=None, choices=["off", "unchanged", "done"],
+                   help="with -report: keep what the stored run log lists as exported")
     p.add_argument("-verify", "--verify", action="store_true", help="reconcile every output with its source")
     p.add_argument("-diff", "--diff", default=None,
                    help="with -verify: write the row diff of every failing table under this folder")
@@ -40,11 +42,13 @@ def main(argv: list[str] | None = None) -> int:
     except JobSpecError as e:
         print(e, file=sys.stderr)
         return 2
+    if args.resume:
+        job.global_.resume = args.resume
     spark = get_spark(args.master, app="tablelift")
     spark.sparkContext.setLogLevel(args.log_level.upper())
     try:
         report = run(spark, job, report_path=args.report)
-    except ConnectionError as e:
+    except (ConnectionError, JobSpecError) as e:
         print(e, file=sys.stderr)
         return 2
     rows = report.select("task", "table_name", "status", "rows", "seconds", "error_code", "error",
@@ -59,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
 
     s = report_summary(report).first()
     print(f"tables={s['tables']} failed={s['failed']} rows={s['rows']} table_seconds={s['seconds']:.2f}")
-    failed = any(r["status"] != "ok" for r in rows)
+    failed = any(r["status"] == "failed" for r in rows)
     if args.verify:
         from tablelift.plans.verify_job import verify_and_diff, verify_job
 

@@ -12,6 +12,10 @@ E006 other task failure.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
+import threading
 import time
 import tomllib
 from concurrent.futures import ThreadPoolExecutor
@@ -35,9 +39,10 @@ FORMATS = {"parquet": ".parquet", "arrow": ".arrow"}
 REPORT_SCHEMA = (
     "task string, db string, table_name string, target string, format string, status string, "
     "rows long, seconds double, error_code string, error string, rejects map<string,long>, finished_at string, "
-    "scan_partitions int, published string"
+    "scan_partitions int, published string, unit_key string, source_key string, output_stamp long"
 )
 PUBLISH_MODES = ("swap", "versioned")
+RESUME_MODES = ("off", "unchanged", "done")
 
 
 class JobSpecError(ValueError):
@@ -53,7 +58,8 @@ class GlobalSpec:
     overwrite: bool = False
     max_rows_per_file: int | None = None  # Parquet: roll output files within a task (bounds file size)
     narrow: str = "null"  # integer narrowing: "null" (overflow -> NULL, counted) or "wrap" (two's complement)
-    publish: str = "swap"  # "swap" (rename staging over the target) or "versioned" (pointer file; object stores)
+    publish: str = "swap"  # "swap" (rename staging over the target) or "versioned" (commit records; object stores)
+    resume: str = "off"  # keep the outputs that the stored run log lists: "unchanged" sources only, or all that are "done"
 
     def with_defaults(self) -> "GlobalSpec":
         return GlobalSpec(
@@ -65,6 +71,7 @@ class GlobalSpec:
             max_rows_per_file=self.max_rows_per_file if self.max_rows_per_file and self.max_rows_per_file > 0 else None,
             narrow=self.narrow or "null",
             publish=self.publish or "swap",
+            resume=self.resume or "off",
         )
 
 
@@ -142,7 +149,8 @@ class ExportJob:
     def problems(self) -> list[str]:
         """Every violation of the spec, each with its place and key."""
         g = self.global_
-        allowed = [("default_format", tuple(FORMATS)), ("narrow", ("null", "wrap")), ("publish", tuple(PUBLISH_MODES))]
+        allowed = [("default_format", tuple(FORMATS)), ("narrow", ("null", "wrap")), ("publish", tuple(PUBLISH_MODES)),
+                   ("resume", RESUME_MODES)]
         wrong = [f"[global] {key}: {getattr(g, key)!r} is none of {', '.join(values)}"
                  for key, values in allowed if getattr(g, key) not in values]
         for k, db in enumerate(self.databases, 1):
@@ -282,16 +290,18 @@ def read_output(spark: SparkSession, target: str, fmt: str) -> DataFrame:
 
 
 def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwrite: bool,
-                max_rows_per_file: int | None = None, narrow: str = "null", publish: str = "swap") -> tuple:
-    """Export one table or query; never raises. Returns one report row."""
+                max_rows_per_file: int | None = None, narrow: str = "null", publish: str = "swap",
+                keys: tuple[str | None, str | None] = (None, None)) -> tuple:
+    """Export one table or query; never raises. Returns one report row, which ends with ``keys``."""
     t0 = time.perf_counter()
     # Each export thread gets its own scheduler pool: under FAIR scheduling a small table is not
     # queued behind a large one; under FIFO the property is ignored.
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tablelift-{unit.label}")
     stage = "check"
     staging = None
-    pub = (VersionedPublisher if publish == "versioned" else Publisher)(spark, unit.target)
     try:
+        pub = publisher(spark, unit.target, publish, overwrite)
+        pub.begin()
         if pub.other_mode():
             raise FileExistsError(f"E005 output {unit.target} was published in the other mode")
         if pub.exists() and not overwrite:
@@ -307,14 +317,15 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
         write_output(conformed.df, staging, unit.format, batch_size, max_rows_per_file)
         if not pub.succeeded(staging):
             raise OSError(f"E005 write of {unit.target} did not complete")
+        m = conformed.metrics()  # before the publish: from there on nothing may fail
+        rejects = {k: int(v) for k, v in conformed.rejects().items()}
+        stamp = pub.stamp(staging)
         pub.publish(staging)
         published = pub.published(staging)
         staging = None
-        m = conformed.metrics()
-        rejects = {k: int(v) for k, v in conformed.rejects().items()}
         return (unit.task, unit.db, unit.table or unit.query, unit.target, unit.format, "ok",
                 int(m.get("rows", 0)), time.perf_counter() - t0, None, None, rejects, _now(), scan_partitions,
-                published)
+                published, *keys, stamp)
     except Exception as e:  # noqa: BLE001 - per-table isolation: report and continue
         if staging is not None:
             try:
@@ -322,7 +333,43 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
             except Exception:  # noqa: BLE001
                 pass
         return (unit.task, unit.db, unit.table or unit.query, unit.target, unit.format, "failed",
-                None, time.perf_counter() - t0, _classify(e, stage), _error_text(e), {}, _now(), None, None)
+                None, time.perf_counter() - t0, _classify(e, stage), _error_text(e), {}, _now(), None, None, *keys, None)
+
+
+def publisher(spark: SparkSession, target: str, mode: str, overwrite: bool) -> Publisher:
+    return VersionedPublisher(spark, target, overwrite) if mode == "versioned" else Publisher(spark, target)
+
+
+def unit_key(job: ExportJob, unit: Unit) -> str:
+    """Fingerprint of all that decides the values of an output: its source, table or query, format, place
+    and conversion. Credentials don't count."""
+    db = job.database(unit.db)
+    place = re.sub(r"(?i)\b(password|pwd)=[^;&\s]*", "", db.dsn.rsplit("@", 1)[-1])
+    parts = [db.name, canonical_driver(db.driver), place, unit.table, unit.query, unit.target, unit.format,
+             job.global_.narrow, job.global_.publish]
+    return hashlib.sha256(json.dumps(parts).encode()).hexdigest()
+
+
+def last_states(spark: SparkSession, report_path: str, keys: list[str]) -> dict[str, dict]:
+    """The last row of the stored run log for each of ``keys`` that has one (one row a unit comes back)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(report_path)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return {}
+    log = spark.read.schema(REPORT_SCHEMA).parquet(report_path).where(F.col("unit_key").isin(keys))
+    last = log.groupBy("unit_key").agg(F.max_by(F.struct(*log.columns), "finished_at").alias("row"))
+    return {r["unit_key"]: r["row"].asDict() for r in last.collect()}
+
+
+def _still_good(spark: SparkSession, unit: Unit, g: GlobalSpec, source_key: str | None, before: dict | None) -> bool:
+    """Whether the output of an earlier run stands for this one: its last state is a success, its source is
+    the same (or not asked for), and what the target holds is still that run's output."""
+    if before is None or before["status"] not in ("ok", "kept"):
+        return False
+    if g.resume == "unchanged" and (source_key is None or source_key != before["source_key"]):
+        return False
+    pub = publisher(spark, unit.target, g.publish, g.overwrite)
+    live = resolve_output(spark, unit.target)
+    return live == before["published"] and before["output_stamp"] is not None and pub.stamp(live) == before["output_stamp"]
 
 
 def _now() -> str:
@@ -330,7 +377,14 @@ def _now() -> str:
 
 
 def run(spark: SparkSession, job: ExportJob, report_path: str | None = None) -> DataFrame:
-    """Run every export of ``job``; returns the run report (one row per table or query)."""
+    """Run every export of ``job``; returns the run report (one row per table or query).
+
+    With ``resume`` the rows of a stored run log decide what is left to do: a unit (same source, table or
+    query, format, target and conversion) whose last row is a success, whose source has the same
+    fingerprint and whose output is still the one written then gets a row ``kept`` with that run's
+    figures; all others are exported. Sources without a fingerprint (databases) always count as changed
+    unless ``resume = "done"``. Each row is stored when its unit ends. One run at a time writes a log.
+    """
     job.validate()
     sources = {}
     for db in job.databases:
@@ -339,15 +393,47 @@ def run(spark: SparkSession, job: ExportJob, report_path: str | None = None) ->
         sources[db.name] = src
     units = job.units()
     g = job.global_
+    if g.resume != "off" and not report_path:
+        raise JobSpecError("E001 [global] resume: needs the path of a stored run log")
+    keys = {id(u): unit_key(job, u) for u in units}
+    before = last_states(spark, report_path, list(keys.values())) if g.resume != "off" else {}
+    log = threading.Lock()
+
+    def export(u: Unit) -> tuple:
+        state = _source_key(spark, sources[u.db], u) if report_path else None
+        known = before.get(keys[id(u)])
+        try:
+            kept = _still_good(spark, u, g, state, known)
+        except Exception:  # noqa: BLE001 - an output that can't be looked at is exported again, which reports why
+            kept = False
+        if kept:
+            row = tuple((known | {"status": "kept", "seconds": 0.0, "finished_at": _now()}).values())
+        else:
+            row = export_unit(spark, sources[u.db], u, g.batch_size, g.overwrite, g.max_rows_per_file, g.narrow,
+                              g.publish, (keys[id(u)], state))
+        if g.resume != "off":  # at once: a driver that is lost later leaves what is done in the log
+            with log:
+                spark.createDataFrame([row], REPORT_SCHEMA).coalesce(1).write.mode("append").parquet(report_path)
+        return row
+
     with ThreadPoolExecutor(max_workers=max(1, g.workers)) as pool:
-        rows = list(pool.map(lambda u: export_unit(spark, sources[u.db], u, g.batch_size, g.overwrite,
-                                                   g.max_rows_per_file, g.narrow, g.publish), units))
+        rows = list(pool.map(export, units))
     report = spark.createDataFrame(rows, REPORT_SCHEMA)
-    if report_path:
+    if report_path and g.resume == "off":
         report.write.mode("append").parquet(report_path)
     return report
 
 
+def _source_key(spark: SparkSession, source, unit: Unit) -> str | None:
+    """The source's fingerprint of what the unit reads, taken before it is read; None where a source has none."""
+    if not hasattr(source, "fingerprint"):
+        return None
+    try:
+        return source.fingerprint(spark, table=unit.table, sql=unit.query)
+    except Exception:  # noqa: BLE001 - the read itself reports what is wrong with the source
+        return None
+
+
 def report_summary(report: DataFrame) -> DataFrame:
     """Totals of a run report: tables, failed tables, rows written, and the sum of per-table seconds."""
     return report.agg(

@@ -34,7 +34,7 @@ def verify_job(spark: SparkSession, job: ExportJob, report: DataFrame, tables_pe
     of thousands of tables. Only one small row per table is returned.
     """
     job.validate()
-    done = {r["target"] for r in report.where(F.col("status") == "ok").select("target").collect()}
+    done = {r["target"] for r in report.where(F.col("status").isin("ok", "kept")).select("target").collect()}
     units = [u for u in job.units() if u.target in done]
     sources = {db.name: make_source(db) for db in job.databases}
     rows = [(u.db, u.table or u.query, u.target, None, None, 0, False) for u in job.units() if u.target not in done]

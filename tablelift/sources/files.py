@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablelift.functions.types import declared_types
 
@@ -55,12 +56,25 @@ class ParquetDirSource:
         """Spark SQL over views of the tables the query names (a word match on the text, so a
         directory of thousands of tables does not cost thousands of footer reads)."""
         child = spark.newSession()
-        words = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", sql.lower()))
-        for t in self.tables(spark):
-            if t.lower() in words:
-                child.read.parquet(self.table_path(t)).createOrReplaceTempView(t)
+        for t in self.named_in(spark, sql):
+            child.read.parquet(self.table_path(t)).createOrReplaceTempView(t)
         return child.sql(sql)
 
+    def named_in(self, spark: SparkSession, sql: str) -> list[str]:
+        words = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", sql.lower()))
+        return [t for t in self.tables(spark) if t.lower() in words]
+
+    def fingerprint(self, spark: SparkSession, table: str | None = None, sql: str | None = None) -> str:
+        """Changes with the names, sizes and times of the files of a table, or of all tables a query names.
+        A job lists them; no content is read."""
+        paths = [self.table_path(t) for t in ([table] if table else self.named_in(spark, sql or ""))]
+        if not paths:
+            return "no files"
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+        stamp = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        n, total = files.agg(F.count(F.lit(1)), F.sum(stamp)).first()
+        return f"{n} files {total}"
+
     def declared_types(self, spark: SparkSession, table: str, columns: list[str], df: DataFrame | None = None) -> dict[str, str]:
         """Declared names from the Parquet schema (of the scan already made, when given)."""
         schema = (df if df is not None else self.read_table(spark, table)).select(*columns).schema
