@@ -156,6 +156,13 @@ def null_mask(cols: list[str]) -> list[Column]:
     return masks or [F.lit(0).cast("bigint")]
 
 
+def row_multiset(df: DataFrame) -> DataFrame:
+    """(rows, total): the row count and the multiset hash of the whole rows, as in ``profile``."""
+    rows = [_hashable(col(f.name), f.dataType) for f in df.schema.fields]
+    parts = df.agg(F.count(F.lit(1)).alias("rows"), *_hash_parts("hrow", *null_mask(df.columns), *rows))
+    return parts.select("rows", _hash_total("hrow").alias("total"))
+
+
 def profile(df: DataFrame, one_pass: bool = False) -> DataFrame:
     """Long profile: (column_name, row_count, null_count, min_value, max_value, hash_sum).
 

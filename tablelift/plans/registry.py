@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,13 @@ from pyspark.sql import functions as F
 from tablelift.functions import casts
 from tablelift.functions.quoting import quote_table_name_col
 from tablelift.functions.types import EXACT_TYPE_NAMES, EXTRA_TYPE_NAMES, declared_types, target_type_col
-from tablelift.operators import fixtures, range_diff, runlog, sketch_diff, splits, verify
+from tablelift.operators import fixtures, order, range_diff, runlog, sketch_diff, splits, verify
 from tablelift.operators.conform import conform
 from tablelift.operators.quarantine import quarantine
 from tablelift.plans.export import REPORT_SCHEMA, DatabaseSpec, ExportJob, GlobalSpec, TaskSpec, run
 from tablelift.session import scratch_path
 from tablelift.sinks.parquet import row_group_layout
+from tablelift.sinks.publish import list_versions
 from tablelift.sources.arrow_ipc import read_arrow
 from tablelift.sources.files import ParquetDirSource
 
@@ -791,6 +793,84 @@ def q_row_groups(spark, sf):
     return layout.agg(F.sum("rows").alias("total_rows"), F.max("rows").alias("max_group_rows"))
 
 
+def _order_digest_sql(by: str) -> str:
+    return f"list_reduce(list_prepend(0, list(o_orderkey order by {by})), lambda a, b: (a * {order.BASE} + b) % {order.PRIME})"
+
+
+@query("order_check", f"""
+with o as (select *, row_number() over () as rn from orders),
+d as (select cast(count(*) as bigint) as n, {_order_digest_sql('rn')} as lies, {_order_digest_sql('o_orderkey')} as up,
+             {_order_digest_sql('o_orderkey desc')} as down from o)
+select 'ascending' as copy, n as rows_left, n as rows_right, lies as digest_left, up as digest_right, true as same_rows, lies = up as same_order from d
+union all
+select 'descending' as copy, n as rows_left, n as rows_right, lies as digest_left, down as digest_right, true as same_rows, lies = down as same_order from d
+""")
+def q_order_check(spark, sf):
+    """orders as it lies against copies written in ascending and descending order of the key."""
+    src, out, key = load(spark, sf, "orders"), scratch_path(spark, "ordered"), F.col("o_orderkey")
+    checks = []
+    for name, by in (("ascending", key.asc()), ("descending", key.desc())):
+        src.orderBy(by).write.parquet(f"{out}/{name}")
+        check = order.order_check(src, spark.read.parquet(f"{out}/{name}"), h=key)
+        checks.append(check.select(F.lit(name).alias("copy"), "*"))
+    return checks[0].unionByName(checks[1])
+
+
+@query("null_runs", """
+with o as (select o_orderkey, nullif(o_orderstatus, 'F') is null as value from orders),
+g as (select *, row_number() over (order by o_orderkey) - row_number() over (partition by value order by o_orderkey) as island from o)
+select min(o_orderkey) as first_o_orderkey, max(o_orderkey) as last_o_orderkey, value, count(*) as rows from g group by value, island
+""")
+def q_null_runs(spark, sf):
+    orders = load(spark, sf, "orders").withColumn("open_status", F.expr("nullif(o_orderstatus, 'F')"))
+    return order.null_runs(orders, ["o_orderkey"], "open_status")
+
+
+@query("publish_versions", """
+select count(*) as rows, cast(sum(o_orderkey) as bigint) as sum_key, cast(2 as bigint) as versions from orders
+union all
+select count(*) as rows, cast(sum(o_orderkey) as bigint) as sum_key, cast(2 as bigint) as versions from orders where o_orderstatus = 'F'
+""")
+def q_publish_versions(spark, sf):
+    """Two runs publish versions of one target at the same time; both versions are listed and whole."""
+    out = scratch_path(spark, "versions")
+
+    def one(sql: str):
+        job = ExportJob(GlobalSpec(output_dir=out, overwrite=True, publish="versioned"), [DatabaseSpec("tpch", "parquet", sf)],
+                        [TaskSpec(db="tpch", query=sql, output="orders")])
+        return run(spark, job).collect()
+
+    with ThreadPoolExecutor(2) as pool:
+        for report in pool.map(one, ["select * from orders", "select * from orders where o_orderstatus = 'F'"]):
+            _ok(report, report[0]["table_name"])
+    versions = list_versions(spark, f"{out}/orders.parquet").collect()
+    parts = [spark.read.parquet(v["path"]).agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("sum_key"))
+             for v in versions]
+    return reduce(DataFrame.unionByName, parts).withColumn("versions", F.lit(len(versions)).cast("bigint"))
+
+
+@query("resume_report", """
+with n as (select 'region' as table_name, count(*) as rows from region union all select 'nation', count(*) from nation
+           union all select 'orders', count(*) from orders)
+select 1 as run, table_name, case when table_name = 'orders' then 'failed' else 'ok' end as status,
+       case when table_name <> 'orders' then rows end as rows from n
+union all select 2 as run, table_name, case when table_name = 'orders' then 'ok' else 'kept' end as status, rows from n
+union all select 3 as run, table_name, case when table_name = 'nation' then 'ok' else 'kept' end as status,
+       case when table_name = 'nation' then 2 * rows else rows end as rows from n
+""")
+def q_resume_report(spark, sf):
+    """A job over a database that lacks orders; again once it is there; again when nation has grown."""
+    db, out, log = (scratch_path(spark, name) for name in ("resume-db", "resume-out", "resume-log"))
+    job = ExportJob(GlobalSpec(output_dir=out, overwrite=True, resume="unchanged"), [DatabaseSpec("tpch", "parquet", db)],
+                    [TaskSpec(db="tpch", tables=["region", "nation", "orders"])])
+    reports = []
+    for number, added in enumerate((["region", "nation"], ["orders"], ["nation"]), 1):
+        for table in added:
+            load(spark, sf, table).write.mode("append").parquet(f"{db}/{table}.parquet")
+        reports.append(run(spark, job, log).select(F.lit(number).alias("run"), "table_name", "status", "rows"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 RUN_TABLES = ["region", "nation", "supplier", "customer", "orders"]
 
 
