@@ -39,6 +39,7 @@ from tablelift.session import ship_package
 PRIME = (1 << 31) - 1
 BASE = 1_000_003
 _BLOCK = 4_096
+FILE_PARTITIONS = 8  # of one row a file
 
 
 def _power(n: str) -> str:
@@ -111,7 +112,7 @@ def file_order_digest(df: DataFrame, h: Column | None = None, partitions: int |
     files = weighed.groupBy("path").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"))  # exact to 4e9 rows a file
     turned = files.withColumn("e", F.pmod(F.col("n") - 1, F.lit(PRIME - 1))).select(
         "path", F.expr(f"((w % {PRIME}L) * ({_power('e')})) % {PRIME}L").alias("h"), "n")
-    return _folded(turned, ["path"], min(_partitions(df, partitions), 64))
+    return _folded(turned, ["path"], partitions or FILE_PARTITIONS)
 
 
 def order_check(left: DataFrame, right: DataFrame, order: Sequence[str] | None = None,

@@ -64,12 +64,12 @@ class ParquetDirSource:
         words = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", sql.lower()))
         return [t for t in self.tables(spark) if t.lower() in words]
 
-    def fingerprint(self, spark: SparkSession, table: str | None = None, sql: str | None = None) -> str:
+    def fingerprint(self, spark: SparkSession, table: str | None = None, sql: str | None = None) -> str | None:
         """Changes with the names, sizes and times of the files of a table, or of all tables a query names.
         A job lists them; no content is read."""
         paths = [self.table_path(t) for t in ([table] if table else self.named_in(spark, sql or ""))]
-        if not paths:
-            return "no files"
+        if not paths or (table and not self.exists(spark, table)):
+            return None
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
         stamp = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
         n, total = files.agg(F.count(F.lit(1)), F.sum(stamp)).first()
