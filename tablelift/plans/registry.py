@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tablelift.functions import casts
 from tablelift.functions.quoting import quote_table_name_col
 from tablelift.functions.types import EXACT_TYPE_NAMES, EXTRA_TYPE_NAMES, declared_types, target_type_col
-from tablelift.operators import fixtures, order, range_diff, runlog, sketch_diff, splits, verify
+from tablelift.operators import fixtures, order, range_diff, runlog, schema_drift, sketch_diff, splits, verify
 from tablelift.operators.conform import conform
 from tablelift.operators.quarantine import quarantine
 from tablelift.plans.export import REPORT_SCHEMA, DatabaseSpec, ExportJob, GlobalSpec, TaskSpec, run
@@ -665,6 +665,37 @@ def q_output_exists(spark, sf):
     return verify.output_check(spark, targets).drop("files", "bytes")
 
 
+@query("schema_drift", """
+with o as (select *, o_orderkey % 3 as g from orders), t(column_name, common_type, types, missing_generations, drift) as (values
+  ('o_orderkey', 'bigint', 'bigint, int', 0, true), ('o_custkey', 'bigint', 'bigint', 0, false),
+  ('o_orderstatus', 'string', 'string', 1, true), ('o_totalprice', 'decimal(16,4)', 'decimal(12,0), decimal(14,2), decimal(14,4)', 0, true),
+  ('o_orderdate', 'timestamp_ntz', 'date, timestamp_ntz', 0, true), ('priority', 'string', 'string', 2, true)),
+v as (
+  select count(o_orderkey) as o_orderkey, count(o_custkey) as o_custkey, count(case when g <> 1 then o_orderstatus end) as o_orderstatus,
+         count(o_totalprice) as o_totalprice, count(o_orderdate) as o_orderdate, count(case when g = 2 then o_orderpriority end) as priority from o),
+n as (unpivot v on columns(*) into name column_name value non_null)
+select t.column_name, common_type, types, cast(missing_generations as bigint) as missing_generations, drift, non_null from t join n using (column_name)
+""")
+def q_schema_drift(spark, sf):
+    """orders written as three generations of files, their drift, and what one read in common types holds."""
+    o, out = load(spark, sf, "orders"), scratch_path(spark, "generations")
+    price = F.col("o_totalprice")
+    day = F.col("o_orderdate").cast("date").alias("o_orderdate")
+    generations = [
+        [F.col("o_orderkey").cast("int").alias("o_orderkey"), "o_custkey", "o_orderstatus", price.cast("decimal(14,2)").alias("o_totalprice"), day],
+        ["o_orderkey", "o_custkey", price.cast("decimal(12,0)").alias("o_totalprice"), F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate")],
+        ["o_orderkey", price.cast("decimal(14,4)").alias("o_totalprice"), "o_custkey", "o_orderstatus", day, F.col("o_orderpriority").alias("priority")]]
+    for g, columns in enumerate(generations):
+        o.where(F.col("o_orderkey") % 3 == g).select(*columns).write.parquet(f"{out}/g{g}")
+    footers = schema_drift.file_schemas(spark, out)
+    one_per_generation = footers.join(schema_drift.schema_generations(footers).select(F.col("first_file").alias("file")), "file", "left_semi")
+    drift = schema_drift.schema_drift(one_per_generation)
+    table = schema_drift.read_in_common_types(spark, out)
+    held = table.agg(*[F.count(c).alias(c) for c in table.columns]).unpivot([], table.columns, "column_name", "non_null")
+    return drift.join(held, "column_name").select("column_name", "common_type", "types",
+                                                  F.col("missing_files").alias("missing_generations"), "drift", "non_null")
+
+
 @query("size_ranking")
 def q_size_ranking(spark, sf):
     return verify.size_ranking(spark, {t: f"{sf.rstrip('/')}/{t}.parquet" for t in TABLES})
