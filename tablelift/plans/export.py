@@ -12,6 +12,7 @@ E006 other task failure.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import json
 import re
@@ -32,7 +33,7 @@ from tablelift.sinks.parquet import write_parquet
 from tablelift.sinks.publish import Publisher, VersionedPublisher, resolve_output
 from tablelift.sources.arrow_ipc import write_arrow
 from tablelift.sources.drivers import DRIVER_ALIASES, JDBC_KINDS, canonical_driver
-from tablelift.streaming.batches import batch_options
+from tablelift.streaming.batches import batch_options, fetch_rows
 
 FORMATS = {"parquet": ".parquet", "arrow": ".arrow"}
 
@@ -59,6 +60,7 @@ class GlobalSpec:
     max_rows_per_file: int | None = None  # Parquet: roll output files within a task (bounds file size)
     narrow: str = "null"  # integer narrowing: "null" (overflow -> NULL, counted) or "wrap" (two's complement)
     publish: str = "swap"  # "swap" (rename staging over the target) or "versioned" (commit records; object stores)
+    batch_bytes: int | None = None  # also bounds row groups, record batches and round trips by bytes
     resume: str = "off"  # keep the outputs that the stored run log lists: "unchanged" sources only, or all that are "done"
 
     def with_defaults(self) -> "GlobalSpec":
@@ -70,6 +72,7 @@ class GlobalSpec:
             overwrite=bool(self.overwrite),
             max_rows_per_file=self.max_rows_per_file if self.max_rows_per_file and self.max_rows_per_file > 0 else None,
             narrow=self.narrow or "null",
+            batch_bytes=self.batch_bytes if self.batch_bytes and self.batch_bytes > 0 else None,
             publish=self.publish or "swap",
             resume=self.resume or "off",
         )
@@ -241,13 +244,14 @@ def _classify(e: Exception, stage: str) -> str:
     return {"read": "E003", "conform": "E004", "write": "E005"}.get(stage, "E006")
 
 
-def write_output(df: DataFrame, path: str, fmt: str, batch_size: int, max_rows_per_file: int | None = None) -> None:
+def write_output(df: DataFrame, path: str, fmt: str, batch_size: int, max_rows_per_file: int | None = None,
+                 batch_bytes: int | None = None) -> None:
     opts = batch_options(batch_size)
     if fmt == "parquet":
         write_parquet(df, path, batch_size=int(opts["parquet.block.row.count.limit"]),
-                      max_records_per_file=max_rows_per_file)
+                      max_records_per_file=max_rows_per_file, batch_bytes=batch_bytes)
     elif fmt == "arrow":
-        write_arrow(df, path, batch_size=int(opts["batchSize"]))
+        write_arrow(df, path, batch_size=int(opts["batchSize"]), batch_bytes=batch_bytes)
     else:
         raise ValueError(f"E005 unknown format {fmt!r}")
 
@@ -291,7 +295,7 @@ def read_output(spark: SparkSession, target: str, fmt: str) -> DataFrame:
 
 def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwrite: bool,
                 max_rows_per_file: int | None = None, narrow: str = "null", publish: str = "swap",
-                keys: tuple[str | None, str | None] = (None, None)) -> tuple:
+                keys: tuple[str | None, str | None] = (None, None), batch_bytes: int | None = None) -> tuple:
     """Export one table or query; never raises. Returns one report row, which ends with ``keys``."""
     t0 = time.perf_counter()
     # Each export thread gets its own scheduler pool: under FAIR scheduling a small table is not
@@ -308,13 +312,17 @@ def export_unit(spark: SparkSession, source, unit: Unit, batch_size: int, overwr
             raise FileExistsError(f"E005 output {unit.target} exists and overwrite is off")
         stage = "read"
         df, declared = scan_unit(spark, source, unit)
+        if batch_bytes and getattr(source, "kind", None) in JDBC_KINDS:
+            source = copy.copy(source)  # other threads read from it with their own widths
+            source.fetchsize = fetch_rows(df, batch_size, batch_bytes)
+            df, declared = scan_unit(spark, source, unit)
         scan_partitions = scan_tasks(df)
         stage = "conform"
         conformed = conform(df, declared, dialect=getattr(source, "dialect", None), narrow=narrow)
         stage = "write"
         staging = pub.staging()
         spark.sparkContext.setJobDescription(f"export {unit.label} -> {unit.target}")
-        write_output(conformed.df, staging, unit.format, batch_size, max_rows_per_file)
+        write_output(conformed.df, staging, unit.format, batch_size, max_rows_per_file, batch_bytes)
         if not pub.succeeded(staging):
             raise OSError(f"E005 write of {unit.target} did not complete")
         m = conformed.metrics()  # before the publish: from there on nothing may fail
@@ -410,7 +418,7 @@ def run(spark: SparkSession, job: ExportJob, report_path: str | None = None) ->
             row = tuple((known | {"status": "kept", "seconds": 0.0, "finished_at": _now()}).values())
         else:
             row = export_unit(spark, sources[u.db], u, g.batch_size, g.overwrite, g.max_rows_per_file, g.narrow,
-                              g.publish, (keys[id(u)], state))
+                              g.publish, (keys[id(u)], state), g.batch_bytes)
         if g.resume != "off":  # at once: a driver that is lost later leaves what is done in the log
             with log:
                 spark.createDataFrame([row], REPORT_SCHEMA).coalesce(1).write.mode("append").parquet(report_path)

@@ -22,12 +22,13 @@ from tablelift.functions.types import EXACT_TYPE_NAMES, EXTRA_TYPE_NAMES, declar
 from tablelift.operators import fixtures, order, range_diff, runlog, schema_drift, sketch_diff, splits, verify
 from tablelift.operators.conform import conform
 from tablelift.operators.quarantine import quarantine
-from tablelift.plans.export import REPORT_SCHEMA, DatabaseSpec, ExportJob, GlobalSpec, TaskSpec, run
+from tablelift.plans.export import REPORT_SCHEMA, DatabaseSpec, ExportJob, GlobalSpec, TaskSpec, read_output, run
 from tablelift.session import scratch_path
 from tablelift.sinks.parquet import row_group_layout
 from tablelift.sinks.publish import list_versions
-from tablelift.sources.arrow_ipc import read_arrow
+from tablelift.sources.arrow_ipc import batch_layout, read_arrow
 from tablelift.sources.files import ParquetDirSource
+from tablelift.streaming.batches import row_bytes
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -56,11 +57,12 @@ def source(sf: str, name: str = "tpch") -> ParquetDirSource:
 
 def export(spark: SparkSession, sf: str, tables: list[str] | None = None, query_sql: str | None = None,
            output: str = "", fmt: str = "parquet", output_dir: str | None = None, overwrite: bool = False,
-           batch_size: int = 10000, workers: int = 4):
+           batch_size: int = 10000, workers: int = 4, batch_bytes: int | None = None):
     """Run one export task against the Parquet tables of ``sf``; returns (report rows, output dir)."""
     out = output_dir or scratch_path(spark, "export")
     task = TaskSpec(db="tpch", tables=tables or [], query=query_sql or "", output=output, format=fmt)
-    job = ExportJob(GlobalSpec(workers=workers, batch_size=batch_size, output_dir=out, overwrite=overwrite),
+    job = ExportJob(GlobalSpec(workers=workers, batch_size=batch_size, output_dir=out, overwrite=overwrite,
+                               batch_bytes=batch_bytes),
                     [DatabaseSpec("tpch", "parquet", sf)], [task])
     report = run(spark, job).collect()
     return report, out
@@ -824,6 +826,27 @@ def q_row_groups(spark, sf):
     return layout.agg(F.sum("rows").alias("total_rows"), F.max("rows").alias("max_group_rows"))
 
 
+@query("row_groups_bytes", """
+select f.format, cast(count(*) as bigint) as total_rows, cast(sum(doc_id) as bigint) as sum_key, true as several, true as within
+from documents, (values ('parquet'), ('arrow')) f(format) group by f.format
+""")
+def q_row_groups_bytes(spark, sf):
+    """documents exported in row groups and record batches of 64 KB: none is above that by more than a row."""
+    target, docs, parts = 64 * 1024, load(spark, sf, "documents"), []
+    widest = docs.agg(F.max(row_bytes(docs)).alias("widest"))
+    for fmt, layout in (("parquet", row_group_layout), ("arrow", batch_layout)):
+        report, out = export(spark, sf, ["documents"], fmt=fmt, batch_size=1_000_000, batch_bytes=target)
+        _ok(report, "documents")
+        path = f"{out}/documents.{fmt}"
+        sizes = layout(spark, path).agg(F.sum("rows").alias("total_rows"), (F.count(F.lit(1)) > 1).alias("several"),
+                                        F.max("bytes").alias("most"))
+        keys = read_output(spark, path, fmt).agg(F.sum("doc_id").alias("sum_key"))
+        one = [d.withColumn("one", F.lit(1)) for d in (sizes, keys, widest)]  # three rows
+        parts.append(one[0].join(one[1], "one").join(one[2], "one").select(
+            F.lit(fmt).alias("format"), "total_rows", "sum_key", "several", (F.col("most") <= target + F.col("widest")).alias("within")))
+    return parts[0].unionByName(parts[1])
+
+
 def _order_digest_sql(by: str) -> str:
     return f"list_reduce(list_prepend(0, list(o_orderkey order by {by})), lambda a, b: (a * {order.BASE} + b) % {order.PRIME})"
 

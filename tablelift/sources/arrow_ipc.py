@@ -68,8 +68,26 @@ def _ipc_options(compression: str):
     return pa.ipc.IpcWriteOptions(compression=codec)
 
 
-def write_batches(path: str, batches, batch_size: int, compression: str, part: int) -> tuple[str | None, int]:
-    """Write one task's batches to a new file under ``path`` in ``batch_size``-row record batches."""
+def _fitting_rows(table, batch_size: int, batch_bytes: int | None) -> int:
+    """How many of the first rows make a record batch: at most ``batch_size``, and as many as fit in
+    ``batch_bytes`` (at least one)."""
+    most = min(batch_size, table.num_rows)
+    if not batch_bytes or table.slice(0, most).nbytes <= batch_bytes:
+        return most
+    fits, beyond = 1, most
+    while beyond - fits > 1:
+        mid = (fits + beyond) // 2
+        if table.slice(0, mid).nbytes <= batch_bytes:
+            fits = mid
+        else:
+            beyond = mid
+    return fits
+
+
+def write_batches(path: str, batches, batch_size: int, compression: str, part: int,
+                  batch_bytes: int | None = None) -> tuple[str | None, int]:
+    """Write one task's batches to a new file under ``path`` in record batches of ``batch_size`` rows, or
+    fewer where these exceed ``batch_bytes``."""
     import pyarrow as pa
 
     fs, root = _fs(path)
@@ -78,19 +96,19 @@ def write_batches(path: str, batches, batch_size: int, compression: str, part: i
     writer = sink = None
     rows = 0
     pending: list = []
-    pending_rows = 0
+    pending_rows = pending_bytes = 0
 
     def flush(final: bool) -> None:
-        nonlocal pending, pending_rows, rows
-        while pending_rows >= batch_size or (final and pending_rows):
+        nonlocal pending, pending_rows, pending_bytes, rows
+        while pending_rows and (final or pending_rows >= batch_size or (batch_bytes and pending_bytes >= batch_bytes)):
             table = pa.Table.from_batches(pending)
-            take = min(batch_size, pending_rows)
+            take = _fitting_rows(table, batch_size, batch_bytes)
             for b in table.slice(0, take).combine_chunks().to_batches():
                 writer.write_batch(b)
             rows += take
             rest = table.slice(take)
             pending = rest.to_batches() if rest.num_rows else []
-            pending_rows = rest.num_rows
+            pending_rows, pending_bytes = rest.num_rows, rest.nbytes
 
     try:
         for batch in batches:
@@ -101,6 +119,7 @@ def write_batches(path: str, batches, batch_size: int, compression: str, part: i
                 writer = pa.ipc.new_file(sink, batch.schema, options=_ipc_options(compression))
             pending.append(batch)
             pending_rows += batch.num_rows
+            pending_bytes += batch.nbytes
             flush(False)
         if writer is not None:
             flush(True)
@@ -171,7 +190,8 @@ def read_split(path: str, file: str, first: int, last: int, target):
 
 # ------------------------------------------------------------------ DataFrame API (mapInArrow jobs)
 
-def write_arrow(df: DataFrame, path: str, batch_size: int = 10000, compression: str = "lz4") -> None:
+def write_arrow(df: DataFrame, path: str, batch_size: int = 10000, compression: str = "lz4",
+                batch_bytes: int | None = None) -> None:
     """Write ``df`` as Arrow IPC files into the new directory ``path`` (one file per task)."""
     spark_schema = df.schema
     size, codec = int(batch_size), compression
@@ -183,7 +203,8 @@ def write_arrow(df: DataFrame, path: str, batch_size: int = 10000, compression:
 
         ctx = TaskContext.get()
         named = (b.rename_columns(names) for b in batches)
-        file, rows = write_batches(path, named, size, codec, ctx.partitionId() if ctx else 0)
+        file, rows = write_batches(path, named, size, codec, ctx.partitionId() if ctx else 0,
+                                   batch_bytes)
         yield pa.RecordBatch.from_pydict({"file": [file], "rows": [rows]},
                                          schema=pa.schema([("file", pa.string()), ("rows", pa.int64())]))
 
@@ -215,6 +236,29 @@ def read_arrow(spark: SparkSession, path: str) -> DataFrame:
     return idx.mapInArrow(read_task, schema)
 
 
+def batch_layout(spark: SparkSession, path: str) -> DataFrame:
+    """(file, batch, rows, bytes in memory) for every record batch under ``path``, read by the tasks."""
+    files = [f for f, _ in list_arrow_files(path)]
+
+    def measure(batches):
+        import pyarrow as pa
+
+        fs, _ = _fs(path)
+        for b in batches:
+            for file in b.column(0).to_pylist():
+                with fs.open_input_file(file) as f:
+                    rdr = pa.ipc.open_file(f)
+                    for i in range(rdr.num_record_batches):
+                        got = rdr.get_batch(i)
+                        yield pa.RecordBatch.from_pylist([{"file": file, "batch": i, "rows": got.num_rows, "bytes": got.nbytes}],
+                                                         schema=pa.schema([("file", pa.string()), ("batch", pa.int32()),
+                                                                           ("rows", pa.int64()), ("bytes", pa.int64())]))
+
+    n = max(1, min(len(files), spark.sparkContext.defaultParallelism))
+    paths = spark.createDataFrame([(f,) for f in files], "file string").repartition(n)
+    return paths.mapInArrow(measure, "file string, batch int, rows long, bytes long")
+
+
 # ------------------------------------------------------------------ Python data source API
 
 @dataclass
