@@ -24,6 +24,7 @@ from tablelift.operators.conform import conform
 from tablelift.operators.quarantine import quarantine
 from tablelift.plans.export import REPORT_SCHEMA, DatabaseSpec, ExportJob, GlobalSpec, TaskSpec, read_output, run
 from tablelift.session import scratch_path
+from tablelift.sinks.clustered import skipped_groups, write_clustered
 from tablelift.sinks.parquet import row_group_layout
 from tablelift.sinks.publish import list_versions
 from tablelift.sources.arrow_ipc import batch_layout, read_arrow
@@ -372,6 +373,20 @@ def _nullable(spark, sf):
     return fixtures.nullable_test(fixtures.ids_from(load(spark, sf, "orders"), "o_orderkey"))
 
 
+@query("point_lookup_pruned", """
+select l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate, true as most_skipped
+from lineitem where l_orderkey in (1, 500, 1000)
+""")
+def q_point_lookup_pruned(spark, sf):
+    """lineitem clustered by its order key, looked up; more than nine tenths of the row groups hold none of the keys."""
+    path, keys = scratch_path(spark, "clustered"), [1, 500, 1000]
+    write_clustered(load(spark, sf, "lineitem"), path, ["l_orderkey", "l_linenumber"], rows_per_group=500)
+    found = verify.point_lookup(spark.read.parquet(path), "l_orderkey", keys)
+    share = skipped_groups(spark, path, "l_orderkey", keys).select((F.col("skipped_share") > 0.9).alias("most_skipped"), F.lit(1).alias("one"))
+    return found.withColumn("one", F.lit(1)).join(share, "one").select(  # one row beside the rows found
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", "most_skipped")
+
+
 @query("null_pattern", NULLABLE_DUCK)
 def q_null_pattern(spark, sf):
     return _nullable(spark, sf)
