@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelift.functions.types import DEFAULT_DECIMAL, KEEP, TIME_TEXT_FORMAT
+from tablelift.functions.types import DEFAULT_DECIMAL, KEEP, TIME_TEXT_FORMAT, UNSIGNED_BITS
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -70,6 +70,21 @@ def to_unsigned(c: Column, src: T.DataType, bits: int) -> Column:
     return v.bitwiseAND(F.lit(mask)).cast(typ)
 
 
+def to_unsigned_checked(c: Column, src: T.DataType, bits: int) -> Column:
+    """Values from 0 to 2^bits - 1 in the types of ``to_unsigned``; all others NULL. Fractions are cut off."""
+    if bits < 64:
+        v = as_long(c, src)
+        return F.when(v.between(0, (1 << bits) - 1), v).cast(_UNSIGNED[bits][0])
+    if _is(src, INTEGRAL + (T.BooleanType,)):
+        whole = c.cast("bigint").cast("decimal(20,0)")
+    else:  # beyond 63 bits: by way of a decimal
+        d = to_decimal(c, src)
+        whole = F.when(d >= 0, F.floor(d)).otherwise(F.ceil(d)).cast("decimal(38,0)")
+        if not _is(src, FRACTIONAL):  # text that is no whole number is none here either
+            whole = F.when(whole == d, whole)
+    return F.when(whole.between(F.lit(0), F.lit(str((1 << 64) - 1)).cast("decimal(20,0)")), whole.cast("decimal(20,0)"))
+
+
 def to_float(c: Column, src: T.DataType, typ: str) -> Column:
     if _is(src, NUMERIC) or _is(src, T.BooleanType):
         return c.cast(typ)
@@ -169,6 +184,8 @@ def convert(c: Column, src: T.DataType, target: str, narrow: str = "null") -> Co
         return to_signed(c, src, 16, narrow)
     if target == "tinyint":
         return to_signed(c, src, 8, narrow)
+    if target in UNSIGNED_BITS:
+        return (to_unsigned if narrow == "wrap" else to_unsigned_checked)(c, src, UNSIGNED_BITS[target])
     if target in ("float", "double"):
         return to_float(c, src, target)
     if target == "boolean":
@@ -201,6 +218,10 @@ def loses(c: Column, src: T.DataType, out: Column, target: str) -> Column | None
         whole = as_long(c, src)  # before narrowing, which may wrap
         back = whole.try_cast(src) if _is(src, T.DecimalType) else whole.cast("double")
         return out.isNotNull() & ~back.eqNullSafe(c if _is(src, T.DecimalType) else c.cast("double"))
+    if target in UNSIGNED_BITS and _is(src, FRACTIONAL):
+        if _is(src, T.DecimalType):
+            return out.isNotNull() & (c != F.floor(c))
+        return out.isNotNull() & (c.cast("double") != F.floor(c.cast("double")))
     if target in ("float", "double") and _is(src, (T.DoubleType, T.DecimalType, T.StringType)) and not (
             target == "double" and not _is(src, T.StringType)):
         value = c.try_cast("double") if _is(src, T.StringType) else c.cast("double")
@@ -229,7 +250,7 @@ def can_reject(src: T.DataType, target: str, narrow: str = "null") -> bool:
         return False
     if target == "bigint" and _is(src, INTEGRAL + (T.BooleanType,)):
         return False
-    if target in ("int", "smallint", "tinyint") and narrow == "wrap" and _is(src, INTEGRAL):
+    if target in ("int", "smallint", "tinyint", *UNSIGNED_BITS) and narrow == "wrap" and _is(src, INTEGRAL):
         return False
     if target == "double" and _is(src, NUMERIC):
         return False

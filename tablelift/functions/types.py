@@ -57,16 +57,24 @@ DEFAULT_TARGET = "string"
 # --- end of fixed values ---
 
 # Our documented decisions on top of the table (not part of the fixed values above).
-EXTRA_TYPE_NAMES = {"SERIAL": "bigint"}
+# Unsigned integers are kept in the next wider signed type (64 bits: decimal(20,0)).
+UNSIGNED_BITS = {"uint8": 8, "uint16": 16, "uint32": 32, "uint64": 64}
+EXTRA_TYPE_NAMES = {"SERIAL": "bigint", "UINT8": "uint8", "UINT16": "uint16", "UINT32": "uint32", "UINT64": "uint64"}
 # Native type names of each database that miss the generic table (documented decisions): the
 # catalog of the source reports them, and without an override they would silently become text.
 DIALECT_OVERRIDES = {
-    "postgres": {"INT2": "smallint", "INT4": "int", "INT8": "bigint", "SERIAL4": "int", "SERIAL8": "bigint"},
-    "oracle": {"NUMBER": "decimal(38,10)", "BINARY_FLOAT": "float", "BINARY_DOUBLE": "double",
+    "postgres": {"INT2": "smallint", "INT4": "int", "INT8": "bigint", "SERIAL2": "smallint", "SERIAL4": "int",
+                 "SERIAL8": "bigint"},
+    "oracle": {"NUMBER": "decimal(38,10)", "FLOAT": "double",  # 126 binary digits at most, not 4 bytes
+               "BINARY_FLOAT": "float", "BINARY_DOUBLE": "double",
                "RAW": "binary", "LONG RAW": "binary",
                "DATE": "timestamp_ntz"},  # an Oracle DATE holds a time of day too
-    "mysql": {"MEDIUMINT": "int", "TINYBLOB": "binary", "MEDIUMBLOB": "binary", "LONGBLOB": "binary"},
-    "mssql": {"BIT": "boolean", "DATETIME2": "timestamp_ntz", "SMALLDATETIME": "timestamp_ntz",
+    "mysql": {"MEDIUMINT": "int", "TINYBLOB": "binary", "MEDIUMBLOB": "binary", "LONGBLOB": "binary",
+              "TINYINT UNSIGNED": "uint8", "SMALLINT UNSIGNED": "uint16", "MEDIUMINT UNSIGNED": "uint32",
+              "INT UNSIGNED": "uint32", "INTEGER UNSIGNED": "uint32", "BIGINT UNSIGNED": "uint64"},
+    "mssql": {"TINYINT": "uint8", "FLOAT": "double",  # 0 to 255; 8 bytes unless declared shorter
+              "TIMESTAMP": "binary", "ROWVERSION": "binary",  # a row's version number, no time
+              "BIT": "boolean", "DATETIME2": "timestamp_ntz", "SMALLDATETIME": "timestamp_ntz",
               "DATETIMEOFFSET": "timestamp_ntz", "MONEY": "decimal(38,10)", "SMALLMONEY": "decimal(38,10)",
               "IMAGE": "binary"},
 }
@@ -87,6 +95,10 @@ _SIMPLE = {
     "time": T.StringType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "binary": T.BinaryType(),
+    "uint8": T.ShortType(),
+    "uint16": T.IntegerType(),
+    "uint32": T.LongType(),
+    "uint64": T.DecimalType(20, 0),
 }
 
 

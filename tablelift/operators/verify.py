@@ -98,8 +98,15 @@ def schema_check(spark: SparkSession, table: str, df: DataFrame, expected: dict[
                     "spark_type", "expected_type", ok.alias("ok"))
 
 
+def _holds(dt: T.DataType, kinds) -> bool:
+    """Whether ``dt`` is one of ``kinds`` or holds one at any depth."""
+    inner = ([dt.elementType] if isinstance(dt, T.ArrayType) else [f.dataType for f in dt.fields] if isinstance(dt, T.StructType)
+             else [dt.keyType, dt.valueType] if isinstance(dt, T.MapType) else [])
+    return isinstance(dt, kinds) or any(_holds(t, kinds) for t in inner)
+
+
 def _orderable(dt: T.DataType) -> bool:
-    return not isinstance(dt, (T.MapType, T.VariantType))
+    return not _holds(dt, (T.MapType, T.VariantType))
 
 
 def _variable_width(dt: T.DataType) -> bool:
@@ -129,10 +136,23 @@ def _hash_total(prefix: str) -> Column:
 
 
 def _hashable(c: Column, dt: T.DataType) -> Column:
-    """Spark does not hash maps: hash their entries sorted by key instead (insertion order ignored)."""
+    """Spark does not hash maps: hash their entries sorted by key instead (insertion order ignored), at
+    any depth. Inside a struct or an array a map that is NULL and an empty one hash differently."""
+    if not _holds(dt, T.MapType):
+        return c
     if isinstance(dt, T.MapType):
-        return F.array_sort(F.map_entries(c))
-    return c
+        entries = F.map_entries(c)
+        if _holds(dt.valueType, T.MapType):
+            entries = F.transform(entries, lambda e: F.struct(e["key"].alias("key"), _hashable_inside(e["value"], dt.valueType).alias("value")))
+        return F.array_sort(entries)
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda x: _hashable_inside(x, dt.elementType))
+    return F.when(c.isNotNull(), F.struct(*[_hashable_inside(c.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(dt.fields)]))
+
+
+def _hashable_inside(c: Column, dt: T.DataType) -> Column:
+    h = _hashable(c, dt)
+    return F.struct(c.isNull().alias("absent"), h.alias("entries")) if isinstance(dt, T.MapType) else h
 
 
 def _text(c: Column, dt: T.DataType) -> Column:

@@ -53,16 +53,19 @@ class ParquetDirSource:
         return spark.read.parquet(self.table_path(table))
 
     def read_query(self, spark: SparkSession, sql: str, **_: object) -> DataFrame:
-        """Spark SQL over views of the tables the query names (a word match on the text, so a
+        """Spark SQL over views of the tables whose names stand in the text of the query (so a
         directory of thousands of tables does not cost thousands of footer reads)."""
         child = spark.newSession()
         for t in self.named_in(spark, sql):
-            child.read.parquet(self.table_path(t)).createOrReplaceTempView(t)
+            child.read.parquet(self.table_path(t)).createOrReplaceTempView("`" + t.replace("`", "``") + "`")
         return child.sql(sql)
 
     def named_in(self, spark: SparkSession, sql: str) -> list[str]:
-        words = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", sql.lower()))
-        return [t for t in self.tables(spark) if t.lower() in words]
+        """Tables whose whole names, of any script and with any signs, stand in ``sql``."""
+        text = sql.casefold()
+        shown = text.replace("``", "`")  # a backtick inside a quoted name is doubled
+        return [t for t in self.tables(spark)
+                if any(re.search(rf"(?<!\w){re.escape(t.casefold())}(?!\w)", s) for s in (text, shown))]
 
     def fingerprint(self, spark: SparkSession, table: str | None = None, sql: str | None = None) -> str | None:
         """Changes with the names, sizes and times of the files of a table, or of all tables a query names.

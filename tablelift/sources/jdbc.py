@@ -374,7 +374,10 @@ def catalog_sql(driver: str, table: str) -> str:
     cond = f" AND table_schema = '{schema}'" if schema else f" AND table_schema = {here}"
     # PostgreSQL: the type's own name (int4, float8, timestamptz, _int4 for arrays), which is what
     # its drivers report as the column type name; information_schema's data_type spells it out.
-    type_col = "upper(udt_name)" if kind == "postgres" else "data_type"
+    # MySQL: data_type leaves out that a number is unsigned, which column_type ends with.
+    type_col = {"postgres": "upper(udt_name)",
+                "mysql": "CASE WHEN column_type LIKE '%unsigned%' THEN CONCAT(data_type, ' UNSIGNED') ELSE data_type END",
+                }.get(kind, "data_type")
     return (f"SELECT column_name, {type_col} AS data_type, ordinal_position AS ordinal FROM information_schema.columns "
             f"WHERE table_name = '{name}'{cond}")
 
@@ -513,10 +516,11 @@ class JdbcSource:
         return self.load(spark, self.plan_table_read(table, partition_column, skewed, bounds, uppers))
 
     def declared_types(self, spark: SparkSession, table: str, columns: list[str], df: DataFrame | None = None) -> dict[str, str]:
-        """Declared type names from the catalog; falls back to the Spark type when a name is missing."""
+        """Declared type names from the catalog; the Spark type where the catalog doesn't list a column.
+        A catalog that can't be read is E004: other types would be written without a word."""
         try:
             rows = self.read_query(spark, catalog_sql(self.driver, table)).collect()
-            by_name = {r["column_name"].lower(): r["data_type"] for r in rows}
-        except Exception:  # noqa: BLE001 - catalog not readable: use Spark's mapping
-            by_name = {}
+        except Exception as e:
+            raise ValueError(f"E004 the catalog of {self.name} can't be read for {table!r}: {e}") from e
+        by_name = {r["column_name"].lower(): r["data_type"] for r in rows}
         return {c: by_name.get(c.lower()) for c in columns}

@@ -204,3 +204,40 @@ def test_float_conversions(spark):
     assert _one(spark, 3, T.LongType(), lambda c, t: casts.to_float(c, t, "double")) == 3.0
     assert _one(spark, "2.5", T.StringType(), lambda c, t: casts.to_float(c, t, "float")) == 2.5
     assert _one(spark, "x", T.StringType(), lambda c, t: casts.to_float(c, t, "double")) is None
+
+
+def test_native_names_of_each_database():
+    from tablelift.sources.jdbc import catalog_sql
+
+    names = {"mssql": {"TINYINT": "uint8", "FLOAT": "double", "REAL": "float", "timestamp": "binary", "rowversion": "binary"},
+             "oracle": {"FLOAT": "double", "BINARY_FLOAT": "float"}, "postgres": {"SERIAL2": "smallint"},
+             "mysql": {"tinyint unsigned": "uint8", "smallint unsigned": "uint16", "mediumint unsigned": "uint32",
+                       "int unsigned": "uint32", "bigint unsigned": "uint64", "tinyint": "tinyint", "FLOAT": "float"}}
+    for dialect, cases in names.items():
+        assert {n: target_type_name(n, dialect) for n in cases} == cases
+    assert "unsigned" in catalog_sql("mysql", "t")
+    assert [target_type(f"uint{b}").simpleString() for b in (8, 16, 32, 64)] == ["smallint", "int", "bigint", "decimal(20,0)"]
+
+
+@pytest.mark.parametrize("src", ["bigint", "string", "decimal(38,4)", "double"])
+@pytest.mark.parametrize("bits", [8, 16, 32, 64])
+def test_declared_unsigned_columns(spark, src, bits):
+    from tablelift.operators.conform import conform
+
+    top = (1 << bits) - 1
+    values = [None, "0", "1", "-1", str(min(top, 2 ** 63 - 1)), str(top), str(top + 1), "7.5"]
+    if src == "bigint":
+        values = [v for v in values if v is None or ("." not in v and int(v) < 2 ** 63)]
+    if src == "double" and bits == 64:
+        values = [None, "0", "1", "-1", "9007199254740992", "7.5"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").selectExpr("i", f"cast(v as {src}) as v")
+    got = conform(df, {"i": "INT", "v": f"UINT{bits}"})
+    out = {r.i: r.v for r in got.df.collect()}
+    want = {i: None if v is None or not 0 <= float(v) or Decimal(v) > top else int(Decimal(v)) for i, v in enumerate(values)}
+    if src == "string":  # text that is no whole number can't become one
+        want = {i: None if values[i] == "7.5" else w for i, w in want.items()}
+    assert out == want
+    lost = sum(v is not None and (want[i] is None or ("." in v)) for i, v in enumerate(values))
+    assert got.rejects().get("v", 0) == lost
+    wrapped = conform(df, {"i": "INT", "v": f"UINT{bits}"}, narrow="wrap").df.where("v is not null").collect()
+    assert all(0 <= r.v <= top for r in wrapped)

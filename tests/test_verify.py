@@ -106,3 +106,37 @@ def test_profile_split_and_one_pass_agree(spark):
         a = sorted(tuple(r) for r in verify.profile(d).collect())
         b = sorted(tuple(r) for r in verify.profile(d, one_pass=True).collect())
         assert a == b, t
+
+
+def test_maps_at_any_depth(spark):
+    forms = ["struct(map('a', 1, 'b', 2) as m, 5 as n)", "array(map('b', 2, 'a', 1))", "map('k', map('a', 1, 'b', 2))",
+             "struct(array(struct(map('a', 1, 'b', 2) as m)) as s)"]
+    for form in forms:
+        other = form.replace("'a', 1, 'b', 2", "'b', 2, 'a', 1") if "'a', 1, 'b', 2" in form else form.replace("'b', 2, 'a', 1", "'a', 1, 'b', 2")
+        a, b, c = (spark.range(3).selectExpr("id", f"{f} as v") for f in (form, other, form.replace("2", "3")))
+        assert all(r.ok for r in verify.reconcile(a, b).collect()), form
+        assert {r.column_name for r in verify.reconcile(a, c).collect() if not r.ok} == {"v", "*"}, form
+    absent, empty = (spark.range(1).selectExpr(f"struct({m} as m) as v") for m in ("cast(null as map<string,int>)", "cast(map() as map<string,int>)"))
+    assert not all(r.ok for r in verify.reconcile(absent, empty).collect())
+
+
+def test_sizes_are_those_of_the_files(spark, scratch):
+    import os
+    for name, n in (("small", 10), ("large", 50_000)):
+        spark.range(n).repartition(3).write.parquet(f"{scratch}/{name}.parquet")
+    got = [tuple(r)[:2] for r in verify.size_ranking(spark, {n: f"{scratch}/{n}.parquet" for n in ("small", "large")}).collect()]
+    root = scratch.removeprefix("file:")
+    want = {n: sum(os.path.getsize(f"{root}/{n}.parquet/{f}") for f in os.listdir(f"{root}/{n}.parquet") if not f.startswith("."))
+            for n in ("small", "large")}
+    assert got == [("large", want["large"]), ("small", want["small"])]
+
+
+def test_tables_with_names_of_any_script(spark, scratch):
+    from tablelift.sources.files import ParquetDirSource
+
+    for name in ("my-table", "таблица", "a`b", "plain", "other"):
+        spark.range(4).write.parquet(f"{scratch}/{name}.parquet")
+    src = ParquetDirSource("d", scratch)
+    sql = "select count(*) as n from `my-table` join `Таблица` using (id) join `a``b` using (id) join PLAIN using (id)"
+    assert set(src.named_in(spark, sql)) == {"my-table", "таблица", "a`b", "plain"}
+    assert src.read_query(spark, sql).first().n == 4
