@@ -129,14 +129,13 @@ def schema_drift(footers: DataFrame) -> DataFrame:
     """Per column: (column_name, common_type, types, files, missing_files, drift). ``types`` lists the
     distinct types, ``missing_files`` counts the files without the column; drift: more than one type,
     or missing somewhere."""
-    total = footers.agg(F.countDistinct("file").alias("all_files"))
+    all_files = footers.agg(F.countDistinct("file")).first()[0]
     per = footers.where(F.col("column_name").isNotNull()).groupBy("column_name").agg(
         common_type(F.col("data_type")).alias("common_type"),
         F.array_join(F.array_sort(F.collect_set("data_type")), ", ").alias("types"),
         F.countDistinct("file").alias("files"), F.countDistinct("data_type").alias("n_types"))
-    missing = F.col("all_files") - F.col("files")
-    # one row meets the few rows of the columns
-    return per.withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one").select(
+    missing = F.lit(all_files) - F.col("files")
+    return per.select(
         "column_name", "common_type", "types", "files", missing.alias("missing_files"),
         ((F.col("n_types") > 1) | (missing > 0)).alias("drift"))
 

@@ -386,9 +386,9 @@ def q_point_lookup_pruned(spark, sf):
     path, keys = scratch_path(spark, "clustered"), [1, 500, 1000]
     write_clustered(load(spark, sf, "lineitem"), path, ["l_orderkey", "l_linenumber"], rows_per_group=500)
     found = verify.point_lookup(spark.read.parquet(path), "l_orderkey", keys)
-    share = skipped_groups(spark, path, "l_orderkey", keys).select((F.col("skipped_share") > 0.9).alias("most_skipped"), F.lit(1).alias("one"))
-    return found.withColumn("one", F.lit(1)).join(share, "one").select(  # one row beside the rows found
-        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", "most_skipped")
+    share = skipped_groups(spark, path, "l_orderkey", keys).first().skipped_share  # one row
+    return found.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate",
+                        F.lit(share is not None and share > 0.9).alias("most_skipped"))
 
 
 @query("null_pattern", NULLABLE_DUCK)
@@ -875,7 +875,7 @@ from documents, (values ('parquet'), ('arrow')) f(format) group by f.format
 def q_row_groups_bytes(spark, sf):
     """documents exported in row groups and record batches of 64 KB: none is above that by more than a row."""
     target, docs, parts = 64 * 1024, load(spark, sf, "documents"), []
-    widest = docs.agg(F.max(row_bytes(docs)).alias("widest"))
+    widest = docs.agg(F.max(row_bytes(docs))).first()[0] or 0
     for fmt, layout in (("parquet", row_group_layout), ("arrow", batch_layout)):
         report, out = export(spark, sf, ["documents"], fmt=fmt, batch_size=1_000_000, batch_bytes=target)
         _ok(report, "documents")
@@ -883,9 +883,9 @@ def q_row_groups_bytes(spark, sf):
         sizes = layout(spark, path).agg(F.sum("rows").alias("total_rows"), (F.count(F.lit(1)) > 1).alias("several"),
                                         F.max("bytes").alias("most"))
         keys = read_output(spark, path, fmt).agg(F.sum("doc_id").alias("sum_key"))
-        one = [d.withColumn("one", F.lit(1)) for d in (sizes, keys, widest)]  # three rows
-        parts.append(one[0].join(one[1], "one").join(one[2], "one").select(
-            F.lit(fmt).alias("format"), "total_rows", "sum_key", "several", (F.col("most") <= target + F.col("widest")).alias("within")))
+        both = sizes.unionByName(keys, allowMissingColumns=True)  # two rows, each with its own columns
+        parts.append(both.agg(*[F.max(c).alias(c) for c in ("total_rows", "sum_key", "several", "most")]).select(
+            F.lit(fmt).alias("format"), "total_rows", "sum_key", "several", (F.col("most") <= target + widest).alias("within")))
     return parts[0].unionByName(parts[1])
 
 
