@@ -382,9 +382,10 @@ select l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate, true a
 from lineitem where l_orderkey in (1, 500, 1000)
 """)
 def q_point_lookup_pruned(spark, sf):
-    """lineitem clustered by its order key, looked up; more than nine tenths of the row groups hold none of the keys."""
-    path, keys = scratch_path(spark, "clustered"), [1, 500, 1000]
-    write_clustered(load(spark, sf, "lineitem"), path, ["l_orderkey", "l_linenumber"], rows_per_group=500)
+    """lineitem clustered by its order key, looked up; more than nine tenths of the row groups hold none of the keys.
+    Groups hold a hundredth of the table, 500 rows at most, so that three keys lie in less than a tenth of a small table's."""
+    path, keys, lineitem = scratch_path(spark, "clustered"), [1, 500, 1000], load(spark, sf, "lineitem")
+    write_clustered(lineitem, path, ["l_orderkey", "l_linenumber"], rows_per_group=max(1, min(500, lineitem.count() // 100)))
     found = verify.point_lookup(spark.read.parquet(path), "l_orderkey", keys)
     share = skipped_groups(spark, path, "l_orderkey", keys).first().skipped_share  # one row
     return found.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate",
